@@ -23,10 +23,11 @@ from __future__ import annotations
 
 from typing import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from sluice.config import DEFAULT_CONFIG, LakeConfig
+from sluice.session import checkpoint_root
 from sluice.functions.columns import day_of_week, hour_of_day, is_business_hours, z_score
 
 SENSOR_KEYS: tuple[str, ...] = ("sensor_id", "sensor_type")
@@ -34,14 +35,6 @@ SENSOR_KEYS: tuple[str, ...] = ("sensor_id", "sensor_type")
 ROLLING_ORDER: tuple[str, ...] = ("timestamp", "event_id")
 
 
-def _null_safe_on(left: DataFrame, right: DataFrame, cols: Sequence[str]) -> Column:
-    cond = None
-    for c in cols:
-        part = left[c].eqNullSafe(right[c])
-        cond = part if cond is None else cond & part
-    return cond
-
-
 def rolling_stats(
     df: DataFrame,
     value: str = "value",
@@ -51,6 +44,7 @@ def rolling_stats(
     strategy: str = "chunked",
     chunk_rows: int = 1 << 18,
     bucket: str = "hour",
+    materialize: bool = False,
 ) -> DataFrame:
     """WIN2/WIN3: add ``rolling_mean`` and ``rolling_stddev`` (sample) over a rows frame."""
     keys, order = list(keys), list(order)
@@ -69,11 +63,19 @@ def rolling_stats(
     numbered = df.withColumn("_b", bucket_col).withColumn(
         "_rn", F.row_number().over(Window.partitionBy(*keys, "_b").orderBy(*order))
     )
+    if materialize:
+        # Both the bucket table and the join read ``numbered``; writing it once
+        # to the shared checkpoint folder stops the upstream (dedup shuffle)
+        # from running twice and cuts the lineage for executor-loss recovery.
+        checkpoint_root(df.sparkSession)
+        numbered = numbered.checkpoint(eager=True)
     # Small table: one row per (sensor, bucket). Partial aggregation keeps the
     # exchange tiny; the running sum partitions only this table by sensor.
+    # Derived from ``numbered`` (already clustered by sensor and bucket): no
+    # extra exchange, and the upstream shuffle is reused instead of re-run.
     starts = (
-        df.groupBy(*[F.col(k) for k in keys], bucket_col.alias("_b"))
-        .agg(F.count(F.lit(1)).alias("_n"))
+        numbered.groupBy(*keys, "_b")
+        .agg(F.max("_rn").alias("_n"))
         .withColumn(
             "_start",
             F.coalesce(
