@@ -240,3 +240,76 @@ ORACLE: dict[str, str] = {
     "contract_violations": CONTRACT_SQL,
     "json_roundtrip": JSON_ROUNDTRIP_SQL,
 }
+
+BRONZE_RANGE_SQL = (
+    "WITH"
+    + BRONZE_CTE
+    + """
+SELECT event_id, sensor_id, sensor_type, facility_id, "timestamp", value, ingestion_timestamp,
+       event_date, 'kafka' AS source, '1.0.0' AS pipeline_version
+FROM bronze
+WHERE event_date BETWEEN DATE '2024-01-05' AND DATE '2024-01-20'
+  AND sensor_type = 'temperature'"""
+)
+
+BRONZE_STATS_SQL = (
+    "WITH"
+    + BRONZE_CTE
+    + """
+SELECT sensor_type, count(*) AS row_count, min(event_date) AS min_event_date,
+       max(event_date) AS max_event_date, grouping(sensor_type) = 1 AS is_total
+FROM bronze GROUP BY ROLLUP (sensor_type)"""
+)
+
+SILVER_STATS_SQL = (
+    "WITH"
+    + SILVER_CTE
+    + """
+SELECT count(*) AS total_rows,
+       round(coalesce(avg(quality_score), 0) + 1e-9, 6) AS avg_quality_score,
+       round(coalesce(avg(CAST(is_anomaly AS DOUBLE)), 0) + 1e-9, 6) AS anomaly_rate
+FROM silver"""
+)
+
+GOLD_STATS_SQL = (
+    "WITH"
+    + SILVER_CTE
+    + """,
+k AS (
+  SELECT DISTINCT facility_id, sensor_type,
+         time_bucket(INTERVAL '15 minutes', "timestamp", TIMESTAMP '1970-01-01') AS w
+  FROM silver WHERE "timestamp" IS NOT NULL
+),
+s AS (SELECT DISTINCT facility_id, CAST("timestamp" AS DATE) AS d FROM silver)
+SELECT (SELECT count(*) FROM k) AS total_kpi_rows,
+       (SELECT count(*) FROM s) AS total_anomaly_rows,
+       (SELECT count(DISTINCT facility_id) FROM k) AS facility_count"""
+)
+
+EXPIRED_SQL = (
+    "WITH"
+    + BRONZE_CTE
+    + """
+SELECT event_date, count(*) AS row_count, DATE '2024-01-11' AS cutoff
+FROM bronze WHERE event_date < DATE '2024-01-11' GROUP BY event_date"""
+)
+
+SILVER_INCREMENTAL_SQL = (
+    "WITH"
+    + SILVER_CTE
+    + """
+SELECT event_id, sensor_id, sensor_type, facility_id, "timestamp", value, quality_score,
+       is_anomaly, ingestion_timestamp, event_date
+FROM silver"""
+)
+
+ORACLE.update(
+    {
+        "bronze_range_read": BRONZE_RANGE_SQL,
+        "bronze_stats": BRONZE_STATS_SQL,
+        "silver_stats": SILVER_STATS_SQL,
+        "gold_stats": GOLD_STATS_SQL,
+        "expired_partitions": EXPIRED_SQL,
+        "silver_incremental": SILVER_INCREMENTAL_SQL,
+    }
+)

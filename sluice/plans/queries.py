@@ -20,7 +20,18 @@ from sluice.operators.dedup import dedup_first
 from sluice.operators.enrich import enrich
 from sluice.operators.ingest import parse_records, validate_events, violation_counts
 from sluice.sources.fixtures import fixture_events
+from sluice.plans.medallion import ingest_bronze, process_silver
+from sluice.session import scratch_path
 from sluice.sources.kafka import to_kafka_records
+from sluice.sources.tables import (
+    LakePaths,
+    bronze_stats,
+    expired_partitions,
+    gold_stats,
+    read_bronze,
+    read_silver,
+    silver_stats,
+)
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 
@@ -123,3 +134,87 @@ QUERIES: dict[str, QueryFn] = {
     "contract_violations": q_contract_violations,
     "json_roundtrip": q_json_roundtrip,
 }
+
+
+# ---------------------------------------------------------------------------
+# Tables, stats and pipelines
+# ---------------------------------------------------------------------------
+
+INCREMENTAL_CUT = "2024-01-15 00:00:00"
+RANGE_START, RANGE_END, RANGE_TYPE = "2024-01-05", "2024-01-20", "temperature"
+
+
+def q_bronze_range_read(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """PIPE1/SNK2 write, then SRC2 with FIL5/FIL6 pruning on the partition columns."""
+    root = LakePaths(scratch_path(spark, "bronze-range"))
+    ingest_bronze(fixture_events(spark, sf_dir), root.bronze)
+    return read_bronze(spark, root.bronze, RANGE_START, RANGE_END, RANGE_TYPE).select(
+        "event_id",
+        "sensor_id",
+        "sensor_type",
+        "facility_id",
+        "timestamp",
+        "value",
+        "ingestion_timestamp",
+        "event_date",
+        "source",
+        "pipeline_version",
+    )
+
+
+def q_bronze_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bronze_stats(fixture_events(spark, sf_dir))
+
+
+def q_silver_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return silver_stats(silver_frame(spark, sf_dir)).withColumns(
+        r6("avg_quality_score", "anomaly_rate")
+    )
+
+
+def q_gold_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    silver = silver_frame(spark, sf_dir)
+    return gold_stats(aggregate_kpis(silver), anomaly_scores(silver))
+
+
+def q_expired_partitions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return expired_partitions(fixture_events(spark, sf_dir), "2024-02-10", 30)
+
+
+def q_silver_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two bronze batches split by arrival time, two incremental silver runs.
+
+    The final silver table must hold exactly the rows of a full reload:
+    re-sent copies of first-batch events are removed across batches (D4).
+    """
+    root = LakePaths(scratch_path(spark, "silver-incremental"))
+    bronze = fixture_events(spark, sf_dir)
+    cut = F.lit(INCREMENTAL_CUT).cast("timestamp")
+    ingest_bronze(bronze.filter(F.col("ingestion_timestamp") < cut), root.bronze)
+    process_silver(spark, root.bronze, root.silver)
+    ingest_bronze(bronze.filter(F.col("ingestion_timestamp") >= cut), root.bronze)
+    process_silver(spark, root.bronze, root.silver)
+    return read_silver(spark, root.silver).select(
+        "event_id",
+        "sensor_id",
+        "sensor_type",
+        "facility_id",
+        "timestamp",
+        "value",
+        "quality_score",
+        "is_anomaly",
+        "ingestion_timestamp",
+        "event_date",
+    )
+
+
+QUERIES.update(
+    {
+        "bronze_range_read": q_bronze_range_read,
+        "bronze_stats": q_bronze_stats,
+        "silver_stats": q_silver_stats,
+        "gold_stats": q_gold_stats,
+        "expired_partitions": q_expired_partitions,
+        "silver_incremental": q_silver_incremental,
+    }
+)
