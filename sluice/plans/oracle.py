@@ -313,3 +313,129 @@ ORACLE.update(
         "silver_incremental": SILVER_INCREMENTAL_SQL,
     }
 )
+
+_TYPE_STATS_CTE = """,
+st AS (
+  SELECT sensor_type, count(*) AS n,
+         count(*) FILTER (WHERE value IS NULL) AS null_n,
+         sum(CASE WHEN sensor_type = 'temperature' AND (value < -50 OR value > 500) THEN 1
+                  WHEN sensor_type = 'vibration' AND (value < 0 OR value > 100) THEN 1
+                  WHEN sensor_type = 'pressure' AND (value < 0 OR value > 1000) THEN 1
+                  WHEN sensor_type = 'throughput' AND (value < 0 OR value > 10000) THEN 1
+                  ELSE 0 END) AS out_n,
+         avg(value) AS mean, stddev_samp(value) AS sd, count(value) AS value_n
+  FROM bronze GROUP BY sensor_type
+),
+thr AS (
+  SELECT * FROM (VALUES ('temperature', 0.01), ('vibration', 0.02), ('pressure', 0.01),
+                        ('throughput', 0.05)) t(sensor_type, null_thr)
+),
+j AS (SELECT st.*, CAST(thr.null_thr AS DOUBLE) AS null_thr FROM st JOIN thr USING (sensor_type)),
+checks AS (
+  SELECT 'column_exists_' || c AS check_name, 'schema' AS check_type,
+         CAST(NULL AS VARCHAR) AS sensor_type, true AS success,
+         CAST(1.0 AS DOUBLE) AS observed_value
+  FROM (VALUES ('event_id'), ('sensor_id'), ('sensor_type'), ('facility_id'), ('timestamp'),
+               ('value'), ('unit')) t(c)
+  UNION ALL
+  SELECT 'null_check_' || sensor_type, 'null', sensor_type, null_n / n <= null_thr,
+         round(null_n / n, 4) FROM j
+  UNION ALL
+  SELECT 'range_check_' || sensor_type, 'range', sensor_type, 1 - out_n / n >= 0.95,
+         round(1 - out_n / n, 4) FROM j
+  UNION ALL
+  SELECT 'statistical_check_' || sensor_type, 'statistical', sensor_type, cv < 100, round(cv, 2)
+  FROM (SELECT *, CASE WHEN mean <> 0 THEN coalesce(sd, 0) / abs(mean) * 100 ELSE 0 END AS cv
+        FROM j WHERE value_n > 0)
+)"""
+
+QUALITY_SUITE_SQL = "WITH" + BRONZE_CTE + _TYPE_STATS_CTE + "\nSELECT * FROM checks"
+
+QUALITY_SUMMARY_SQL = (
+    "WITH"
+    + BRONZE_CTE
+    + _TYPE_STATS_CTE
+    + """
+SELECT count(*) AS total_checks, count(*) FILTER (WHERE success) AS passed,
+       count(*) FILTER (WHERE NOT success) AS failed, bool_and(success) AS overall_success,
+       round(avg(CAST(success AS DOUBLE)) + 1e-9, 6) AS success_rate
+FROM checks"""
+)
+
+_LINEITEM_COLUMNS = (
+    ("l_orderkey", "bigint", True),
+    ("l_partkey", "bigint", True),
+    ("l_suppkey", "bigint", True),
+    ("l_linenumber", "int", True),
+    ("l_quantity", "double", True),
+    ("l_extendedprice", "double", True),
+    ("l_discount", "double", True),
+    ("l_tax", "double", True),
+    ("l_returnflag", "string", False),
+    ("l_linestatus", "string", False),
+    ("l_shipdate", "timestamp_ntz", False),
+)
+
+
+def _profile_select(i: int, name: str, dtype: str, numeric: bool) -> str:
+    c = f'"{name}"'
+    if numeric:
+        x = f"CAST({c} AS DOUBLE)"
+        stats = (
+            f"min({x}) AS min, max({x}) AS max, round(avg({x}) + 1e-9, 6) AS mean, "
+            f"round(stddev_samp({x}) + 1e-9, 6) AS stddev, quantile_disc({x}, 0.25) AS p25, "
+            f"quantile_disc({x}, 0.5) AS median, quantile_disc({x}, 0.75) AS p75"
+        )
+    else:
+        stats = ", ".join(
+            f"CAST(NULL AS DOUBLE) AS {s}" for s in ("min", "max", "mean", "stddev", "p25", "median", "p75")
+        )
+    return (
+        f"SELECT '{name}' AS column_name, {i} AS position, '{dtype}' AS dtype, "
+        f"count(*) AS row_count, count(*) - count({c}) AS null_count, "
+        f"round((count(*) - count({c})) / count(*) + 1e-9, 6) AS null_rate, "
+        f"count(DISTINCT {c}) + max(CASE WHEN {c} IS NULL THEN 1 ELSE 0 END) AS distinct_count, "
+        f"{stats} FROM lineitem"
+    )
+
+
+PROFILE_COLUMNS_SQL = "\nUNION ALL\n".join(
+    _profile_select(i, n, t, num) for i, (n, t, num) in enumerate(_LINEITEM_COLUMNS)
+)
+
+_BRONZE_PROFILE_COLUMNS = (
+    "event_id", "sensor_id", "sensor_type", "facility_id", "timestamp", "value", "unit",
+    "quality_score", "is_anomaly", "kafka_timestamp", "kafka_partition", "kafka_offset",
+    "ingestion_timestamp", "source", "pipeline_version", "event_date",
+)
+_BRONZE_PROFILE_EXPR = {
+    "kafka_timestamp": "CAST(NULL AS TIMESTAMP)",
+    "kafka_partition": "CAST(NULL AS INTEGER)",
+    "kafka_offset": "CAST(NULL AS BIGINT)",
+    "source": "'kafka'",
+    "pipeline_version": "'1.0.0'",
+}
+
+PROFILE_REPORT_SQL = (
+    "WITH"
+    + BRONZE_CTE
+    + ",\nb AS (SELECT *, "
+    + ", ".join(f"{v} AS {k}" for k, v in _BRONZE_PROFILE_EXPR.items())
+    + " FROM bronze)\n"
+    + "\nUNION ALL\n".join(
+        f"SELECT '{c}' AS column_name, {i} AS position, "
+        f"(count(*) - count(\"{c}\")) / count(*) > 0.05 AS high_null, "
+        f"count(DISTINCT \"{c}\") + max(CASE WHEN \"{c}\" IS NULL THEN 1 ELSE 0 END) <= 5 "
+        f"AS low_cardinality FROM b"
+        for i, c in enumerate(_BRONZE_PROFILE_COLUMNS)
+    )
+)
+
+ORACLE.update(
+    {
+        "quality_suite": QUALITY_SUITE_SQL,
+        "quality_summary": QUALITY_SUMMARY_SQL,
+        "profile_columns": PROFILE_COLUMNS_SQL,
+        "profile_report": PROFILE_REPORT_SQL,
+    }
+)

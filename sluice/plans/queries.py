@@ -19,7 +19,9 @@ from sluice.operators.clean import clean
 from sluice.operators.dedup import dedup_first
 from sluice.operators.enrich import enrich
 from sluice.operators.ingest import parse_records, validate_events, violation_counts
-from sluice.sources.fixtures import fixture_events
+from sluice.operators.profile import profile, report_flags
+from sluice.operators.quality import run_suite, suite_summary
+from sluice.sources.fixtures import fixture_events, load_table
 from sluice.plans.medallion import ingest_bronze, process_silver
 from sluice.session import scratch_path
 from sluice.sources.kafka import to_kafka_records
@@ -218,3 +220,43 @@ QUERIES.update(
         "silver_incremental": q_silver_incremental,
     }
 )
+
+
+# ---------------------------------------------------------------------------
+# Quality and profiling
+# ---------------------------------------------------------------------------
+
+CHECK_COLUMNS = ("check_name", "check_type", "sensor_type", "success", "observed_value")
+
+
+def q_quality_suite(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """DQ1-5 over the raw bronze rows (one grouped scan + schema metadata)."""
+    return run_suite(fixture_events(spark, sf_dir)).select(*CHECK_COLUMNS)
+
+
+def q_quality_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suite_summary(run_suite(fixture_events(spark, sf_dir))).withColumns(
+        r6("success_rate")
+    )
+
+
+def q_profile_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """PRF1 over the whole lineitem table (one wide aggregate)."""
+    return profile(load_table(spark, sf_dir, "lineitem")).withColumns(
+        r6("null_rate", "mean", "stddev")
+    )
+
+
+def q_profile_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """PRF2 per-column flags over the profile of the raw bronze rows."""
+    return report_flags(profile(fixture_events(spark, sf_dir).drop("metadata"))).drop("row_count")
+
+
+QUERIES.update(
+    {
+        "quality_suite": q_quality_suite,
+        "quality_summary": q_quality_summary,
+        "profile_columns": q_profile_columns,
+        "profile_report": q_profile_report,
+    }
+)
