@@ -4,22 +4,35 @@ All columns are profiled by one wide ``agg`` (one job, one scan) and the
 one-row result is unpivoted to one row per column. Distinct counts treat null
 as one value (as ``SELECT DISTINCT`` would) and work on map columns.
 
-Exact distinct counts over many columns make Spark expand each input row once
-per distinct column before the shuffle; ``exact_distinct=False`` switches to
-HyperLogLog (``approx_count_distinct``) with no expansion for very wide
-tables.
+Exact distinct counts use an unpivot + two-phase de-duplication
+(:func:`distinct_counts`) rather than many ``count(DISTINCT)`` in one
+aggregate, which would make Spark expand every row once per column and carry
+the percentile sketches through that expansion. ``exact_distinct=False``
+switches to HyperLogLog (``approx_count_distinct``) inside the single pass.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType, FloatType, IntegerType, LongType
+from pyspark.sql.types import (
+    ArrayType,
+    BinaryType,
+    DoubleType,
+    FloatType,
+    IntegerType,
+    LongType,
+    MapType,
+    StructType,
+)
 
 from sluice.config import DEFAULT_CONFIG, LakeConfig
 
 NUMERIC_TYPES = (DoubleType, FloatType, IntegerType, LongType)
-PERCENTILE_ACCURACY = 1_000_000
+# Spark's default sketch accuracy: rank error <= n / 10000, a few MB of sketch
+# per column and task however large the table. Pass a larger accuracy for
+# exact ranks on small tables (rank error < 1 needs accuracy > row count).
+PERCENTILE_ACCURACY = 10_000
 
 
 def _c(name: str) -> Column:
@@ -33,20 +46,67 @@ def hash_sample(df: DataFrame, fraction: float, seed_cols: list[str] | None = No
     return df.filter(F.pmod(F.xxhash64(*cols), F.lit(buckets)) < F.lit(int(fraction * buckets)))
 
 
-def profile(df: DataFrame, exact_distinct: bool = True) -> DataFrame:
+def _as_text(c: Column, data_type) -> Column:
+    """Canonical text of a value for exact distinct counting across columns."""
+    if isinstance(data_type, MapType):
+        return F.to_json(F.array_sort(F.map_entries(c)))
+    if isinstance(data_type, (ArrayType, StructType)):
+        return F.to_json(c)
+    if isinstance(data_type, BinaryType):
+        return F.base64(c)
+    if isinstance(data_type, (DoubleType, FloatType)):
+        # grouping treats -0.0 and 0.0 (and all NaNs) as one value; so do we
+        return F.when(c == 0, F.lit("0.0")).otherwise(c.cast("string"))
+    return c.cast("string")
+
+
+def distinct_counts(df: DataFrame) -> DataFrame:
+    """Exact distinct count per column (null counts as one value): (position, distinct_count).
+
+    Each row is unpivoted to (position, value-text) pairs and de-duplicated with
+    partial aggregation before the shuffle, then counted per position: two
+    small exchanges, no per-distinct-column row expansion, and a value shared
+    by a third of all rows collapses map-side.
+    """
+    fields = df.schema.fields
+    pairs = df.select(
+        F.inline(
+            F.array(
+                *[
+                    F.struct(F.lit(i).alias("position"), _as_text(_c(f.name), f.dataType).alias("v"))
+                    for i, f in enumerate(fields)
+                ]
+            )
+        )
+    )
+    per_value = pairs.groupBy("position", "v").agg(F.lit(1).alias("_one"))
+    return per_value.groupBy("position").agg(F.count(F.lit(1)).alias("distinct_count"))
+
+
+def profile(
+    df: DataFrame, exact_distinct: bool = True, accuracy: int = PERCENTILE_ACCURACY
+) -> DataFrame:
     """PRF1: one row per column.
 
     column_name, position, dtype, row_count, null_count, null_rate,
     distinct_count, min, max, mean, stddev, p25, median, p75
     (numeric statistics only for int/long/float/double columns).
+
+    Null counts and numeric statistics come from one plain aggregate (no
+    distinct, so no row expansion); exact distinct counts from
+    :func:`distinct_counts`; the two per-column tables (as many rows as the
+    schema has columns) are joined on the column position.
     """
     fields = df.schema.fields
     aggs = [F.count(F.lit(1)).alias("__rows")]
     for i, f in enumerate(fields):
         c = _c(f.name)
         aggs.append(F.sum(c.isNull().cast("long")).alias(f"__n{i}"))
-        distinct = F.count_distinct(c) if exact_distinct else F.approx_count_distinct(c)
-        aggs.append((distinct + F.coalesce(F.max(c.isNull().cast("int")), F.lit(0))).alias(f"__d{i}"))
+        if not exact_distinct:
+            aggs.append(
+                (F.approx_count_distinct(c) + F.coalesce(F.max(c.isNull().cast("int")), F.lit(0)))
+                .alias(f"__d{i}")
+            )
         if isinstance(f.dataType, NUMERIC_TYPES):
             x = c.cast("double")
             aggs += [
@@ -54,7 +114,7 @@ def profile(df: DataFrame, exact_distinct: bool = True) -> DataFrame:
                 F.max(x).alias(f"__max{i}"),
                 F.avg(x).alias(f"__mean{i}"),
                 F.stddev(x).alias(f"__sd{i}"),
-                F.percentile_approx(x, [0.25, 0.5, 0.75], PERCENTILE_ACCURACY).alias(f"__q{i}"),
+                F.percentile_approx(x, [0.25, 0.5, 0.75], accuracy).alias(f"__q{i}"),
             ]
     wide = df.agg(*aggs)
 
@@ -77,7 +137,7 @@ def profile(df: DataFrame, exact_distinct: bool = True) -> DataFrame:
                 F.when(F.col("__rows") > 0, null_count / F.col("__rows"))
                 .otherwise(F.lit(0.0))
                 .alias("null_rate"),
-                F.col(f"__d{i}").cast("long").alias("distinct_count"),
+                (stat(i, "d") if not exact_distinct else F.lit(None)).cast("long").alias("_d"),
                 stat(i, "min").alias("min"),
                 stat(i, "max").alias("max"),
                 stat(i, "mean").alias("mean"),
@@ -87,7 +147,30 @@ def profile(df: DataFrame, exact_distinct: bool = True) -> DataFrame:
                 q(i, 2).alias("p75"),
             )
         )
-    return wide.select(F.inline(F.array(*rows)))
+    long = wide.select(F.inline(F.array(*rows)))
+    if exact_distinct:
+        dist = distinct_counts(df)
+        long = long.join(dist, on="position", how="left").withColumn(
+            "distinct_count", F.coalesce(F.col("distinct_count"), F.lit(0)).cast("long")
+        )
+    else:
+        long = long.withColumn("distinct_count", F.col("_d"))
+    return long.select(
+        "column_name",
+        "position",
+        "dtype",
+        "row_count",
+        "null_count",
+        "null_rate",
+        "distinct_count",
+        "min",
+        "max",
+        "mean",
+        "stddev",
+        "p25",
+        "median",
+        "p75",
+    )
 
 
 def report_flags(prof: DataFrame, config: LakeConfig = DEFAULT_CONFIG) -> DataFrame:
