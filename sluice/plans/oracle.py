@@ -43,6 +43,7 @@ bronze_raw AS (
          quality_score, is_anomaly, ingestion_timestamp + INTERVAL 1 HOUR, props, src_id
   FROM base WHERE src_id % 20 = 0
 ),
+base_u AS (SELECT * FROM base),
 bronze AS (
   SELECT *,
          CASE sensor_type WHEN 'temperature' THEN 'celsius' WHEN 'vibration' THEN 'mm/s'
@@ -439,3 +440,64 @@ ORACLE.update(
         "profile_report": PROFILE_REPORT_SQL,
     }
 )
+
+STREAM_INGEST_SQL = (
+    "WITH"
+    + BRONZE_CTE
+    + """
+SELECT event_id, sensor_id, sensor_type, facility_id, "timestamp", value, quality_score,
+       is_anomaly, ingestion_timestamp AS kafka_timestamp, 0 AS kafka_partition,
+       src_id AS kafka_offset, event_date
+FROM bronze
+WHERE event_id IS NOT NULL AND sensor_id IS NOT NULL AND "timestamp" IS NOT NULL
+  AND value IS NOT NULL
+  AND sensor_type IN ('temperature', 'vibration', 'pressure', 'throughput')"""
+)
+
+STREAM_DEDUP_SQL = (
+    "WITH"
+    + BRONZE_CTE
+    + """
+SELECT DISTINCT event_id, sensor_id, sensor_type, "timestamp" FROM bronze"""
+)
+
+STREAM_KPI_SQL = (
+    "WITH"
+    + BRONZE_CTE
+    + """,
+c AS (
+  SELECT trim(facility_id) AS facility_id, sensor_type, "timestamp", value,
+         coalesce(quality_score, CAST(1.0 AS DOUBLE)) AS quality_score,
+         coalesce(is_anomaly, false) AS is_anomaly
+  FROM base_u
+  WHERE event_id IS NOT NULL AND sensor_id IS NOT NULL AND "timestamp" IS NOT NULL
+    AND value IS NOT NULL
+    AND sensor_type IN ('temperature', 'vibration', 'pressure', 'throughput')
+),
+k AS (
+  SELECT facility_id, sensor_type,
+         time_bucket(INTERVAL '15 minutes', "timestamp", TIMESTAMP '1970-01-01') AS window_start,
+         count(*) AS event_count, avg(value) AS avg_value, min(value) AS min_value,
+         max(value) AS max_value, stddev_samp(value) AS stddev_value,
+         CAST(sum(CAST(is_anomaly AS INTEGER)) AS BIGINT) AS anomaly_count,
+         avg(CAST(is_anomaly AS DOUBLE)) AS anomaly_rate,
+         avg(quality_score) AS avg_quality_score
+  FROM c GROUP BY 1, 2, 3
+)
+SELECT facility_id, sensor_type, event_count, round(avg_value + 1e-9, 6) AS avg_value,
+       min_value, max_value, round(stddev_value + 1e-9, 6) AS stddev_value, anomaly_count,
+       round(anomaly_rate + 1e-9, 6) AS anomaly_rate,
+       round(avg_quality_score + 1e-9, 6) AS avg_quality_score,
+       window_start, window_start + INTERVAL 15 MINUTE AS window_end,
+       CAST(window_start AS DATE) AS kpi_date
+FROM k
+WHERE window_start + INTERVAL 15 MINUTE <= (SELECT max("timestamp") FROM c) - INTERVAL 1 HOUR"""
+)
+
+ORACLE.update(
+    {
+        "stream_ingest": STREAM_INGEST_SQL,
+        "stream_dedup": STREAM_DEDUP_SQL,
+        "stream_kpi_closed": STREAM_KPI_SQL,
+    }
+)

@@ -25,6 +25,14 @@ from sluice.sources.fixtures import fixture_events, load_table
 from sluice.plans.medallion import ingest_bronze, process_silver
 from sluice.session import scratch_path
 from sluice.sources.kafka import to_kafka_records
+from sluice.streaming.jobs import (
+    clean_stream,
+    dedup_stream,
+    drain_to_parquet,
+    file_record_stream,
+    kpi_stream,
+    run_bronze_ingest,
+)
 from sluice.sources.tables import (
     LakePaths,
     bronze_stats,
@@ -264,3 +272,62 @@ QUERIES.update(
         "profile_report": q_profile_report,
     }
 )
+
+
+# ---------------------------------------------------------------------------
+# Streaming (file-backed record source, availableNow triggers)
+# ---------------------------------------------------------------------------
+
+STREAM_KPI_DELAY = "1 hour"
+
+
+def q_stream_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """STR1/SNK1/PIPE4: records -> parse -> validate -> partitioned bronze with checkpoint."""
+    root = scratch_path(spark, "stream-ingest")
+    run_bronze_ingest(file_record_stream(spark, sf_dir), f"{root}/bronze", f"{root}/_ckpt")
+    return read_bronze(spark, f"{root}/bronze").select(
+        "event_id",
+        "sensor_id",
+        "sensor_type",
+        "facility_id",
+        "timestamp",
+        "value",
+        "quality_score",
+        "is_anomaly",
+        "kafka_timestamp",
+        "kafka_partition",
+        "kafka_offset",
+        "event_date",
+    )
+
+
+def q_stream_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """STR3: watermark dedup of re-delivered records; one row per event id survives."""
+    root = scratch_path(spark, "stream-dedup")
+    deduped = dedup_stream(parse_records(file_record_stream(spark, sf_dir))).select(
+        "event_id", "sensor_id", "sensor_type", "timestamp"
+    )
+    drain_to_parquet(deduped, f"{root}/out", f"{root}/_ckpt")
+    return spark.read.schema(deduped.schema).parquet(f"{root}/out")
+
+
+def q_stream_kpi_closed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """STR4: KPI windows closed by the watermark (max event time - 1 hour)."""
+    root = scratch_path(spark, "stream-kpi")
+    records = file_record_stream(spark, sf_dir, with_resends=False)
+    kpis = kpi_stream(clean_stream(records), delay=STREAM_KPI_DELAY)
+    drain_to_parquet(kpis, f"{root}/out", f"{root}/_ckpt")
+    return (
+        spark.read.schema(kpis.schema)
+        .parquet(f"{root}/out")
+        .withColumns(r6("avg_value", "stddev_value", "anomaly_rate", "avg_quality_score"))
+    )
+
+
+QUERIES.update(
+    {
+        "stream_ingest": q_stream_ingest,
+        "stream_dedup": q_stream_dedup,
+        "stream_kpi_closed": q_stream_kpi_closed,
+    }
+)

@@ -48,15 +48,21 @@ def read_kafka_stream(
     return reader.load()
 
 
-def to_kafka_records(df: DataFrame, columns: tuple[str, ...] = PUBLISHED_COLUMNS) -> DataFrame:
+def to_kafka_records(
+    df: DataFrame,
+    columns: tuple[str, ...] = PUBLISHED_COLUMNS,
+    passthrough: tuple[str, ...] = (),
+) -> DataFrame:
     """SNK6: one Kafka record per event; key = sensor_id or 'unknown', value = JSON.
 
     Absent columns are skipped; the payload keeps microsecond timestamps.
+    ``passthrough`` columns are kept next to key and value.
     """
     present = [c for c in columns if c in df.columns]
     return df.select(
         F.coalesce(F.col("sensor_id").cast("string"), F.lit("unknown")).alias("key"),
         F.to_json(F.struct(*present), JSON_OPTIONS).alias("value"),
+        *passthrough,
     )
 
 
