@@ -501,3 +501,105 @@ ORACLE.update(
         "stream_kpi_closed": STREAM_KPI_SQL,
     }
 )
+
+_GOV_CTE = """,
+counts AS (
+  SELECT (SELECT count(*) FROM bronze) AS n_bronze,
+         (SELECT count(*) FROM silver) AS n_silver,
+         (SELECT count(*) FROM (SELECT DISTINCT facility_id, sensor_type,
+                 time_bucket(INTERVAL '15 minutes', "timestamp", TIMESTAMP '1970-01-01')
+                 FROM silver WHERE "timestamp" IS NOT NULL)) AS n_kpi,
+         (SELECT count(*) FROM (SELECT DISTINCT facility_id, CAST("timestamp" AS DATE)
+                 FROM silver)) AS n_sev,
+         (SELECT count(DISTINCT event_id) FROM bronze) AS n_ids,
+         (SELECT count(*) FROM bronze
+           WHERE event_id IS NOT NULL AND sensor_id IS NOT NULL AND "timestamp" IS NOT NULL
+             AND value IS NOT NULL
+             AND sensor_type IN ('temperature', 'vibration', 'pressure', 'throughput')) AS n_valid
+),
+fresh_src AS (
+  SELECT facility_id, max("timestamp") AS latest_event FROM silver GROUP BY facility_id
+  UNION ALL
+  SELECT NULL, max("timestamp") FROM silver
+),
+fresh AS (
+  SELECT CASE WHEN facility_id IS NULL THEN 'data_freshness'
+              ELSE 'data_freshness_' || facility_id END AS name,
+         latest_event,
+         (epoch_us(TIMESTAMP '2024-01-31 00:30:00') - epoch_us(latest_event)) / 60000000.0 AS lag
+  FROM fresh_src
+),
+fresh_checks AS (
+  SELECT name, latest_event,
+         CASE WHEN lag IS NULL THEN 'unknown' WHEN lag <= 30 THEN 'compliant'
+              WHEN lag <= 45 THEN 'warning' ELSE 'violated' END AS status,
+         coalesce(round(lag, 2), 0.0) AS metric_value, CAST(30.0 AS DOUBLE) AS threshold
+  FROM fresh
+),
+comp AS (
+  SELECT 'data_completeness_' || layer AS name,
+         CASE WHEN expected = 0 THEN 100.0 ELSE actual / expected * 100 END AS pct
+  FROM (SELECT 'bronze' AS layer, n_valid AS actual, n_bronze AS expected FROM counts
+        UNION ALL SELECT 'silver', n_silver, n_ids FROM counts
+        UNION ALL SELECT 'gold', n_sev, n_sev FROM counts)
+),
+comp_checks AS (
+  SELECT name,
+         CASE WHEN pct >= 95 THEN 'compliant' WHEN pct >= 85.5 THEN 'warning'
+              ELSE 'violated' END AS status,
+         round(pct, 2) AS metric_value, CAST(95.0 AS DOUBLE) AS threshold
+  FROM comp
+),
+all_checks AS (
+  SELECT name, status, metric_value FROM fresh_checks
+  UNION ALL SELECT name, status, metric_value FROM comp_checks
+)"""
+
+LINEAGE_SQL = (
+    "WITH"
+    + SILVER_CTE
+    + _GOV_CTE
+    + """
+SELECT 'ingest_bronze' AS name, 'source' AS source_layer, 'bronze' AS target_layer,
+       'append' AS operation, n_bronze AS input_count, n_bronze AS output_count,
+       4 AS total_steps, true AS completed FROM counts
+UNION ALL SELECT 'process_silver', 'bronze', 'silver', 'dedup_clean_enrich', n_bronze, n_silver,
+       4, true FROM counts
+UNION ALL SELECT 'aggregate_kpis', 'silver', 'gold', 'aggregate', n_silver, n_kpi, 4, true
+       FROM counts
+UNION ALL SELECT 'score_anomalies', 'silver', 'gold', 'aggregate', n_silver, n_sev, 4, true
+       FROM counts"""
+)
+
+FRESHNESS_SQL = "WITH" + SILVER_CTE + _GOV_CTE + "\nSELECT * FROM fresh_checks"
+
+COMPLETENESS_SQL = "WITH" + SILVER_CTE + _GOV_CTE + "\nSELECT * FROM comp_checks"
+
+SLA_ALERTS_SQL = (
+    "WITH" + SILVER_CTE + _GOV_CTE
+    + "\nSELECT * FROM all_checks WHERE status IN ('warning', 'violated')"
+)
+
+SLA_DASHBOARD_SQL = (
+    "WITH"
+    + SILVER_CTE
+    + _GOV_CTE
+    + """
+SELECT (SELECT count(*) FROM all_checks) AS total_checks,
+       coalesce((SELECT status FROM fresh_checks ORDER BY name DESC LIMIT 1), 'unknown')
+         AS freshness_status,
+       coalesce((SELECT status FROM comp_checks ORDER BY name DESC LIMIT 1), 'unknown')
+         AS completeness_status,
+       CAST(30.0 AS DOUBLE) AS freshness_threshold_minutes,
+       CAST(95.0 AS DOUBLE) AS completeness_threshold_percent"""
+)
+
+ORACLE.update(
+    {
+        "lineage_runs": LINEAGE_SQL,
+        "freshness": FRESHNESS_SQL,
+        "completeness": COMPLETENESS_SQL,
+        "sla_alerts": SLA_ALERTS_SQL,
+        "sla_dashboard": SLA_DASHBOARD_SQL,
+    }
+)

@@ -22,7 +22,20 @@ from sluice.operators.ingest import parse_records, validate_events, violation_co
 from sluice.operators.profile import profile, report_flags
 from sluice.operators.quality import run_suite, suite_summary
 from sluice.sources.fixtures import fixture_events, load_table
-from sluice.plans.medallion import ingest_bronze, process_silver
+from sluice.operators.governance import (
+    LineageLog,
+    append_sla_history,
+    as_sla_rows,
+    completeness,
+    freshness,
+    layer_counts,
+    lineage_runs,
+    lineage_steps,
+    read_sla_history,
+    sla_alerts,
+    sla_dashboard,
+)
+from sluice.plans.medallion import ingest_bronze, process_gold, process_silver
 from sluice.session import scratch_path
 from sluice.sources.kafka import to_kafka_records
 from sluice.streaming.jobs import (
@@ -331,3 +344,105 @@ QUERIES.update(
         "stream_kpi_closed": q_stream_kpi_closed,
     }
 )
+
+
+# ---------------------------------------------------------------------------
+# Governance: lineage and SLA checks
+# ---------------------------------------------------------------------------
+
+SLA_AS_OF = "2024-01-31 00:30:00"
+
+
+def q_lineage_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """LIN1-4: run bronze -> silver -> gold with a lineage log; counts come from the writes."""
+    root = LakePaths(scratch_path(spark, "lineage"))
+    log = LineageLog(spark, root.lineage)
+    log.start_pipeline()
+    raw = fixture_events(spark, sf_dir)
+    n_bronze = ingest_bronze(raw, root.bronze)
+    log.record_step("ingest_bronze", "source", "bronze", "append", n_bronze, n_bronze)
+    n_silver = process_silver(spark, root.bronze, root.silver)
+    log.record_step("process_silver", "bronze", "silver", "dedup_clean_enrich", n_bronze, n_silver)
+    gold = process_gold(spark, root.silver, root.kpis, root.severity)
+    log.record_step("aggregate_kpis", "silver", "gold", "aggregate", n_silver, gold["kpi_rows"])
+    log.record_step(
+        "score_anomalies", "silver", "gold", "aggregate", n_silver, gold["severity_rows"]
+    )
+    log.complete_pipeline()
+    table = log.table()
+    runs = lineage_runs(table).select("pipeline_id", "total_steps", F.col("completed_at").isNotNull().alias("completed"))
+    return lineage_steps(table).join(runs, "pipeline_id").select(
+        "name",
+        "source_layer",
+        "target_layer",
+        "operation",
+        "input_count",
+        "output_count",
+        "total_steps",
+        "completed",
+    )
+
+
+def _sla_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    silver = silver_frame(spark, sf_dir)
+    bronze = fixture_events(spark, sf_dir)
+    fresh = freshness(silver, SLA_AS_OF, by="facility_id").drop("facility_id", "latest_event")
+    fresh_all = freshness(silver, SLA_AS_OF).drop("latest_event")
+    expected = layer_counts(
+        {
+            "bronze": bronze,
+            "silver": bronze.select("event_id").distinct(),
+            "gold": silver.select("facility_id", F.to_date("timestamp")).distinct(),
+        }
+    ).withColumnRenamed("actual_count", "expected_count")
+    actual = layer_counts(
+        {
+            "bronze": validate_events(bronze),
+            "silver": silver,
+            "gold": anomaly_scores(silver),
+        }
+    )
+    comp = completeness(actual, expected, SLA_AS_OF)
+    return as_sla_rows(fresh.unionByName(fresh_all)).unionByName(as_sla_rows(comp))
+
+
+def q_freshness(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SLA1 per facility and overall at a fixed as-of time."""
+    silver = silver_frame(spark, sf_dir)
+    per = freshness(silver, SLA_AS_OF, by="facility_id").drop("facility_id")
+    overall = freshness(silver, SLA_AS_OF)
+    return per.unionByName(overall).select(
+        "name", "latest_event", "status", "metric_value", "threshold"
+    )
+
+
+def q_completeness(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return (
+        _sla_checks(spark, sf_dir)
+        .filter(F.col("name").startswith("data_completeness"))
+        .select("name", "status", "metric_value", "threshold")
+    )
+
+
+def q_sla_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sla_alerts(_sla_checks(spark, sf_dir)).select("name", "status", "metric_value")
+
+
+def q_sla_dashboard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SLA4 over an SLA history table written by two check runs."""
+    path = scratch_path(spark, "sla") + "/sla_checks"
+    checks = _sla_checks(spark, sf_dir)
+    append_sla_history(spark, checks.filter(F.col("name").startswith("data_completeness")), path)
+    append_sla_history(spark, checks.filter(F.col("name").startswith("data_freshness")), path)
+    return sla_dashboard(read_sla_history(spark, path))
+
+
+QUERIES.update(
+    {
+        "lineage_runs": q_lineage_runs,
+        "freshness": q_freshness,
+        "completeness": q_completeness,
+        "sla_alerts": q_sla_alerts,
+        "sla_dashboard": q_sla_dashboard,
+    }
+)
