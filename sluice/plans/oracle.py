@@ -603,3 +603,48 @@ ORACLE.update(
         "sla_dashboard": SLA_DASHBOARD_SQL,
     }
 )
+
+_VT_ROWS = """,
+vt AS (SELECT event_id, sensor_id, sensor_type, facility_id, "timestamp", value, event_date
+       FROM bronze)"""
+
+VT_TIME_TRAVEL_SQL = (
+    "WITH" + BRONZE_CTE + _VT_ROWS
+    + """
+SELECT *, 1 AS version FROM vt WHERE event_date < DATE '2024-01-15'
+UNION ALL
+SELECT *, 2 AS version FROM vt"""
+)
+
+VT_EVOLVED_SQL = (
+    "WITH" + BRONZE_CTE + _VT_ROWS
+    + """
+SELECT event_id, sensor_id, sensor_type, facility_id, "timestamp", value AS reading, event_date,
+       CAST(NULL AS VARCHAR) AS note
+FROM vt"""
+)
+
+VT_COMPACTED_SQL = VT_EVOLVED_SQL
+
+VT_HISTORY_SQL = (
+    "WITH" + BRONZE_CTE + _VT_ROWS
+    + """,
+n AS (SELECT count(*) FILTER (WHERE event_date < DATE '2024-01-15') AS n1,
+             count(*) FILTER (WHERE NOT (event_date < DATE '2024-01-15') OR event_date IS NULL) AS n2
+      FROM vt)
+SELECT 1 AS snapshot_id, 'create' AS operation, n1 AS row_count, 1 AS live_commit_count,
+       true AS is_current_ancestor FROM n
+UNION ALL SELECT 2, 'append', n2, 2, true FROM n
+UNION ALL SELECT 3, 'add_column', 0, 2, true FROM n
+UNION ALL SELECT 4, 'rename_column', 0, 2, true FROM n
+UNION ALL SELECT 5, 'replace', n1 + n2, 1, true FROM n"""
+)
+
+ORACLE.update(
+    {
+        "vt_time_travel": VT_TIME_TRAVEL_SQL,
+        "vt_evolved": VT_EVOLVED_SQL,
+        "vt_compacted": VT_COMPACTED_SQL,
+        "vt_history": VT_HISTORY_SQL,
+    }
+)

@@ -38,6 +38,7 @@ from sluice.operators.governance import (
 from sluice.plans.medallion import ingest_bronze, process_gold, process_silver
 from sluice.session import scratch_path
 from sluice.sources.kafka import to_kafka_records
+from sluice.sources.versioned import VersionedTable
 from sluice.streaming.jobs import (
     clean_stream,
     dedup_stream,
@@ -446,3 +447,73 @@ QUERIES.update(
         "sla_dashboard": q_sla_dashboard,
     }
 )
+
+
+# ---------------------------------------------------------------------------
+# Versioned tables
+# ---------------------------------------------------------------------------
+
+VT_SPLIT = "2024-01-15"
+VT_COLUMNS = ("event_id", "sensor_id", "sensor_type", "facility_id", "timestamp", "value", "event_date")
+
+
+def _vt_build(spark: SparkSession, sf_dir: str, steps: tuple[str, ...]) -> VersionedTable:
+    """create (rows before VT_SPLIT) -> append (rest) -> [evolve] -> [compact]."""
+    table = VersionedTable(spark, scratch_path(spark, "vt"))
+    rows = fixture_events(spark, sf_dir).select(*VT_COLUMNS)
+    split = F.lit(VT_SPLIT).cast("date")
+    table.create(rows.filter(F.col("event_date") < split), partition_columns=["event_date"])
+    table.append(rows.filter(~(F.col("event_date") < split) | F.col("event_date").isNull()))
+    if "evolve" in steps:
+        table.evolve_schema(add_columns={"note": "string"}, rename_columns={"value": "reading"})
+    if "compact" in steps:
+        table.compact()
+    return table
+
+
+def q_vt_time_travel(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """VT1-4: snapshot 1 by id, and the as-of-timestamp read at snapshot 2's commit time."""
+    table = _vt_build(spark, sf_dir, ())
+    second = table.snapshot(2)
+    by_id = table.read(snapshot_id=1).withColumn("version", F.lit(1))
+    by_time = table.read(as_of=second.committed_at.isoformat(sep=" ")).withColumn("version", F.lit(2))
+    return by_id.unionByName(by_time)
+
+
+def q_vt_evolved(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """VT7/VT8: added column reads as null, renamed column keeps its data."""
+    return _vt_build(spark, sf_dir, ("evolve",)).read()
+
+
+def q_vt_compacted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """VT10 then VT9: compacted current snapshot, older snapshots expired and deleted."""
+    table = _vt_build(spark, sf_dir, ("evolve", "compact"))
+    table.expire_snapshots(table.current().committed_at)
+    return table.read()
+
+
+def q_vt_history(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """VT5/VT6: the snapshot log (ids and times excluded from the comparison)."""
+    table = _vt_build(spark, sf_dir, ("evolve", "compact"))
+    hist = table.history().select("snapshot_id", "is_current_ancestor")
+    return (
+        table.list_snapshots()
+        .join(hist, "snapshot_id")
+        .select(
+            "snapshot_id",
+            "operation",
+            "row_count",
+            F.size("live_commits").alias("live_commit_count"),
+            "is_current_ancestor",
+        )
+    )
+
+
+QUERIES.update(
+    {
+        "vt_time_travel": q_vt_time_travel,
+        "vt_evolved": q_vt_evolved,
+        "vt_compacted": q_vt_compacted,
+        "vt_history": q_vt_history,
+    }
+)
