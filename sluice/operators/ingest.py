@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from sluice.config import (
     PIPELINE_VERSION,
@@ -18,6 +19,18 @@ from sluice.config import (
 from sluice.schema import BRONZE_SCHEMA, EVENT_SCHEMA, conform
 
 
+# The event time travels as text and is cast after parsing: ISO-8601 with a
+# 'T' or a space, any fraction up to microseconds, optional zone; bad text is
+# null (then rejected by validation) instead of taking the JSON parser's
+# exception-driven fallback for every row.
+EVENT_WIRE_SCHEMA = StructType(
+    [
+        StructField(f.name, StringType(), True) if f.name == "timestamp" else f
+        for f in EVENT_SCHEMA.fields
+    ]
+)
+
+
 def parse_records(records: DataFrame) -> DataFrame:
     """PRJ1 + PRJ2: Kafka-shaped records -> event columns + source position.
 
@@ -31,12 +44,22 @@ def parse_records(records: DataFrame) -> DataFrame:
         return (F.col(name) if name in cols else F.lit(None)).cast(dtype).alias(alias)
 
     parsed = records.select(
-        F.from_json(F.col("value").cast("string"), EVENT_SCHEMA).alias("data"),
+        F.from_json(F.col("value").cast("string"), EVENT_WIRE_SCHEMA).alias("data"),
         opt("timestamp", "kafka_timestamp", "timestamp"),
         opt("partition", "kafka_partition", "int"),
         opt("offset", "kafka_offset", "bigint"),
     )
-    return parsed.select("data.*", "kafka_timestamp", "kafka_partition", "kafka_offset")
+    return parsed.select(
+        *[
+            F.col(f"data.{f.name}").try_cast("timestamp").alias(f.name)
+            if f.name == "timestamp"
+            else F.col(f"data.{f.name}")
+            for f in EVENT_SCHEMA.fields
+        ],
+        "kafka_timestamp",
+        "kafka_partition",
+        "kafka_offset",
+    )
 
 
 def to_bronze(

@@ -52,7 +52,12 @@ BRONZE_EXTRA = StructType(
     ]
 )
 
-BRONZE_SCHEMA = StructType(list(EVENT_SCHEMA.fields) + list(BRONZE_EXTRA.fields))
+def nullable(schema: StructType) -> StructType:
+    """Same fields, all nullable: stored layers hold whatever arrived; filters enforce."""
+    return StructType([StructField(f.name, f.dataType, True) for f in schema.fields])
+
+
+BRONZE_SCHEMA = nullable(StructType(list(EVENT_SCHEMA.fields) + list(BRONZE_EXTRA.fields)))
 
 SILVER_EXTRA = StructType(
     [

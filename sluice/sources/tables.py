@@ -168,7 +168,19 @@ def write_partitioned(
     if partitions:
         writer = writer.partitionBy(*partitions)
     writer.parquet(path)
-    return int(obs.get.get("n", 0) or 0)
+    return observed_count(obs)
+
+
+def observed_count(obs: Observation, key: str = "n") -> int:
+    """The observed row count; 0 when Spark pruned the observation away.
+
+    When AQE proves a plan empty it replaces it (metrics node included) with an
+    empty relation; the observation then holds an empty, schema-less row.
+    """
+    jrow = obs._jo.getRow()
+    if jrow.length() == 0:
+        return 0
+    return int(obs.get.get(key, 0) or 0)
 
 
 # ---------------------------------------------------------------------------

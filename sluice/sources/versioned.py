@@ -42,6 +42,7 @@ from pyspark.sql.types import (
 )
 
 from sluice.session import delete_path, list_dirs, path_exists
+from sluice.sources.tables import observed_count
 
 LOG_SCHEMA = StructType(
     [
@@ -208,7 +209,7 @@ class VersionedTable:
         if part_phys:
             writer = writer.partitionBy(*part_phys)
         writer.parquet(f"{self.data_path}/commit_id={commit_id}")
-        return int(obs.get.get("n", 0) or 0)
+        return observed_count(obs)
 
     def _next_ids(self) -> tuple[int, int]:
         """(next snapshot id, next commit id) from the log and the data folder."""
