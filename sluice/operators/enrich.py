@@ -14,6 +14,11 @@ would stall the job (AQE splits skewed joins, not windows).
    each chunk into the next one (a ~99/chunk_rows overhead);
 4. run the frame per (sensor, chunk) and drop the copies.
 
+The numbered rows feed both the bucket table and the join, so by default they
+are written once with a reliable ``checkpoint()`` to the shared checkpoint
+folder (``materialize=True``): the upstream dedup shuffle is not run twice,
+and a lost executor recovers from the checkpoint instead of from bronze.
+
 Every task then sorts at most ``chunk_rows + 99`` rows of one sensor, however
 skewed the sensor distribution. Both strategies feed the frame identical rows
 in identical order, so results are bit-identical.
@@ -44,7 +49,7 @@ def rolling_stats(
     strategy: str = "chunked",
     chunk_rows: int = 1 << 18,
     bucket: str = "hour",
-    materialize: bool = False,
+    materialize: bool = True,
 ) -> DataFrame:
     """WIN2/WIN3: add ``rolling_mean`` and ``rolling_stddev`` (sample) over a rows frame."""
     keys, order = list(keys), list(order)

@@ -90,21 +90,27 @@ def silver_batch(
 ) -> DataFrame:
     """PIPE2 as a DataFrame (not written): the silver rows this run would append."""
     bronze = read_bronze(spark, bronze_path)
-    new_rows, silver = bronze, None
+    silver = None
+    deduped = None
     # D6: only "silver does not exist yet" means a full load; other errors surface.
     if incremental and path_exists(spark, silver_path):
         silver = read_silver(spark, silver_path)
         mark = read_high_water_mark(silver)
         if mark is not None:
             mark_lit = F.lit(mark).cast("timestamp")
+            # FIL4, pushed to the Parquet scan (row groups below the mark are skipped)
             new_rows = bronze.filter(F.col("ingestion_timestamp") > mark_lit)
             seen = bronze.filter(F.col("ingestion_timestamp") <= mark_lit)
-            new_rows = drop_seen(
-                new_rows, seen, since=mark_lit, window_hours=config.dedup_window_hours
+            # WIN1 first: a hot re-sent id reaches the anti-join as one row.
+            # Same result either way, as D4 removes whole keys.
+            deduped = drop_seen(
+                dedup_first(new_rows), seen, since=mark_lit, window_hours=config.dedup_window_hours
             )
         else:
             silver = None
-    cleaned = clean(dedup_first(new_rows), config.sensor_types)
+    if deduped is None:
+        deduped = dedup_first(bronze)
+    cleaned = clean(deduped, config.sensor_types)
     if silver is not None:
         cleaned = with_history(cleaned, silver, config.rolling_rows - 1)
         enriched = enrich(cleaned, config, strategy).filter(~F.col("_hist"))
@@ -121,7 +127,7 @@ def process_silver(
     incremental: bool = True,
     strategy: str = "chunked",
 ) -> int:
-    """PIPE2: FIL4 -> D4 -> WIN1 -> clean -> D5 -> enrich -> append (SNK3)."""
+    """PIPE2: FIL4 -> WIN1 -> D4 -> clean -> D5 -> enrich -> append (SNK3)."""
     batch = silver_batch(spark, bronze_path, silver_path, config, incremental, strategy)
     return write_partitioned(batch, silver_path, config.silver_partitions, "append", name="silver")
 
