@@ -562,7 +562,7 @@ LINEAGE_SQL = (
     + """
 SELECT 'ingest_bronze' AS name, 'source' AS source_layer, 'bronze' AS target_layer,
        'append' AS operation, n_bronze AS input_count, n_bronze AS output_count,
-       4 AS total_steps, true AS completed FROM counts
+       CAST(4 AS BIGINT) AS total_steps, true AS completed FROM counts
 UNION ALL SELECT 'process_silver', 'bronze', 'silver', 'dedup_clean_enrich', n_bronze, n_silver,
        4, true FROM counts
 UNION ALL SELECT 'aggregate_kpis', 'silver', 'gold', 'aggregate', n_silver, n_kpi, 4, true
@@ -632,7 +632,8 @@ VT_HISTORY_SQL = (
 n AS (SELECT count(*) FILTER (WHERE event_date < DATE '2024-01-15') AS n1,
              count(*) FILTER (WHERE NOT (event_date < DATE '2024-01-15') OR event_date IS NULL) AS n2
       FROM vt)
-SELECT 1 AS snapshot_id, 'create' AS operation, n1 AS row_count, 1 AS live_commit_count,
+SELECT CAST(1 AS BIGINT) AS snapshot_id, 'create' AS operation, n1 AS row_count,
+       1 AS live_commit_count,
        true AS is_current_ancestor FROM n
 UNION ALL SELECT 2, 'append', n2, 2, true FROM n
 UNION ALL SELECT 3, 'add_column', 0, 2, true FROM n
