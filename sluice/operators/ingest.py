@@ -43,11 +43,20 @@ def parse_records(records: DataFrame) -> DataFrame:
     def opt(name: str, alias: str, dtype: str) -> Column:
         return (F.col(name) if name in cols else F.lit(None)).cast(dtype).alias(alias)
 
+    # Emitted through a one-element ``inline``: predicates on the parsed
+    # fields (validation, cleaning) cannot be pushed below a generator, so each
+    # record is parsed once instead of once per predicate.
     parsed = records.select(
-        F.from_json(F.col("value").cast("string"), EVENT_WIRE_SCHEMA).alias("data"),
-        opt("timestamp", "kafka_timestamp", "timestamp"),
-        opt("partition", "kafka_partition", "int"),
-        opt("offset", "kafka_offset", "bigint"),
+        F.inline(
+            F.array(
+                F.struct(
+                    F.from_json(F.col("value").cast("string"), EVENT_WIRE_SCHEMA).alias("data"),
+                    opt("timestamp", "kafka_timestamp", "timestamp"),
+                    opt("partition", "kafka_partition", "int"),
+                    opt("offset", "kafka_offset", "bigint"),
+                )
+            )
+        )
     )
     return parsed.select(
         *[

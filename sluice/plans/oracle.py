@@ -446,8 +446,7 @@ STREAM_INGEST_SQL = (
     + BRONZE_CTE
     + """
 SELECT event_id, sensor_id, sensor_type, facility_id, "timestamp", value, quality_score,
-       is_anomaly, ingestion_timestamp AS kafka_timestamp, 0 AS kafka_partition,
-       src_id AS kafka_offset, event_date
+       is_anomaly, ingestion_timestamp AS kafka_timestamp, src_id AS kafka_offset, event_date
 FROM bronze
 WHERE event_id IS NOT NULL AND sensor_id IS NOT NULL AND "timestamp" IS NOT NULL
   AND value IS NOT NULL

@@ -309,7 +309,6 @@ def q_stream_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
         "quality_score",
         "is_anomaly",
         "kafka_timestamp",
-        "kafka_partition",
         "kafka_offset",
         "event_date",
     )

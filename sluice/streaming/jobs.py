@@ -39,25 +39,31 @@ def file_record_stream(
     table: str = "events",
     with_resends: bool = True,
     max_files_per_trigger: int | None = None,
+    partitions: int | None = None,
 ) -> DataFrame:
     """Kafka-shaped records (key, value, timestamp, partition, offset) from a Parquet table.
 
     ``timestamp`` plays the broker append time (the event's arrival time),
-    ``offset`` the position in the partition.
+    ``offset`` the position in the partition. A topic is read by as many tasks
+    as it has partitions; a single Parquet file is a couple of splits, so the
+    events are spread round-robin over ``partitions`` (default: the session's
+    parallelism) to give the stand-in the same parallelism.
     """
     reader = spark.readStream.schema(EVENTS_SOURCE_SCHEMA).option(
         "pathGlobFilter", f"{table}.parquet"
     )
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
-    raw = sensor_events(reader.parquet(sf_dir), with_resends=with_resends).withColumn(
+    n = partitions or spark.sparkContext.defaultParallelism
+    events = reader.parquet(sf_dir).repartition(n)
+    raw = sensor_events(events, with_resends=with_resends).withColumn(
         "_offset", F.col("event_id").cast("long")
     )
     return to_kafka_records(raw, passthrough=("ingestion_timestamp", "_offset")).select(
         F.col("key").cast("binary").alias("key"),
         F.col("value").cast("binary").alias("value"),
         F.col("ingestion_timestamp").alias("timestamp"),
-        F.lit(0).alias("partition"),
+        F.spark_partition_id().alias("partition"),
         F.col("_offset").alias("offset"),
     )
 
@@ -80,8 +86,20 @@ def start_bronze_sink(
     processing_time: str | None = "30 seconds",
     available_now: bool = False,
     query_name: str | None = None,
+    files_per_partition: int = 1,
 ) -> StreamingQuery:
-    """SNK1: append partitioned Parquet with a checkpoint; returns the running query."""
+    """SNK1: append partitioned Parquet with a checkpoint; returns the running query.
+
+    Each micro-batch is clustered by the partition columns (AQE does not run
+    on streams, so no rebalance hint): every directory gets one file per
+    ``files_per_partition`` instead of one per task. A micro-batch is bounded
+    by the source's trigger limits, which bounds the largest directory's task;
+    ``files_per_partition > 1`` salts a hot directory over several tasks.
+    """
+    keys = [F.col(c) for c in config.bronze_partitions]
+    if files_per_partition > 1:
+        keys.append(F.pmod(F.xxhash64("event_id"), F.lit(files_per_partition)))
+    df = df.repartition(*keys)
     writer = (
         df.writeStream.format("parquet")
         .option("checkpointLocation", checkpoint_dir)
