@@ -28,6 +28,7 @@ from __future__ import annotations
 
 from typing import Sequence
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -69,11 +70,17 @@ def rolling_stats(
         "_rn", F.row_number().over(Window.partitionBy(*keys, "_b").orderBy(*order))
     )
     if materialize:
-        # Both the bucket table and the join read ``numbered``; writing it once
-        # to the shared checkpoint folder stops the upstream (dedup shuffle)
-        # from running twice and cuts the lineage for executor-loss recovery.
+        # Both the bucket table and the join read ``numbered``; a reliable
+        # checkpoint to the shared checkpoint folder stops the upstream (dedup
+        # shuffle) from running twice, cuts the lineage for executor-loss
+        # recovery, and keeps the (sensor, type, bucket) hash partitioning, so
+        # neither the bucket aggregate nor the join reshuffles the rows.
+        # The transient persist lets the checkpoint write read the rows its
+        # own count job just produced instead of computing them again.
         checkpoint_root(df.sparkSession)
-        numbered = numbered.checkpoint(eager=True)
+        staged = numbered.persist(StorageLevel.MEMORY_AND_DISK)
+        numbered = staged.checkpoint(eager=True)
+        staged.unpersist()
     # Small table: one row per (sensor, bucket). Partial aggregation keeps the
     # exchange tiny; the running sum partitions only this table by sensor.
     # Derived from ``numbered`` (already clustered by sensor and bucket): no
