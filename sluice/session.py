@@ -107,15 +107,3 @@ def local_path(path: str) -> str:
     """Strip a ``file:`` scheme for code that must touch the local disk (tests only)."""
     return path[5:] if path.startswith("file:") else os.fspath(path)
 
-
-def materialize_table(df, name: str):
-    """Write ``df`` once as Parquet below the shared checkpoint folder and read it back.
-
-    Cuts the lineage (a lost executor re-reads the table instead of
-    recomputing upstream shuffles) and lets several consumers share one
-    computation. The folder is unique per call.
-    """
-    spark = df.sparkSession
-    path = scratch_path(spark, name)
-    df.write.mode("error").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
