@@ -39,10 +39,13 @@ from sluice.sources.tables import (
     gold_stats,
     read_bronze,
     read_high_water_mark,
+    record_mark,
+    recorded_mark,
     read_kpis,
     read_severity,
     read_silver,
     silver_stats,
+    write_observed,
     write_partitioned,
 )
 
@@ -95,7 +98,10 @@ def silver_batch(
     # D6: only "silver does not exist yet" means a full load; other errors surface.
     if incremental and path_exists(spark, silver_path):
         silver = read_silver(spark, silver_path)
-        mark = read_high_water_mark(silver)
+        # AGG6 bounded below by the mark recorded at the last write: only row
+        # groups written since are read. A run that died between its data and
+        # its mark write is still covered (rows above the bound are scanned).
+        mark = read_high_water_mark(silver, at_least=recorded_mark(spark, silver_path))
         if mark is not None:
             mark_lit = F.lit(mark).cast("timestamp")
             # FIL4, pushed to the Parquet scan (row groups below the mark are skipped)
@@ -127,9 +133,23 @@ def process_silver(
     incremental: bool = True,
     strategy: str = "chunked",
 ) -> int:
-    """PIPE2: FIL4 -> WIN1 -> D4 -> clean -> D5 -> enrich -> append (SNK3)."""
+    """PIPE2: FIL4 -> WIN1 -> D4 -> clean -> D5 -> enrich -> append (SNK3).
+
+    The batch's largest ingestion time is observed on the write itself and
+    recorded next to silver, so the next run's high-water mark reads only what
+    was written after it.
+    """
     batch = silver_batch(spark, bronze_path, silver_path, config, incremental, strategy)
-    return write_partitioned(batch, silver_path, config.silver_partitions, "append", name="silver")
+    out = write_observed(
+        batch,
+        silver_path,
+        config.silver_partitions,
+        "append",
+        name="silver",
+        metrics={"mark": F.max("ingestion_timestamp")},
+    )
+    record_mark(spark, silver_path, out["mark"], out["n"])
+    return out["n"]
 
 
 def process_gold(

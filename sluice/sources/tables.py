@@ -11,11 +11,11 @@ from __future__ import annotations
 
 import datetime as dt
 from dataclasses import dataclass
-from typing import Sequence
+from typing import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import LongType, StructField, StructType, TimestampType
 
 from sluice.schema import BRONZE_SCHEMA, KPI_SCHEMA, SEVERITY_SCHEMA, SILVER_SCHEMA, conform
 from sluice.session import delete_path, path_exists
@@ -158,8 +158,25 @@ def write_partitioned(
     appends), while AQE splits a hot directory (one day holding a third of the
     rows) across several tasks and merges tiny ones.
     """
+    return write_observed(df, path, partitions, mode, dynamic_overwrite, name)["n"]
+
+
+def write_observed(
+    df: DataFrame,
+    path: str,
+    partitions: Sequence[str],
+    mode: str = "append",
+    dynamic_overwrite: bool = False,
+    name: str = "rows_written",
+    metrics: Mapping[str, Column] | None = None,
+) -> dict:
+    """:func:`write_partitioned` that also observes ``metrics`` (name -> aggregate).
+
+    Returns ``{"n": rows, **metrics}``; metrics are None when nothing was written.
+    """
     obs = Observation(name)
-    observed = df.observe(obs, F.count(F.lit(1)).alias("n"))
+    exprs = [F.count(F.lit(1)).alias("n")] + [e.alias(k) for k, e in (metrics or {}).items()]
+    observed = df.observe(obs, *exprs)
     if partitions:
         observed = observed.hint("rebalance", *partitions)
     writer = observed.write.mode(mode)
@@ -168,7 +185,10 @@ def write_partitioned(
     if partitions:
         writer = writer.partitionBy(*partitions)
     writer.parquet(path)
-    return observed_count(obs)
+    if observed_count(obs) == 0:
+        return {"n": 0, **{k: None for k in (metrics or {})}}
+    got = obs.get
+    return {"n": int(got.get("n") or 0), **{k: got.get(k) for k in (metrics or {})}}
 
 
 def observed_count(obs: Observation, key: str = "n") -> int:
@@ -239,9 +259,50 @@ def high_water_mark(df: DataFrame, column: str = "ingestion_timestamp") -> Colum
     return F.max(column)
 
 
-def read_high_water_mark(df: DataFrame, column: str = "ingestion_timestamp"):
-    """AGG6: one scalar to the driver (a single aggregate row)."""
-    return df.agg(F.max(column).alias("mark")).first()["mark"]
+def read_high_water_mark(df: DataFrame, column: str = "ingestion_timestamp", at_least=None):
+    """AGG6: the largest ``column`` value, one scalar to the driver.
+
+    ``at_least`` is a known lower bound (e.g. the mark recorded by the last
+    run): only rows above it are aggregated, and the pushed-down predicate lets
+    Parquet skip every row group whose statistics lie below it, so the scan
+    touches just what was written since. Without a bound the column is
+    scanned in full.
+    """
+    if at_least is None:
+        return df.agg(F.max(column).alias("mark")).first()["mark"]
+    bound = F.lit(at_least).cast("timestamp")
+    newer = df.filter(F.col(column) > bound).agg(F.max(column).alias("mark")).first()["mark"]
+    return newer if newer is not None else at_least
+
+
+MARKS_SCHEMA = StructType(
+    [
+        StructField("mark", TimestampType(), True),
+        StructField("rows", LongType(), True),
+        StructField("recorded_at", TimestampType(), True),
+    ]
+)
+
+
+def marks_path(table_path: str) -> str:
+    """Sibling folder holding one row per write: the largest ingestion time written."""
+    return f"{table_path.rstrip('/')}_marks"
+
+
+def record_mark(spark: SparkSession, table_path: str, mark, rows: int) -> None:
+    if mark is None:
+        return
+    spark.createDataFrame(
+        [(mark, int(rows), dt.datetime.now(dt.timezone.utc).replace(tzinfo=None))], MARKS_SCHEMA
+    ).coalesce(1).write.mode("append").parquet(marks_path(table_path))
+
+
+def recorded_mark(spark: SparkSession, table_path: str):
+    """Largest recorded mark (a lower bound of the table's true mark), or None."""
+    path = marks_path(table_path)
+    if not path_exists(spark, path):
+        return None
+    return spark.read.schema(MARKS_SCHEMA).parquet(path).agg(F.max("mark")).first()[0]
 
 
 # ---------------------------------------------------------------------------

@@ -102,3 +102,23 @@ def test_stream_restart_adds_nothing(spark, tmp_root):
     run_bronze_ingest(file_record_stream(spark, SMOKE), out, ckpt)
     assert read_bronze(spark, out).count() == first > 0
     assert os.path.isdir(ckpt)
+
+
+def test_recorded_mark_is_a_lower_bound(spark, tmp_root):
+    from sluice.sources.tables import marks_path, read_high_water_mark, recorded_mark
+
+    p = LakePaths(tmp_root)
+    ingest_bronze(bronze_rows(spark, [event(1, ingest="2024-01-01 00:00:00")]), p.bronze)
+    process_silver(spark, p.bronze, p.silver)
+    assert str(recorded_mark(spark, p.silver)) == "2024-01-01 00:00:00"
+    # a run that wrote silver but died before recording its mark
+    later = bronze_rows(spark, [event(2, ingest="2024-01-02 00:00:00")])
+    ingest_bronze(later, p.bronze)
+    from sluice.plans.medallion import silver_batch
+
+    write_partitioned(silver_batch(spark, p.bronze, p.silver), p.silver, ("event_date", "facility_id"))
+    mark = read_high_water_mark(read_silver(spark, p.silver), at_least=recorded_mark(spark, p.silver))
+    assert str(mark) == "2024-01-02 00:00:00"
+    assert process_silver(spark, p.bronze, p.silver) == 0  # nothing is processed twice
+    assert read_silver(spark, p.silver).count() == 2
+    assert marks_path(p.silver).endswith("_marks")
