@@ -90,6 +90,9 @@ class LakeConfig:
     severity_partitions: tuple[str, ...] = ("facility_id",)
     retention_days: int = 90
     dedup_window_hours: int = 24
+    # Incremental silver reads rolling history from the last N days of silver
+    # partitions first; sensors with fewer rows there fall back to older ones.
+    history_days: int = 2
     kpi_window_minutes: int = 15
     rolling_rows: int = 100
     # Rolling frames are computed on position chunks of at most this many rows

@@ -11,7 +11,8 @@ Incremental silver (PIPE2) corrects two gaps of a naive "new rows only" run:
   dropped by ``clean`` is absent there and its later copy would slip in);
 * D5: rolling windows continue across batches: the last 99 silver rows of
   every sensor touched by the batch are prepended, used as frame history, and
-  dropped before the write.
+  dropped before the write. They are looked up in the last ``history_days``
+  of silver partitions, older partitions only for sensors short of 99 rows.
 
 Equality with a full reload is promised for arrivals in event-time order whose
 duplicates come within the dedup window. A row that arrives after later
@@ -20,6 +21,7 @@ events of its sensor were already written sees the history as it stood.
 
 from __future__ import annotations
 
+import datetime as dt
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -41,6 +43,7 @@ from sluice.sources.tables import (
     read_high_water_mark,
     record_mark,
     recorded_mark,
+    recorded_max_event_date,
     read_kpis,
     read_severity,
     read_silver,
@@ -62,24 +65,49 @@ def ingest_bronze(
     )
 
 
-def with_history(new_rows: DataFrame, silver: DataFrame, lookback: int) -> DataFrame:
+def with_history(
+    new_rows: DataFrame, silver: DataFrame, lookback: int, since: dt.date | None = None
+) -> DataFrame:
     """D5: prepend the last ``lookback`` silver rows of each sensor the batch touches.
 
     ``row_number() <= lookback`` becomes a partial WindowGroupLimit before the
     shuffle, so even a hot sensor forwards at most ``lookback`` rows per map
     task. History rows carry ``_hist = true``.
+
+    With ``since``, only silver partitions with ``event_date >= since`` are
+    read first (partition pruning). Sensors with fewer than ``lookback`` rows
+    there are the only ones whose older partitions are read, and only when
+    such sensors exist (one small job decides), so the result is exact while
+    a routine run reads just the recent days.
     """
     keys = list(SENSOR_KEYS)
+    cols = [*keys, "timestamp", "event_id", "value"]
     touched = new_rows.select(*keys).distinct()
     w = Window.partitionBy(*keys).orderBy(F.col("timestamp").desc(), F.col("event_id").desc())
-    hist = (
-        silver.select(*keys, "timestamp", "event_id", "value")
-        .join(touched, on=keys, how="left_semi")
-        .withColumn("_r", F.row_number().over(w))
-        .filter(F.col("_r") <= lookback)
-        .drop("_r")
-        .withColumn("_hist", F.lit(True))
-    )
+
+    def last_rows(rows: DataFrame) -> DataFrame:
+        return rows.withColumn("_r", F.row_number().over(w)).filter(F.col("_r") <= lookback).drop("_r")
+
+    if since is None:
+        hist = last_rows(silver.select(*cols).join(touched, on=keys, how="left_semi"))
+    else:
+        recent = last_rows(
+            silver.filter(F.col("event_date") >= F.lit(since)).select(*cols).join(
+                touched, on=keys, how="left_semi"
+            )
+        )
+        full = recent.groupBy(*keys).count().filter(F.col("count") >= lookback).select(*keys)
+        short = touched.join(full, on=keys, how="left_anti")
+        if short.isEmpty():
+            hist = recent
+        else:
+            older = (
+                silver.filter(F.col("event_date") < F.lit(since))
+                .select(*cols)
+                .join(short, on=keys, how="left_semi")
+            )
+            hist = last_rows(recent.unionByName(older))
+    hist = hist.withColumn("_hist", F.lit(True))
     return new_rows.withColumn("_hist", F.lit(False)).unionByName(hist, allowMissingColumns=True)
 
 
@@ -118,7 +146,9 @@ def silver_batch(
         deduped = dedup_first(bronze)
     cleaned = clean(deduped, config.sensor_types)
     if silver is not None:
-        cleaned = with_history(cleaned, silver, config.rolling_rows - 1)
+        last_date = recorded_max_event_date(spark, silver_path)
+        since = last_date - dt.timedelta(days=config.history_days) if last_date else None
+        cleaned = with_history(cleaned, silver, config.rolling_rows - 1, since)
         enriched = enrich(cleaned, config, strategy).filter(~F.col("_hist"))
     else:
         enriched = enrich(cleaned, config, strategy)
@@ -146,9 +176,9 @@ def process_silver(
         config.silver_partitions,
         "append",
         name="silver",
-        metrics={"mark": F.max("ingestion_timestamp")},
+        metrics={"mark": F.max("ingestion_timestamp"), "max_event_date": F.max("event_date")},
     )
-    record_mark(spark, silver_path, out["mark"], out["n"])
+    record_mark(spark, silver_path, out["mark"], out["n"], out["max_event_date"])
     return out["n"]
 
 

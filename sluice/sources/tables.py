@@ -15,7 +15,7 @@ from typing import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import LongType, StructField, StructType, TimestampType
+from pyspark.sql.types import DateType, LongType, StructField, StructType, TimestampType
 
 from sluice.schema import BRONZE_SCHEMA, KPI_SCHEMA, SEVERITY_SCHEMA, SILVER_SCHEMA, conform
 from sluice.session import delete_path, path_exists
@@ -278,6 +278,7 @@ def read_high_water_mark(df: DataFrame, column: str = "ingestion_timestamp", at_
 MARKS_SCHEMA = StructType(
     [
         StructField("mark", TimestampType(), True),
+        StructField("max_event_date", DateType(), True),
         StructField("rows", LongType(), True),
         StructField("recorded_at", TimestampType(), True),
     ]
@@ -289,12 +290,15 @@ def marks_path(table_path: str) -> str:
     return f"{table_path.rstrip('/')}_marks"
 
 
-def record_mark(spark: SparkSession, table_path: str, mark, rows: int) -> None:
+def record_mark(
+    spark: SparkSession, table_path: str, mark, rows: int, max_event_date=None
+) -> None:
     if mark is None:
         return
-    spark.createDataFrame(
-        [(mark, int(rows), dt.datetime.now(dt.timezone.utc).replace(tzinfo=None))], MARKS_SCHEMA
-    ).coalesce(1).write.mode("append").parquet(marks_path(table_path))
+    now = dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
+    spark.createDataFrame([(mark, max_event_date, int(rows), now)], MARKS_SCHEMA).coalesce(
+        1
+    ).write.mode("append").parquet(marks_path(table_path))
 
 
 def recorded_mark(spark: SparkSession, table_path: str):
@@ -305,6 +309,14 @@ def recorded_mark(spark: SparkSession, table_path: str):
     return spark.read.schema(MARKS_SCHEMA).parquet(path).agg(F.max("mark")).first()[0]
 
 
+def recorded_max_event_date(spark: SparkSession, table_path: str):
+    """Latest event date recorded by the writes (a lower bound), or None."""
+    path = marks_path(table_path)
+    if not path_exists(spark, path):
+        return None
+    return spark.read.schema(MARKS_SCHEMA).parquet(path).agg(F.max("max_event_date")).first()[0]
+
+
 # ---------------------------------------------------------------------------
 # Retention (FIL8)
 # ---------------------------------------------------------------------------

@@ -23,15 +23,25 @@ from sluice.streaming.jobs import file_record_stream, run_bronze_ingest
 SILVER_COLS = ("event_id", "facility_id", "value", "rolling_mean", "rolling_stddev", "z_score", "event_date")
 
 
-def test_incremental_equals_full_for_ordered_arrivals(spark, tmp_root):
+import dataclasses
+
+import pytest
+
+from sluice.config import DEFAULT_CONFIG
+
+
+@pytest.mark.parametrize("history_days", [2, 40])
+def test_incremental_equals_full_for_ordered_arrivals(spark, tmp_root, history_days):
+    """history_days=2 exercises the older-partition fallback, 40 the recent-only path."""
+    cfg = dataclasses.replace(DEFAULT_CONFIG, history_days=history_days)
     rows = fixture_events(spark, SMOKE).drop("ingestion_timestamp")
     cut = F.lit("2024-01-15 00:00:00").cast("timestamp")
     inc = LakePaths(f"{tmp_root}/inc")
     ingest_bronze(rows.filter(F.col("timestamp") < cut), inc.bronze, ingestion_ts=F.lit("2024-02-01").cast("timestamp"))
-    n1 = process_silver(spark, inc.bronze, inc.silver)
+    n1 = process_silver(spark, inc.bronze, inc.silver, cfg)
     ingest_bronze(rows.filter(F.col("timestamp") >= cut), inc.bronze, ingestion_ts=F.lit("2024-02-02").cast("timestamp"))
-    n2 = process_silver(spark, inc.bronze, inc.silver)
-    assert process_silver(spark, inc.bronze, inc.silver) == 0  # nothing new
+    n2 = process_silver(spark, inc.bronze, inc.silver, cfg)
+    assert process_silver(spark, inc.bronze, inc.silver, cfg) == 0  # nothing new
 
     full = LakePaths(f"{tmp_root}/full")
     ingest_bronze(rows, full.bronze, ingestion_ts=F.lit("2024-02-01").cast("timestamp"))
