@@ -89,10 +89,9 @@ def _fmt(x: Column, digits: int) -> Column:
 
 
 def quality_checks(df: DataFrame, config: LakeConfig = DEFAULT_CONFIG) -> DataFrame:
-    """DQ2-4 (+ the empty-dataset row) from one grouped scan."""
+    """DQ2-4 (+ the empty-dataset row) from one grouped scan of ``df``."""
     stats = type_stats(df, config)
     configured = list(config.sensor_limits.keys())
-    s = stats.filter(F.col("sensor_type").isin(*configured))
     null_thr = _per_type(config, lambda l: F.lit(float(l.null_threshold)))
     has_range = _per_type(
         config, lambda l: F.lit(l.min_value is not None and l.max_value is not None)
@@ -147,25 +146,34 @@ def quality_checks(df: DataFrame, config: LakeConfig = DEFAULT_CONFIG) -> DataFr
             ).alias("details"),
         ),
     )
-    per_type = s.select(F.explode(F.array(null_row, range_row, stat_row)).alias("r")).filter(
-        F.col("r").isNotNull()
-    ).select("r.*")
-
-    # Empty input: a single failed ``non_empty_dataset`` row. A global
-    # aggregate over the (tiny) per-type table always yields one row.
-    empty = (
-        stats.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("total"))
-        .filter(F.col("total") == 0)
-        .select(
-            F.lit("non_empty_dataset").alias("check_name"),
-            F.lit("dataset").alias("check_type"),
-            F.lit(None).cast("string").alias("sensor_type"),
-            F.lit(False).alias("success"),
-            F.lit(0.0).alias("observed_value"),
-            F.lit("Dataset is empty").alias("details"),
+    # One global aggregate over the per-type table gives every check row, and
+    # also the single ``non_empty_dataset`` failure when there was no input
+    # at all (a global aggregate always yields a row). The collected list is
+    # bounded by the configured sensor types; the input is scanned once.
+    is_configured = F.col("sensor_type").isin(*configured)
+    empty_row = F.struct(
+        F.lit("non_empty_dataset").alias("check_name"),
+        F.lit("dataset").alias("check_type"),
+        F.lit(None).cast("string").alias("sensor_type"),
+        F.lit(False).alias("success"),
+        F.lit(0.0).alias("observed_value"),
+        F.lit("Dataset is empty").alias("details"),
+    )
+    rolled = stats.agg(
+        F.coalesce(F.sum("n"), F.lit(0)).alias("total"),
+        F.flatten(
+            F.collect_list(F.when(is_configured, F.array(null_row, range_row, stat_row)))
+        ).alias("checks"),
+    )
+    return (
+        rolled.select(
+            F.explode(
+                F.when(F.col("total") == 0, F.array(empty_row)).otherwise(F.col("checks"))
+            ).alias("r")
         )
+        .filter(F.col("r").isNotNull())
+        .select("r.*")
     )
-    return per_type.unionByName(empty)
 
 
 def run_suite(
