@@ -40,10 +40,34 @@ def _c(name: str) -> Column:
 
 
 def hash_sample(df: DataFrame, fraction: float, seed_cols: list[str] | None = None) -> DataFrame:
-    """Deterministic sample: the same rows on every evaluation and retry (D8)."""
-    cols = [_c(c) for c in (seed_cols or df.columns)]
+    """Deterministic sample: the same rows on every evaluation and retry (D8).
+
+    A row is kept when the hash of its values falls below ``fraction``; map
+    columns (not hashable) are left out of the hash.
+    """
+    names = seed_cols or [f.name for f in df.schema.fields if not isinstance(f.dataType, MapType)]
     buckets = 1 << 20
-    return df.filter(F.pmod(F.xxhash64(*cols), F.lit(buckets)) < F.lit(int(fraction * buckets)))
+    keep = F.pmod(F.xxhash64(*[_c(c) for c in names]), F.lit(buckets)) < F.lit(int(fraction * buckets))
+    return df.filter(keep)
+
+
+def profile_sampled(
+    df: DataFrame,
+    sample_rows: int,
+    exact_distinct: bool = True,
+    accuracy: int = PERCENTILE_ACCURACY,
+) -> DataFrame:
+    """PRF1 on a deterministic sample of about ``sample_rows`` rows (LIM1).
+
+    ``row_count`` reports the full row count (one count job); null rates,
+    distinct counts and statistics describe the sample. Tables no larger than
+    ``sample_rows`` are profiled whole.
+    """
+    total = df.count()
+    if total <= sample_rows:
+        return profile(df, exact_distinct, accuracy)
+    prof = profile(hash_sample(df, sample_rows / total), exact_distinct, accuracy)
+    return prof.withColumn("row_count", F.lit(total).cast("long"))
 
 
 def _as_text(c: Column, data_type) -> Column:

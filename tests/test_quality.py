@@ -91,3 +91,17 @@ def test_report_thresholds(spark):
     assert len(rep["recommendations"]) == 2 and rep["total_rows"] == 1000
     none = profile_report(prof.filter(F.col("column_name") == "b")).first()
     assert none["recommendations"] == []
+
+
+def test_profile_sample_is_deterministic(spark):
+    from sluice.operators.profile import profile_sampled
+
+    df = spark.range(0, 20000).selectExpr("id", "id % 7 AS k", "map('a', cast(id AS string)) AS m")
+    a = {r["column_name"]: r for r in profile_sampled(df, 2000).collect()}
+    b = {r["column_name"]: r for r in profile_sampled(df, 2000).collect()}
+    assert a == b
+    assert a["id"]["row_count"] == 20000
+    assert 1000 < a["id"]["distinct_count"] < 3000  # roughly the sample size
+    assert a["k"]["distinct_count"] == 7
+    whole = {r["column_name"]: r for r in profile_sampled(df, 50000).collect()}
+    assert whole["id"]["distinct_count"] == 20000
