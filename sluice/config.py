@@ -98,7 +98,9 @@ class LakeConfig:
     # Rolling frames are computed on position chunks of at most this many rows
     # per sensor, so a hot sensor spreads over many tasks (see operators.enrich).
     rolling_chunk_rows: int = 1 << 18
-    # Granularity of the time buckets used to number a sensor's rows.
+    # How a sensor's rows are numbered: "range" (range-partitioned, skew-proof)
+    # or "bucket" (row_number inside time buckets of ``rolling_bucket``).
+    rolling_numbering: str = "range"
     rolling_bucket: str = "hour"
     profile_sample_size: int = 10000
     freshness_minutes: float = 30.0

@@ -7,17 +7,24 @@ would stall the job (AQE splits skewed joins, not windows).
 
 ``strategy="chunked"`` (the default) gives the same frame with bounded tasks:
 
-1. number rows inside (sensor, hour bucket) and count rows per bucket;
-2. a running sum over the small bucket table turns that into each row's
-   position in the sensor's full history;
+1. number the rows of each sensor: by default (``numbering="range"``) rows are
+   range-partitioned on (sensor, event time, event_id), so Spark's sampled
+   split points cut even one hot sensor-hour into balanced partitions, and
+   each row takes its index in its sorted partition; ``numbering="bucket"``
+   numbers rows inside (sensor, hour) buckets instead (one hash shuffle, but
+   one task per bucket);
+2. a running sum over the small group table (one row per sensor and
+   partition or bucket) turns that into each row's position in the sensor's
+   full history;
 3. cut positions into chunks of ``chunk_rows`` and copy the last 99 rows of
    each chunk into the next one (a ~99/chunk_rows overhead);
 4. run the frame per (sensor, chunk) and drop the copies.
 
-The numbered rows feed both the bucket table and the join, so by default they
-are written once with a reliable ``checkpoint()`` to the shared checkpoint
-folder (``materialize=True``): the upstream dedup shuffle is not run twice,
-and a lost executor recovers from the checkpoint instead of from bronze.
+The numbered rows feed both the group table and the join, so they are
+staged once with a reliable ``checkpoint()`` to the shared checkpoint folder:
+the upstream dedup shuffle is not run twice, both consumers see the same
+indices, and a lost executor recovers from the checkpoint instead of from
+bronze.
 
 Every task then sorts at most ``chunk_rows + 99`` rows of one sensor, however
 skewed the sensor distribution. Both strategies feed the frame identical rows
@@ -51,6 +58,7 @@ def rolling_stats(
     chunk_rows: int = 1 << 18,
     bucket: str = "hour",
     materialize: bool = True,
+    numbering: str = "range",
 ) -> DataFrame:
     """WIN2/WIN3: add ``rolling_mean`` and ``rolling_stddev`` (sample) over a rows frame."""
     keys, order = list(keys), list(order)
@@ -65,49 +73,27 @@ def rolling_stats(
     if chunk_rows <= lookback:
         raise ValueError("chunk_rows must exceed the frame's lookback")
 
-    bucket_col = F.date_trunc(bucket, F.col(order[0]))
-    numbered = df.withColumn("_b", bucket_col).withColumn(
-        "_rn", F.row_number().over(Window.partitionBy(*keys, "_b").orderBy(*order))
-    )
-    if materialize:
-        # Both the bucket table and the join read ``numbered``; a reliable
-        # checkpoint to the shared checkpoint folder stops the upstream (dedup
-        # shuffle) from running twice, cuts the lineage for executor-loss
-        # recovery, and keeps the (sensor, type, bucket) hash partitioning, so
-        # neither the bucket aggregate nor the join reshuffles the rows.
-        # The transient persist lets the checkpoint write read the rows its
-        # own count job just produced instead of computing them again.
-        checkpoint_root(df.sparkSession)
-        staged = numbered.persist(StorageLevel.MEMORY_AND_DISK)
-        numbered = staged.checkpoint(eager=True)
-        staged.unpersist()
-    # Small table: one row per (sensor, bucket). Partial aggregation keeps the
-    # exchange tiny; the running sum partitions only this table by sensor.
-    # Derived from ``numbered`` (already clustered by sensor and bucket): no
-    # extra exchange, and the upstream shuffle is reused instead of re-run.
-    starts = (
-        numbered.groupBy(*keys, "_b")
-        .agg(F.max("_rn").alias("_n"))
-        .withColumn(
-            "_start",
-            F.coalesce(
-                F.sum("_n").over(
-                    Window.partitionBy(*keys)
-                    .orderBy(F.col("_b").asc_nulls_first())
-                    .rowsBetween(Window.unboundedPreceding, -1)
-                ),
-                F.lit(0),
+    numbered, groups = _number_rows(df, keys, order, numbering, bucket, materialize)
+    # Running row count of the preceding groups of each sensor: a window over
+    # the small group table only (one row per sensor and group).
+    starts = groups.withColumn(
+        "_start",
+        F.coalesce(
+            F.sum("_n").over(
+                Window.partitionBy(*keys)
+                .orderBy(F.col("_g").asc_nulls_first())
+                .rowsBetween(Window.unboundedPreceding, -1)
             ),
-        )
-        .drop("_n")
-    )
-    s = starts.select(*[F.col(k).alias(f"_s_{k}") for k in keys], F.col("_b").alias("_s_b"), "_start")
+            F.lit(0),
+        ),
+    ).select(*[F.col(k).alias(f"_s_{k}") for k in keys], F.col("_g").alias("_s_g"), "_first", "_start")
     cond = None
-    for k in keys + ["_b"]:
-        part = numbered[k].eqNullSafe(s[f"_s_{k}" if k != "_b" else "_s_b"])
+    for k in keys + ["_g"]:
+        part = numbered[k].eqNullSafe(starts[f"_s_{k}" if k != "_g" else "_s_g"])
         cond = part if cond is None else cond & part
-    positioned = numbered.join(s, cond, "inner").withColumn(
-        "_pos", F.col("_start") + F.col("_rn") - 1
+    # The group table is joined by AQE's measured size (broadcast when small).
+    positioned = numbered.join(starts, cond, "inner").withColumn(
+        "_pos", F.col("_start") + F.col("_rn0") - F.col("_first")
     )
     chunk = F.floor(F.col("_pos") / F.lit(chunk_rows))
     offset = F.col("_pos") - chunk * F.lit(chunk_rows)
@@ -125,10 +111,69 @@ def rolling_stats(
         .withColumn("rolling_stddev", F.stddev(value).over(w))
         .filter(F.col("_chunk") == F.col("_own"))
     )
-    drop = ["_b", "_rn", "_start", "_pos", "_own", "_chunk"] + [f"_s_{k}" for k in keys] + ["_s_b"]
+    drop = ["_g", "_rn0", "_first", "_start", "_pos", "_own", "_chunk"]
+    drop += [f"_s_{k}" for k in keys] + ["_s_g"]
     return out.drop(*drop)
 
 
+def _stage(df: DataFrame) -> DataFrame:
+    """Reliable checkpoint to the shared checkpoint folder, keeping the partitioning.
+
+    The transient persist lets the checkpoint write read the rows its own
+    count job just produced instead of computing them again.
+    """
+    checkpoint_root(df.sparkSession)
+    staged = df.persist(StorageLevel.MEMORY_AND_DISK)
+    out = staged.checkpoint(eager=True)
+    staged.unpersist()
+    return out
+
+
+def _number_rows(df, keys, order, numbering, bucket, materialize):
+    """Rows with (_g, _rn0) and the group table (keys, _g, _n, _first).
+
+    A row's position in its sensor's history is
+    ``sum(_n of the sensor's earlier groups) + _rn0 - _first``.
+
+    * ``bucket``: groups are (sensor, time bucket); ``_rn0`` is the 0-based
+      ``row_number`` inside the bucket, ``_first`` is 0. One hash shuffle, but
+      a single bucket is numbered by one task.
+    * ``range``: rows are range-partitioned on (sensor, event time, event_id);
+      Spark samples the split points, so any run of rows, even one sensor-hour
+      holding a third of the data, is cut into balanced partitions. Groups are
+      (sensor, partition); ``_rn0`` is the row's index in its sorted partition
+      and ``_first`` the group's smallest index. The rows must be staged so
+      that both consumers see the same indices.
+    """
+    if numbering == "bucket":
+        numbered = df.withColumn("_g", F.date_trunc(bucket, F.col(order[0]))).withColumn(
+            "_rn0", F.row_number().over(Window.partitionBy(*keys, "_g").orderBy(*order)) - 1
+        )
+        if materialize:
+            # Both the group table and the join read ``numbered``: staging it
+            # stops the upstream (dedup shuffle) from running twice, cuts the
+            # lineage, and keeps the (sensor, bucket) hash partitioning, so
+            # neither the group aggregate nor the join reshuffles the rows.
+            numbered = _stage(numbered)
+        groups = numbered.groupBy(*keys, "_g").agg(
+            (F.max("_rn0") + 1).alias("_n"), F.lit(0).cast("long").alias("_first")
+        )
+        return numbered, groups
+    if numbering != "range":
+        raise ValueError(f"unknown numbering {numbering!r}")
+    sort_cols = [F.col(c).asc_nulls_first() for c in [*keys, *order]]
+    ranged = df.repartitionByRange(*sort_cols).sortWithinPartitions(*sort_cols)
+    numbered = _stage(
+        ranged.withColumn("_g", F.spark_partition_id().cast("long")).withColumn(
+            "_rn0", F.monotonically_increasing_id()
+        )
+    )
+    groups = numbered.groupBy(*keys, "_g").agg(
+        F.count(F.lit(1)).alias("_n"), F.min("_rn0").alias("_first")
+    )
+    return numbered, groups
+
+
 def time_features(df: DataFrame, config: LakeConfig = DEFAULT_CONFIG) -> DataFrame:
     """PRJ3, PRJ10-12: hour, weekday, business-hours flag, event_date."""
     return (
@@ -149,5 +194,6 @@ def enrich(
         strategy=strategy,
         chunk_rows=config.rolling_chunk_rows,
         bucket=config.rolling_bucket,
+        numbering=config.rolling_numbering,
     )
     return time_features(rolled.withColumn("z_score", z_score()), config)

@@ -68,7 +68,7 @@ def test_chunked_equals_direct_bit_for_bit(spark):
     """Tiny chunks and minute buckets force many carries across chunk boundaries."""
     df = clean(dedup_first(fixture_events(spark, SMOKE)))
     direct = rolling_stats(df, strategy="direct").select("event_id", "rolling_mean", "rolling_stddev")
-    chunked = rolling_stats(df, strategy="chunked", chunk_rows=120, bucket="minute").select(
+    chunked = rolling_stats(df, numbering="bucket", chunk_rows=120, bucket="minute").select(
         "event_id", F.col("rolling_mean").alias("m2"), F.col("rolling_stddev").alias("s2")
     )
     joined = direct.join(chunked, "event_id", "full")
@@ -79,9 +79,9 @@ def test_chunked_equals_direct_bit_for_bit(spark):
     assert diff.count() == 0
 
 
-def test_chunked_materialized_matches(spark):
+def test_bucket_numbering_unstaged_matches(spark):
     df = clean(dedup_first(fixture_events(spark, SMOKE)))
-    a = rolling_stats(df, chunk_rows=150, materialize=True).select("event_id", "rolling_mean")
+    a = rolling_stats(df, numbering="bucket", chunk_rows=150, materialize=False).select("event_id", "rolling_mean")
     b = rolling_stats(df, strategy="direct").select("event_id", F.col("rolling_mean").alias("m"))
     assert a.join(b, "event_id").filter(~F.col("rolling_mean").eqNullSafe(F.col("m"))).count() == 0
 
@@ -108,3 +108,22 @@ def test_timestamps_are_utc(spark):
     r = time_features(bronze_rows(spark, rows)).first()
     assert r["hour_of_day"] == 23 and str(r["event_date"]) == "2024-01-01"
     assert ts("2024-01-01 23:30:00") == r["timestamp"]
+
+
+def test_range_numbering_matches_direct(spark):
+    """Range-partitioned numbering: sensors cut across many partitions, tiny chunks."""
+    df = clean(dedup_first(fixture_events(spark, SMOKE)))
+    direct = rolling_stats(df, strategy="direct").select("event_id", "rolling_mean", "rolling_stddev")
+    spark.conf.set("spark.sql.shuffle.partitions", "16")
+    try:
+        ranged = rolling_stats(df, numbering="range", chunk_rows=120).select(
+            "event_id", F.col("rolling_mean").alias("m2"), F.col("rolling_stddev").alias("s2")
+        )
+        joined = direct.join(ranged, "event_id", "full")
+        assert joined.count() == df.count()
+        diff = joined.filter(
+            ~F.col("rolling_mean").eqNullSafe(F.col("m2")) | ~F.col("rolling_stddev").eqNullSafe(F.col("s2"))
+        )
+        assert diff.count() == 0
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
