@@ -211,17 +211,22 @@ def observed_count(obs: Observation, key: str = "n") -> int:
 def bronze_stats(df: DataFrame) -> DataFrame:
     """AGG3: rows and date range per sensor type, plus a total row (sensor_type null).
 
-    ``rollup`` computes both levels in one grouped pass.
+    One grouped pass; the total row is a global aggregate over the small
+    per-type table, so it exists (with 0 rows) even for an empty table.
     """
-    return (
-        df.rollup("sensor_type")
-        .agg(
-            F.count(F.lit(1)).alias("row_count"),
-            F.min("event_date").alias("min_event_date"),
-            F.max("event_date").alias("max_event_date"),
-            (F.grouping("sensor_type") == 1).alias("is_total"),
-        )
+    per_type = df.groupBy("sensor_type").agg(
+        F.count(F.lit(1)).alias("row_count"),
+        F.min("event_date").alias("min_event_date"),
+        F.max("event_date").alias("max_event_date"),
+    )
+    total = per_type.agg(
+        F.lit(None).cast("string").alias("sensor_type"),
+        F.coalesce(F.sum("row_count"), F.lit(0)).cast("long").alias("row_count"),
+        F.min("min_event_date").alias("min_event_date"),
+        F.max("max_event_date").alias("max_event_date"),
+        F.lit(True).alias("is_total"),
     )
+    return per_type.withColumn("is_total", F.lit(False)).unionByName(total)
 
 
 def silver_stats(df: DataFrame) -> DataFrame:

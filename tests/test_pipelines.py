@@ -132,3 +132,12 @@ def test_recorded_mark_is_a_lower_bound(spark, tmp_root):
     assert process_silver(spark, p.bronze, p.silver) == 0  # nothing is processed twice
     assert read_silver(spark, p.silver).count() == 2
     assert marks_path(p.silver).endswith("_marks")
+
+
+def test_stats_of_an_empty_lake_are_zero_rows(spark, tmp_root):
+    lake = Lakehouse(spark, tmp_root)
+    totals = [r for r in lake.bronze_stats().collect() if r["is_total"]]
+    assert len(totals) == 1 and totals[0]["row_count"] == 0
+    assert lake.silver_stats().first()["total_rows"] == 0
+    g = lake.gold_stats().first()
+    assert g["total_kpi_rows"] == 0 and g["facility_count"] == 0
