@@ -38,7 +38,9 @@ from sluice.session import path_exists
 from sluice.sources.tables import (
     LakePaths,
     bronze_stats,
+    expired_partitions,
     gold_stats,
+    purge_partitions,
     read_bronze,
     read_high_water_mark,
     record_mark,
@@ -253,6 +255,18 @@ class Lakehouse:
     def severity(self, facility_id=None) -> DataFrame:
         return read_severity(self.spark, self.paths.severity, facility_id)
 
+    def expired(self, as_of, purge: bool = False) -> DataFrame:
+        """FIL8: bronze partitions older than ``as_of - retention_days`` (with row counts).
+
+        With ``purge=True`` the listed partition folders are deleted after the
+        list is computed (an explicit, separate step).
+        """
+        listed = expired_partitions(self.bronze(), as_of, self.config.retention_days)
+        if purge:
+            dates = [r["event_date"] for r in listed.select("event_date").collect()]
+            purge_partitions(self.spark, self.paths.bronze, dates)
+        return listed
+
     def bronze_stats(self) -> DataFrame:
         return bronze_stats(self.bronze())
 

@@ -103,6 +103,7 @@ def test_lakehouse_facade_end_to_end(spark, tmp_root):
     assert stats["total_kpi_rows"] == g["kpi_rows"] and stats["facility_count"] == 3
     totals = [r for r in lake.bronze_stats().collect() if r["is_total"]]
     assert totals[0]["row_count"] == n
+    assert lake.expired("2024-02-10").count() == 0  # 90-day retention keeps January
 
 
 def test_stream_restart_adds_nothing(spark, tmp_root):
