@@ -46,6 +46,8 @@ from sluice.sources.tables import (
     record_mark,
     recorded_mark,
     recorded_max_event_date,
+    record_sensors,
+    sensor_registry,
     read_kpis,
     read_severity,
     read_silver,
@@ -68,7 +70,11 @@ def ingest_bronze(
 
 
 def with_history(
-    new_rows: DataFrame, silver: DataFrame, lookback: int, since: dt.date | None = None
+    new_rows: DataFrame,
+    silver: DataFrame,
+    lookback: int,
+    since: dt.date | None = None,
+    registry: DataFrame | None = None,
 ) -> DataFrame:
     """D5: prepend the last ``lookback`` silver rows of each sensor the batch touches.
 
@@ -80,7 +86,10 @@ def with_history(
     read first (partition pruning). Sensors with fewer than ``lookback`` rows
     there are the only ones whose older partitions are read, and only when
     such sensors exist (one small job decides), so the result is exact while
-    a routine run reads just the recent days.
+    a routine run reads just the recent days. With a sensor ``registry``
+    (earliest event date per sensor, a superset of silver), sensors first
+    seen on or after ``since`` (new sensors) are known to have no older rows
+    and do not trigger that read.
     """
     keys = list(SENSOR_KEYS)
     cols = [*keys, "timestamp", "event_id", "value"]
@@ -100,6 +109,9 @@ def with_history(
         )
         full = recent.groupBy(*keys).count().filter(F.col("count") >= lookback).select(*keys)
         short = touched.join(full, on=keys, how="left_anti")
+        if registry is not None:
+            older_known = registry.filter(F.col("first_event_date") < F.lit(since)).select(*keys)
+            short = short.join(older_known, on=keys, how="left_semi")
         if short.isEmpty():
             hist = recent
         else:
@@ -122,7 +134,20 @@ def silver_batch(
     strategy: str = "chunked",
 ) -> DataFrame:
     """PIPE2 as a DataFrame (not written): the silver rows this run would append."""
+    return _silver_plan(spark, bronze_path, silver_path, config, incremental, strategy)[0]
+
+
+def _silver_plan(
+    spark: SparkSession,
+    bronze_path: str,
+    silver_path: str,
+    config: LakeConfig,
+    incremental: bool,
+    strategy: str,
+) -> tuple[DataFrame, DataFrame]:
+    """(silver rows to append, the bronze rows they come from)."""
     bronze = read_bronze(spark, bronze_path)
+    source_rows = bronze
     silver = None
     deduped = None
     # D6: only "silver does not exist yet" means a full load; other errors surface.
@@ -136,6 +161,7 @@ def silver_batch(
             mark_lit = F.lit(mark).cast("timestamp")
             # FIL4, pushed to the Parquet scan (row groups below the mark are skipped)
             new_rows = bronze.filter(F.col("ingestion_timestamp") > mark_lit)
+            source_rows = new_rows
             seen = bronze.filter(F.col("ingestion_timestamp") <= mark_lit)
             # WIN1 first: a hot re-sent id reaches the anti-join as one row.
             # Same result either way, as D4 removes whole keys.
@@ -150,11 +176,12 @@ def silver_batch(
     if silver is not None:
         last_date = recorded_max_event_date(spark, silver_path)
         since = last_date - dt.timedelta(days=config.history_days) if last_date else None
-        cleaned = with_history(cleaned, silver, config.rolling_rows - 1, since)
+        registry = sensor_registry(spark, silver_path)
+        cleaned = with_history(cleaned, silver, config.rolling_rows - 1, since, registry)
         enriched = enrich(cleaned, config, strategy).filter(~F.col("_hist"))
     else:
         enriched = enrich(cleaned, config, strategy)
-    return conform(enriched, SILVER_SCHEMA)
+    return conform(enriched, SILVER_SCHEMA), source_rows
 
 
 def process_silver(
@@ -169,9 +196,14 @@ def process_silver(
 
     The batch's largest ingestion time is observed on the write itself and
     recorded next to silver, so the next run's high-water mark reads only what
-    was written after it.
+    was written after it. The batch's sensors are recorded (before the data)
+    in the sensor registry used by the history lookup.
     """
-    batch = silver_batch(spark, bronze_path, silver_path, config, incremental, strategy)
+    batch, source_rows = _silver_plan(
+        spark, bronze_path, silver_path, config, incremental, strategy
+    )
+    # Sensors first, data second: the registry stays a superset of silver.
+    record_sensors(source_rows, silver_path)
     out = write_observed(
         batch,
         silver_path,

@@ -15,7 +15,14 @@ from typing import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import DateType, LongType, StructField, StructType, TimestampType
+from pyspark.sql.types import (
+    DateType,
+    LongType,
+    StringType,
+    StructField,
+    StructType,
+    TimestampType,
+)
 
 from sluice.schema import BRONZE_SCHEMA, KPI_SCHEMA, SEVERITY_SCHEMA, SILVER_SCHEMA, conform
 from sluice.session import delete_path, path_exists
@@ -314,6 +321,45 @@ def recorded_mark(spark: SparkSession, table_path: str):
     return spark.read.schema(MARKS_SCHEMA).parquet(path).agg(F.max("mark")).first()[0]
 
 
+REGISTRY_SCHEMA = StructType(
+    [
+        StructField("sensor_id", StringType(), True),
+        StructField("sensor_type", StringType(), True),
+        StructField("first_event_date", DateType(), True),
+    ]
+)
+
+
+def registry_path(table_path: str) -> str:
+    """Sibling folder: per write, the earliest event date of every sensor it held."""
+    return f"{table_path.rstrip('/')}_sensors"
+
+
+def record_sensors(rows: DataFrame, table_path: str) -> None:
+    """Append (sensor, earliest event date) for the rows about to be written.
+
+    Written *before* the data, so it is always a superset of the table's
+    sensors: a sensor absent from it has no rows in the table. One partial
+    aggregate; its size is the number of sensors in the batch.
+    """
+    rows.groupBy(F.trim(F.col("sensor_id")).alias("sensor_id"), "sensor_type").agg(
+        F.min("event_date").alias("first_event_date")
+    ).write.mode("append").parquet(registry_path(table_path))
+
+
+def sensor_registry(spark: SparkSession, table_path: str) -> DataFrame | None:
+    """Earliest recorded event date per sensor, or None when no registry exists."""
+    path = registry_path(table_path)
+    if not path_exists(spark, path):
+        return None
+    return (
+        spark.read.schema(REGISTRY_SCHEMA)
+        .parquet(path)
+        .groupBy("sensor_id", "sensor_type")
+        .agg(F.min("first_event_date").alias("first_event_date"))
+    )
+
+
 def recorded_max_event_date(spark: SparkSession, table_path: str):
     """Latest event date recorded by the writes (a lower bound), or None."""
     path = marks_path(table_path)

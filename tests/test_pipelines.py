@@ -142,3 +142,31 @@ def test_stats_of_an_empty_lake_are_zero_rows(spark, tmp_root):
     assert lake.silver_stats().first()["total_rows"] == 0
     g = lake.gold_stats().first()
     assert g["total_kpi_rows"] == 0 and g["facility_count"] == 0
+
+
+def test_history_with_registry_reads_older_rows_only_when_needed(spark, tmp_root):
+    from sluice.plans.medallion import with_history
+    from sluice.sources.tables import SILVER_SCHEMA
+
+    base = dt.datetime(2024, 1, 1)
+    old_rows = [event(i, sensor="A", t=base + dt.timedelta(hours=i), value=float(i)) for i in range(120)]
+    silver = bronze_rows(spark, old_rows).select(*[c for c in SILVER_SCHEMA.fieldNames() if c in BRONZE_COLS])
+    new = bronze_rows(
+        spark,
+        [event(1000, sensor="A", t="2024-03-01 00:00:00"), event(1001, sensor="B", t="2024-03-01 00:00:00")],
+    )
+    registry = spark.createDataFrame(
+        [("A", "temperature", dt.date(2024, 1, 1))], "sensor_id string, sensor_type string, first_event_date date"
+    )
+    since = dt.date(2024, 2, 28)
+    out = with_history(new, silver, 99, since, registry)
+    hist = out.filter(F.col("_hist"))
+    assert hist.filter(F.col("sensor_id") == "A").count() == 99  # found in older partitions
+    assert hist.filter(F.col("sensor_id") == "B").count() == 0
+    assert sorted(int(r[0]) for r in hist.select("event_id").collect())[0] == 21
+
+
+BRONZE_COLS = set(
+    "event_id sensor_id sensor_type facility_id timestamp value unit quality_score is_anomaly "
+    "ingestion_timestamp event_date".split()
+)
