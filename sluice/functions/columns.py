@@ -38,10 +38,6 @@ def is_business_hours(
     return F.col(hour).between(h0, h1) & F.col(dow).between(d0, d1)
 
 
-def anomaly_flag(col: str = "is_anomaly") -> Column:
-    return F.col(col).cast("double")
-
-
 def severity(
     avg_abs_z: str = "avg_abs_z_score",
     anomaly_rate: str = "anomaly_rate",

@@ -9,7 +9,6 @@ exchange, not millions in one reducer.
 
 from __future__ import annotations
 
-from datetime import timedelta
 from typing import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -60,7 +59,3 @@ def drop_seen(
         keys = keys.filter(F.col(time_col) > since - F.expr(f"INTERVAL {int(window_hours)} HOURS"))
     keys = keys.select(key).distinct()
     return new_rows.join(keys, on=key, how="left_anti")
-
-
-def dedup_window(hours: int) -> timedelta:
-    return timedelta(hours=hours)

@@ -11,7 +11,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import (
     BooleanType,
-    DataType,
     DateType,
     DoubleType,
     IntegerType,
@@ -122,7 +121,3 @@ def conform(df: DataFrame, schema: StructType) -> DataFrame:
         else:
             cols.append(F.lit(None).cast(f.dataType).alias(f.name))
     return df.select(*cols)
-
-
-def with_typed_null(df: DataFrame, name: str, data_type: DataType) -> DataFrame:
-    return df.withColumn(name, F.lit(None).cast(data_type))

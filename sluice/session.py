@@ -8,7 +8,6 @@ temporary one.
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -101,9 +100,3 @@ def delete_path(spark: SparkSession, path: str) -> bool:
     jpath = jvm.org.apache.hadoop.fs.Path(path)
     fs = jpath.getFileSystem(conf)
     return bool(fs.delete(jpath, True))
-
-
-def local_path(path: str) -> str:
-    """Strip a ``file:`` scheme for code that must touch the local disk (tests only)."""
-    return path[5:] if path.startswith("file:") else os.fspath(path)
-

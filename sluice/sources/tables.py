@@ -24,7 +24,7 @@ from pyspark.sql.types import (
     TimestampType,
 )
 
-from sluice.schema import BRONZE_SCHEMA, KPI_SCHEMA, SEVERITY_SCHEMA, SILVER_SCHEMA, conform
+from sluice.schema import BRONZE_SCHEMA, KPI_SCHEMA, SEVERITY_SCHEMA, SILVER_SCHEMA
 from sluice.session import delete_path, path_exists
 
 
@@ -266,11 +266,6 @@ def gold_facilities(kpis: DataFrame) -> DataFrame:
     return kpis.select("facility_id").distinct()
 
 
-def high_water_mark(df: DataFrame, column: str = "ingestion_timestamp") -> Column:
-    """AGG6 expression: the largest ``column`` value."""
-    return F.max(column)
-
-
 def read_high_water_mark(df: DataFrame, column: str = "ingestion_timestamp", at_least=None):
     """AGG6: the largest ``column`` value, one scalar to the driver.
 
@@ -397,7 +392,3 @@ def purge_partitions(spark: SparkSession, path: str, dates: Sequence[dt.date], c
         if delete_path(spark, f"{path.rstrip('/')}/{column}={d.isoformat()}"):
             removed += 1
     return removed
-
-
-def conform_to(df: DataFrame, schema: StructType) -> DataFrame:
-    return conform(df, schema)

@@ -31,7 +31,6 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import (
     ArrayType,
-    DataType,
     LongType,
     MapType,
     StringType,
@@ -41,7 +40,7 @@ from pyspark.sql.types import (
     _parse_datatype_string,
 )
 
-from sluice.session import delete_path, list_dirs, path_exists
+from sluice.session import delete_path, list_dirs
 from sluice.sources.tables import observed_count
 
 LOG_SCHEMA = StructType(
@@ -396,7 +395,3 @@ class VersionedTable:
                         cur.partition_columns, n, cur.properties)
         self._append_log(snap)
         return snap
-
-
-def type_of(data_type: DataType) -> str:
-    return data_type.simpleString()

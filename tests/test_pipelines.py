@@ -146,7 +146,7 @@ def test_stats_of_an_empty_lake_are_zero_rows(spark, tmp_root):
 
 def test_history_with_registry_reads_older_rows_only_when_needed(spark, tmp_root):
     from sluice.plans.medallion import with_history
-    from sluice.sources.tables import SILVER_SCHEMA
+    from sluice.schema import SILVER_SCHEMA
 
     base = dt.datetime(2024, 1, 1)
     old_rows = [event(i, sensor="A", t=base + dt.timedelta(hours=i), value=float(i)) for i in range(120)]
