@@ -143,7 +143,8 @@ def _number_rows(df, keys, order, numbering, bucket, materialize):
       holding a third of the data, is cut into balanced partitions. Groups are
       (sensor, partition); ``_rn0`` is the row's index in its sorted partition
       and ``_first`` the group's smallest index. The rows must be staged so
-      that both consumers see the same indices.
+      that both consumers see the same indices. Choosing the split points
+      costs one sampling pass over the (already shuffled) deduplicated rows.
     """
     if numbering == "bucket":
         numbered = df.withColumn("_g", F.date_trunc(bucket, F.col(order[0]))).withColumn(

@@ -101,6 +101,9 @@ def test_lakehouse_facade_end_to_end(spark, tmp_root):
     assert s == lake.silver().count() and g["severity_rows"] == lake.severity().count()
     stats = lake.gold_stats().first()
     assert stats["total_kpi_rows"] == g["kpi_rows"] and stats["facility_count"] == 3
+    from sluice.sources.tables import gold_facilities
+
+    assert sorted(r[0] for r in gold_facilities(lake.kpis()).collect()) == ["PLANT-A", "PLANT-B", "PLANT-C"]
     totals = [r for r in lake.bronze_stats().collect() if r["is_total"]]
     assert totals[0]["row_count"] == n
     assert lake.expired("2024-02-10").count() == 0  # 90-day retention keeps January
