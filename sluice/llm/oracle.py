@@ -111,9 +111,63 @@ FROM cell JOIN p ON cell.s = p.source AND cell.l = p.lang AND cell.topic = p.top
 """
 )
 
+_SUBSTRINGS = r"""
+WITH d AS (
+  SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents
+), p AS (
+  SELECT doc_id, unnest(range(len(w) - 12)) AS pos, w FROM d WHERE len(w) >= 13
+), k AS (
+  SELECT doc_id, pos, array_to_string(w[pos + 1 : pos + 13], ' ') AS k FROM p
+), gone AS (
+  SELECT doc_id, pos FROM (SELECT doc_id, pos, min(doc_id) OVER (PARTITION BY k) AS least FROM k)
+  WHERE least < doc_id
+), covered AS (
+  SELECT DISTINCT doc_id, pos + o AS pos FROM gone, range(13) AS t(o)
+), each AS (
+  SELECT doc_id, unnest(range(len(w))) AS pos, unnest(w) AS word FROM d
+), kept AS (
+  SELECT e.doc_id, count(c.pos) AS n_removed,
+    string_agg(word, ' ' ORDER BY e.pos) FILTER (c.pos IS NULL) AS t
+  FROM each e LEFT JOIN covered c ON c.doc_id = e.doc_id AND c.pos = e.pos GROUP BY e.doc_id
+)
+SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_removed, 0) AS n_removed,
+  sha256(coalesce(t, '')) AS kept_sha256
+FROM d LEFT JOIN kept USING (doc_id)
+"""
+
+_BENCHMARK = r"""
+WITH d AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents
+), b AS (
+  SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark
+), sized AS (SELECT item_id, w, least(13, len(w)) AS n FROM b WHERE len(w) > 0),
+bw AS (
+  SELECT DISTINCT item_id, n, array_to_string(w[pos + 1 : pos + n], ' ') AS k
+  FROM (SELECT *, unnest(range(len(w) - n + 1)) AS pos FROM sized)
+), lens AS (SELECT DISTINCT n FROM bw),
+dw AS (
+  SELECT doc_id, n, pos, array_to_string(w[pos + 1 : pos + n], ' ') AS k
+  FROM (SELECT doc_id, w, n, unnest(range(len(w) - n + 1)) AS pos FROM d, lens WHERE len(w) >= n)
+), hit AS (SELECT doc_id, item_id, pos, dw.n FROM dw JOIN bw USING (n, k)),
+covered AS (
+  SELECT doc_id, count(DISTINCT pos + o) AS n_hit FROM hit, range(13) AS t(o) WHERE o < n GROUP BY doc_id
+), found AS (
+  SELECT doc_id, count(*) AS n_items, string_agg(i, ',' ORDER BY i) AS ids
+  FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS i FROM hit) GROUP BY doc_id
+)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+  sha256(coalesce(ids, '')) AS items_sha256,
+  coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
+FROM d LEFT JOIN covered USING (doc_id) LEFT JOIN found USING (doc_id)
+"""
+
 ORACLE = {
     "op3_chat_formatting": _CHAT,
     "op5_mixing": _MIXING,
     "op6_line_dedup": _LINES,
     "op8_exact_dedup": _EXACT,
+    "op7_substring_dedup": _SUBSTRINGS,
+    "op10_decontamination": _BENCHMARK,
 }

@@ -5,7 +5,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sluice.llm import chat_format, exact_dedup, line_dedup, mixing
+from sluice.llm import (
+    chat_format,
+    decontaminate,
+    exact_dedup,
+    line_dedup,
+    mixing,
+    substring_dedup,
+)
 from sluice.llm.common import table
 
 CHAT_PROBE = "\\### Assistant: </turn> ok"
@@ -52,14 +59,39 @@ def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents after removal of 13-word windows that a smaller document has."""
+    return substring_dedup.dedup_substrings(
+        table(spark, sf_dir, "documents"), digest=True
+    ).withColumnRenamed("kept", "kept_sha256")
+
+
 def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Exact duplicates of whole normalised texts by block naming."""
     return exact_dedup.exact_dedup(table(spark, sf_dir, "documents"))
 
 
+def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Benchmark windows in every document."""
+    marked = decontaminate.mark_contamination(
+        table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), carry=["doc_id"]
+    )
+    ids = F.array_join(F.array_sort(F.transform("_items", lambda i: i.cast("string"))), ",")
+    return marked.select(
+        "doc_id",
+        F.col("_n_words").alias("n_words"),
+        F.col("_n_hit").alias("n_hit"),
+        F.size("_items").cast("long").alias("n_items"),
+        F.sha2(ids, 256).alias("items_sha256"),
+        F.col("_contaminated").alias("contaminated"),
+    )
+
+
 QUERIES = {
     "op3_chat_formatting": op3_chat_formatting,
     "op5_mixing": op5_mixing,
     "op6_line_dedup": op6_line_dedup,
+    "op7_substring_dedup": op7_substring_dedup,
     "op8_exact_dedup": op8_exact_dedup,
+    "op10_decontamination": op10_decontamination,
 }
