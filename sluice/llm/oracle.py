@@ -163,11 +163,36 @@ SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, c
 FROM d LEFT JOIN covered USING (doc_id) LEFT JOIN found USING (doc_id)
 """
 
+_NEAR = r"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x20\x09-\x0D]+') AS w FROM documents
+), s AS MATERIALIZED (
+  SELECT DISTINCT doc_id, array_to_string(w[pos + 1 : pos + n], ' ') AS g
+  FROM (SELECT doc_id, w, least(5, len(w)) AS n, unnest(range(len(w) - least(5, len(w)) + 1)) AS pos
+        FROM d WHERE len(w) > 0)
+), sizes AS MATERIALIZED (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+link AS MATERIALIZED (
+  SELECT p.a, p.b FROM (
+    SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS c
+    FROM s x JOIN s y ON x.g = y.g AND x.doc_id <> y.doc_id GROUP BY ALL) p
+  JOIN sizes sa ON sa.doc_id = a JOIN sizes sb ON sb.doc_id = b
+  WHERE 100 * c >= 75 * (sa.n + sb.n - c)
+), reach AS (
+  SELECT a AS doc_id, a AS r FROM (SELECT DISTINCT a FROM link)
+  UNION SELECT l.b, r FROM reach JOIN link l ON l.a = reach.doc_id
+), comp AS (SELECT doc_id, min(r) AS component_id FROM reach GROUP BY doc_id)
+SELECT d.doc_id, coalesce(n, 0) AS n_shingles, coalesce(component_id, d.doc_id) AS component_id,
+  coalesce(component_id, d.doc_id) = d.doc_id AS kept
+FROM d LEFT JOIN sizes USING (doc_id) LEFT JOIN comp USING (doc_id)
+"""
+
 ORACLE = {
     "op3_chat_formatting": _CHAT,
     "op5_mixing": _MIXING,
     "op6_line_dedup": _LINES,
     "op8_exact_dedup": _EXACT,
     "op7_substring_dedup": _SUBSTRINGS,
+    "op9_minhash_near_dedup": _NEAR,
     "op10_decontamination": _BENCHMARK,
 }

@@ -11,6 +11,7 @@ from sluice.llm import (
     exact_dedup,
     line_dedup,
     mixing,
+    near_dedup,
     substring_dedup,
 )
 from sluice.llm.common import table
@@ -71,6 +72,11 @@ def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_dedup(table(spark, sf_dir, "documents"))
 
 
+def op9_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Components of near-duplicate documents."""
+    return near_dedup.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Benchmark windows in every document."""
     marked = decontaminate.mark_contamination(
@@ -93,5 +99,6 @@ QUERIES = {
     "op6_line_dedup": op6_line_dedup,
     "op7_substring_dedup": op7_substring_dedup,
     "op8_exact_dedup": op8_exact_dedup,
+    "op9_minhash_near_dedup": op9_minhash_near_dedup,
     "op10_decontamination": op10_decontamination,
 }

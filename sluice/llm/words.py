@@ -159,3 +159,14 @@ def inside_one_text(firsts: np.ndarray, length: int) -> np.ndarray:
 def utf8(column) -> list[bytes]:
     """Texts of an Arrow column as UTF-8 bytes, null as empty."""
     return [b"" if x is None else x for x in column.cast("binary").to_pylist()]
+
+
+def slices(batch, text_column: int, size: int = 4 << 20):
+    """A record batch in slices of about ``size`` text bytes, so that a batch of
+    long texts does not multiply memory."""
+    lengths = np.array([len(x) for x in utf8(batch.column(text_column))], np.int64)
+    part = np.cumsum(lengths) // size
+    cuts = [0, *(np.flatnonzero(np.diff(part)) + 1).tolist(), len(lengths)]
+    for a, b in zip(cuts, cuts[1:], strict=False):
+        if b > a:
+            yield batch.slice(a, b - a)
