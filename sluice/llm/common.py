@@ -2,6 +2,12 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
+import tempfile
+import zipfile
+from pathlib import Path
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -34,6 +40,24 @@ def text_or_empty(col: str = "text") -> Column:
     return F.coalesce(F.col(col).cast("string"), F.lit(""))
 
 
+def ship(spark: SparkSession) -> None:
+    """Give Python workers this package: Spark serves it from the driver, once per
+    application, so tasks need no installation on the executors."""
+    sc = spark.sparkContext
+    if getattr(sc, "_sluice_shipped", False):
+        return
+    root = Path(__file__).resolve().parents[1]
+    # Spark's file server reads the archive for as long as the application runs.
+    folder = tempfile.mkdtemp(prefix="sluice-py-")
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)
+    path = f"{folder}/sluice.zip"
+    with zipfile.ZipFile(path, "w") as out:
+        for source in sorted(root.rglob("*.py")):
+            out.write(source, f"sluice/{source.relative_to(root)}")
+    sc.addPyFile(path)
+    sc._sluice_shipped = True
+
+
 def is_empty(df: DataFrame) -> bool:
     """Whether a (staged) DataFrame has no rows; one short job."""
     return not df.limit(1).count()

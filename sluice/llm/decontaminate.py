@@ -34,6 +34,7 @@ from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
 from sluice.llm import words as W
+from sluice.llm.common import ship
 
 WINDOW_WORDS = 13
 #: A document is contaminated when 1 in this many of its words is hit.
@@ -185,6 +186,7 @@ def mark_contamination(
 
     ``carry`` names the input columns to keep (default: all).
     """
+    ship(docs.sparkSession)
     items = (
         benchmark.select(F.col("item_id").cast("long"), "text")
         .mapInArrow(

@@ -12,13 +12,34 @@ from sluice.llm import (
     line_dedup,
     mixing,
     near_dedup,
+    secrets_crf,
+    sharding,
     substring_dedup,
+    toxicity,
 )
 from sluice.llm.common import table
 
 CHAT_PROBE = "\\### Assistant: </turn> ok"
 
 
+def op1_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secret spans of every document: base patterns and the trained field."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return secrets_crf.digests(docs, secrets_crf.train(docs))
+
+
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity score of every document by compression distance."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = toxicity.train(docs, table(spark, sf_dir, "labels"))
+    return toxicity.score_documents(docs, model).select(
+        "doc_id",
+        toxicity.held_out(F.col("doc_id")).alias("held_out"),
+        F.col("_score").alias("score"),
+        F.col("_predicted").alias("predicted"),
+    )
+
+
 def op3_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Format every conversation and digest what reading back gives."""
     rows = table(spark, sf_dir, "conversations").select(
@@ -37,6 +58,19 @@ def op3_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat_format.chat_digests(chat_format.format_chats(turns, "conv_id"), "conv_id")
 
 
+def op4_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document in one of 24 shards of nearly equal bytes."""
+    return sharding.assign_shards(table(spark, sf_dir, "documents")).select(
+        "doc_id",
+        "size",
+        "text_crc32",
+        F.lit("bytes").alias("law"),
+        "shard",
+        "slot",
+        F.lit(None).cast("int").alias("grown_shard"),
+    )
+
+
 def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Sampling decision of every document at the raked probabilities."""
     return mixing.sample_to_targets(table(spark, sf_dir, "documents")).select(
@@ -94,7 +128,10 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_secret_scan": op1_secret_scan,
+    "op2_toxicity": op2_toxicity,
     "op3_chat_formatting": op3_chat_formatting,
+    "op4_sharding": op4_sharding,
     "op5_mixing": op5_mixing,
     "op6_line_dedup": op6_line_dedup,
     "op7_substring_dedup": op7_substring_dedup,

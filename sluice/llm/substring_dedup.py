@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sluice.llm import words as W
-from sluice.llm.common import text_or_empty
+from sluice.llm.common import ship, text_or_empty
 
 WINDOW_WORDS = 13
 #: Length of the first level; shorter windows repeat almost everywhere.
@@ -279,6 +279,7 @@ def dedup_substrings(
 ) -> DataFrame:
     """``doc_id, n_words, n_removed, kept`` per row; ``kept`` is the remaining
     text (words joined by one space), or its SHA-256 with ``digest``."""
+    ship(docs.sparkSession)
     text = text_or_empty()
     total = docs.agg(F.sum(F.octet_length(text))).first()[0] or 0
     n_chunks = 1 + total // chunk_bytes
