@@ -4,7 +4,8 @@ Tokens are summed per cell (source, language, topic). The cell weights are
 raked: scaled to the source targets, then the language targets, then the topic
 targets, round after round, until every marginal is met. A cell's sampling
 probability is its raked weight over its tokens, scaled so that the largest is
-1; a document is kept when a uniform number derived from its id lies below the
+1, or (``keep``) capped at 1 and scaled so that a given share of all tokens stays
+in expectation; a document is kept when a uniform number derived from its id lies below the
 probability of its cell.
 
 Targets default to tempered shares: each marginal share to the power ``alpha``,
@@ -98,9 +99,29 @@ def rake(
     return out
 
 
+def _scale_to_keep(rated: DataFrame, keep: float) -> float | None:
+    """Factor of the rates at which ``min(1, factor * rate)`` keeps the share
+    ``keep`` of all tokens in expectation (a few sums over the cell table)."""
+    live = rated.filter("rate > 0")
+    tokens = live.agg(F.sum("tokens")).first()[0]
+    factor = 0.0
+    while tokens:
+        full = F.col("rate") * F.lit(factor) >= 1
+        whole, rest = live.agg(
+            F.coalesce(F.sum(F.when(full, F.col("tokens"))), F.lit(0)),
+            F.coalesce(F.sum(F.when(~full, F.col("weight"))), F.lit(0.0)),
+        ).first()
+        wanted = keep * tokens - whole
+        # Each round fixes more cells at probability 1; done when none is added.
+        if rest <= 0 or wanted <= 0 or wanted / rest <= factor * (1 + 1e-9):
+            return factor
+        factor = wanted / rest
+    return None
+
+
 def cell_probabilities(
     docs: DataFrame, alpha: float = ALPHA, rounds: int = ROUNDS,
-    targets: dict[str, DataFrame] | None = None,
+    targets: dict[str, DataFrame] | None = None, keep: float | None = None,
 ) -> DataFrame:
     """``source, lang, topic, n_docs, tokens, weight, probability`` per cell."""
     cells = stage(
@@ -116,13 +137,23 @@ def cell_probabilities(
     rated = cells.join(raked, list(DIMS), "left").withColumn(
         "rate", F.coalesce(F.col("weight") / F.col("tokens"), F.lit(0.0))
     )
-    most = rated.agg(F.max("rate")).scalar()
+    if keep is None:
+        most = rated.agg(F.max("rate")).scalar()
+        probability = F.when(most > 0, F.col("rate") / most).otherwise(F.lit(1.0))
+    else:
+        rated = stage(rated, "mix-rated")
+        factor = _scale_to_keep(rated, keep)
+        probability = F.lit(1.0)
+        if factor is not None:
+            # Cells without tokens weigh nothing in the mix; they stay.
+            scaled = F.least(F.lit(1.0), F.col("rate") * F.lit(factor))
+            probability = F.when(F.col("tokens") > 0, scaled).otherwise(F.lit(1.0))
     return rated.select(
         *DIMS,
         "n_docs",
         "tokens",
         F.coalesce("weight", F.lit(0.0)).alias("weight"),
-        F.when(most > 0, F.col("rate") / most).otherwise(F.lit(1.0)).alias("probability"),
+        probability.alias("probability"),
     )
 
 
@@ -134,10 +165,10 @@ def uniform(doc_id: Column) -> Column:
 
 def sample_to_targets(
     docs: DataFrame, alpha: float = ALPHA, rounds: int = ROUNDS,
-    targets: dict[str, DataFrame] | None = None,
+    targets: dict[str, DataFrame] | None = None, keep: float | None = None,
 ) -> DataFrame:
     """Every document with ``_probability`` and ``_sampled``."""
-    rates = stage(cell_probabilities(docs, alpha, rounds, targets), "mix-rates").select(
+    rates = stage(cell_probabilities(docs, alpha, rounds, targets, keep), "mix-rates").select(
         *[F.col(d).alias(f"_{d}") for d in DIMS], F.col("probability").alias("_probability")
     )
     return (
