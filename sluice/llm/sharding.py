@@ -2,7 +2,8 @@
 
 Bytes, tokens and rows are balanced jointly. The unit is the group of equal
 texts; each is placed in the shard where the dot product of its size vector
-with the shard's residual capacity (both as shares of a shard) is highest.
+with the shard's residual capacity (both as shares of a shard, bytes weighing
+most) is highest.
 
 How it scales: groups are map-side aggregated sums. A group larger than 1/64 of
 a shard is heavy: there are at most 64 x shards x 3 of those, so they are placed
@@ -40,6 +41,8 @@ HEAVY_PART = 64
 LANE_GROUPS = 100_000
 BUCKET_ROWS = 100_000
 _DIMS = ("bytes", "tokens", "rows")
+#: Weights in the dot product: bytes are what must come out near equal.
+_WEIGHTS = np.array([8.0, 1.0, 1.0])
 
 
 def place(sizes: np.ndarray, capacity: np.ndarray) -> np.ndarray:
@@ -49,7 +52,7 @@ def place(sizes: np.ndarray, capacity: np.ndarray) -> np.ndarray:
     out = np.empty(len(sizes), np.int32)
     order = np.argsort(-sizes.sum(axis=1), kind="stable")
     for i in order:
-        best = int((residual @ sizes[i]).argmax())
+        best = int((residual @ (_WEIGHTS * sizes[i])).argmax())
         out[i] = best
         residual[best] -= sizes[i]
     return out

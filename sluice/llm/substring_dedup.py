@@ -169,21 +169,19 @@ def _ask(lengths: list[int], level: int, n_buckets: int):
 
 
 def _pack_ids(ids: np.ndarray) -> bytes:
-    """Ids as their least one and 32-bit distances from it where these suffice."""
+    """Ids as their least one and 32-bit distances from it where these suffice; a
+    leading byte tells which."""
     low = ids.min()
     if int(ids.max()) - int(low) < 2**32:
-        return low.tobytes() + (ids - low).astype(np.uint32).tobytes()
-    return ids.tobytes()
+        return b"d" + low.tobytes() + (ids - low).astype(np.uint32).tobytes()
+    return b"w" + ids.tobytes()
 
 
-def _unpack_ids(packed: bytes, n: int) -> np.ndarray:
-    if len(packed) == 8 * n and n != 2:
-        return np.frombuffer(packed, np.int64)
-    if n == 2 and len(packed) == 16:  # 8 + 4 * 2 or 8 * 2: always written as distances if it fits
-        low = np.frombuffer(packed[:8], np.int64)[0]
-        return low + np.frombuffer(packed[8:], np.uint32).astype(np.int64)
-    low = np.frombuffer(packed[:8], np.int64)[0]
-    return low + np.frombuffer(packed[8:], np.uint32).astype(np.int64)
+def _unpack_ids(packed: bytes) -> np.ndarray:
+    if packed[:1] == b"w":
+        return np.frombuffer(packed, np.int64, offset=1)
+    low = np.frombuffer(packed, np.int64, count=1, offset=1)[0]
+    return low + np.frombuffer(packed, np.uint32, offset=9).astype(np.int64)
 
 
 def _answer_repeated(asks: pa.Table) -> pa.Table:
@@ -205,9 +203,7 @@ def _among(values: np.ndarray, wanted: np.ndarray) -> np.ndarray:
 def _answer_smaller(asks: pa.Table) -> pa.Table:
     """Last level: has another chunk a smaller document for this hash?"""
     parts = [np.frombuffer(x, W.U64) for x in asks.column("hashes").to_pylist()]
-    owners = [
-        _unpack_ids(x, len(p)) for x, p in zip(asks.column("owners").to_pylist(), parts, strict=True)
-    ]
+    owners = [_unpack_ids(x) for x in asks.column("owners").to_pylist()]
     hashes, index = np.unique(np.concatenate(parts), return_inverse=True)
     least = np.full(len(hashes), np.iinfo(np.int64).max)
     every = np.concatenate(owners)
