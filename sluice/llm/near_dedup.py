@@ -8,17 +8,18 @@ each chunk enumerates its four "one symbol ignored" keys and equal keys meet:
 every pair within that distance is a candidate for certain. A pair at similarity
 0.75 has no such chunk with probability (1 - 0.738)^11, below 5e-7.
 
-No bucket is expanded into pairs of rows:
+No bucket is expanded into all its pairs:
 
 1. Equal shingle sets form a class; only classes go on.
-2. Each class is linked to the least class of each of its buckets (a star), the
-   candidates are confirmed on full sets, and confirmed ones form components.
-3. Only buckets that still hold two components can hide a link. Their members
-   are compared across components in blocks of bounded size by their
-   signatures (numpy, inside the task); pairs that could reach the threshold
-   are confirmed on full sets, and components are formed again.
-
-The signature may only reject: a pair goes when its agreement lies 5.5 standard
+2. In each bucket (in blocks of bounded size, numpy inside the task) every class
+   proposes its most agreeing partner by signature: one pair per member.
+   Proposals are confirmed on full sets and confirmed ones form components.
+3. All pairs that still lie in one bucket but in two components are proposed, so
+   no link between components is lost, and components are formed again. Where a
+   block is dense in such pairs they are confirmed inside its task and only links
+   leave it: a group of thousands just below the threshold makes no pair rows.
+
+The signature may only reject: a pair goes when its agreement lies 4.5 standard
 deviations below that of similarity 0.75. Links are confirmed exactly.
 
 Scale: signatures are computed where the text is read. Keys, stars and labels
@@ -42,7 +43,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sluice.llm import words as W
-from sluice.llm.common import is_empty, stage, text_or_empty
+from sluice.llm.common import is_empty, ship, stage, text_or_empty
 from sluice.llm.components import components
 
 SHINGLE_WORDS = 5
@@ -60,9 +61,9 @@ _KEY_SALTS = _rng.integers(0, 2**63, (CHUNKS, CHUNK_SYMBOLS), dtype=np.uint64)
 
 
 def least_agreement(symbols: int = SYMBOLS) -> int:
-    """Symbols that a pair at the threshold shares, less 5.5 standard deviations."""
+    """Symbols that a pair at the threshold shares, less 4.5 standard deviations."""
     p = THRESHOLD[0] / THRESHOLD[1]
-    return int(symbols * p - 5.5 * (symbols * p * (1 - p)) ** 0.5)
+    return int(symbols * p - 4.5 * (symbols * p * (1 - p)) ** 0.5)
 
 
 def shingle_sets(texts: list[bytes]) -> list[np.ndarray]:
@@ -159,21 +160,6 @@ def similar(a: np.ndarray, b: np.ndarray) -> bool:
     return den * shared >= num * (len(a) + len(b) - shared)
 
 
-def _agreeing(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Pairs whose signatures do not rule the threshold out."""
-    need = least_agreement()
-    for batch in batches:
-        if batch.num_rows:
-            left, right = (
-                np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint8).reshape(-1, SYMBOLS)
-                for c in (2, 3)
-            )
-            keep = pa.array((left == right).sum(axis=1) >= need)
-            yield pa.record_batch(
-                [batch.column(0).filter(keep), batch.column(1).filter(keep)], ["a", "b"]
-            )
-
-
 def _confirm(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """``a, b, linked`` from ``a, b`` and both texts (``a``'s repeats in runs)."""
     last: tuple[bytes, np.ndarray] | None = None
@@ -204,38 +190,112 @@ def _own_texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             )
 
 
-def _across(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Pairs of one block pair that lie in different components, fit in size and
-    agree enough. One input row is one bounded block pair."""
-    need, (num, den) = least_agreement(), THRESHOLD
+_FOUND = "a long, b long, key long, i int, j int"
+#: A block pair with more candidate pairs than this many times its members is
+#: dense: its pairs are confirmed inside the task instead of leaving it as rows.
+DENSE = 4
+
+
+class _Members:
+    """The members of a batch of block pairs as arrays."""
+
+    def __init__(self, lists: pa.ListArray) -> None:
+        flat = lists.flatten()
+        ends = lists.offsets.to_numpy() - lists.offsets[0].as_py()
+        self.blocks = list(zip(ends.tolist(), ends[1:].tolist(), strict=False))
+        self.rid, self.label, self.n, self.side = (
+            flat.field(x).to_numpy(zero_copy_only=False) for x in ("rid", "label", "n", "side")
+        )
+        self.sig = np.frombuffer(b"".join(flat.field("sig").to_pylist()), np.uint8)
+        self.sig = self.sig.reshape(-1, SYMBOLS)
+        self.flat = flat
+        self.need = least_agreement()
+
+    def partners(self, i: int, lo: int, hi: int, across: bool) -> tuple[np.ndarray, np.ndarray]:
+        """Members of [lo, hi) in other components that fit ``i`` in size and agree
+        enough, and their agreement."""
+        num, den = THRESHOLD
+        at = lo + np.flatnonzero(self.label[lo:hi] != self.label[i])
+        if across:  # between two blocks; the pairs inside each are another row's
+            at = at[self.side[at] != self.side[i]]
+        at = at[den * np.minimum(self.n[at], self.n[i]) >= num * np.maximum(self.n[at], self.n[i])]
+        same = (self.sig[at] == self.sig[i]).sum(axis=1)
+        return at[same >= self.need], same[same >= self.need]
+
+
+def _propose(every: bool):
+    """Candidate pairs per block pair: each member's most agreeing partner, or all
+    pairs; of a dense block pair only its name (``key, i, j``) when all are asked."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            m = _Members(batch.column(3))
+            names = [batch.column(c).to_pylist() for c in range(3)]
+            out: list[list] = [[], []]
+            dense: list[int] = []
+            for block, (lo, hi) in enumerate(m.blocks):
+                across = bool(m.side[lo:hi].any())
+                found: list[np.ndarray] = []
+                count = 0
+                for i in range(lo, hi):
+                    at, same = m.partners(i, i + 1 if every else lo, hi, across)
+                    if len(at):
+                        at = at if every else at[[same.argmax()]]
+                        count += len(at)
+                        if every and count > DENSE * (hi - lo):
+                            dense.append(block)
+                            found = []
+                            break
+                        found.append(np.stack([np.full(len(at), m.rid[i]), m.rid[at]]))
+                if found:
+                    pairs = np.concatenate(found, axis=1)
+                    out[0].append(pairs.min(axis=0))
+                    out[1].append(pairs.max(axis=0))
+            a, b = (np.concatenate(x) if x else np.empty(0, np.int64) for x in out)
+            pad, gap = [None] * len(dense), [None] * len(a)
+            yield pa.record_batch(
+                [
+                    pa.array(a.tolist() + pad, pa.int64()),
+                    pa.array(b.tolist() + pad, pa.int64()),
+                    pa.array(gap + [names[0][d] for d in dense], pa.int64()),
+                    pa.array(gap + [names[1][d] for d in dense], pa.int32()),
+                    pa.array(gap + [names[2][d] for d in dense], pa.int32()),
+                ],
+                ["a", "b", "key", "i", "j"],
+            )
+
+    return run
+
+
+def _link_dense(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Confirmed pairs of dense block pairs. A pair meets in many buckets; it is
+    judged in the one of the first key that both share."""
     for batch in batches:
-        for row in batch.column(0).to_pylist():
-            rid = np.array([m["rid"] for m in row], np.int64)
-            label = np.array([m["label"] for m in row], np.int64)
-            n = np.array([m["n"] for m in row], np.int64)
-            side = np.array([m["side"] for m in row], np.int8)
-            sig = np.frombuffer(b"".join(m["sig"] for m in row), np.uint8).reshape(-1, SYMBOLS)
-            found_a, found_b = [], []
-            for i in range(len(rid)):
-                ok = (label != label[i]) & (den * np.minimum(n, n[i]) >= num * np.maximum(n, n[i]))
-                # Inside one block each pair once; between blocks only across.
-                ok &= np.arange(len(rid)) > i
-                if side.any():
-                    ok &= side != side[i]
-                at = np.flatnonzero(ok)
-                at = at[(sig[at] == sig[i]).sum(axis=1) >= need]
-                found_a.append(np.minimum(rid[at], rid[i]))
-                found_b.append(np.maximum(rid[at], rid[i]))
-            if found_a:
-                yield pa.record_batch(
-                    [pa.array(np.concatenate(found_a)), pa.array(np.concatenate(found_b))], ["a", "b"]
-                )
+        m = _Members(batch.column(3))
+        keys = m.flat.field("keys").flatten().to_numpy().reshape(-1, CHUNKS * CHUNK_SYMBOLS)
+        texts = W.utf8(m.flat.field("text"))
+        here = batch.column(0).to_numpy()
+        out: list[tuple[int, int]] = []
+        for block, (lo, hi) in enumerate(m.blocks):
+            across = bool(m.side[lo:hi].any())
+            sets = shingle_sets(texts[lo:hi])
+            for i in range(lo, hi):
+                at, _ = m.partners(i, i + 1, hi, across)
+                first = (keys[at] == keys[i]).argmax(axis=1)
+                for k in at[keys[i][first] == here[block]]:
+                    if similar(sets[i - lo], sets[k - lo]):
+                        out.append((int(m.rid[i]), int(m.rid[k])))
+        yield pa.record_batch(
+            [pa.array([min(p) for p in out], pa.int64()), pa.array([max(p) for p in out], pa.int64())],
+            ["a", "b"],
+        )
 
 
 class _Search:
-    """One run: profiles and classes are staged once and shared by the steps."""
+    """One run: what several steps read is staged once."""
 
     def __init__(self, docs: DataFrame) -> None:
+        ship(docs.sparkSession)
         self.docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_or_empty().alias("text"))
         self.rows = stage(
             self.docs.mapInArrow(
@@ -243,118 +303,108 @@ class _Search:
             ),
             "profiles",
         )
-        # One profile per class: all members have the same one. A class is named
-        # by its least id, which finds a text of it.
-        first = self.rows.filter("n > 0").groupBy("rid").agg(F.min("doc_id").alias("doc_id"))
-        self.classes = stage(first, "classes")
-        self.profiles = stage(
-            self.rows.filter("n > 0")
-            .join(self.classes, ["rid", "doc_id"])
-            .select("rid", "doc_id", "n", "sig", "keys")
-            .dropDuplicates(["rid"]),
-            "class-profiles",
-        )
-
-    def buckets(self) -> DataFrame:
-        """``key, rid, head`` of every key that two or more classes share."""
-        keys = self.profiles.select("rid", F.explode("keys").alias("key"))
+        # All members of a class have the same profile; the least id finds a text of it.
+        some = self.rows.filter("n > 0")
+        self.classes = stage(some.groupBy("rid").agg(F.min("doc_id").alias("doc_id")), "classes")
+        chosen = some.join(self.classes, ["rid", "doc_id"])
+        keys = chosen.select("rid", F.explode("keys").alias("key"))
         heads = (
             keys.groupBy("key")
-            .agg(F.min("rid").alias("head"), F.max("rid").alias("last"))
-            .filter("head != last")
-            .select("key", "head")
+            .agg(F.min("rid").alias("least"), F.max("rid").alias("most"))
+            .filter("least != most")
+            .select("key")
         )
-        return stage(keys.join(heads, "key"), "buckets")
-
-    def agreeing(self, pairs: DataFrame) -> DataFrame:
-        """Pairs (``a, b``) that sizes and signatures do not rule out."""
-        a, b = (
-            self.profiles.select(
-                F.col("rid").alias(x), F.col("n").alias(f"n_{x}"), F.col("sig").alias(f"sig_{x}")
-            )
-            for x in ("a", "b")
+        #: ``key, rid`` of every key that two or more classes share.
+        self.buckets = stage(keys.join(heads, "key").distinct(), "buckets")
+        met = stage(
+            self.buckets.select("rid").distinct().join(self.classes, "rid"), "bucket-members"
         )
-        num, den = THRESHOLD
-        sized = (
-            pairs.join(a, "a")
-            .join(b, "b")
-            .filter(den * F.least("n_a", "n_b") >= num * F.greatest("n_a", "n_b"))
+        self.profiles = stage(
+            some.select("rid", "doc_id", "n", "sig", "keys").join(met, ["rid", "doc_id"]).dropDuplicates(["rid"]),
+            "bucket-profiles",
         )
-        return sized.select("a", "b", "sig_a", "sig_b").mapInArrow(_agreeing, "a long, b long")
-
-    def confirmed(self, pairs: DataFrame) -> DataFrame:
-        """Staged pairs that reach the threshold on their full sets."""
-        ids = pairs.select(F.col("a").alias("rid")).unionByName(pairs.select(F.col("b").alias("rid")))
-        need = stage(ids.distinct().join(self.classes, "rid"), "wanted-texts")
-        texts = stage(
-            self.docs.join(need, self.docs["doc_id"].eqNullSafe(need["doc_id"]))
+        self.texts = stage(
+            self.docs.join(met, self.docs["doc_id"].eqNullSafe(met["doc_id"]))
             .select("rid", "text")
             .mapInArrow(_own_texts, "rid long, text string")
             .dropDuplicates(["rid"]),
-            "texts",
-        )
-        members = pairs.join(
-            texts.select(F.col("rid").alias("b"), F.col("text").alias("text_b")), "b"
-        )
-        return stage(
-            members.join(texts.select(F.col("rid").alias("a"), F.col("text").alias("text_a")), "a")
-            .select("a", "b", "text_a", "text_b")
-            .mapInArrow(_confirm, "a long, b long, linked boolean")
-            .filter("linked")
-            .select("a", "b"),
-            "links",
+            "bucket-texts",
         )
 
-    def across_components(self, buckets: DataFrame, labels: DataFrame) -> DataFrame:
-        """Candidate pairs of buckets that still hold several components."""
-        named = buckets.join(labels.withColumnRenamed("node", "rid"), "rid", "left").select(
-            "key", "rid", F.coalesce("label", "rid").alias("label")
-        )
+    def members(self, labels: DataFrame | None) -> DataFrame:
+        """``key, i, j, rid, label, side``: a row per member and pair of blocks of the
+        buckets that hold several components."""
+        named = self.buckets
+        if labels is None:
+            named = named.withColumn("label", F.col("rid"))
+        else:
+            named = named.join(labels.withColumnRenamed("node", "rid"), "rid", "left").select(
+                "key", "rid", F.coalesce("label", "rid").alias("label")
+            )
         split = (
             named.groupBy("key")
             .agg(F.count("*").alias("size"), F.min("label").alias("lo"), F.max("label").alias("hi"))
             .filter("lo != hi")
             .select("key", F.ceil(F.col("size") / BLOCK_ROWS).cast("int").alias("blocks"))
         )
-        members = (
+        return (
             named.join(split, "key")
             .withColumn("own", F.pmod(F.xxhash64("rid"), F.col("blocks")).cast("int"))
             .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-            .join(self.profiles.select("rid", "n", "sig"), "rid")
             .select(
                 "key",
                 F.least("own", "other").alias("i"),
                 F.greatest("own", "other").alias("j"),
-                F.struct(
-                    "rid", "label", "n", "sig", (F.col("own") > F.col("other")).cast("byte").alias("side")
-                ).alias("m"),
+                "rid",
+                "label",
+                (F.col("own") > F.col("other")).cast("byte").alias("side"),
             )
         )
+
+    def gathered(self, members: DataFrame, extra: tuple[str, ...] = ()) -> DataFrame:
+        """``key, i, j, ms``: one row per pair of blocks, at most two blocks long."""
+        with_profile = members.join(self.profiles.select("rid", "n", "sig", "keys"), "rid")
+        if "text" in extra:
+            with_profile = with_profile.join(self.texts, "rid")
         return (
-            members.groupBy("key", "i", "j")
-            .agg(F.collect_list("m").alias("ms"))
-            .select("ms")
-            .mapInArrow(_across, "a long, b long")
-            .distinct()
+            with_profile.groupBy("key", "i", "j")
+            .agg(F.collect_list(F.struct("rid", "label", "n", "sig", "side", *extra)).alias("ms"))
+            .select("key", "i", "j", "ms")
+        )
+
+    def confirmed(self, pairs: DataFrame) -> DataFrame:
+        """Staged pairs that reach the threshold on their full sets."""
+        a, b = (
+            self.texts.select(F.col("rid").alias(x), F.col("text").alias(f"text_{x}"))
+            for x in ("a", "b")
+        )
+        return stage(
+            pairs.join(b, "b")
+            .join(a, "a")
+            .select("a", "b", "text_a", "text_b")
+            .mapInArrow(_confirm, "a long, b long, linked boolean")
+            .filter("linked")
+            .select("a", "b"),
+            "links",
         )
 
     def labels(self) -> DataFrame:
         """``node, label`` of every class that has a link."""
-        buckets = self.buckets()
-        # First the least head of each class: one candidate each, and most links.
-        heads = buckets.filter("rid != head")
-        nearest = heads.groupBy("rid").agg(F.min("head").alias("head"))
-        first = stage(
-            self.agreeing(nearest.select(F.col("head").alias("a"), F.col("rid").alias("b"))), "stars"
-        )
-        links = self.confirmed(first)
+        best = self.gathered(self.members(None)).mapInArrow(_propose(every=False), _FOUND)
+        tried = stage(best.select("a", "b").distinct(), "tried")
+        links = self.confirmed(tried)
         labels = components(links)
-        more = stage(
-            self.across_components(buckets, labels).join(first, ["a", "b"], "left_anti"), "across"
-        )
-        if is_empty(more):
-            return labels
-        return components(stage(links.unionByName(self.confirmed(more)), "all-links"))
+        rest = stage(self.gathered(self.members(labels)).mapInArrow(_propose(every=True), _FOUND), "rest")
+        pairs = rest.filter("key is null").select("a", "b").distinct()
+        more = self.confirmed(pairs.join(tried, ["a", "b"], "left_anti"))
+        dense = rest.filter("key is not null").select("key", "i", "j")
+        if not is_empty(dense):
+            members = self.members(labels).join(dense, ["key", "i", "j"])
+            inside = self.gathered(members, ("keys", "text"))
+            more = more.unionByName(
+                stage(inside.mapInArrow(_link_dense, "a long, b long"), "dense-links")
+            )
+        return labels if is_empty(more) else components(links.unionByName(more))
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
