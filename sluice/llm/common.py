@@ -31,7 +31,7 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = scratch_path(spark, f"llm-{name}")
     schema = df.schema
-    df.write.option("compression", "zstd").parquet(path)
+    df.write.parquet(path)
     return spark.read.schema(schema).parquet(path)
 
 
