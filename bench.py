@@ -2,7 +2,7 @@
 
 Each query is fully executed with the ``noop`` sink (every row computed, none
 collected), after one untimed warm-up run of every query on sf0.001. Queries
-that write tables (pipelines, streams, versioned tables) include their writes.
+that write tables (pipelines, streams) include their writes.
 Prints ONE JSON line.
 """
 
@@ -34,7 +34,6 @@ HEADLINE = (
     "stream_ingest",
     "stream_kpi_closed",
     "freshness",
-    "vt_time_travel",
 )
 
 

@@ -36,10 +36,8 @@ from typing import Mapping
 #   profile report: high null rate > 0.05, low cardinality <= 5 distinct
 #   freshness: <= 30 min compliant, <= 30 * 1.5 warning, else violated
 #   completeness: >= 95 % compliant, >= 95 * 0.9 warning, else violated
-#   SLA dashboard keeps the last 50 checks
 #   bronze provenance literals: source 'kafka', pipeline_version '1.0.0'
-#   KPI tumbling window: 15 minutes; dedup window 24 h; retention 90 days
-#   profile sample size: 10000
+#   KPI tumbling window: 15 minutes; stream dedup window 24 h; retention 90 days
 # ---------------------------------------------------------------------------
 
 SENSOR_TYPES: tuple[str, ...] = ("temperature", "vibration", "pressure", "throughput")
@@ -56,6 +54,8 @@ REQUIRED_COLUMNS: tuple[str, ...] = (
     "unit",
 )
 DEFAULT_NULL_THRESHOLD = 0.05
+NULL_DEFAULTS: tuple[tuple[str, float | bool], ...] = (("quality_score", 1.0), ("is_anomaly", False))
+TRIMMED_COLUMNS: tuple[str, ...] = ("sensor_id", "facility_id")
 SOURCE_LITERAL = "kafka"
 PIPELINE_VERSION = "1.0.0"
 
@@ -89,6 +89,7 @@ class LakeConfig:
     kpi_partitions: tuple[str, ...] = ("kpi_date", "facility_id")
     severity_partitions: tuple[str, ...] = ("facility_id",)
     retention_days: int = 90
+    # Watermark of the streaming dedup; batch dedup across loads is exact.
     dedup_window_hours: int = 24
     # Incremental silver reads rolling history from the last N days of silver
     # partitions first; sensors with fewer rows there fall back to older ones.
@@ -102,7 +103,6 @@ class LakeConfig:
     # or "bucket" (row_number inside time buckets of ``rolling_bucket``).
     rolling_numbering: str = "range"
     rolling_bucket: str = "hour"
-    profile_sample_size: int = 10000
     freshness_minutes: float = 30.0
     freshness_warning_factor: float = 1.5
     completeness_percent: float = 95.0
@@ -111,7 +111,6 @@ class LakeConfig:
     max_cv_percent: float = 100.0
     high_null_rate: float = 0.05
     low_cardinality: int = 5
-    sla_recent_checks: int = 50
     # Severity weights and level cut-offs (see the fixed-values block above).
     severity_weights: tuple[float, float, float] = (0.4, 0.4, 0.2)
     severity_levels: tuple[tuple[float, str], ...] = (

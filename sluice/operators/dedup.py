@@ -42,20 +42,13 @@ def drop_seen(
     new_rows: DataFrame,
     seen_rows: DataFrame,
     key: str = "event_id",
-    since: Column | None = None,
-    window_hours: int | None = None,
-    time_col: str = "ingestion_timestamp",
 ) -> DataFrame:
     """D4: remove rows whose key was already delivered in an earlier batch.
 
-    ``seen_rows`` is bronze at or below the high-water mark. Only the last
-    ``window_hours`` of it are consulted (the configured dedup window), read
-    with a pushed-down time predicate, and only its key column is projected.
-    A left-anti join: AQE broadcasts the key side when it turns out small and
-    otherwise shuffles both sides on the key.
+    ``seen_rows`` is all of bronze at or below the high-water mark, however old:
+    a copy may be re-sent at any later time. Only its key column is read. A
+    left-anti join: AQE broadcasts the key side when it turns out small and
+    otherwise shuffles both sides on the key and splits a hot one.
     """
-    keys = seen_rows
-    if since is not None and window_hours is not None:
-        keys = keys.filter(F.col(time_col) > since - F.expr(f"INTERVAL {int(window_hours)} HOURS"))
-    keys = keys.select(key).distinct()
+    keys = seen_rows.select(key)
     return new_rows.join(keys, on=key, how="left_anti")

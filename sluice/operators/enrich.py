@@ -20,11 +20,10 @@ would stall the job (AQE splits skewed joins, not windows).
    each chunk into the next one (a ~99/chunk_rows overhead);
 4. run the frame per (sensor, chunk) and drop the copies.
 
-The numbered rows feed both the group table and the join, so they are
-staged once with a reliable ``checkpoint()`` to the shared checkpoint folder:
-the upstream dedup shuffle is not run twice, both consumers see the same
-indices, and a lost executor recovers from the checkpoint instead of from
-bronze.
+The numbered rows feed both the group table and the join, so they are staged
+once as Parquet below the shared checkpoint folder: the upstream dedup shuffle
+is not run twice, both consumers see the same indices and read only the columns
+they need, and a lost executor costs a re-read instead of a run from bronze.
 
 Every task then sorts at most ``chunk_rows + 99`` rows of one sensor, however
 skewed the sensor distribution. Both strategies feed the frame identical rows
@@ -35,12 +34,11 @@ from __future__ import annotations
 
 from typing import Sequence
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from sluice.config import DEFAULT_CONFIG, LakeConfig
-from sluice.session import checkpoint_root
+from sluice.session import stage_table
 from sluice.functions.columns import day_of_week, hour_of_day, is_business_hours, z_score
 
 SENSOR_KEYS: tuple[str, ...] = ("sensor_id", "sensor_type")
@@ -116,19 +114,6 @@ def rolling_stats(
     return out.drop(*drop)
 
 
-def _stage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint to the shared checkpoint folder, keeping the partitioning.
-
-    The transient persist lets the checkpoint write read the rows its own
-    count job just produced instead of computing them again.
-    """
-    checkpoint_root(df.sparkSession)
-    staged = df.persist(StorageLevel.MEMORY_AND_DISK)
-    out = staged.checkpoint(eager=True)
-    staged.unpersist()
-    return out
-
-
 def _number_rows(df, keys, order, numbering, bucket, materialize):
     """Rows with (_g, _rn0) and the group table (keys, _g, _n, _first).
 
@@ -153,9 +138,8 @@ def _number_rows(df, keys, order, numbering, bucket, materialize):
         if materialize:
             # Both the group table and the join read ``numbered``: staging it
             # stops the upstream (dedup shuffle) from running twice, cuts the
-            # lineage, and keeps the (sensor, bucket) hash partitioning, so
-            # neither the group aggregate nor the join reshuffles the rows.
-            numbered = _stage(numbered)
+            # lineage; the group aggregate then reads only keys and numbers.
+            numbered = stage_table(numbered, "rolling-rows")
         groups = numbered.groupBy(*keys, "_g").agg(
             (F.max("_rn0") + 1).alias("_n"), F.lit(0).cast("long").alias("_first")
         )
@@ -164,10 +148,11 @@ def _number_rows(df, keys, order, numbering, bucket, materialize):
         raise ValueError(f"unknown numbering {numbering!r}")
     sort_cols = [F.col(c).asc_nulls_first() for c in [*keys, *order]]
     ranged = df.repartitionByRange(*sort_cols).sortWithinPartitions(*sort_cols)
-    numbered = _stage(
+    numbered = stage_table(
         ranged.withColumn("_g", F.spark_partition_id().cast("long")).withColumn(
             "_rn0", F.monotonically_increasing_id()
-        )
+        ),
+        "rolling-rows",
     )
     groups = numbered.groupBy(*keys, "_g").agg(
         F.count(F.lit(1)).alias("_n"), F.min("_rn0").alias("_first")

@@ -16,6 +16,7 @@ from sluice.config import (
     SENSOR_TYPES,
     SOURCE_LITERAL,
 )
+from sluice.operators.clean import DEFAULT_RULES, project
 from sluice.schema import BRONZE_SCHEMA, EVENT_SCHEMA, conform
 
 
@@ -31,6 +32,16 @@ EVENT_WIRE_SCHEMA = StructType(
 )
 
 
+def event_time(text: Column) -> Column:
+    """Event time from wire text: a number of five digits or more is seconds since
+    the epoch (with any fraction), all else is read as a timestamp; bad text is null."""
+    seconds = text.try_cast("decimal(20,6)")
+    return F.when(
+        text.rlike(r"^-?[0-9]{5,13}(\.[0-9]+)?$"),
+        F.timestamp_micros((seconds * 1_000_000).cast("long")),
+    ).otherwise(text.try_cast("timestamp"))
+
+
 def parse_records(records: DataFrame) -> DataFrame:
     """PRJ1 + PRJ2: Kafka-shaped records -> event columns + source position.
 
@@ -60,7 +71,7 @@ def parse_records(records: DataFrame) -> DataFrame:
     )
     return parsed.select(
         *[
-            F.col(f"data.{f.name}").try_cast("timestamp").alias(f.name)
+            event_time(F.col(f"data.{f.name}")).alias(f.name)
             if f.name == "timestamp"
             else F.col(f"data.{f.name}")
             for f in EVENT_SCHEMA.fields
@@ -151,10 +162,8 @@ def split_contract(
     valid = (
         tagged.filter(ok)
         .drop("violations")
-        .withColumn("quality_score", F.coalesce("quality_score", F.lit(1.0)))
-        .withColumn("is_anomaly", F.coalesce("is_anomaly", F.lit(False)))
     )
-    return valid, tagged.filter(~ok)
+    return project(valid, DEFAULT_RULES), tagged.filter(~ok)
 
 
 def violation_counts(df: DataFrame, sensor_types: tuple[str, ...] = SENSOR_TYPES) -> DataFrame:

@@ -1,19 +1,14 @@
-"""Column profiler (PRF1) and its report (PRF2) as single-pass aggregates.
+"""Column profiler (PRF1) and its report (PRF2).
 
-All columns are profiled by one wide ``agg`` (one job, one scan) and the
-one-row result is unpivoted to one row per column. Distinct counts treat null
-as one value (as ``SELECT DISTINCT`` would) and work on map columns.
-
-Exact distinct counts use an unpivot + two-phase de-duplication
-(:func:`distinct_counts`) rather than many ``count(DISTINCT)`` in one
-aggregate, which would make Spark expand every row once per column and carry
-the percentile sketches through that expansion. ``exact_distinct=False``
-switches to HyperLogLog (``approx_count_distinct``) inside the single pass.
+Null counts and moments are one wide aggregate (one job, one scan), unpivoted
+to one row per column. Distinct counts treat null as one value (as ``SELECT
+DISTINCT`` would) and work on map columns; they and the quantiles are exact at
+any size, from one pass of value counts (see :func:`value_counts`).
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import (
     ArrayType,
@@ -27,49 +22,16 @@ from pyspark.sql.types import (
 )
 
 from sluice.config import DEFAULT_CONFIG, LakeConfig
+from sluice.session import stage_table
 
 NUMERIC_TYPES = (DoubleType, FloatType, IntegerType, LongType)
-# Spark's default sketch accuracy: rank error <= n / 10000, a few MB of sketch
-# per column and task however large the table. Pass a larger accuracy for
-# exact ranks on small tables (rank error < 1 needs accuracy > row count).
-PERCENTILE_ACCURACY = 10_000
+FRACTIONS = (0.25, 0.5, 0.75)
 
 
 def _c(name: str) -> Column:
     return F.col(f"`{name}`")
 
 
-def hash_sample(df: DataFrame, fraction: float, seed_cols: list[str] | None = None) -> DataFrame:
-    """Deterministic sample: the same rows on every evaluation and retry (D8).
-
-    A row is kept when the hash of its values falls below ``fraction``; map
-    columns (not hashable) are left out of the hash.
-    """
-    names = seed_cols or [f.name for f in df.schema.fields if not isinstance(f.dataType, MapType)]
-    buckets = 1 << 20
-    keep = F.pmod(F.xxhash64(*[_c(c) for c in names]), F.lit(buckets)) < F.lit(int(fraction * buckets))
-    return df.filter(keep)
-
-
-def profile_sampled(
-    df: DataFrame,
-    sample_rows: int,
-    exact_distinct: bool = True,
-    accuracy: int = PERCENTILE_ACCURACY,
-) -> DataFrame:
-    """PRF1 on a deterministic sample of about ``sample_rows`` rows (LIM1).
-
-    ``row_count`` reports the full row count (one count job); null rates,
-    distinct counts and statistics describe the sample. Tables no larger than
-    ``sample_rows`` are profiled whole.
-    """
-    total = df.count()
-    if total <= sample_rows:
-        return profile(df, exact_distinct, accuracy)
-    prof = profile(hash_sample(df, sample_rows / total), exact_distinct, accuracy)
-    return prof.withColumn("row_count", F.lit(total).cast("long"))
-
-
 def _as_text(c: Column, data_type) -> Column:
     """Canonical text of a value for exact distinct counting across columns."""
     if isinstance(data_type, MapType):
@@ -84,49 +46,93 @@ def _as_text(c: Column, data_type) -> Column:
     return c.cast("string")
 
 
-def distinct_counts(df: DataFrame) -> DataFrame:
-    """Exact distinct count per column (null counts as one value): (position, distinct_count).
+def value_counts(df: DataFrame) -> DataFrame:
+    """``position, v, x, n``: how often each column holds each value.
 
-    Each row is unpivoted to (position, value-text) pairs and de-duplicated with
-    partial aggregation before the shuffle, then counted per position: two
-    small exchanges, no per-distinct-column row expansion, and a value shared
-    by a third of all rows collapses map-side.
+    Each row is unpivoted to (position, value text) and counted with partial
+    aggregation before the shuffle, so a value shared by a third of all rows
+    collapses map-side. ``x`` is the number of a numeric value, else null.
     """
-    fields = df.schema.fields
     pairs = df.select(
         F.inline(
             F.array(
                 *[
-                    F.struct(F.lit(i).alias("position"), _as_text(_c(f.name), f.dataType).alias("v"))
-                    for i, f in enumerate(fields)
+                    F.struct(
+                        F.lit(i).alias("position"),
+                        _as_text(_c(f.name), f.dataType).alias("v"),
+                        _as_number(_c(f.name), f.dataType).alias("x"),
+                    )
+                    for i, f in enumerate(df.schema.fields)
                 ]
             )
         )
     )
-    per_value = pairs.groupBy("position", "v").agg(F.lit(1).alias("_one"))
-    return per_value.groupBy("position").agg(F.count(F.lit(1)).alias("distinct_count"))
+    return pairs.groupBy("position", "v", "x").agg(F.count(F.lit(1)).alias("n"))
+
+
+def _as_number(c: Column, data_type) -> Column:
+    if not isinstance(data_type, NUMERIC_TYPES):
+        return F.lit(None).cast("double")
+    return F.when(c == 0, F.lit(0.0)).otherwise(c.cast("double"))
+
+
+def exact_quantiles(counts: DataFrame, fractions: tuple[float, ...]) -> DataFrame:
+    """``position, q``: for each numeric column the values at the given fractions.
+
+    The value of rank ceil(fraction * count). Values are range-partitioned on
+    (position, value) and ranked inside each partition; the counts of the
+    partitions before it (a small table) make that a rank in the column, so a
+    column of any number of distinct values is spread over all tasks.
+    """
+    ranged = counts.filter("x is not null").repartitionByRange("position", "x")
+    parts = stage_table(
+        ranged.withColumn("part", F.spark_partition_id()).select("position", "x", "n", "part"),
+        "profile-values",
+    )
+    column = Window.partitionBy("position")
+    before = column.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = (
+        parts.groupBy("position", "part")
+        .agg(F.sum("n").alias("rows"))
+        .select(
+            "position",
+            "part",
+            F.coalesce(F.sum("rows").over(before), F.lit(0)).alias("offset"),
+            F.sum("rows").over(column).alias("total"),
+        )
+    )
+    inside = (
+        Window.partitionBy("position", "part").orderBy("x").rowsBetween(Window.unboundedPreceding, 0)
+    )
+    ranked = parts.withColumn("upto", F.sum("n").over(inside)).join(offsets, ["position", "part"])
+    last = F.col("offset") + F.col("upto")
+
+    def at(fraction: float) -> Column:
+        rank = F.greatest(F.ceil(F.col("total") * F.lit(fraction)), F.lit(1))
+        return F.max(F.when((rank <= last) & (rank > last - F.col("n")), F.col("x")))
+
+    return ranked.groupBy("position").agg(F.array(*[at(f) for f in fractions]).alias("q"))
 
 
-def profile(
-    df: DataFrame, exact_distinct: bool = True, accuracy: int = PERCENTILE_ACCURACY
-) -> DataFrame:
+def profile(df: DataFrame, exact: bool = True) -> DataFrame:
     """PRF1: one row per column.
 
     column_name, position, dtype, row_count, null_count, null_rate,
     distinct_count, min, max, mean, stddev, p25, median, p75
     (numeric statistics only for int/long/float/double columns).
 
-    Null counts and numeric statistics come from one plain aggregate (no
-    distinct, so no row expansion); exact distinct counts from
-    :func:`distinct_counts`; the two per-column tables (as many rows as the
-    schema has columns) are joined on the column position.
+    Null counts and moments come from one plain aggregate. Exact distinct counts
+    and exact quantiles share the value counts of :func:`value_counts`, at any
+    size of the table; ``exact=False`` uses HyperLogLog and Spark's quantile
+    sketches inside the one aggregate instead. Per-column tables (as many rows as
+    the schema has columns) are joined on the column position.
     """
     fields = df.schema.fields
     aggs = [F.count(F.lit(1)).alias("__rows")]
     for i, f in enumerate(fields):
         c = _c(f.name)
         aggs.append(F.sum(c.isNull().cast("long")).alias(f"__n{i}"))
-        if not exact_distinct:
+        if not exact:
             aggs.append(
                 (F.approx_count_distinct(c) + F.coalesce(F.max(c.isNull().cast("int")), F.lit(0)))
                 .alias(f"__d{i}")
@@ -138,8 +144,9 @@ def profile(
                 F.max(x).alias(f"__max{i}"),
                 F.avg(x).alias(f"__mean{i}"),
                 F.stddev(x).alias(f"__sd{i}"),
-                F.percentile_approx(x, [0.25, 0.5, 0.75], accuracy).alias(f"__q{i}"),
             ]
+            if not exact:
+                aggs.append(F.percentile_approx(x, list(FRACTIONS)).alias(f"__q{i}"))
     wide = df.agg(*aggs)
 
     def stat(i: int, name: str) -> Column:
@@ -161,7 +168,7 @@ def profile(
                 F.when(F.col("__rows") > 0, null_count / F.col("__rows"))
                 .otherwise(F.lit(0.0))
                 .alias("null_rate"),
-                (stat(i, "d") if not exact_distinct else F.lit(None)).cast("long").alias("_d"),
+                (stat(i, "d") if not exact else F.lit(None)).cast("long").alias("_d"),
                 stat(i, "min").alias("min"),
                 stat(i, "max").alias("max"),
                 stat(i, "mean").alias("mean"),
@@ -172,10 +179,15 @@ def profile(
             )
         )
     long = wide.select(F.inline(F.array(*rows)))
-    if exact_distinct:
-        dist = distinct_counts(df)
-        long = long.join(dist, on="position", how="left").withColumn(
-            "distinct_count", F.coalesce(F.col("distinct_count"), F.lit(0)).cast("long")
+    if exact:
+        counts = stage_table(value_counts(df), "profile-counts")
+        dist = counts.groupBy("position").agg(F.count(F.lit(1)).alias("distinct_count"))
+        long = (
+            long.drop("p25", "median", "p75")
+            .join(dist, on="position", how="left")
+            .join(exact_quantiles(counts, FRACTIONS), on="position", how="left")
+            .withColumn("distinct_count", F.coalesce("distinct_count", F.lit(0)).cast("long"))
+            .withColumns({name: F.col("q")[k] for k, name in enumerate(("p25", "median", "p75"))})
         )
     else:
         long = long.withColumn("distinct_count", F.col("_d"))

@@ -6,16 +6,17 @@ only value brought to the driver is the silver high-water mark (one scalar).
 Incremental silver (PIPE2) corrects two gaps of a naive "new rows only" run:
 
 * D4: a re-sent event whose first copy landed in an earlier batch is removed
-  by a left-anti join on event_id against bronze rows at or below the mark,
-  limited to the last ``dedup_window_hours`` (not against silver: a first copy
-  dropped by ``clean`` is absent there and its later copy would slip in);
+  by a left-anti join on event_id against all bronze rows at or below the mark
+  (not against silver: a first copy dropped by ``clean`` is absent there and
+  its later copy would slip in);
 * D5: rolling windows continue across batches: the last 99 silver rows of
   every sensor touched by the batch are prepended, used as frame history, and
   dropped before the write. They are looked up in the last ``history_days``
   of silver partitions, older partitions only for sensors short of 99 rows.
 
-Equality with a full reload is promised for arrivals in event-time order whose
-duplicates come within the dedup window. A row that arrives after later
+Equality with a full reload is promised for arrivals in event-time order,
+however late their duplicates come. Rows without an event time sort before all
+others, as in the window itself. A row that arrives after later
 events of its sensor were already written sees the history as it stood.
 """
 
@@ -28,13 +29,13 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from sluice.config import DEFAULT_CONFIG, LakeConfig
-from sluice.operators.aggregate import aggregate_kpis, anomaly_scores
+from sluice.operators.aggregate import kpis_from_base, severity_from_base, window_base
 from sluice.operators.clean import clean
 from sluice.operators.dedup import dedup_first, drop_seen
 from sluice.operators.enrich import SENSOR_KEYS, enrich
 from sluice.operators.ingest import to_bronze
 from sluice.schema import SILVER_SCHEMA, conform
-from sluice.session import path_exists
+from sluice.session import path_exists, stage_table
 from sluice.sources.tables import (
     LakePaths,
     bronze_stats,
@@ -116,7 +117,8 @@ def with_history(
             hist = recent
         else:
             older = (
-                silver.filter(F.col("event_date") < F.lit(since))
+                # Rows without an event time are the oldest of all.
+                silver.filter((F.col("event_date") < F.lit(since)) | F.col("event_date").isNull())
                 .select(*cols)
                 .join(short, on=keys, how="left_semi")
             )
@@ -145,7 +147,7 @@ def _silver_plan(
     incremental: bool,
     strategy: str,
 ) -> tuple[DataFrame, DataFrame]:
-    """(silver rows to append, the bronze rows they come from)."""
+    """(silver rows to append, rows that hold all their sensors)."""
     bronze = read_bronze(spark, bronze_path)
     source_rows = bronze
     silver = None
@@ -165,15 +167,16 @@ def _silver_plan(
             seen = bronze.filter(F.col("ingestion_timestamp") <= mark_lit)
             # WIN1 first: a hot re-sent id reaches the anti-join as one row.
             # Same result either way, as D4 removes whole keys.
-            deduped = drop_seen(
-                dedup_first(new_rows), seen, since=mark_lit, window_hours=config.dedup_window_hours
-            )
+            deduped = drop_seen(dedup_first(new_rows), seen)
         else:
             silver = None
     if deduped is None:
         deduped = dedup_first(bronze)
     cleaned = clean(deduped, config.sensor_types)
     if silver is not None:
+        # Read by the history lookup, the frame and the registry: computed once.
+        cleaned = stage_table(cleaned, "silver-batch")
+        source_rows = cleaned
         last_date = recorded_max_event_date(spark, silver_path)
         since = last_date - dt.timedelta(days=config.history_days) if last_date else None
         registry = sensor_registry(spark, silver_path)
@@ -224,10 +227,12 @@ def process_gold(
     config: LakeConfig = DEFAULT_CONFIG,
     dynamic_overwrite: bool = False,
 ) -> dict[str, int]:
-    """PIPE3: one silver scan per output, two overwrites (SNK4, SNK5), counts observed."""
-    silver = read_silver(spark, silver_path)
+    """PIPE3: silver is scanned once into the window base, from which both tables are
+    overwritten (SNK4, SNK5); counts are observed on the writes."""
+    minutes = config.kpi_window_minutes
+    base = stage_table(window_base(read_silver(spark, silver_path), minutes), "gold-base")
     kpi_rows = write_partitioned(
-        aggregate_kpis(silver, config=config),
+        kpis_from_base(base, minutes),
         kpi_path,
         config.kpi_partitions,
         "overwrite",
@@ -235,7 +240,7 @@ def process_gold(
         name="kpis",
     )
     severity_rows = write_partitioned(
-        anomaly_scores(silver, config=config),
+        severity_from_base(base, config),
         severity_path,
         config.severity_partitions,
         "overwrite",
@@ -290,13 +295,14 @@ class Lakehouse:
     def expired(self, as_of, purge: bool = False) -> DataFrame:
         """FIL8: bronze partitions older than ``as_of - retention_days`` (with row counts).
 
-        With ``purge=True`` the listed partition folders are deleted after the
-        list is computed (an explicit, separate step).
+        With ``purge=True`` the list is computed first (one row per expired day) and
+        returned as such, then the listed folders are deleted.
         """
         listed = expired_partitions(self.bronze(), as_of, self.config.retention_days)
         if purge:
-            dates = [r["event_date"] for r in listed.select("event_date").collect()]
-            purge_partitions(self.spark, self.paths.bronze, dates)
+            rows = listed.collect()
+            listed = self.spark.createDataFrame(rows, listed.schema)
+            purge_partitions(self.spark, self.paths.bronze, [r["event_date"] for r in rows])
         return listed
 
     def bronze_stats(self) -> DataFrame:

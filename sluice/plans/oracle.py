@@ -225,7 +225,8 @@ JSON_ROUNDTRIP_SQL = (
     + BRONZE_CTE
     + """
 SELECT coalesce(sensor_id, 'unknown') AS key, event_id, sensor_id, sensor_type, facility_id,
-       "timestamp", value, unit, quality_score, is_anomaly, json_extract_string(props, '$.k') AS meta_k
+       CASE WHEN src_id % 7 = 0 THEN date_trunc('second', "timestamp") ELSE "timestamp" END
+         AS "timestamp", value, unit, quality_score, is_anomaly, json_extract_string(props, '$.k') AS meta_k
 FROM bronze"""
 )
 
@@ -295,17 +296,80 @@ SELECT event_date, count(*) AS row_count, DATE '2024-01-11' AS cutoff
 FROM bronze WHERE event_date < DATE '2024-01-11' GROUP BY event_date"""
 )
 
-SILVER_INCREMENTAL_SQL = (
+
+def _hard(sql: str) -> str:
+    """The same statement over bronze with copies 30 hours late and missing event times."""
+    late = """FROM base WHERE src_id % 20 = 0
+  UNION ALL
+  SELECT event_id, sensor_id, sensor_type, facility_id, "timestamp", value + 2,
+         quality_score, is_anomaly, ingestion_timestamp + INTERVAL 30 HOUR, props, src_id
+  FROM base WHERE src_id % 50 = 7
+),
+bronze_timed AS (
+  SELECT * REPLACE (CASE WHEN src_id % 211 = 3 AND ingestion_timestamp < TIMESTAMP '2024-01-15'
+                         THEN NULL ELSE "timestamp" END AS "timestamp") FROM bronze_raw
+),
+base_u"""
+    sql = sql.replace("FROM bronze_raw\n)", "FROM bronze_timed\n)")
+    sql = sql.replace("FROM base WHERE src_id % 20 = 0\n),\nbase_u", late)
+    return sql.replace(
+        'ORDER BY "timestamp", event_id\n', 'ORDER BY "timestamp" NULLS FIRST, event_id\n'
+    )
+
+
+SILVER_INCREMENTAL_SQL = _hard(
     "WITH"
     + SILVER_CTE
     + """
 SELECT event_id, sensor_id, sensor_type, facility_id, "timestamp", value, quality_score,
-       is_anomaly, ingestion_timestamp, event_date
+       is_anomaly, ingestion_timestamp, event_date,
+       round(rolling_mean + 1e-9, 6) AS rolling_mean,
+       round(rolling_stddev + 1e-9, 6) AS rolling_stddev, round(z_score + 1e-9, 6) AS z_score
 FROM silver"""
 )
 
+GOLD_KPIS_TABLE_SQL = (
+    "SELECT * FROM ("
+    + _hard(KPI_SQL)
+    + ") WHERE facility_id = 'PLANT-A' AND kpi_date = DATE '2024-01-10'"
+)
+
+GOLD_SEVERITY_TABLE_SQL = (
+    "SELECT * FROM (" + _hard(SEVERITY_SQL) + ") WHERE facility_id = 'PLANT-B'"
+)
+
+BRONZE_MIXED_SQL = (
+    "WITH"
+    + BRONZE_CTE
+    + """
+SELECT event_id, sensor_type, facility_id, "timestamp", value, event_date, 'kafka' AS source
+FROM bronze
+UNION ALL
+SELECT event_id, sensor_type, facility_id, "timestamp", value, event_date, NULL
+FROM bronze
+WHERE event_id IS NOT NULL AND sensor_id IS NOT NULL AND "timestamp" IS NOT NULL
+  AND value IS NOT NULL
+  AND sensor_type IN ('temperature', 'vibration', 'pressure', 'throughput')"""
+)
+
+CONTRACT_QUARANTINE_SQL = _hard(
+    CONTRACT_SQL.split("flat AS (")[0].rstrip().rstrip(",").replace(
+        "AS violations\n  FROM bronze", "AS violations, bronze.*\n  FROM bronze"
+    )
+    + """
+SELECT event_id, sensor_type, "timestamp", value,
+       CASE WHEN len(violations) = 0 THEN coalesce(quality_score, 1.0) ELSE quality_score END AS quality_score,
+       CASE WHEN len(violations) = 0 THEN coalesce(is_anomaly, false) ELSE is_anomaly END AS is_anomaly,
+       array_to_string(violations, ',') AS reasons
+FROM rules"""
+)
+
 ORACLE.update(
     {
+        "gold_kpis_table": GOLD_KPIS_TABLE_SQL,
+        "gold_severity_table": GOLD_SEVERITY_TABLE_SQL,
+        "bronze_mixed": BRONZE_MIXED_SQL,
+        "contract_quarantine": CONTRACT_QUARANTINE_SQL,
         "bronze_range_read": BRONZE_RANGE_SQL,
         "bronze_stats": BRONZE_STATS_SQL,
         "silver_stats": SILVER_STATS_SQL,
@@ -406,10 +470,11 @@ PROFILE_COLUMNS_SQL = "\nUNION ALL\n".join(
 
 _BRONZE_PROFILE_COLUMNS = (
     "event_id", "sensor_id", "sensor_type", "facility_id", "timestamp", "value", "unit",
-    "quality_score", "is_anomaly", "kafka_timestamp", "kafka_partition", "kafka_offset",
+    "quality_score", "is_anomaly", "metadata", "kafka_timestamp", "kafka_partition", "kafka_offset",
     "ingestion_timestamp", "source", "pipeline_version", "event_date",
 )
 _BRONZE_PROFILE_EXPR = {
+    "metadata": "props",
     "kafka_timestamp": "CAST(NULL AS TIMESTAMP)",
     "kafka_partition": "CAST(NULL AS INTEGER)",
     "kafka_offset": "CAST(NULL AS BIGINT)",
@@ -593,8 +658,22 @@ SELECT (SELECT count(*) FROM all_checks) AS total_checks,
        CAST(95.0 AS DOUBLE) AS completeness_threshold_percent"""
 )
 
+SLA_RECENT_SQL = (
+    "WITH"
+    + SILVER_CTE
+    + _GOV_CTE
+    + """,
+history AS (
+  SELECT name, status, metric_value, TIMESTAMP '2024-01-31 00:30:00' AS checked_at FROM all_checks
+  UNION ALL
+  SELECT name, status, metric_value, TIMESTAMP '2024-01-30 00:30:00' FROM all_checks
+)
+SELECT * FROM history ORDER BY checked_at DESC, name LIMIT 9"""
+)
+
 ORACLE.update(
     {
+        "sla_recent": SLA_RECENT_SQL,
         "lineage_runs": LINEAGE_SQL,
         "freshness": FRESHNESS_SQL,
         "completeness": COMPLETENESS_SQL,
@@ -602,49 +681,3 @@ ORACLE.update(
         "sla_dashboard": SLA_DASHBOARD_SQL,
     }
 )
-
-_VT_ROWS = """,
-vt AS (SELECT event_id, sensor_id, sensor_type, facility_id, "timestamp", value, event_date
-       FROM bronze)"""
-
-VT_TIME_TRAVEL_SQL = (
-    "WITH" + BRONZE_CTE + _VT_ROWS
-    + """
-SELECT *, 1 AS version FROM vt WHERE event_date < DATE '2024-01-15'
-UNION ALL
-SELECT *, 2 AS version FROM vt"""
-)
-
-VT_EVOLVED_SQL = (
-    "WITH" + BRONZE_CTE + _VT_ROWS
-    + """
-SELECT event_id, sensor_id, sensor_type, facility_id, "timestamp", value AS reading, event_date,
-       CAST(NULL AS VARCHAR) AS note
-FROM vt"""
-)
-
-VT_COMPACTED_SQL = VT_EVOLVED_SQL
-
-VT_HISTORY_SQL = (
-    "WITH" + BRONZE_CTE + _VT_ROWS
-    + """,
-n AS (SELECT count(*) FILTER (WHERE event_date < DATE '2024-01-15') AS n1,
-             count(*) FILTER (WHERE NOT (event_date < DATE '2024-01-15') OR event_date IS NULL) AS n2
-      FROM vt)
-SELECT CAST(1 AS BIGINT) AS snapshot_id, 'create' AS operation, n1 AS row_count,
-       1 AS live_commit_count,
-       true AS is_current_ancestor FROM n
-UNION ALL SELECT 2, 'append', n2, 2, true FROM n
-UNION ALL SELECT 3, 'add_column', 0, 2, true FROM n
-UNION ALL SELECT 4, 'rename_column', 0, 2, true FROM n
-UNION ALL SELECT 5, 'replace', n1 + n2, 1, true FROM n"""
-)
-
-ORACLE.update(
-    {
-        "vt_time_travel": VT_TIME_TRAVEL_SQL,
-        "vt_evolved": VT_EVOLVED_SQL,
-        "vt_compacted": VT_COMPACTED_SQL,
-        "vt_history": VT_HISTORY_SQL,
-    }
-)

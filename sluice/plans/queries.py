@@ -14,11 +14,22 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sluice.config import DEFAULT_CONFIG
-from sluice.operators.aggregate import aggregate_kpis, anomaly_scores
+from sluice.operators.aggregate import (
+    aggregate_kpis,
+    anomaly_scores,
+    kpis_from_base,
+    severity_from_base,
+    window_base,
+)
 from sluice.operators.clean import clean
 from sluice.operators.dedup import dedup_first
-from sluice.operators.enrich import enrich
-from sluice.operators.ingest import parse_records, validate_events, violation_counts
+from sluice.operators.enrich import enrich, time_features
+from sluice.operators.ingest import (
+    parse_records,
+    split_contract,
+    validate_events,
+    violation_counts,
+)
 from sluice.operators.profile import profile, report_flags
 from sluice.operators.quality import run_suite, suite_summary
 from sluice.sources.fixtures import fixture_events, load_table
@@ -32,13 +43,13 @@ from sluice.operators.governance import (
     lineage_runs,
     lineage_steps,
     read_sla_history,
+    recent_checks,
     sla_alerts,
     sla_dashboard,
 )
 from sluice.plans.medallion import ingest_bronze, process_gold, process_silver
-from sluice.session import scratch_path
+from sluice.session import scratch_path, stage_table
 from sluice.sources.kafka import to_kafka_records
-from sluice.sources.versioned import VersionedTable
 from sluice.streaming.jobs import (
     clean_stream,
     dedup_stream,
@@ -53,6 +64,8 @@ from sluice.sources.tables import (
     expired_partitions,
     gold_stats,
     read_bronze,
+    read_kpis,
+    read_severity,
     read_silver,
     silver_stats,
 )
@@ -60,6 +73,12 @@ from sluice.sources.tables import (
 QueryFn = Callable[[SparkSession, str], DataFrame]
 
 
+#: Computed doubles of a KPI row.
+KPI_DOUBLES = (
+    "avg_value", "stddev_value", "anomaly_rate", "avg_quality_score", "avg_z_score", "max_abs_z_score"
+)
+
+
 def r6(*cols: str) -> dict:
     """Tie-stable 6-digit rounding (same rule as the oracle SQL)."""
     return {c: F.round(F.col(c) + F.lit(1e-9), 6) for c in cols}
@@ -70,6 +89,11 @@ def silver_frame(spark: SparkSession, sf_dir: str, strategy: str = "chunked") ->
     return enrich(clean(dedup_first(fixture_events(spark, sf_dir))), DEFAULT_CONFIG, strategy)
 
 
+def plain_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Silver rows without the rolling step: all that its time and quality columns need."""
+    return time_features(clean(dedup_first(fixture_events(spark, sf_dir))))
+
+
 def q_severity_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Flagship: AGG2 + PRJ15/16 over the whole silver chain."""
     sev = anomaly_scores(silver_frame(spark, sf_dir), computed_at=False)
@@ -80,16 +104,7 @@ def q_severity_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def q_kpi_15min(spark: SparkSession, sf_dir: str) -> DataFrame:
     kpis = aggregate_kpis(silver_frame(spark, sf_dir), computed_at=False)
-    return kpis.withColumns(
-        r6(
-            "avg_value",
-            "stddev_value",
-            "anomaly_rate",
-            "avg_quality_score",
-            "avg_z_score",
-            "max_abs_z_score",
-        )
-    )
+    return kpis.withColumns(r6(*KPI_DOUBLES))
 
 
 def q_dedup_first(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -105,7 +120,7 @@ def q_clean_defaults(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_time_features(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return silver_frame(spark, sf_dir).select(
+    return plain_silver(spark, sf_dir).select(
         "event_id", "event_date", "hour_of_day", "day_of_week", "is_business_hours"
     )
 
@@ -130,7 +145,19 @@ def q_contract_violations(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def q_json_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """SNK6 then PRJ1: publish-shaped records parse back to the same events."""
-    records = to_kafka_records(fixture_events(spark, sf_dir))
+    events = fixture_events(spark, sf_dir)
+    # Every seventh record carries its event time as whole epoch seconds.
+    records = to_kafka_records(events, passthrough=("event_id", "timestamp")).withColumn(
+        "value",
+        F.when(
+            F.col("event_id").cast("long") % 7 == 0,
+            F.regexp_replace(
+                "value",
+                F.lit('"timestamp":"[^"]*"'),
+                F.concat(F.lit('"timestamp":'), F.unix_seconds("timestamp").cast("string")),
+            ),
+        ).otherwise(F.col("value")),
+    ).select("key", "value")
     parsed = parse_records(records.withColumn("value", F.col("value").cast("binary")))
     return parsed.select(
         F.coalesce("sensor_id", F.lit("unknown")).alias("key"),
@@ -191,28 +218,52 @@ def q_bronze_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_silver_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return silver_stats(silver_frame(spark, sf_dir)).withColumns(
+    return silver_stats(plain_silver(spark, sf_dir)).withColumns(
         r6("avg_quality_score", "anomaly_rate")
     )
 
 
 def q_gold_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
-    silver = silver_frame(spark, sf_dir)
-    return gold_stats(aggregate_kpis(silver), anomaly_scores(silver))
+    # Row counts need no z-score; the base is shared by both tables.
+    silver = plain_silver(spark, sf_dir).withColumn("z_score", F.lit(0.0))
+    minutes = DEFAULT_CONFIG.kpi_window_minutes
+    base = stage_table(window_base(silver, minutes), "gold-stats")
+    return gold_stats(kpis_from_base(base, minutes), severity_from_base(base))
 
 
 def q_expired_partitions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return expired_partitions(fixture_events(spark, sf_dir), "2024-02-10", 30)
 
 
+def hard_bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The bronze fixture with copies re-sent 30 hours later and, among the rows
+    that arrive before the cut, event times that are missing."""
+    bronze = fixture_events(spark, sf_dir)
+    number = F.col("event_id").cast("long")
+    first = fixture_events(spark, sf_dir, with_resends=False).filter(number % 50 == 7)
+    late = first.withColumns(
+        {
+            "value": F.col("value") + 2,
+            "ingestion_timestamp": F.col("ingestion_timestamp") + F.expr("INTERVAL 30 HOURS"),
+        }
+    )
+    untimed = (number % 211 == 3) & (
+        F.col("ingestion_timestamp") < F.lit(INCREMENTAL_CUT).cast("timestamp")
+    )
+    return bronze.unionByName(late).withColumns(
+        {c: F.when(~untimed, F.col(c)) for c in ("timestamp", "event_date")}
+    )
+
+
 def q_silver_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two bronze batches split by arrival time, two incremental silver runs.
 
-    The final silver table must hold exactly the rows of a full reload:
-    re-sent copies of first-batch events are removed across batches (D4).
+    The final silver table must hold exactly the rows of a full reload, rolling
+    columns included: re-sent copies of first-batch events are removed across
+    batches however late they come (D4), and frames continue (D5).
     """
     root = LakePaths(scratch_path(spark, "silver-incremental"))
-    bronze = fixture_events(spark, sf_dir)
+    bronze = hard_bronze(spark, sf_dir)
     cut = F.lit(INCREMENTAL_CUT).cast("timestamp")
     ingest_bronze(bronze.filter(F.col("ingestion_timestamp") < cut), root.bronze)
     process_silver(spark, root.bronze, root.silver)
@@ -229,11 +280,66 @@ def q_silver_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
         "is_anomaly",
         "ingestion_timestamp",
         "event_date",
+        "rolling_mean",
+        "rolling_stddev",
+        "z_score",
+    ).withColumns(r6("rolling_mean", "rolling_stddev", "z_score"))
+
+
+def _gold_tables(spark: SparkSession, sf_dir: str) -> LakePaths:
+    """Bronze, silver and gold written by the composite jobs, untimed rows included."""
+    root = LakePaths(scratch_path(spark, "gold"))
+    ingest_bronze(hard_bronze(spark, sf_dir), root.bronze)
+    process_silver(spark, root.bronze, root.silver)
+    process_gold(spark, root.silver, root.kpis, root.severity)
+    return root
+
+
+def q_gold_kpis_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """PIPE3/SNK4, then SRC4 with FIL6 on the partition columns."""
+    root = _gold_tables(spark, sf_dir)
+    return (
+        read_kpis(spark, root.kpis, "PLANT-A", "2024-01-10")
+        .drop("computed_at")
+        .withColumns(r6(*KPI_DOUBLES))
+    )
+
+
+def q_gold_severity_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """PIPE3/SNK5, then SRC5 with FIL6; the null day holds the rows without event time."""
+    root = _gold_tables(spark, sf_dir)
+    return (
+        read_severity(spark, root.severity, "PLANT-B")
+        .drop("computed_at")
+        .withColumns(r6("avg_abs_z_score", "anomaly_rate", "avg_quality", "anomaly_severity"))
+    )
+
+
+def q_bronze_mixed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SNK1 then SNK2 into one bronze table: streamed and batch rows are both read."""
+    root = LakePaths(scratch_path(spark, "bronze-mixed"))
+    run_bronze_ingest(file_record_stream(spark, sf_dir), root.bronze, f"{root.root}/_ckpt")
+    ingest_bronze(fixture_events(spark, sf_dir), root.bronze)
+    return read_bronze(spark, root.bronze).select(
+        "event_id", "sensor_type", "facility_id", "timestamp", "value", "event_date", "source"
+    )
+
+
+def q_contract_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """FIL2: valid rows with their defaults and quarantined rows with their reasons."""
+    valid, bad = split_contract(hard_bronze(spark, sf_dir))
+    columns = ("event_id", "sensor_type", "timestamp", "value", "quality_score", "is_anomaly")
+    return valid.select(*columns, F.lit("").alias("reasons")).unionByName(
+        bad.select(*columns, F.array_join("violations", ",").alias("reasons"))
     )
 
 
 QUERIES.update(
     {
+        "gold_kpis_table": q_gold_kpis_table,
+        "gold_severity_table": q_gold_severity_table,
+        "bronze_mixed": q_bronze_mixed,
+        "contract_quarantine": q_contract_quarantine,
         "bronze_range_read": q_bronze_range_read,
         "bronze_stats": q_bronze_stats,
         "silver_stats": q_silver_stats,
@@ -263,19 +369,15 @@ def q_quality_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_profile_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """PRF1 over the whole lineitem table.
-
-    Quantile accuracy 1e6: exact ranks up to a million rows, so the result can
-    be compared with exact quantiles.
-    """
-    return profile(load_table(spark, sf_dir, "lineitem"), accuracy=1_000_000).withColumns(
+    """PRF1 over the whole lineitem table, exact at any size."""
+    return profile(load_table(spark, sf_dir, "lineitem")).withColumns(
         r6("null_rate", "mean", "stddev")
     )
 
 
 def q_profile_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     """PRF2 per-column flags over the profile of the raw bronze rows."""
-    return report_flags(profile(fixture_events(spark, sf_dir).drop("metadata"))).drop("row_count")
+    return report_flags(profile(fixture_events(spark, sf_dir))).drop("row_count")
 
 
 QUERIES.update(
@@ -384,7 +486,7 @@ def q_lineage_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _sla_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    silver = silver_frame(spark, sf_dir)
+    silver = plain_silver(spark, sf_dir)
     bronze = fixture_events(spark, sf_dir)
     fresh = freshness(silver, SLA_AS_OF, by="facility_id").drop("facility_id", "latest_event")
     fresh_all = freshness(silver, SLA_AS_OF).drop("latest_event")
@@ -399,7 +501,7 @@ def _sla_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
         {
             "bronze": validate_events(bronze),
             "silver": silver,
-            "gold": anomaly_scores(silver),
+            "gold": anomaly_scores(silver.withColumn("z_score", F.lit(0.0))),
         }
     )
     comp = completeness(actual, expected, SLA_AS_OF)
@@ -408,7 +510,7 @@ def _sla_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def q_freshness(spark: SparkSession, sf_dir: str) -> DataFrame:
     """SLA1 per facility and overall at a fixed as-of time."""
-    silver = silver_frame(spark, sf_dir)
+    silver = plain_silver(spark, sf_dir)
     per = freshness(silver, SLA_AS_OF, by="facility_id").drop("facility_id")
     overall = freshness(silver, SLA_AS_OF)
     return per.unionByName(overall).select(
@@ -437,8 +539,21 @@ def q_sla_dashboard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sla_dashboard(read_sla_history(spark, path))
 
 
+def q_sla_recent(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SLA4, LIM2: the newest checks of an SLA history (a top-k report)."""
+    path = scratch_path(spark, "sla-recent") + "/sla_checks"
+    checks = _sla_checks(spark, sf_dir)
+    append_sla_history(spark, checks, path)
+    older = checks.withColumn("checked_at", F.col("checked_at") - F.expr("INTERVAL 1 DAY"))
+    append_sla_history(spark, older, path)
+    return recent_checks(read_sla_history(spark, path), 9).select(
+        "name", "status", "metric_value", "checked_at"
+    )
+
+
 QUERIES.update(
     {
+        "sla_recent": q_sla_recent,
         "lineage_runs": q_lineage_runs,
         "freshness": q_freshness,
         "completeness": q_completeness,
@@ -446,73 +561,3 @@ QUERIES.update(
         "sla_dashboard": q_sla_dashboard,
     }
 )
-
-
-# ---------------------------------------------------------------------------
-# Versioned tables
-# ---------------------------------------------------------------------------
-
-VT_SPLIT = "2024-01-15"
-VT_COLUMNS = ("event_id", "sensor_id", "sensor_type", "facility_id", "timestamp", "value", "event_date")
-
-
-def _vt_build(spark: SparkSession, sf_dir: str, steps: tuple[str, ...]) -> VersionedTable:
-    """create (rows before VT_SPLIT) -> append (rest) -> [evolve] -> [compact]."""
-    table = VersionedTable(spark, scratch_path(spark, "vt"))
-    rows = fixture_events(spark, sf_dir).select(*VT_COLUMNS)
-    split = F.lit(VT_SPLIT).cast("date")
-    table.create(rows.filter(F.col("event_date") < split), partition_columns=["event_date"])
-    table.append(rows.filter(~(F.col("event_date") < split) | F.col("event_date").isNull()))
-    if "evolve" in steps:
-        table.evolve_schema(add_columns={"note": "string"}, rename_columns={"value": "reading"})
-    if "compact" in steps:
-        table.compact()
-    return table
-
-
-def q_vt_time_travel(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """VT1-4: snapshot 1 by id, and the as-of-timestamp read at snapshot 2's commit time."""
-    table = _vt_build(spark, sf_dir, ())
-    second = table.snapshot(2)
-    by_id = table.read(snapshot_id=1).withColumn("version", F.lit(1))
-    by_time = table.read(as_of=second.committed_at.isoformat(sep=" ")).withColumn("version", F.lit(2))
-    return by_id.unionByName(by_time)
-
-
-def q_vt_evolved(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """VT7/VT8: added column reads as null, renamed column keeps its data."""
-    return _vt_build(spark, sf_dir, ("evolve",)).read()
-
-
-def q_vt_compacted(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """VT10 then VT9: compacted current snapshot, older snapshots expired and deleted."""
-    table = _vt_build(spark, sf_dir, ("evolve", "compact"))
-    table.expire_snapshots(table.current().committed_at)
-    return table.read()
-
-
-def q_vt_history(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """VT5/VT6: the snapshot log (ids and times excluded from the comparison)."""
-    table = _vt_build(spark, sf_dir, ("evolve", "compact"))
-    hist = table.history().select("snapshot_id", "is_current_ancestor")
-    return (
-        table.list_snapshots()
-        .join(hist, "snapshot_id")
-        .select(
-            "snapshot_id",
-            "operation",
-            "row_count",
-            F.size("live_commits").alias("live_commit_count"),
-            "is_current_ancestor",
-        )
-    )
-
-
-QUERIES.update(
-    {
-        "vt_time_travel": q_vt_time_travel,
-        "vt_evolved": q_vt_evolved,
-        "vt_compacted": q_vt_compacted,
-        "vt_history": q_vt_history,
-    }
-)

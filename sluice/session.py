@@ -2,8 +2,8 @@
 
 On a cluster ``spark.checkpoint.dir`` names a shared folder (HDFS, object
 store). Every intermediate table, streaming checkpoint and scratch output of
-this package goes below it. Only when it is unset (local tests) do we create a
-temporary one.
+this package goes below it. Only a local master (tests, the bench) may leave it
+unset and gets a temporary one.
 """
 
 from __future__ import annotations
@@ -11,7 +11,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 _CHECKPOINT_KEY = "spark.checkpoint.dir"
 
@@ -62,7 +62,8 @@ def checkpoint_root(spark: SparkSession) -> str:
     if not current:
         current = spark.conf.get(_CHECKPOINT_KEY, None) or sc.getConf().get(_CHECKPOINT_KEY, None)
         if not current:
-            # Unset: only happens in local tests and the bench.
+            if not sc.master.startswith("local"):
+                raise RuntimeError(f"set {_CHECKPOINT_KEY} to a folder that all executors share")
             current = tempfile.mkdtemp(prefix="sluice-ckpt-")
         sc.setCheckpointDir(current)
     return current
@@ -74,6 +75,26 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{root}/sluice/{name}-{uuid.uuid4().hex[:12]}"
 
 
+def stage_table(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` once below the shared checkpoint folder and read it back.
+
+    Columnar and prunable, cuts lineage, and fixes generated ids; a lost executor
+    costs a re-read. The folder goes when :func:`clear_scratch` is called.
+    """
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def clear_scratch(spark: SparkSession) -> bool:
+    """Delete every staged table and scratch folder of this application's root.
+
+    For the end of a job: results that still read staged tables become invalid.
+    """
+    return delete_path(spark, f"{checkpoint_root(spark).rstrip('/')}/sluice")
+
+
 def path_exists(spark: SparkSession, path: str) -> bool:
     """Existence check through the Hadoop FileSystem of the path (any scheme)."""
     jvm = spark.sparkContext._jvm

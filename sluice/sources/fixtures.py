@@ -4,7 +4,7 @@ A deterministic projection (plus one filtered copy for re-sent events) that
 plants every defect the pipeline must handle: padded facility ids, null values
 and scores, an unknown sensor type, and duplicate deliveries that arrive an
 hour later with a different value. The same rules are written as SQL in
-``sluice.oracle`` so DuckDB can repeat them.
+``sluice.plans.oracle`` so DuckDB can repeat them.
 """
 
 from __future__ import annotations
@@ -43,21 +43,9 @@ SENSOR_TO_UNIT = (
 FACILITIES = ("PLANT-A", "PLANT-B", "PLANT-C")
 
 
-def load_table(
-    spark: SparkSession, sf_dir: str, name: str, min_partitions: int | None = None
-) -> DataFrame:
-    """Read one driver table; spread it over the cores when it has fewer splits.
-
-    A small file (or one with a single row group) is read by one task, which
-    would then do all map-side work alone. Below ``min_partitions`` (default:
-    the session's parallelism) the scan is redistributed round-robin; a large
-    table already has more splits than cores and is left as it is.
-    """
-    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
-    target = min_partitions or spark.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < target:
-        df = df.repartition(target)
-    return df
+def load_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """Read one driver table, as it is laid out."""
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def _case(column, pairs, default):

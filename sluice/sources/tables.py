@@ -25,7 +25,7 @@ from pyspark.sql.types import (
 )
 
 from sluice.schema import BRONZE_SCHEMA, KPI_SCHEMA, SEVERITY_SCHEMA, SILVER_SCHEMA
-from sluice.session import delete_path, path_exists
+from sluice.session import delete_path, list_dirs, path_exists
 
 
 @dataclass(frozen=True)
@@ -108,6 +108,11 @@ def equals(df: DataFrame, column: str, value) -> DataFrame:
     return df.filter(F.col(column) == F.lit(value))
 
 
+def stream_part(path: str) -> str:
+    """Folder of a bronze table's streamed rows, one sub-folder per micro-batch."""
+    return f"{path.rstrip('/')}_stream"
+
+
 def read_bronze(
     spark: SparkSession,
     path: str,
@@ -115,8 +120,13 @@ def read_bronze(
     end_date: str | dt.date | None = None,
     sensor_type: str | None = None,
 ) -> DataFrame:
-    """SRC2 + FIL5/FIL6 (partition pruned on event_date and sensor_type)."""
-    df = read_table(spark, path, BRONZE_SCHEMA)
+    """SRC2 + FIL5/FIL6: batch loads and streamed rows of one table (partition pruned
+    on event_date and sensor_type in both)."""
+    parts = [read_table(spark, path, BRONZE_SCHEMA)]
+    if path_exists(spark, stream_part(path)):
+        streamed = spark.read.schema(BRONZE_SCHEMA).parquet(stream_part(path))
+        parts.append(streamed.select(BRONZE_SCHEMA.fieldNames()))
+    df = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
     return equals(date_range(df, "event_date", start_date, end_date), "sensor_type", sensor_type)
 
 
@@ -338,7 +348,8 @@ def record_sensors(rows: DataFrame, table_path: str) -> None:
     aggregate; its size is the number of sensors in the batch.
     """
     rows.groupBy(F.trim(F.col("sensor_id")).alias("sensor_id"), "sensor_type").agg(
-        F.min("event_date").alias("first_event_date")
+        # Rows without an event time count as older than any day.
+        F.min(F.coalesce("event_date", F.lit("1600-01-01").cast("date"))).alias("first_event_date")
     ).write.mode("append").parquet(registry_path(table_path))
 
 
@@ -386,9 +397,12 @@ def expired_partitions(
 
 
 def purge_partitions(spark: SparkSession, path: str, dates: Sequence[dt.date], column: str = "event_date") -> int:
-    """Delete the listed ``column=<date>`` directories; returns how many existed."""
+    """Delete the listed ``column=<date>`` folders, of batch loads and of every
+    micro-batch; returns how many dates had any."""
+    roots = [path.rstrip("/")]
+    roots += [f"{stream_part(path)}/{b}" for b in list_dirs(spark, stream_part(path))]
     removed = 0
     for d in dates:
-        if delete_path(spark, f"{path.rstrip('/')}/{column}={d.isoformat()}"):
-            removed += 1
+        gone = [delete_path(spark, f"{root}/{column}={d.isoformat()}") for root in roots]
+        removed += any(gone)
     return removed

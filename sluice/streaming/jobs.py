@@ -1,8 +1,8 @@
 """Structured Streaming jobs (STR1-4, SNK1).
 
-* STR1/SNK1: records -> parse -> validate -> bronze, appended as partitioned
-  Parquet with a checkpoint (exactly-once file sink; a restart re-reads
-  nothing already committed, STR2).
+* STR1/SNK1: records -> parse -> validate -> bronze. Each micro-batch is written
+  to its own folder beside the batch loads of the same table, so a restart
+  (STR2) repeats a batch without doubling it and a reader sees both parts.
 * STR3: ``dropDuplicatesWithinWatermark`` on event_id with the configured
   dedup window (state is bounded by the watermark).
 * STR4: z-free KPIs over a watermarked stream in append mode: a window is
@@ -16,16 +16,19 @@ same record shape.
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from sluice.config import DEFAULT_CONFIG, LakeConfig
-from sluice.operators.aggregate import aggregate_kpis
+from sluice.operators.aggregate import stream_kpis
 from sluice.operators.clean import clean
 from sluice.operators.ingest import parse_records, to_bronze, validate_events
 from sluice.sources.fixtures import sensor_events
 from sluice.sources.kafka import to_kafka_records
+from sluice.sources.tables import stream_part, write_partitioned
 
 EVENTS_SOURCE_SCHEMA = (
     "event_id BIGINT, ts TIMESTAMP_NTZ, user_id BIGINT, event_type STRING, value DOUBLE, "
@@ -78,6 +81,20 @@ def bronze_stream(records: DataFrame) -> DataFrame:
     )
 
 
+def write_stream_batch(
+    batch: DataFrame, output_path: str, source_id: str, batch_id: int, config: LakeConfig = DEFAULT_CONFIG
+) -> None:
+    """SNK1, one micro-batch: its own folder of the bronze table's stream part.
+
+    The folder is named by the stream and the batch, and written with overwrite: a
+    batch that is run again after a failure replaces its own rows and no others.
+    It is an ordinary batch write, so the rebalance hint lets adaptive execution
+    split a folder that holds most of the batch (live data is one day).
+    """
+    path = f"{stream_part(output_path)}/batch={source_id}-{batch_id}"
+    write_partitioned(batch, path, config.bronze_partitions, "overwrite", name="stream_bronze")
+
+
 def start_bronze_sink(
     df: DataFrame,
     output_path: str,
@@ -86,26 +103,13 @@ def start_bronze_sink(
     processing_time: str | None = "30 seconds",
     available_now: bool = False,
     query_name: str | None = None,
-    files_per_partition: int = 1,
 ) -> StreamingQuery:
-    """SNK1: append partitioned Parquet with a checkpoint; returns the running query.
-
-    Each micro-batch is clustered by the partition columns (AQE does not run
-    on streams, so no rebalance hint): every directory gets one file per
-    ``files_per_partition`` instead of one per task. A micro-batch is bounded
-    by the source's trigger limits, which bounds the largest directory's task;
-    ``files_per_partition > 1`` salts a hot directory over several tasks.
-    """
-    keys = [F.col(c) for c in config.bronze_partitions]
-    if files_per_partition > 1:
-        keys.append(F.pmod(F.xxhash64("event_id"), F.lit(files_per_partition)))
-    df = df.repartition(*keys)
-    writer = (
-        df.writeStream.format("parquet")
-        .option("checkpointLocation", checkpoint_dir)
-        .option("path", output_path)
-        .partitionBy(*config.bronze_partitions)
-        .outputMode("append")
+    """SNK1: append micro-batches to the stream part of a bronze table; returns the
+    running query. The checkpoint folder identifies the stream, so several streams
+    and any number of batch loads can feed one table."""
+    source_id = hashlib.sha256(checkpoint_dir.rstrip("/").encode()).hexdigest()[:12]
+    writer = df.writeStream.option("checkpointLocation", checkpoint_dir).foreachBatch(
+        lambda batch, batch_id: write_stream_batch(batch, output_path, source_id, batch_id, config)
     )
     if query_name:
         writer = writer.queryName(query_name)
@@ -145,9 +149,7 @@ def kpi_stream(
     df: DataFrame, config: LakeConfig = DEFAULT_CONFIG, delay: str = "1 hour"
 ) -> DataFrame:
     """STR4: z-free KPIs (8 of 10 measures; z needs a row frame, which streams lack)."""
-    return aggregate_kpis(
-        df.withWatermark("timestamp", delay), config=config, with_z=False, computed_at=False
-    )
+    return stream_kpis(df.withWatermark("timestamp", delay), config.kpi_window_minutes)
 
 
 def clean_stream(records: DataFrame, config: LakeConfig = DEFAULT_CONFIG) -> DataFrame:
