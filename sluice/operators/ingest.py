@@ -37,7 +37,8 @@ def event_time(text: Column) -> Column:
     the epoch (with any fraction), all else is read as a timestamp; bad text is null."""
     seconds = text.try_cast("decimal(20,6)")
     return F.when(
-        text.rlike(r"^-?[0-9]{5,13}(\.[0-9]+)?$"),
+        # The JSON reader hands large fractions over in scientific notation.
+        text.rlike(r"^-?([0-9]{5,13}(\.[0-9]+)?|[0-9]\.[0-9]+E[0-9]{1,2})$"),
         F.timestamp_micros((seconds * 1_000_000).cast("long")),
     ).otherwise(text.try_cast("timestamp"))
 

@@ -118,6 +118,88 @@ def test_stream_restart_adds_nothing(spark, tmp_root):
     assert os.path.isdir(ckpt)
 
 
+def test_one_bronze_for_stream_and_batch_in_both_orders(spark, tmp_root):
+    batch = bronze_rows(spark, [event(f"b{i}") for i in range(7)])
+    for order in ("stream first", "batch first"):
+        root = f"{tmp_root}/{order[:5]}"
+        out, ckpt = f"{root}/bronze", f"{root}/ckpt"
+        if order == "batch first":
+            ingest_bronze(batch, out)
+        run_bronze_ingest(file_record_stream(spark, SMOKE), out, ckpt)
+        streamed = read_bronze(spark, out).filter("kafka_offset is not null").count()
+        if order == "stream first":
+            ingest_bronze(batch, out)
+        assert streamed > 0 and read_bronze(spark, out).count() == streamed + 7
+
+
+def test_a_batch_that_runs_again_replaces_itself(spark, tmp_root):
+    from sluice.streaming.jobs import write_stream_batch
+
+    rows = bronze_rows(spark, [event(i, t=f"2024-01-0{1 + i % 3} 00:00:00") for i in range(30)])
+    rows = rows.withColumn("event_date", F.to_date("timestamp"))
+    for _ in range(2):
+        write_stream_batch(rows, f"{tmp_root}/bronze", "s1", 0)
+    write_stream_batch(rows, f"{tmp_root}/bronze", "s2", 0)
+    assert read_bronze(spark, f"{tmp_root}/bronze").count() == 60
+    assert read_bronze(spark, f"{tmp_root}/bronze", "2024-01-02", "2024-01-02").count() == 20
+
+
+def test_a_streamed_day_is_spread_over_tasks(spark, tmp_root):
+    """One day and type in a micro-batch: adaptive execution splits the folder."""
+    from sluice.streaming.jobs import write_stream_batch
+
+    keep = spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "64k")
+    try:
+        rows = spark.range(0, 40_000, 1, 8).select(
+            F.col("id").cast("string").alias("event_id"), F.rand(1).alias("value"),
+            F.lit("temperature").alias("sensor_type"), F.lit("2024-01-01").cast("date").alias("event_date"),
+        )
+        write_stream_batch(rows, f"{tmp_root}/bronze", "s", 0)
+    finally:
+        spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", keep)
+    files = os.listdir(f"{tmp_root}/bronze_stream/batch=s-0/event_date=2024-01-01/sensor_type=temperature")
+    assert sum(f.endswith(".parquet") for f in files) > 2
+
+
+def test_purge_of_a_streamed_table_and_listed_rows(spark, tmp_root):
+    lake = Lakehouse(spark, tmp_root)
+    lake.ingest(bronze_rows(spark, [event(1, t="2023-01-01 00:00:00"), event(2)]))
+    run_bronze_ingest(file_record_stream(spark, SMOKE), lake.paths.bronze, f"{tmp_root}/ckpt")
+    before = lake.bronze().count()
+    listed = lake.expired("2024-04-10", purge=True)
+    gone = {str(r["event_date"]): r["row_count"] for r in listed.collect()}
+    assert "2023-01-01" in gone and len(gone) > 3
+    assert lake.bronze().count() == before - sum(gone.values())
+
+
+def test_a_copy_re_sent_days_later_is_dropped(spark, tmp_root):
+    p = LakePaths(tmp_root)
+    ingest_bronze(bronze_rows(spark, [event(1, ingest="2024-01-01 00:00:00")]), p.bronze)
+    process_silver(spark, p.bronze, p.silver)
+    later = [event(1, value=9.0, ingest="2024-01-09 00:00:00"), event(2, ingest="2024-01-09 00:00:00")]
+    ingest_bronze(bronze_rows(spark, later), p.bronze)
+    assert process_silver(spark, p.bronze, p.silver) == 1
+    assert read_silver(spark, p.silver).count() == 2
+
+
+def test_rows_without_event_time_stay_in_the_history(spark, tmp_root):
+    full, steps = LakePaths(f"{tmp_root}/full"), LakePaths(f"{tmp_root}/steps")
+    first = [event(i, t=None, ingest="2024-01-01 00:00:00", value=float(i)) for i in range(5)]
+    first += [event(10 + i, t=f"2024-01-01 0{i}:00:00", ingest="2024-01-01 10:00:00") for i in range(3)]
+    second = [event(20 + i, t=f"2024-01-05 0{i}:00:00", ingest="2024-01-05 10:00:00") for i in range(3)]
+    ingest_bronze(bronze_rows(spark, first + second), full.bronze)
+    process_silver(spark, full.bronze, full.silver)
+    for part in (first, second):
+        ingest_bronze(bronze_rows(spark, part), steps.bronze)
+        process_silver(spark, steps.bronze, steps.silver)
+
+    def means(p):
+        return {r[0]: r[1] for r in read_silver(spark, p.silver).select("event_id", "rolling_mean").collect()}
+
+    assert means(full) == means(steps) and len(means(full)) == 11
+
+
 def test_recorded_mark_is_a_lower_bound(spark, tmp_root):
     from sluice.sources.tables import marks_path, read_high_water_mark, recorded_mark
 

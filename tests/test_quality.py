@@ -66,7 +66,7 @@ def test_profile_map_column_nulls_and_distinct(spark):
     assert prof["metadata"]["distinct_count"] == 3  # two maps + null
     assert prof["value"]["null_count"] == 1 and prof["value"]["distinct_count"] == 3
     assert prof["value"]["min"] == 0.0 and prof["sensor_id"]["mean"] is None
-    approx = {r["column_name"]: r for r in profile(bronze_rows(spark, rows), exact_distinct=False).collect()}
+    approx = {r["column_name"]: r for r in profile(bronze_rows(spark, rows), exact=False).collect()}
     assert approx["value"]["distinct_count"] == 3
 
 
@@ -93,15 +93,16 @@ def test_report_thresholds(spark):
     assert none["recommendations"] == []
 
 
-def test_profile_sample_is_deterministic(spark):
-    from sluice.operators.profile import profile_sampled
+def test_profile_quantiles_are_exact_and_span_partitions(spark):
+    import random
 
-    df = spark.range(0, 20000).selectExpr("id", "id % 7 AS k", "map('a', cast(id AS string)) AS m")
-    a = {r["column_name"]: r for r in profile_sampled(df, 2000).collect()}
-    b = {r["column_name"]: r for r in profile_sampled(df, 2000).collect()}
-    assert a == b
-    assert a["id"]["row_count"] == 20000
-    assert 1000 < a["id"]["distinct_count"] < 3000  # roughly the sample size
-    assert a["k"]["distinct_count"] == 7
-    whole = {r["column_name"]: r for r in profile_sampled(df, 50000).collect()}
-    assert whole["id"]["distinct_count"] == 20000
+    values = [float(random.Random(1).randrange(500)) for _ in range(3)] + [float(i % 37) for i in range(4000)]
+    values += [-0.0, 0.0, 1e9]
+    df = spark.createDataFrame([(v, i) for i, v in enumerate(values)] + [(None, -1)], "x double, k long")
+    got = {r["column_name"]: r for r in profile(df).collect()}
+    ranked = sorted(values)
+    for name, fraction in (("p25", 0.25), ("median", 0.5), ("p75", 0.75)):
+        assert got["x"][name] == ranked[max(1, -(-len(ranked) * fraction // 1).__int__()) - 1]
+    assert got["x"]["distinct_count"] == len(set(values)) + 1
+    assert got["k"]["distinct_count"] == len(values) + 1
+    assert profile(df.limit(0)).filter("distinct_count = 0 and median is null").count() == 2
