@@ -52,11 +52,19 @@ KINDS = ("assign", "access", "hex", "crf")
 _LEAST = {"assign": 6, "access": 20}
 
 _TOKEN = re.compile(r"[^\s\"'`=:,;()<>{}\[\]]+|[\"'`=:,;()<>{}\[\]]")
-#: Anything that makes a white-space separated word worth tagging: a digit, an
-#: inner symbol, a capital inside a word, or a key word.
-_NOTABLE = re.compile(
-    r"\S*(?:[0-9=_+/@$]|[a-z][A-Z]|[A-Z]{2}|:[^\s]|(?:pass(?:word|wd|phrase)|secret|token|api_?key|credential|auth))\S*",
-)
+#: Key words as bytes, and what each of them must contain (a cheap test per text).
+_KEY_WORDS = re.compile(rb"pass(?:word|wd|phrase)|secret|token|api_?key|credential|auth", re.I)
+_KEY_STEMS = (b"passw", b"passphrase", b"secret", b"token", b"api", b"credential", b"auth")
+_ASSIGN_STEMS = (b"passw", b"secret", b"token", b"api")
+#: A word of this many bytes is notable whatever it consists of.
+_LONG_WORD = 20
+_SPACE, _SPECIAL = 1, 2
+_BYTES = np.zeros(256, np.uint8)
+_BYTES[[0x20, *range(0x09, 0x0E)]] = _SPACE
+_BYTES[[*b"0123456789=:_+/"]] = _SPECIAL
+_NOT_HEX = np.ones(256, bool)
+_NOT_HEX[[*b"0123456789abcdef"]] = False
+_HEX_LEAST = 24
 _TRIGGER = re.compile(r"pass(word|wd|phrase)?|secret|token|api_?key|credential|auth|bearer|key", re.I | re.A)
 _CLASSES = ("letters", "digits", "hex", "mixed", "base64", "symbol", "other")
 _LENGTHS = (6, 12, 20, 32)
@@ -77,14 +85,23 @@ Span = tuple[str, int, int]
 
 
 def base_spans(text: str) -> list[Span]:
-    """Matches of the base patterns, leftmost and not overlapping per kind."""
+    """Matches of the base patterns, leftmost and not overlapping per kind.
+
+    Each expression runs only on texts that can match it: key words and runs of
+    hexadecimal digits are looked for in the raw bytes first.
+    """
     out: list[Span] = []
-    for m in ASSIGN.finditer(text):
-        if len(m[2]) >= _LEAST["assign"]:
-            out.append(("assign", *m.span()))
-    if "AKIA" in text:
+    data = text.encode("utf-8", "surrogatepass")
+    low = data.lower()
+    if any(stem in low for stem in _ASSIGN_STEMS):
+        for m in ASSIGN.finditer(text):
+            if len(m[2]) >= _LEAST["assign"]:
+                out.append(("assign", *m.span()))
+    if b"AKIA" in data:
         out += [("access", *m.span()) for m in ACCESS.finditer(text) if len(m[0]) >= _LEAST["access"]]
-    out += [("hex", *m.span()) for m in HEX.finditer(text)]
+    breaks = np.flatnonzero(_NOT_HEX[np.frombuffer(data, np.uint8)])
+    if np.diff(breaks, prepend=-1, append=len(data)).max() > _HEX_LEAST:
+        out += [("hex", *m.span()) for m in HEX.finditer(text)]
     return sorted(out, key=_order)
 
 
@@ -115,13 +132,42 @@ def _entropy(token: str) -> float:
     return -sum(c / n * math.log2(c / n) for c in Counter(token).values())
 
 
+def notable_words(text: str) -> list[tuple[int, int]]:
+    """Spans of the words worth tagging: with a digit or an inner symbol, with a key
+    word, or long. Found in the bytes; offsets are code points."""
+    data = text.encode("utf-8", "surrogatepass")
+    buf = np.frombuffer(data, np.uint8)
+    kind = _BYTES[buf]
+    inside = np.concatenate([[False], kind != _SPACE, [False]])
+    edges = np.flatnonzero(inside[1:] != inside[:-1])
+    starts, ends = edges[::2], edges[1::2]
+    marks = np.flatnonzero(kind == _SPECIAL)
+    low = data.lower()
+    if any(stem in low for stem in _KEY_STEMS):
+        marks = np.concatenate([marks, [m.start() for m in _KEY_WORDS.finditer(data)]])
+    found = np.unique(
+        np.concatenate(
+            [
+                np.searchsorted(starts, marks, "right") - 1,
+                np.flatnonzero(ends - starts >= _LONG_WORD),
+            ]
+        ).astype(np.int64)
+    )
+    if not len(found):
+        return []
+    a, b = starts[found], ends[found]
+    if len(text) != len(data):
+        points = np.concatenate([[0], np.cumsum((buf & 0xC0) != 0x80)])
+        a, b = points[a], points[b]
+    return list(zip(a.tolist(), b.tolist(), strict=True))
+
+
 def runs_of(text: str) -> list[list[tuple[int, int]]]:
-    """Token spans of the runs around notable words, three plain words to each side."""
-    out: list[list[tuple[int, int]]] = []
+    """Token spans of the runs around notable words, with a little plain text before."""
+    out: list[list[int]] = []
     end = -1
-    for m in _NOTABLE.finditer(text):
-        start, stop = m.span()
-        # A short left context; the text between is plain by definition.
+    for start, stop in notable_words(text):
+        # A short left context; the text between runs is plain by definition.
         left = text.rfind("\n", max(0, start - 40), start) + 1 or max(0, start - 40)
         if left > 0 and not text[left - 1].isspace():
             while left < start and not text[left].isspace():
