@@ -323,8 +323,9 @@ class _Search:
             some.select("rid", "doc_id", "n", "sig", "keys").join(met, ["rid", "doc_id"]).dropDuplicates(["rid"]),
             "bucket-profiles",
         )
+        # Members grow with the data: joined by shuffle whatever their size now.
         self.texts = stage(
-            self.docs.join(met, self.docs["doc_id"].eqNullSafe(met["doc_id"]))
+            self.docs.join(met.hint("merge"), self.docs["doc_id"].eqNullSafe(met["doc_id"]))
             .select("rid", "text")
             .mapInArrow(_own_texts, "rid long, text string")
             .dropDuplicates(["rid"]),
