@@ -89,7 +89,7 @@ def _fingerprint_rows(guarantees: list[int]):
     schema = pa.schema([("key", pa.int64()), ("g", pa.int32()), ("fps", pa.list_(pa.int64()))])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in (part for whole in batches for part in W.slices(whole, 1)):
             hashes, firsts = W.word_hashes(W.utf8(batch.column(1)), W.ALPHANUMERIC, lower=True)
             for g in guarantees:
                 values, owner = _batch_fingerprints(hashes, firsts, g)
@@ -136,12 +136,13 @@ def _item_rows(window: int):
     return run
 
 
-def _mark_rows(schema: pa.Schema, window: int):
-    """Adds counts to the carried columns; the last two columns in are text and items."""
+def _mark_rows(schema: pa.Schema, window: int, text_at: int):
+    """Adds counts to the carried columns; the last column in holds the items."""
+    n_carried = len(schema) - 3
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            carried, text, items_of = batch.columns[:-2], batch.columns[-2], batch.columns[-1]
+        for batch in (part for whole in batches for part in W.slices(whole, text_at)):
+            carried, text, items_of = batch.columns[:n_carried], batch.columns[text_at], batch.columns[-1]
             hashes, firsts = W.word_hashes(W.utf8(text), W.ALPHANUMERIC, lower=True)
             n_words = np.diff(firsts)
             n_hit = np.zeros(len(n_words), np.int64)
@@ -230,9 +231,10 @@ def mark_contamination(
             T.StructField("_items", T.ArrayType(T.LongType())),
         ]
     )
-    marked = keyed.select(
-        *[F.col(f"`{f.name}`") for f in columns], F.col("text").alias("_text"), "_found"
-    ).mapInArrow(_mark_rows(to_arrow_schema(out_schema), window), out_schema)
+    names = [f.name for f in columns]
+    sent = names if "text" in names else [*names, "text"]
+    mark = _mark_rows(to_arrow_schema(out_schema), window, sent.index("text"))
+    marked = keyed.select(*[F.col(f"`{n}`") for n in sent], "_found").mapInArrow(mark, out_schema)
     return marked.withColumn(
         "_contaminated",
         (F.col("_n_hit") > 0) & (F.col("_n_hit") * HIT_SHARE >= F.col("_n_words")),

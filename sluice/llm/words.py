@@ -11,6 +11,8 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
 U64 = np.uint64
 _rng = np.random.Generator(np.random.PCG64(20240229))
@@ -161,12 +163,13 @@ def utf8(column) -> list[bytes]:
     return [b"" if x is None else x for x in column.cast("binary").to_pylist()]
 
 
-def slices(batch, text_column: int, size: int = 4 << 20):
-    """A record batch in slices of about ``size`` text bytes, so that a batch of
-    long texts does not multiply memory."""
-    lengths = np.array([len(x) for x in utf8(batch.column(text_column))], np.int64)
-    part = np.cumsum(lengths) // size
-    cuts = [0, *(np.flatnonzero(np.diff(part)) + 1).tolist(), len(lengths)]
+def slices(batch: pa.RecordBatch, text_column: int, size: int = 4 << 20) -> Iterator[pa.RecordBatch]:
+    """A record batch in slices of about ``size`` text bytes, so that the arrays made
+    from a batch stay small however long its texts are."""
+    if not batch.num_rows:
+        return
+    lengths = pc.fill_null(pc.binary_length(batch.column(text_column)), 0)
+    part = np.cumsum(lengths.to_numpy(zero_copy_only=False)) // size
+    cuts = [0, *(np.flatnonzero(np.diff(part)) + 1).tolist(), batch.num_rows]
     for a, b in zip(cuts, cuts[1:], strict=False):
-        if b > a:
-            yield batch.slice(a, b - a)
+        yield batch.slice(a, b - a)
