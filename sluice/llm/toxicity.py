@@ -1,9 +1,9 @@
 """Toxicity by compression distance.
 
 Two zstandard dictionaries are trained from labelled text: one on ordinary
-windows, and one on the words in which toxic text departs from ordinary text
-(words holding byte 5-grams whose document frequency is tied to the label by a
-likelihood-ratio test). A window of eight words is compressed once with the
+windows, and one of the cues in which toxic text departs from ordinary text
+(parts of words around byte 5-grams; the share of documents that use a gram once,
+or three times, is tied to the label by a likelihood-ratio test). A window of eight words is compressed once with the
 ordinary dictionary and once with the ordinary dictionary followed by the toxic
 one: both know ordinary text alike, so the difference in length is what the
 toxic dictionary alone saves. A document's window differences (their mean, the
@@ -26,6 +26,7 @@ through :func:`score_documents`; an empty table gives an empty result.
 from __future__ import annotations
 
 import math
+import re
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -46,6 +47,9 @@ GRAM = 5
 #: Bounds of the learning sample.
 TOXIC_DOCS, ORDINARY_DOCS, SAMPLE_WINDOWS = 1000, 2000, 512
 ORDINARY_BYTES, TOXIC_BYTES = 16384, 4096
+#: A gram is a cue if documents with so many uses of it are over ``CUE_TIMES`` times as
+#: frequent among toxic ones, with a likelihood ratio of ``CUE_RATIO``.
+CUE_USES, CUE_TIMES, CUE_RATIO = (1, 3), 5, 20
 #: A score from here on predicts label 1.
 PREDICT_FROM = 0.3
 #: zstd looks for no match in the last bytes of its input; this keeps them free.
@@ -134,48 +138,107 @@ def _trained(size: int, samples: list[bytes]) -> bytes:
         return b"".join(dict.fromkeys(samples))[-size:]
 
 
-def _grams(parts: list[bytes]) -> set[bytes]:
-    return {p[i : i + GRAM] for p in parts for i in range(len(p) - GRAM + 1)}
+def _words(parts: list[bytes]) -> Counter:
+    """Uses of each word, between spaces."""
+    return Counter(b" " + w + b" " for p in parts for w in p.split())
 
 
-def toxic_words(toxic: list[list[bytes]], ordinary: list[list[bytes]]) -> list[bytes]:
-    """Words of toxic documents that hold grams typical of them, one per use."""
-    n_t, n_o = len(toxic), len(ordinary)
-    in_t: Counter = Counter()
-    in_o: Counter = Counter()
-    for doc in toxic:
-        in_t.update(_grams(doc))
-    for doc in ordinary:
-        # Only grams that toxic text has matter.
-        in_o.update(g for g in _grams(doc) if g in in_t)
-    least = 20 + n_t / 20
+def _grams(words: Counter) -> Counter:
+    """Uses of each byte gram: words that hold it."""
+    out: Counter = Counter()
+    for w, n in words.items():
+        for g in {w[i : i + GRAM] for i in range(len(w) - GRAM + 1)}:
+            out[g] += n
+    return out
+
+
+def typical_grams(toxic: list[Counter], ordinary: list[Counter]) -> set[bytes]:
+    """Grams that documents use ``n`` or more times, for an ``n`` of ``CUE_USES``, so
+    much oftener when toxic that a likelihood-ratio test ties them to the label.
 
-    def typical(gram: bytes, t: int) -> bool:
-        o = in_o[gram]
-        if t < 3 or t * n_o <= 10 * o * n_t:
+    Rates are of documents with that many uses, not of presence: a cue that ordinary
+    documents of its language use once or twice is found all the same.
+    """
+    n_t, n_o = len(toxic), len(ordinary)
+    in_t = {n: Counter() for n in CUE_USES}
+    in_o = {n: Counter() for n in CUE_USES}
+    for docs, found in ((toxic, in_t), (ordinary, in_o)):
+        for doc in docs:
+            for gram, uses in _grams(doc).items():
+                # Only grams that toxic text has matter.
+                if docs is toxic or gram in in_t[CUE_USES[0]]:
+                    for n in CUE_USES:
+                        if uses >= n:
+                            found[n][gram] += 1
+
+    def typical(t: int, o: int) -> bool:
+        if t < 3 or t * n_o <= CUE_TIMES * o * n_t:
             return False
         expected = (t + o) * n_t / (n_t + n_o)
         ratio = 2 * t * math.log(t / expected)
         if o:
             ratio += 2 * o * math.log(o / (t + o - expected))
-        return ratio >= least
-
-    marked = {g for g, t in in_t.items() if typical(g, t)}
-    out = []
-    for doc in toxic:
-        for part in doc:
-            for w in part.split():
-                w = b" " + w + b" "
-                if any(w[i : i + GRAM] in marked for i in range(len(w) - GRAM + 1)):
-                    out.append(w)
-    # The most frequent words last, nearest to the text and cheapest to refer to.
-    count = Counter(out)
-    return sorted(out, key=lambda w: (count[w], w))
+        return ratio >= CUE_RATIO
+
+    return {g for n in CUE_USES for g, t in in_t[n].items() if typical(t, in_o[n][g])}
+
+
+def _extended(part: bytes, words: Counter) -> bytes:
+    """The part of a word, grown by a byte as long as most uses of it have that byte."""
+    uses = sum(n for w, n in words.items() if part in w)
+    while True:
+        longer: Counter = Counter()
+        for w, n in words.items():
+            at = w.find(part)
+            if at >= 0:
+                if at + len(part) < len(w):
+                    longer[w[at : at + len(part) + 1]] += n
+                if at > 0:
+                    longer[w[at - 1 : at + len(part)]] += n
+        most = max(longer.items(), key=lambda x: (x[1], x[0]), default=(b"", 0))
+        if not most[1] or 2 * most[1] < uses:
+            return part
+        part = most[0]
+
+
+def cues(toxic: list[Counter], ordinary: list[Counter]) -> list[bytes]:
+    """Parts of words that are typical of toxic documents, the most used last (nearest
+    to the text and cheapest to refer to)."""
+    marked = typical_grams(toxic, ordinary)
+    words: Counter = Counter()
+    found: Counter = Counter()
+    for w, n in sum(toxic, Counter()).items():
+        spans: list[list[int]] = []
+        for i in range(len(w) - GRAM + 1):
+            if w[i : i + GRAM] in marked:
+                if spans and i <= spans[-1][1]:
+                    spans[-1][1] = i + GRAM
+                else:
+                    spans.append([i, i + GRAM])
+        if spans:
+            words[w] = n
+        for a, b in spans:
+            found[w[a:b]] += n
+    out: Counter = Counter()
+    for part, n in found.items():
+        out[_extended(part, words)] += n
+    kept = [c for c in out if not any(c in other for other in out if other != c)]
+    return sorted(kept, key=lambda c: (out[c], c))
 
 
 def dictionaries(toxic: list[list[bytes]], ordinary: list[list[bytes]]) -> tuple[bytes, bytes]:
-    plain = [p for doc in ordinary for p in doc[:16]]
-    return _trained(ORDINARY_BYTES, plain), _trained(TOXIC_BYTES, toxic_words(toxic, ordinary))
+    """The ordinary dictionary is trained without words that hold a cue: ordinary text
+    may use one now and then, and the toxic dictionary must be what saves its bytes."""
+    found = cues([_words(doc) for doc in toxic], [_words(doc) for doc in ordinary])
+    holds = re.compile(b"|".join(map(re.escape, found))) if found else None
+    plain = []
+    for doc in ordinary:
+        for part in doc[:16]:
+            if holds and holds.search(part):
+                words = (b" " + w + b" " for w in part.split())
+                part = b" " + b" ".join(w[1:-1] for w in words if not holds.search(w)) + b" "
+            plain.append(part)
+    return _trained(ORDINARY_BYTES, plain), b"".join(found)[-TOXIC_BYTES:]
 
 
 def logistic(x: np.ndarray, y: np.ndarray, weight: np.ndarray, l2: float = 1e-3):

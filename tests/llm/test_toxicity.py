@@ -3,6 +3,8 @@ from __future__ import annotations
 import random
 import zlib
 
+import numpy as np
+
 from llm_helpers import CLASHING, docs_of  # noqa: F401
 from sluice.llm import toxicity
 
@@ -53,3 +55,33 @@ def test_no_labels_nulls_and_empty_table(spark, docs_of):
     assert [r._predicted for r in toxicity.score_documents(docs, model).collect()] == [0] * 4
     nulls = spark.createDataFrame([(1, 1, None), (None, 1, 1), (2, 1, 0)], "doc_id long, quality int, toxic int")
     assert toxicity.score_documents(docs_of([]), toxicity.train(docs, nulls)).count() == 0
+
+
+def test_cues_of_a_small_language_that_ordinary_text_uses_too():
+    rng = random.Random(4)
+    common = ["an", "ter", "ion", "the", "ou", "re", "st", "ble", "or", "ing"]
+    small = ["schen", "keit", "ung", "ver", "zu", "lich", "tel", "mur", "bad", "fel"]
+    toxic, ordinary, held = [], [], []
+    for i in range(1200):
+        here = small if i % 7 == 0 else common
+        words = ["".join(rng.choice(here) for _ in range(rng.randrange(1, 4))) for _ in range(90)]
+        is_toxic = i % 6 == 0
+        added = rng.choices(INSULTS, k=4) if is_toxic else []
+        if here is small:
+            # One use is common in ordinary text; five uses are toxic.
+            added = ["achlich" + rng.choice(small) for _ in range(5 if is_toxic else i % 2)]
+        for w in added:
+            words.insert(rng.randrange(len(words)), w)
+        parts = toxicity.windows(" ".join(words).encode())
+        if i % 5 == 1:
+            held.append((parts, is_toxic, here is small))
+        else:
+            (toxic if is_toxic else ordinary).append(parts)
+    model = toxicity.fit(toxic, ordinary, 1 / 6)
+    pair = toxicity.Compressor(model.ordinary, model.toxic)
+    scores = model.scores(np.array([pair.features(p) for p, _, _ in held]))
+    found = [s for s, (_, t, of_small) in zip(scores, held, strict=True) if of_small and t]
+    others = [s for s, (_, t, of_small) in zip(scores, held, strict=True) if of_small and not t]
+    above = sum(a > b for a in found for b in others)
+    assert b"achlich" in model.toxic
+    assert len(found) >= 5 and above >= 0.75 * len(found) * len(others)
