@@ -4,8 +4,9 @@ Tokens are summed per cell (source, language, topic). The cell weights are
 raked: scaled to the source targets, then the language targets, then the topic
 targets, round after round, until every marginal is met. A cell's sampling
 probability is its raked weight over its tokens, scaled so that the largest is
-1, or (``keep``) capped at 1 and scaled so that a given share of all tokens stays
-in expectation; a document is kept when a uniform number derived from its id lies below the
+1. With ``keep`` the targets are milder: every marginal moves from its share of the
+data towards its target by one common step, the largest at which the given share of
+all tokens stays in expectation; no probability is cut. A document is kept when a uniform number derived from its id lies below the
 probability of its cell.
 
 Targets default to tempered shares: each marginal share to the power ``alpha``,
@@ -99,24 +100,20 @@ def rake(
     return out
 
 
-def _scale_to_keep(rated: DataFrame, keep: float) -> float | None:
-    """Factor of the rates at which ``min(1, factor * rate)`` keeps the share
-    ``keep`` of all tokens in expectation (a few sums over the cell table)."""
-    live = rated.filter("rate > 0")
-    tokens = live.agg(F.sum("tokens")).first()[0]
-    factor = 0.0
-    while tokens:
-        full = F.col("rate") * F.lit(factor) >= 1
-        whole, rest = live.agg(
-            F.coalesce(F.sum(F.when(full, F.col("tokens"))), F.lit(0)),
-            F.coalesce(F.sum(F.when(~full, F.col("weight"))), F.lit(0.0)),
-        ).first()
-        wanted = keep * tokens - whole
-        # Each round fixes more cells at probability 1; done when none is added.
-        if rest <= 0 or wanted <= 0 or wanted / rest <= factor * (1 + 1e-9):
-            return factor
-        factor = wanted / rest
-    return None
+def _step_to_keep(rated: DataFrame, keep: float) -> tuple[float, float, float] | None:
+    """``step, even, most``: how far (0 to 1) from the shares of the data to the targets
+    the mix can go while the share ``keep`` of all tokens stays in expectation; the rate
+    that gives each cell its share; the largest rate of the mix. ``None`` without tokens.
+    """
+    tokens, weight, most = (
+        rated.filter("tokens > 0").agg(F.sum("tokens"), F.sum("weight"), F.max("rate")).first()
+    )
+    if not tokens or not weight:
+        return None
+    even = weight / tokens
+    # The kept share is even over the largest rate, which is linear in the step.
+    step = min(1.0, (1 / keep - 1) * even / (most - even)) if most > even * (1 + 1e-12) else 1.0
+    return step, even, even + step * (most - even)
 
 
 def cell_probabilities(
@@ -142,12 +139,16 @@ def cell_probabilities(
         probability = F.when(most > 0, F.col("rate") / most).otherwise(F.lit(1.0))
     else:
         rated = stage(rated, "mix-rated")
-        factor = _scale_to_keep(rated, keep)
+        milder = _step_to_keep(rated, keep)
         probability = F.lit(1.0)
-        if factor is not None:
-            # Cells without tokens weigh nothing in the mix; they stay.
-            scaled = F.least(F.lit(1.0), F.col("rate") * F.lit(factor))
-            probability = F.when(F.col("tokens") > 0, scaled).otherwise(F.lit(1.0))
+        if milder is not None:
+            step, even, most = milder
+            # Even and raked weights in one mix: its marginals are shares and targets in
+            # the same mix. Cells without tokens weigh nothing; they stay.
+            mixed = F.lit(even * (1 - step)) + F.col("rate") * F.lit(step)
+            probability = F.when(
+                F.col("tokens") > 0, F.least(F.lit(1.0), mixed / F.lit(most))
+            ).otherwise(F.lit(1.0))
     return rated.select(
         *DIMS,
         "n_docs",

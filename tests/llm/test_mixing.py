@@ -44,6 +44,39 @@ def test_keep_share_bounds_what_is_dropped(spark):
     assert {r._lang for r in got} == {"en", "de", "(null)"}
 
 
+def test_kept_marginals_meet_milder_targets(spark):
+    rng = random.Random(6)
+    rows = [
+        (
+            i,
+            prose(rng, 20) + (" a@b.example" if rng.random() < 0.03 else ""),
+            rng.choices(["en", "de", "fr"], [80, 17, 3])[0],
+            rng.choices(["web", "books", "mail"], [90, 8, 2])[0],
+            1,
+        )
+        for i in range(4000)
+    ]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    got = mixing.sample_to_targets(docs, keep=0.8).collect()
+    total = sum(r._tokens for r in got)
+    steps = []
+    for dim in mixing.DIMS:
+        shares, now, drawn = {}, {}, {}
+        for r in got:
+            value = r[f"_{dim}"]
+            shares[value] = shares.get(value, 0) + r._tokens / total
+            now[value] = now.get(value, 0) + r._tokens * r._probability
+            drawn[value] = drawn.get(value, 0) + r._tokens * r._sampled
+        raised = {k: v**mixing.ALPHA for k, v in shares.items()}
+        for k in shares:
+            target = raised[k] / sum(raised.values())
+            steps.append((now[k] / sum(now.values()) - shares[k]) / (target - shares[k]))
+            assert abs(drawn[k] / sum(drawn.values()) - now[k] / sum(now.values())) < 0.02
+    # Every marginal has gone the same part of the way to its target.
+    assert 0 < min(steps) and max(steps) - min(steps) < 0.01 * max(steps)
+    assert abs(sum(r._probability * r._tokens for r in got) / total - 0.8) < 1e-6
+
+
 def test_empty_table_and_no_tokens(spark, docs_of):
     assert mixing.sample_to_targets(docs_of([])).count() == 0
     assert mixing.sample_to_targets(docs_of([]), keep=0.5).count() == 0
