@@ -11,10 +11,10 @@ sample of documents (``TRAIN_DOCS`` documents, ``TRAIN_RUNS`` token runs), but n
 feature repeats the patterns themselves, so the field generalises to secrets of
 other forms. It is fitted by exact gradients (forward-backward).
 
-Decoding works on runs: tokens of plain shape (a word of letters that is no key
-word, perhaps with punctuation) that have only plain neighbours are outside by
-definition, so a document falls into independent runs around its other tokens,
-and Viterbi over those runs is Viterbi over the document. One pass, no shuffle.
+Decoding works on runs: words of plain shape (letters that are no key word,
+perhaps with punctuation) are outside by definition unless another word is among
+the three before or a little way after them, so a document falls into independent
+runs around its other words, each decoded by Viterbi. One pass, no shuffle.
 
 Defined cases: null or empty text has no spans; offsets count code points, end
 exclusive; documents that repeat each get their row; extra columns pass through
@@ -56,6 +56,8 @@ _TOKEN = re.compile(r"[^\s\"'`=:,;()<>{}\[\]]+|[\"'`=:,;()<>{}\[\]]")
 _KEY_WORDS = re.compile(rb"pass(?:word|wd|phrase)|secret|token|api_?key|credential|auth", re.I)
 _KEY_STEMS = (b"passw", b"passphrase", b"secret", b"token", b"api", b"credential", b"auth")
 _ASSIGN_STEMS = (b"passw", b"secret", b"token", b"api")
+#: The words after a notable word that belong to its run: features look three tokens back.
+_AFTER = re.compile(r"(?:\s+\S+){0,3}")
 #: A word of this many bytes is notable whatever it consists of.
 _LONG_WORD = 20
 _SPACE, _SPECIAL = 1, 2
@@ -163,7 +165,8 @@ def notable_words(text: str) -> list[tuple[int, int]]:
 
 
 def runs_of(text: str) -> list[list[tuple[int, int]]]:
-    """Token spans of the runs around notable words, with a little plain text before."""
+    """Token spans of the runs around notable words, with a little plain text before
+    and the words after that a feature of theirs can see."""
     out: list[list[int]] = []
     end = -1
     for start, stop in notable_words(text):
@@ -172,11 +175,12 @@ def runs_of(text: str) -> list[list[tuple[int, int]]]:
         if left > 0 and not text[left - 1].isspace():
             while left < start and not text[left].isspace():
                 left += 1
+        right = _AFTER.match(text, stop).end()
         if out and left <= end:
-            out[-1][1] = stop
+            out[-1][1] = right
         else:
-            out.append([left, stop])
-        end = stop + 40
+            out.append([left, right])
+        end = max(stop + 40, right)
     return [[(a + t.start(), a + t.end()) for t in _TOKEN.finditer(text[a:b])] for a, b in out]
 
 

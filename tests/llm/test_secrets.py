@@ -70,6 +70,26 @@ def test_field_finds_unlabelled_forms_and_leaves_plain_text_alone(spark, docs_of
     assert set(docs.columns) <= set(full.columns)
 
 
+def test_letters_only_secrets_after_a_key_word_are_tagged_as_in_the_whole_document(spark, docs_of):
+    values = ["correct-horse", "Abcd-EFGH", "hunterxy", "CorrectHorse"]
+    docs = [
+        (i, f"The words of a page with more words\npassword: {values[i % 4]}\nand then {'many plain words ' * 9}")
+        for i in range(200)
+    ]
+    field = S.train(docs_of(docs, CLASHING))
+    for line in ("passphrase: correct-horse", 'credential "Abcd-EFGH"', "auth: hunterx"):
+        text = f"The words of a page\n{line}\nand then {'many plain words ' * 9}"
+        value = re.findall(r"[\w-]+", line)[1]
+        covered = [text[a:b] for run in S.runs_of(text) for a, b in run]
+        assert value in covered
+        whole = [(m.start(), m.end()) for m in S._TOKEN.finditer(text)]
+        tags = field.decode(S.featurise(text, whole, S.file_features(text, len(S.runs_of(text)))))
+        wanted = [text[a:b] for (a, b), t in zip(whole, tags, strict=True) if t == S.BEGIN]
+        assert [text[a:b] for _, a, b in S.find(text, field)] == wanted
+        if ":" in line:
+            assert wanted == [value]
+
+
 def test_viterbi_is_the_best_of_all_paths():
     rng = np.random.default_rng(5)
     for n in (1, 2, 5):
