@@ -187,7 +187,34 @@ SELECT d.doc_id, coalesce(n, 0) AS n_shingles, coalesce(component_id, d.doc_id)
 FROM d LEFT JOIN sizes USING (doc_id) LEFT JOIN comp USING (doc_id)
 """
 
+_MIDDLE = r"""
+WITH d AS (
+  SELECT doc_id, coalesce(text, '') AS t,
+    regexp_extract_all(coalesce(text, ''), '[A-Za-z]+|[^A-Za-z]') AS u,
+    sha256('1:' || CAST(doc_id AS VARCHAR)) AS h FROM documents
+), k AS (
+  SELECT *, len(u) AS n,
+    CAST('0x' || h[1:8] AS BIGINT) AS h1, CAST('0x' || h[9:16] AS BIGINT) AS h2,
+    CAST('0x' || h[17:24] AS BIGINT) AS h3, CAST('0x' || h[25:32] AS BIGINT) AS h4 FROM d
+), c AS (
+  SELECT *, least(h1 % (n + 1), h2 % (n + 1)) AS lo, greatest(h1 % (n + 1), h2 % (n + 1)) AS hi,
+    CASE WHEN t = '' OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>') OR h3 % 100 >= 90 THEN 'plain'
+      WHEN h4 % 100 < 20 THEN 'spm' ELSE 'psm' END AS form FROM k
+), p AS (
+  SELECT *, array_to_string(u[1:lo], '') AS pre, array_to_string(u[lo + 1 : hi], '') AS mid,
+    array_to_string(u[hi + 1 :], '') AS suf FROM c
+)
+SELECT doc_id, CAST(n AS BIGINT) AS n, form,
+  CASE WHEN form <> 'plain' THEN CAST(length(pre) AS BIGINT) END AS prefix_chars,
+  CASE WHEN form <> 'plain' THEN CAST(length(mid) AS BIGINT) END AS middle_chars,
+  sha256(CASE form WHEN 'plain' THEN t WHEN 'psm' THEN '<P>' || pre || '<S>' || suf || '<M>' || mid
+    ELSE '<S>' || suf || '<P>' || pre || '<M>' || mid END) AS output_sha256,
+  sha256(t) AS restored_sha256
+FROM p
+"""
+
 ORACLE = {
+    "op12_fill_in_middle": _MIDDLE,
     "op3_chat_formatting": _CHAT,
     "op5_mixing": _MIXING,
     "op6_line_dedup": _LINES,

@@ -9,12 +9,15 @@ from sluice.llm import (
     chat_format,
     decontaminate,
     exact_dedup,
+    fim,
     line_dedup,
     mixing,
     near_dedup,
+    phrases,
     secrets_crf,
     sharding,
     substring_dedup,
+    token_align,
     toxicity,
 )
 from sluice.llm.common import table
@@ -127,6 +130,39 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprint of every document, and its likeness to an edited text and the next."""
+    return phrases.edited_pairs(table(spark, sf_dir, "documents"))
+
+
+def op12_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fill-in-middle example of every document, and the text read back from it."""
+    made = fim.fim_examples(table(spark, sf_dir, "documents"))
+    return made.select(
+        "doc_id",
+        "n",
+        "form",
+        "prefix_chars",
+        "middle_chars",
+        F.sha2("output", 256).alias("output_sha256"),
+        F.sha2(fim.restore(F.col("output"), F.col("form")), 256).alias("restored_sha256"),
+    )
+
+
+def op13_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Groups of two tokenizers' tokens in every document, and their links' counts."""
+    return token_align.align_documents(table(spark, sf_dir, "documents"), digest=True).select(
+        F.col("doc_id").cast("long").alias("doc_id"),
+        "n_a",
+        "n_b",
+        "n_groups",
+        "n_links",
+        "n_best",
+        "count_sum",
+        F.col("groups").alias("groups_sha256"),
+    )
+
+
 QUERIES = {
     "op1_secret_scan": op1_secret_scan,
     "op2_toxicity": op2_toxicity,
@@ -138,4 +174,7 @@ QUERIES = {
     "op8_exact_dedup": op8_exact_dedup,
     "op9_minhash_near_dedup": op9_minhash_near_dedup,
     "op10_decontamination": op10_decontamination,
+    "op11_fingerprints": op11_fingerprints,
+    "op12_fill_in_middle": op12_fill_in_middle,
+    "op13_token_alignment": op13_token_alignment,
 }
