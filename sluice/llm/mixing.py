@@ -2,7 +2,8 @@
 
 Tokens are summed per cell (source, language, topic). The cell weights are
 raked: scaled to the source targets, then the language targets, then the topic
-targets, round after round, until every marginal is met. A cell's sampling
+targets, for ``rounds`` rounds (:func:`marginal_gap` tells how far the marginals then are
+from their targets). A cell's sampling
 probability is its raked weight over its tokens, scaled so that the largest is
 1. With ``keep`` the targets are milder: every marginal moves from its share of the
 data towards its target by one common step, the largest at which the given share of
@@ -12,10 +13,12 @@ probability of its cell.
 Targets default to tempered shares: each marginal share to the power ``alpha``,
 normalised. With alpha 1 nothing is dropped, with 0 all values weigh alike.
 
-Scale: documents are read twice (cell sums with map-side aggregation; the
-sampling join against the cell table, one row per cell). All raking runs on the
-cell table, never on documents, and a source that holds a third of all rows is
-one cell sum per map task.
+Scale: :func:`sampling_decisions` reads the texts once, into a narrow staged table of
+ids, cells and token counts, from which the cells are summed (with map-side
+aggregation) and to which the rates are joined (one row per cell).
+:func:`sample_to_targets`, which passes whole documents on, reads them twice instead of
+writing them once more. All raking runs on the cell table, never on documents, and a
+source that holds a third of all rows is one cell sum per map task.
 
 Defined cases: a null source or language is a value of its own ("(null)");
 a cell without tokens has probability 0 unless no cell has tokens, when all is
@@ -121,9 +124,15 @@ def cell_probabilities(
     targets: dict[str, DataFrame] | None = None, keep: float | None = None,
 ) -> DataFrame:
     """``source, lang, topic, n_docs, tokens, weight, probability`` per cell."""
+    return _probabilities(with_cells(docs), alpha, rounds, targets, keep)
+
+
+def _probabilities(
+    placed: DataFrame, alpha: float, rounds: int, targets: dict[str, DataFrame] | None, keep: float | None
+) -> DataFrame:
+    """The cell table of documents that have their cells (:func:`with_cells`)."""
     cells = stage(
-        with_cells(docs)
-        .groupBy(*[F.col(f"_{d}").alias(d) for d in DIMS])
+        placed.groupBy(*[F.col(f"_{d}").alias(d) for d in DIMS])
         .agg(F.count("*").alias("n_docs"), F.sum("_tokens").alias("tokens")),
         "mix-sums",
     )
@@ -164,6 +173,40 @@ def uniform(doc_id: Column) -> Column:
     return F.conv(digits, 16, 10).cast("double") / F.lit(float(2**52))
 
 
+def marginal_gap(cells: DataFrame, targets: dict[str, DataFrame]) -> float:
+    """Largest difference of a marginal of raked cells from its target, relative to it."""
+    total = cells.agg(F.sum("weight")).scalar()
+    gap = 0.0
+    for dim, target in targets.items():
+        got = cells.groupBy(dim).agg((F.sum("weight") / total).alias("got")).join(target, dim)
+        gap = max(gap, got.agg(F.max(F.abs(F.col("got") / F.col("target") - 1))).first()[0] or 0.0)
+    return gap
+
+
+def sampling_decisions(
+    docs: DataFrame, id_col: str = "doc_id", alpha: float = ALPHA, rounds: int = ROUNDS,
+    targets: dict[str, DataFrame] | None = None, keep: float | None = None,
+) -> DataFrame:
+    """``<id_col>, source, lang, topic, tokens, probability, sampled`` of every document;
+    the texts are read once, and no other column is passed on."""
+    placed = stage(
+        with_cells(docs.select(F.col(id_col).alias("doc_id"), "text", "source", "lang")).select(
+            "doc_id", *[f"_{d}" for d in DIMS], "_tokens"
+        ),
+        "mix-placed",
+    )
+    rates = stage(_probabilities(placed, alpha, rounds, targets, keep), "mix-rates").select(
+        *[F.col(d).alias(f"_{d}") for d in DIMS], "probability"
+    )
+    return placed.join(rates, [f"_{d}" for d in DIMS]).select(
+        F.col("doc_id").alias(id_col),
+        *[F.col(f"_{d}").alias(d) for d in DIMS],
+        F.col("_tokens").alias("tokens"),
+        "probability",
+        (uniform(F.col("doc_id")) < F.col("probability")).alias("sampled"),
+    )
+
+
 def sample_to_targets(
     docs: DataFrame, alpha: float = ALPHA, rounds: int = ROUNDS,
     targets: dict[str, DataFrame] | None = None, keep: float | None = None,

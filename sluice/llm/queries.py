@@ -76,14 +76,8 @@ def op4_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Sampling decision of every document at the raked probabilities."""
-    return mixing.sample_to_targets(table(spark, sf_dir, "documents")).select(
-        "doc_id",
-        F.col("_source").alias("source"),
-        F.col("_lang").alias("lang"),
-        F.col("_topic").alias("topic"),
-        F.col("_tokens").alias("tokens"),
-        F.round("_probability", 6).alias("probability"),
-        F.col("_sampled").alias("sampled"),
+    return mixing.sampling_decisions(table(spark, sf_dir, "documents")).withColumn(
+        "probability", F.round("probability", 6)
     )
 
 

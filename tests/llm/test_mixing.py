@@ -2,6 +2,8 @@ from __future__ import annotations
 
 import random
 
+from pyspark.sql import functions as F
+
 from llm_helpers import CLASHING, docs_of, prose  # noqa: F401
 from sluice.llm import mixing
 
@@ -82,3 +84,31 @@ def test_empty_table_and_no_tokens(spark, docs_of):
     assert mixing.sample_to_targets(docs_of([]), keep=0.5).count() == 0
     got = mixing.sample_to_targets(docs_of([(1, None), (2, "  ")])).collect()
     assert all(r._sampled for r in got)
+
+
+def test_decisions_are_those_of_the_documents_whatever_their_columns_are_called(spark, docs_of):
+    rng = random.Random(21)
+    pairs = [(i, rng.choice(("copyright x", "see https://a.b", "plain words", "", None)) ) for i in range(200)]
+    schema = CLASHING + ", _probability double, _topic string, _source string, probability int, topic int"
+    got = {
+        r.doc_id: (r.source, r.lang, r.topic, r.tokens, round(r.probability, 9), r.sampled)
+        for r in mixing.sampling_decisions(docs_of(pairs, schema)).collect()
+    }
+    want = {
+        r.doc_id: (r._source, r._lang, r._topic, r._tokens, round(r._probability, 9), r._sampled)
+        for r in mixing.sample_to_targets(docs_of(pairs)).collect()
+    }
+    assert got == want and len(got) == 200
+
+
+def test_raked_marginals_meet_their_targets(spark, docs_of):
+    rng = random.Random(22)
+    texts = ("copyright " * 3, "see https://a.b", "plain words here", "999999 n")
+    pairs = [(i, rng.choice(texts) * rng.randrange(1, 4)) for i in range(300)]
+    cells = (
+        mixing.with_cells(docs_of(pairs))
+        .groupBy(*[F.col(f"_{d}").alias(d) for d in mixing.DIMS])
+        .agg(F.sum("_tokens").alias("tokens"))
+    )
+    targets = {d: mixing.tempered_targets(cells, d) for d in mixing.DIMS}
+    assert mixing.marginal_gap(mixing.rake(cells, targets), targets) < 1e-6
