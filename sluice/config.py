@@ -91,6 +91,9 @@ class LakeConfig:
     retention_days: int = 90
     # Watermark of the streaming dedup; batch dedup across loads is exact.
     dedup_window_hours: int = 24
+    # Hash buckets of the index of seen event ids (fixed when a table is first loaded).
+    # About 1 GB of ids a bucket: 16 for 4e8 events, 8192 for 2e11.
+    key_buckets: int = 16
     # Incremental silver reads rolling history from the last N days of silver
     # partitions first; sensors with fewer rows there fall back to older ones.
     history_days: int = 2

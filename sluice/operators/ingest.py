@@ -32,20 +32,35 @@ EVENT_WIRE_SCHEMA = StructType(
 )
 
 
+#: Numbers from here on are epoch milliseconds (as seconds they lie beyond the year 5138).
+MILLISECONDS_FROM = 100_000_000_000
+#: Seconds of the years 1 to 9999, what a timestamp can hold.
+FIRST_SECOND, LAST_SECOND = -62_135_596_800, 253_402_300_799
+
+
 def event_time(text: Column) -> Column:
-    """Event time from wire text: a number of five digits or more is seconds since
-    the epoch (with any fraction), all else is read as a timestamp; bad text is null."""
-    seconds = text.try_cast("decimal(20,6)")
+    """Event time from wire text; null (then rejected by validation) for all that is none.
+
+    A number of five digits or more is seconds since the epoch, with any fraction, or
+    milliseconds if its size says so; numbers outside the years 1 to 9999 are null.
+    All else is read as a timestamp; bad text is null.
+    """
+    number = text.try_cast("decimal(38,6)")
+    seconds = F.when(F.abs(number) >= MILLISECONDS_FROM, number / 1000).otherwise(number)
+    micros = (seconds * 1_000_000).try_cast("long")
+    in_range = seconds.between(F.lit(FIRST_SECOND), F.lit(LAST_SECOND))
     return F.when(
-        # The JSON reader hands large fractions over in scientific notation.
-        text.rlike(r"^-?([0-9]{5,13}(\.[0-9]+)?|[0-9]\.[0-9]+E[0-9]{1,2})$"),
-        F.timestamp_micros((seconds * 1_000_000).cast("long")),
+        # The JSON reader hands large numbers over in scientific notation.
+        text.rlike(r"^-?([0-9]{5,}(\.[0-9]+)?|[0-9]+(\.[0-9]+)?[eE][+-]?[0-9]+)$"),
+        F.when(in_range, F.timestamp_micros(micros)),
     ).otherwise(text.try_cast("timestamp"))
 
 
-def parse_records(records: DataFrame) -> DataFrame:
+def parse_records(records: DataFrame, raw: str | None = None) -> DataFrame:
     """PRJ1 + PRJ2: Kafka-shaped records -> event columns + source position.
 
+    ``raw`` names a column that keeps the payload as it came.
+
     ``records`` has a binary or string ``value`` and the Kafka source columns
     ``timestamp``, ``partition``, ``offset``. Malformed JSON yields an all-null
     event (PERMISSIVE), removed later by :func:`validate_events`.
@@ -66,6 +81,7 @@ def parse_records(records: DataFrame) -> DataFrame:
                     opt("timestamp", "kafka_timestamp", "timestamp"),
                     opt("partition", "kafka_partition", "int"),
                     opt("offset", "kafka_offset", "bigint"),
+                    *([F.col("value").cast("string").alias(raw)] if raw else []),
                 )
             )
         )
@@ -80,6 +96,7 @@ def parse_records(records: DataFrame) -> DataFrame:
         "kafka_timestamp",
         "kafka_partition",
         "kafka_offset",
+        *([raw] if raw else []),
     )
 
 

@@ -225,7 +225,9 @@ JSON_ROUNDTRIP_SQL = (
     + BRONZE_CTE
     + """
 SELECT coalesce(sensor_id, 'unknown') AS key, event_id, sensor_id, sensor_type, facility_id,
-       CASE WHEN src_id % 7 = 0 THEN date_trunc('second', "timestamp") ELSE "timestamp" END
+       CASE WHEN src_id % 7 = 0 THEN date_trunc('second', "timestamp")
+            WHEN src_id % 11 = 1 THEN date_trunc('millisecond', "timestamp")
+            WHEN src_id % 13 IN (2, 3) THEN NULL ELSE "timestamp" END
          AS "timestamp", value, unit, quality_score, is_anomaly, json_extract_string(props, '$.k') AS meta_k
 FROM bronze"""
 )
@@ -376,6 +378,8 @@ ORACLE.update(
         "gold_stats": GOLD_STATS_SQL,
         "expired_partitions": EXPIRED_SQL,
         "silver_incremental": SILVER_INCREMENTAL_SQL,
+        "silver_two_writers": SILVER_INCREMENTAL_SQL,
+        "gold_incremental": _hard(KPI_SQL),
     }
 )
 
@@ -558,11 +562,45 @@ FROM k
 WHERE window_start + INTERVAL 15 MINUTE <= (SELECT max("timestamp") FROM c) - INTERVAL 1 HOUR"""
 )
 
+STREAM_FIRST_SQL = (
+    "WITH"
+    + BRONZE_CTE
+    + """
+SELECT event_id, sensor_id, sensor_type, "timestamp", value, ingestion_timestamp AS kafka_timestamp
+FROM bronze
+WHERE "timestamp" <= (SELECT max("timestamp") FROM bronze) - INTERVAL 2 HOUR
+QUALIFY row_number() OVER (PARTITION BY event_id ORDER BY ingestion_timestamp) = 1"""
+)
+
+#: Copies 30 hours late come behind the watermark, so the first copies are those of bronze.
+STREAM_KPI_RESENDS_SQL = STREAM_KPI_SQL.replace(
+    "FROM base_u\n  WHERE", "FROM bronze\n  WHERE"
+).replace(
+    "'throughput')\n),\nk AS",
+    "'throughput')\n  QUALIFY row_number() OVER (PARTITION BY event_id ORDER BY ingestion_timestamp) = 1\n),\nk AS",
+).replace("INTERVAL 1 HOUR", "INTERVAL 2 HOUR")
+
+STREAM_QUARANTINE_SQL = (
+    CONTRACT_QUARANTINE_SQL.split("SELECT event_id, sensor_type")[0]
+    + """
+SELECT event_id, sensor_type, "timestamp", value, quality_score, is_anomaly,
+       array_to_string(violations, ',') AS reasons
+FROM rules
+UNION ALL
+SELECT NULL, NULL, NULL, NULL, NULL, NULL,
+  'missing_event_id,missing_sensor_id,missing_sensor_type,missing_facility_id,missing_timestamp,missing_value,missing_unit'
+FROM bronze_raw WHERE src_id % 301 = 0"""
+)
+
 ORACLE.update(
     {
         "stream_ingest": STREAM_INGEST_SQL,
         "stream_dedup": STREAM_DEDUP_SQL,
         "stream_kpi_closed": STREAM_KPI_SQL,
+        "stream_first_copy": STREAM_FIRST_SQL,
+        "stream_kpi_resends": STREAM_KPI_RESENDS_SQL,
+        "stream_quarantine": STREAM_QUARANTINE_SQL,
+        "bronze_folded": BRONZE_MIXED_SQL,
     }
 )
 

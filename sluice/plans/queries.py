@@ -8,6 +8,7 @@ themselves return full precision).
 
 from __future__ import annotations
 
+import datetime as dt
 from typing import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -47,16 +48,24 @@ from sluice.operators.governance import (
     sla_alerts,
     sla_dashboard,
 )
+from sluice.plans.gold import process_gold_incremental
 from sluice.plans.medallion import ingest_bronze, process_gold, process_silver
 from sluice.session import scratch_path, stage_table
 from sluice.sources.kafka import to_kafka_records
+from sluice.streaming.folding import fold_closed_days
 from sluice.streaming.jobs import (
+    arrival_stream,
     clean_stream,
     dedup_stream,
+    deduped_kpi_stream,
     drain_to_parquet,
     file_record_stream,
+    first_copy_stream,
     kpi_stream,
+    read_quarantine,
     run_bronze_ingest,
+    start_quarantine_sink,
+    write_arrivals,
 )
 from sluice.sources.tables import (
     LakePaths,
@@ -146,15 +155,23 @@ def q_contract_violations(spark: SparkSession, sf_dir: str) -> DataFrame:
 def q_json_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """SNK6 then PRJ1: publish-shaped records parse back to the same events."""
     events = fixture_events(spark, sf_dir)
-    # Every seventh record carries its event time as whole epoch seconds.
+    # Event times as numbers too: epoch seconds, milliseconds, fractions, and numbers
+    # that are no time at all.
+    number = F.col("event_id").cast("long")
+    micros = F.unix_micros("timestamp")
+    wire = (
+        F.when(number % 7 == 0, F.unix_seconds("timestamp").cast("string"))
+        .when(number % 11 == 1, F.unix_millis("timestamp").cast("string"))
+        .when(number % 13 == 2, F.lit("1.7E17"))
+        .when(number % 13 == 3, F.lit("-99999999999999999999"))
+        .when(number % 17 == 4, (micros.cast("decimal(20,0)") / 1_000_000).cast("decimal(20,6)").cast("string"))
+    )
     records = to_kafka_records(events, passthrough=("event_id", "timestamp")).withColumn(
         "value",
         F.when(
-            F.col("event_id").cast("long") % 7 == 0,
+            wire.isNotNull(),
             F.regexp_replace(
-                "value",
-                F.lit('"timestamp":"[^"]*"'),
-                F.concat(F.lit('"timestamp":'), F.unix_seconds("timestamp").cast("string")),
+                "value", F.lit('"timestamp":"[^"]*"'), F.concat(F.lit('"timestamp":'), wire)
             ),
         ).otherwise(F.col("value")),
     ).select("key", "value")
@@ -269,6 +286,10 @@ def q_silver_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
     process_silver(spark, root.bronze, root.silver)
     ingest_bronze(bronze.filter(F.col("ingestion_timestamp") >= cut), root.bronze)
     process_silver(spark, root.bronze, root.silver)
+    return _silver_rows(spark, root)
+
+
+def _silver_rows(spark: SparkSession, root: LakePaths) -> DataFrame:
     return read_silver(spark, root.silver).select(
         "event_id",
         "sensor_id",
@@ -286,6 +307,34 @@ def q_silver_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
     ).withColumns(r6("rolling_mean", "rolling_stddev", "z_score"))
 
 
+def q_silver_two_writers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """FIL4, D4, D5 with writers that overlap: three bronze batches whose stamps and event
+    times interleave, a silver run behind each. Later batches hold rows that are stamped
+    before, or as, rows taken already, first copies of events taken, and readings that
+    fall between those of silver; the table is that of a full reload."""
+    root = LakePaths(scratch_path(spark, "silver-writers"))
+    bronze = hard_bronze(spark, sf_dir)
+    late = F.col("event_id").cast("long") % 97 == 5
+    cut = F.col("ingestion_timestamp") < F.lit(INCREMENTAL_CUT).cast("timestamp")
+    for part in (bronze.filter(~cut & ~late), bronze.filter(cut & ~late), bronze.filter(late)):
+        ingest_bronze(part, root.bronze)
+        process_silver(spark, root.bronze, root.silver)
+    return _silver_rows(spark, root)
+
+
+def q_gold_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SNK4, PIPE3: two bronze batches, each followed by silver and by a gold run that
+    merges the windows it touches; the KPI table is that of one full run."""
+    root = LakePaths(scratch_path(spark, "gold-incremental"))
+    bronze = hard_bronze(spark, sf_dir)
+    cut = F.col("ingestion_timestamp") < F.lit(INCREMENTAL_CUT).cast("timestamp")
+    for part in (bronze.filter(cut), bronze.filter(~cut)):
+        ingest_bronze(part, root.bronze)
+        process_silver(spark, root.bronze, root.silver)
+        process_gold_incremental(spark, root.silver, root.kpis, root.severity)
+    return read_kpis(spark, root.kpis).drop("computed_at").withColumns(r6(*KPI_DOUBLES))
+
+
 def _gold_tables(spark: SparkSession, sf_dir: str) -> LakePaths:
     """Bronze, silver and gold written by the composite jobs, untimed rows included."""
     root = LakePaths(scratch_path(spark, "gold"))
@@ -346,6 +395,8 @@ QUERIES.update(
         "gold_stats": q_gold_stats,
         "expired_partitions": q_expired_partitions,
         "silver_incremental": q_silver_incremental,
+        "silver_two_writers": q_silver_two_writers,
+        "gold_incremental": q_gold_incremental,
     }
 )
 
@@ -439,11 +490,113 @@ def q_stream_kpi_closed(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+#: Spans of arrival time; the stream is stopped and started again between them.
+ARRIVAL_CUTS = ("2024-01-08 12:00:00", "2024-01-15 00:00:00", "2024-01-23 07:00:00")
+RESEND_DELAY = "2 hours"
+
+
+def arrivals(events: DataFrame) -> DataFrame:
+    """Kafka-shaped records of raw events, in the order of their ids."""
+    number = F.col("event_id").cast("long").alias("_offset")
+    records = to_kafka_records(events.select("*", number), passthrough=("ingestion_timestamp", "_offset"))
+    return records.select(
+        F.col("key").cast("binary").alias("key"),
+        F.col("value").cast("binary").alias("value"),
+        F.col("ingestion_timestamp").alias("timestamp"),
+        F.lit(0).alias("partition"),
+        F.col("_offset").alias("offset"),
+    )
+
+
+def _with_restarts(spark: SparkSession, records: DataFrame, root: str, run) -> None:
+    """Let the records arrive span by span, with a run of the stream behind each: a
+    micro-batch per span and a restart between them."""
+    bounds = (None, *ARRIVAL_CUTS, None)
+    for since, until in zip(bounds, bounds[1:], strict=False):
+        write_arrivals(records, f"{root}/in", since, until)
+        run(arrival_stream(spark, f"{root}/in"))
+
+
+def q_stream_first_copy(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """STR3 with a defined winner over four micro-batches with restarts: of all copies
+    that arrive in time the first one, with its value."""
+    root = scratch_path(spark, "stream-first")
+
+    def run(records: DataFrame) -> None:
+        firsts = first_copy_stream(parse_records(records), RESEND_DELAY)
+        kept = firsts.select("event_id", "sensor_id", "sensor_type", "timestamp", "value", "kafka_timestamp")
+        drain_to_parquet(kept, f"{root}/out", f"{root}/_ckpt")
+
+    _with_restarts(spark, arrivals(fixture_events(spark, sf_dir)), root, run)
+    return spark.read.parquet(f"{root}/out")
+
+
+def q_stream_kpi_resends(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """STR3 feeding STR4 in one query, with re-sends, copies that come too late, four
+    micro-batches and restarts: the KPIs of all closed windows."""
+    root = scratch_path(spark, "stream-kpi-resends")
+
+    def run(records: DataFrame) -> None:
+        drain_to_parquet(deduped_kpi_stream(records, delay=RESEND_DELAY), f"{root}/out", f"{root}/_ckpt")
+
+    first = fixture_events(spark, sf_dir, with_resends=False).filter(F.col("event_id").cast("long") % 50 == 7)
+    late = first.withColumns(
+        {
+            "value": F.col("value") + 2,
+            "ingestion_timestamp": F.col("ingestion_timestamp") + F.expr("INTERVAL 30 HOURS"),
+        }
+    )
+    _with_restarts(spark, arrivals(fixture_events(spark, sf_dir).unionByName(late)), root, run)
+    return (
+        spark.read.parquet(f"{root}/out")
+        .withColumns(r6("avg_value", "stddev_value", "anomaly_rate", "avg_quality_score"))
+    )
+
+
+def q_stream_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """FIL2 in STR1: every record, broken ones too, is in bronze or in quarantine."""
+    root = scratch_path(spark, "stream-quarantine")
+    good = arrivals(hard_bronze(spark, sf_dir))
+    broken = good.filter(F.col("offset") % 301 == 0).withColumn(
+        "value", F.lit('{"event_id": "cut off').cast("binary")
+    )
+
+    def run(records: DataFrame) -> None:
+        start_quarantine_sink(records, f"{root}/bronze", f"{root}/_ckpt", available_now=True).awaitTermination()
+
+    _with_restarts(spark, good.unionByName(broken), root, run)
+    columns = ("event_id", "sensor_type", "timestamp", "value", "quality_score", "is_anomaly")
+    rejected = read_quarantine(spark, f"{root}/bronze")
+    return read_bronze(spark, f"{root}/bronze").select(*columns, F.lit("").alias("reasons")).unionByName(
+        rejected.select(*columns, F.array_join("violations", ",").alias("reasons"))
+    )
+
+
+def q_bronze_folded(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SNK1 with upkeep: streamed and batch rows of one table after its closed days were
+    folded into one folder, twice."""
+    root = LakePaths(scratch_path(spark, "bronze-folded"))
+
+    def run(records: DataFrame) -> None:
+        run_bronze_ingest(records, root.bronze, f"{root.root}/_ckpt")
+        fold_closed_days(spark, root.bronze, dt.date(2024, 1, 21))
+
+    _with_restarts(spark, arrivals(fixture_events(spark, sf_dir)), root.root, run)
+    ingest_bronze(fixture_events(spark, sf_dir), root.bronze)
+    return read_bronze(spark, root.bronze).select(
+        "event_id", "sensor_type", "facility_id", "timestamp", "value", "event_date", "source"
+    )
+
+
 QUERIES.update(
     {
         "stream_ingest": q_stream_ingest,
         "stream_dedup": q_stream_dedup,
         "stream_kpi_closed": q_stream_kpi_closed,
+        "stream_first_copy": q_stream_first_copy,
+        "stream_kpi_resends": q_stream_kpi_resends,
+        "stream_quarantine": q_stream_quarantine,
+        "bronze_folded": q_bronze_folded,
     }
 )
 

@@ -114,6 +114,61 @@ def list_dirs(spark: SparkSession, path: str) -> list[str]:
     return [s.getPath().getName() for s in fs.listStatus(jpath) if s.isDirectory()]
 
 
+def list_files(spark: SparkSession, path: str) -> list[str]:
+    """Names of the plain files directly below ``path``."""
+    jvm = spark.sparkContext._jvm
+    jpath = jvm.org.apache.hadoop.fs.Path(path)
+    fs = jpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not fs.exists(jpath):
+        return []
+    return [s.getPath().getName() for s in fs.listStatus(jpath) if s.isFile()]
+
+
+def modified_at(spark: SparkSession, path: str) -> int | None:
+    """Modification time of a file in milliseconds, or None when it does not exist."""
+    jvm = spark.sparkContext._jvm
+    jpath = jvm.org.apache.hadoop.fs.Path(path)
+    fs = jpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return int(fs.getFileStatus(jpath).getModificationTime()) if fs.exists(jpath) else None
+
+
+def read_text(spark: SparkSession, path: str) -> str:
+    """The content of one small file."""
+    jvm = spark.sparkContext._jvm
+    jpath = jvm.org.apache.hadoop.fs.Path(path)
+    stream = jpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).open(jpath)
+    try:
+        return jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+
+
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    """Create one small file with all of ``text`` or not at all: written under a name
+    that readers skip, then renamed."""
+    jvm = spark.sparkContext._jvm
+    target = jvm.org.apache.hadoop.fs.Path(path)
+    fs = target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    draft = jvm.org.apache.hadoop.fs.Path(target.getParent(), f"_draft-{uuid.uuid4().hex}")
+    out = fs.create(draft, True)
+    try:
+        out.write(bytearray(text.encode()))
+    finally:
+        out.close()
+    fs.delete(target, False)
+    if not fs.rename(draft, target):
+        raise OSError(f"could not create {path}")
+
+
+def rename_path(spark: SparkSession, path: str, target: str) -> None:
+    """Rename a file or folder within one file system."""
+    jvm = spark.sparkContext._jvm
+    source = jvm.org.apache.hadoop.fs.Path(path)
+    fs = source.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not fs.rename(source, jvm.org.apache.hadoop.fs.Path(target)):
+        raise OSError(f"could not rename {path} to {target}")
+
+
 def delete_path(spark: SparkSession, path: str) -> bool:
     """Recursive delete through the Hadoop FileSystem (used by explicit maintenance calls)."""
     jvm = spark.sparkContext._jvm

@@ -10,22 +10,17 @@ from a second job.
 from __future__ import annotations
 
 import datetime as dt
+import json
 from dataclasses import dataclass
 from typing import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import (
-    DateType,
-    LongType,
-    StringType,
-    StructField,
-    StructType,
-    TimestampType,
-)
+from pyspark.sql.types import StructType
 
 from sluice.schema import BRONZE_SCHEMA, KPI_SCHEMA, SEVERITY_SCHEMA, SILVER_SCHEMA
-from sluice.session import delete_path, list_dirs, path_exists
+from sluice.sources.journal import Journal
+from sluice.session import delete_path, list_dirs, path_exists, read_text
 
 
 @dataclass(frozen=True)
@@ -113,6 +108,61 @@ def stream_part(path: str) -> str:
     return f"{path.rstrip('/')}_stream"
 
 
+def bronze_roots(path: str) -> tuple[str, str]:
+    """Both parts of a bronze table: batch loads and streamed rows. Each write is a
+    folder ``batch=<id>`` of its own below one of them."""
+    return path.rstrip("/"), stream_part(path)
+
+
+def bronze_batches(spark: SparkSession, path: str) -> dict[str, str]:
+    """Folder of each finished write of a bronze table by its id (names only: the
+    folders are listed, no file is read). A write is finished when it left ``_SUCCESS``."""
+    out = {}
+    for root in bronze_roots(path):
+        for name in list_dirs(spark, root):
+            if name.startswith("batch=") and path_exists(spark, f"{root}/{name}/_SUCCESS"):
+                out[name.removeprefix("batch=")] = f"{root}/{name}"
+    return out
+
+
+def replaced_days(spark: SparkSession, path: str) -> set[tuple[str, str]]:
+    """(batch, day) folders whose rows a committed fold holds already (see
+    :mod:`sluice.streaming.folding`); empty but while a fold is being cleaned up."""
+    out: set[tuple[str, str]] = set()
+    root = path.rstrip("/")
+    for name in list_dirs(spark, root):
+        if name.startswith("batch=fold-") and path_exists(spark, f"{root}/{name}/_folded.json"):
+            listed = json.loads(read_text(spark, f"{root}/{name}/_folded.json"))
+            out |= {(b, d) for b, d in listed}
+    return out
+
+
+def read_bronze_folders(
+    spark: SparkSession, path: str, folders: Sequence[str], hidden: set[tuple[str, str]] = frozenset()
+) -> DataFrame:
+    """Rows of some batch folders of a bronze table, without hidden (batch, day) folders;
+    only these folders are listed."""
+    parts = []
+    for root in bronze_roots(path):
+        mine = []
+        for folder in folders:
+            if not folder.startswith(f"{root}/batch="):
+                continue
+            batch = folder.rsplit("/batch=", 1)[1]
+            away = {d for b, d in hidden if b == batch}
+            if away:
+                days = [n for n in list_dirs(spark, folder) if n.startswith("event_date=")]
+                mine += [f"{folder}/{n}" for n in days if n.removeprefix("event_date=") not in away]
+            else:
+                mine.append(folder)
+        if mine:
+            read = spark.read.schema(BRONZE_SCHEMA).option("basePath", root).parquet(*mine)
+            parts.append(read.select(BRONZE_SCHEMA.fieldNames()))
+    if not parts:
+        return spark.createDataFrame([], BRONZE_SCHEMA)
+    return parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
+
+
 def read_bronze(
     spark: SparkSession,
     path: str,
@@ -122,11 +172,18 @@ def read_bronze(
 ) -> DataFrame:
     """SRC2 + FIL5/FIL6: batch loads and streamed rows of one table (partition pruned
     on event_date and sensor_type in both)."""
-    parts = [read_table(spark, path, BRONZE_SCHEMA)]
-    if path_exists(spark, stream_part(path)):
-        streamed = spark.read.schema(BRONZE_SCHEMA).parquet(stream_part(path))
-        parts.append(streamed.select(BRONZE_SCHEMA.fieldNames()))
-    df = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
+    hidden = replaced_days(spark, path)
+    if hidden:
+        df = read_bronze_folders(spark, path, list(bronze_batches(spark, path).values()), hidden)
+    else:
+        parts = []
+        for root in bronze_roots(path):
+            if path_exists(spark, root):
+                read = spark.read.schema(BRONZE_SCHEMA).parquet(root)
+                parts.append(read.select(BRONZE_SCHEMA.fieldNames()))
+        if not parts:
+            return spark.createDataFrame([], BRONZE_SCHEMA)
+        df = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
     return equals(date_range(df, "event_date", start_date, end_date), "sensor_type", sensor_type)
 
 
@@ -292,86 +349,17 @@ def read_high_water_mark(df: DataFrame, column: str = "ingestion_timestamp", at_
     return newer if newer is not None else at_least
 
 
-MARKS_SCHEMA = StructType(
-    [
-        StructField("mark", TimestampType(), True),
-        StructField("max_event_date", DateType(), True),
-        StructField("rows", LongType(), True),
-        StructField("recorded_at", TimestampType(), True),
-    ]
-)
-
-
 def marks_path(table_path: str) -> str:
-    """Sibling folder holding one row per write: the largest ingestion time written."""
+    """Sibling folder with the journal of the runs that wrote a table."""
     return f"{table_path.rstrip('/')}_marks"
 
 
-def record_mark(
-    spark: SparkSession, table_path: str, mark, rows: int, max_event_date=None
-) -> None:
-    if mark is None:
-        return
-    now = dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
-    spark.createDataFrame([(mark, max_event_date, int(rows), now)], MARKS_SCHEMA).coalesce(
-        1
-    ).write.mode("append").parquet(marks_path(table_path))
-
-
-def recorded_mark(spark: SparkSession, table_path: str):
-    """Largest recorded mark (a lower bound of the table's true mark), or None."""
-    path = marks_path(table_path)
-    if not path_exists(spark, path):
-        return None
-    return spark.read.schema(MARKS_SCHEMA).parquet(path).agg(F.max("mark")).first()[0]
-
-
-REGISTRY_SCHEMA = StructType(
-    [
-        StructField("sensor_id", StringType(), True),
-        StructField("sensor_type", StringType(), True),
-        StructField("first_event_date", DateType(), True),
-    ]
-)
-
-
-def registry_path(table_path: str) -> str:
-    """Sibling folder: per write, the earliest event date of every sensor it held."""
-    return f"{table_path.rstrip('/')}_sensors"
-
-
-def record_sensors(rows: DataFrame, table_path: str) -> None:
-    """Append (sensor, earliest event date) for the rows about to be written.
-
-    Written *before* the data, so it is always a superset of the table's
-    sensors: a sensor absent from it has no rows in the table. One partial
-    aggregate; its size is the number of sensors in the batch.
-    """
-    rows.groupBy(F.trim(F.col("sensor_id")).alias("sensor_id"), "sensor_type").agg(
-        # Rows without an event time count as older than any day.
-        F.min(F.coalesce("event_date", F.lit("1600-01-01").cast("date"))).alias("first_event_date")
-    ).write.mode("append").parquet(registry_path(table_path))
-
-
-def sensor_registry(spark: SparkSession, table_path: str) -> DataFrame | None:
-    """Earliest recorded event date per sensor, or None when no registry exists."""
-    path = registry_path(table_path)
-    if not path_exists(spark, path):
-        return None
-    return (
-        spark.read.schema(REGISTRY_SCHEMA)
-        .parquet(path)
-        .groupBy("sensor_id", "sensor_type")
-        .agg(F.min("first_event_date").alias("first_event_date"))
-    )
-
-
-def recorded_max_event_date(spark: SparkSession, table_path: str):
-    """Latest event date recorded by the writes (a lower bound), or None."""
-    path = marks_path(table_path)
-    if not path_exists(spark, path):
-        return None
-    return spark.read.schema(MARKS_SCHEMA).parquet(path).agg(F.max("max_event_date")).first()[0]
+def recorded_mark(spark: SparkSession, table_path: str) -> dt.datetime | None:
+    """Largest ingestion time that the recorded runs wrote (a lower bound of the table's
+    true mark), or None."""
+    state = Journal(spark, marks_path(table_path)).state()
+    mark = (state or {}).get("mark")
+    return dt.datetime.fromisoformat(mark) if mark else None
 
 
 # ---------------------------------------------------------------------------
@@ -399,8 +387,7 @@ def expired_partitions(
 def purge_partitions(spark: SparkSession, path: str, dates: Sequence[dt.date], column: str = "event_date") -> int:
     """Delete the listed ``column=<date>`` folders, of batch loads and of every
     micro-batch; returns how many dates had any."""
-    roots = [path.rstrip("/")]
-    roots += [f"{stream_part(path)}/{b}" for b in list_dirs(spark, stream_part(path))]
+    roots = [f"{root}/{b}" for root in bronze_roots(path) for b in list_dirs(spark, root)]
     removed = 0
     for d in dates:
         gone = [delete_path(spark, f"{root}/{column}={d.isoformat()}") for root in roots]

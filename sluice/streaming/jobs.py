@@ -3,10 +3,16 @@
 * STR1/SNK1: records -> parse -> validate -> bronze. Each micro-batch is written
   to its own folder beside the batch loads of the same table, so a restart
   (STR2) repeats a batch without doubling it and a reader sees both parts.
-* STR3: ``dropDuplicatesWithinWatermark`` on event_id with the configured
-  dedup window (state is bounded by the watermark).
+* STR3: two forms. :func:`dedup_stream` passes the first copy that a micro-batch
+  sees on at once (``dropDuplicatesWithinWatermark``). :func:`first_copy_stream` decides as
+  WIN1 does, by order of arrival, and passes an event on when the watermark says that no
+  copy of it can count any more. State is bounded by the watermark in both.
 * STR4: z-free KPIs over a watermarked stream in append mode: a window is
-  emitted once the watermark passes its end and never changes afterwards.
+  emitted once the watermark passes its end and never changes afterwards. Chained
+  behind :func:`first_copy_stream` in one query, re-sent records count once; Spark hands
+  the watermark from one stateful operator to the next.
+* FIL2: :func:`start_quarantine_sink` feeds valid rows to bronze and rejected ones,
+  with reasons and payload, to a quarantine table, from one parse of each micro-batch.
 
 The record source is injected: production passes the Kafka source
 (:func:`sluice.sources.kafka.read_kafka_stream`); tests and the bench pass
@@ -20,15 +26,19 @@ import hashlib
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from sluice.config import DEFAULT_CONFIG, LakeConfig
 from sluice.operators.aggregate import stream_kpis
 from sluice.operators.clean import clean
-from sluice.operators.ingest import parse_records, to_bronze, validate_events
+from sluice.operators.ingest import parse_records, to_bronze, validate_events, with_violations
+from sluice.schema import BRONZE_SCHEMA, EVENT_SCHEMA
 from sluice.sources.fixtures import sensor_events
 from sluice.sources.kafka import to_kafka_records
-from sluice.sources.tables import stream_part, write_partitioned
+from sluice.sources.tables import read_table, stream_part, write_partitioned
+
+QUARANTINE_COLUMNS = (*EVENT_SCHEMA.fieldNames(), "kafka_timestamp", "kafka_partition", "kafka_offset")
 
 EVENTS_SOURCE_SCHEMA = (
     "event_id BIGINT, ts TIMESTAMP_NTZ, user_id BIGINT, event_type STRING, value DOUBLE, "
@@ -71,6 +81,25 @@ def file_record_stream(
     )
 
 
+RECORD_SCHEMA = "key BINARY, value BINARY, timestamp TIMESTAMP, partition INT, offset BIGINT"
+
+
+def write_arrivals(records: DataFrame, folder: str, since: str | None, until: str | None) -> None:
+    """Append the Kafka-shaped records that arrive in a span of time to a folder: a
+    stand-in for a topic that a stream follows."""
+    if since is not None:
+        records = records.filter(F.col("timestamp") >= F.lit(since).cast("timestamp"))
+    if until is not None:
+        records = records.filter(F.col("timestamp") < F.lit(until).cast("timestamp"))
+    records.write.mode("append").parquet(folder)
+
+
+def arrival_stream(spark: SparkSession, folder: str) -> DataFrame:
+    """The records of :func:`write_arrivals`. A run with ``availableNow`` takes all that
+    came since the last one as one micro-batch."""
+    return spark.readStream.schema(RECORD_SCHEMA).parquet(folder)
+
+
 def bronze_stream(records: DataFrame) -> DataFrame:
     """STR1 transformation: PRJ1/PRJ2 parse, FIL1 validate, PRJ3-4 stamp (stream path)."""
     return to_bronze(
@@ -107,9 +136,17 @@ def start_bronze_sink(
     """SNK1: append micro-batches to the stream part of a bronze table; returns the
     running query. The checkpoint folder identifies the stream, so several streams
     and any number of batch loads can feed one table."""
+    return _start_sink(
+        df, write_stream_batch, output_path, checkpoint_dir, config, processing_time, available_now, query_name
+    )
+
+
+def _start_sink(
+    df, write, output_path, checkpoint_dir, config, processing_time, available_now, query_name=None
+) -> StreamingQuery:
     source_id = hashlib.sha256(checkpoint_dir.rstrip("/").encode()).hexdigest()[:12]
     writer = df.writeStream.option("checkpointLocation", checkpoint_dir).foreachBatch(
-        lambda batch, batch_id: write_stream_batch(batch, output_path, source_id, batch_id, config)
+        lambda batch, batch_id: write(batch, output_path, source_id, batch_id, config)
     )
     if query_name:
         writer = writer.queryName(query_name)
@@ -145,6 +182,29 @@ def dedup_stream(
     )
 
 
+#: Arrival order of copies: broker time, then source position, then value.
+ARRIVAL_ORDER = ("kafka_timestamp", "kafka_partition", "kafka_offset", "value")
+
+
+def first_copy_stream(df: DataFrame, delay: str) -> DataFrame:
+    """STR3 with a defined winner: of all copies of an event the first by arrival.
+
+    ``delay`` is how long, in event time, copies may follow; an event is passed on when
+    the watermark (latest event time less ``delay``) passes its time. Copies of an event
+    carry its id and its time; should an id come with several times, the one passed on
+    first counts. Copies that come after the watermark passed them are dropped.
+    """
+    rest = [c for c in df.columns if c not in ("event_id", "timestamp")]
+    order = F.struct(*[F.col(c) for c in ARRIVAL_ORDER if c in df.columns])
+    firsts = (
+        df.withWatermark("timestamp", delay)
+        .groupBy("event_id", "timestamp")
+        .agg(F.min_by(F.struct(*rest), order).alias("_first"))
+        .select("event_id", "timestamp", *[F.col(f"_first.{c}").alias(c) for c in rest])
+    )
+    return firsts.dropDuplicatesWithinWatermark(["event_id"]).select(df.columns)
+
+
 def kpi_stream(
     df: DataFrame, config: LakeConfig = DEFAULT_CONFIG, delay: str = "1 hour"
 ) -> DataFrame:
@@ -157,6 +217,73 @@ def clean_stream(records: DataFrame, config: LakeConfig = DEFAULT_CONFIG) -> Dat
     return clean(validate_events(parse_records(records)), config.sensor_types)
 
 
+def deduped_kpi_stream(
+    records: DataFrame, config: LakeConfig = DEFAULT_CONFIG, delay: str = "2 hours"
+) -> DataFrame:
+    """STR3 feeding STR4: KPIs of closed windows over events that may be re-sent. The
+    one watermark, ``delay`` behind the latest event, closes both."""
+    firsts = first_copy_stream(validate_events(parse_records(records)), delay)
+    return stream_kpis(clean(firsts, config.sensor_types), config.kpi_window_minutes)
+
+
+def quarantine_part(path: str) -> str:
+    """Folder of the rejected rows of a bronze table's streams."""
+    return f"{path.rstrip('/')}_quarantine"
+
+
+RAW_COLUMN = "raw_value"
+
+
+def write_contract_batch(
+    batch: DataFrame, output_path: str, source_id: str, batch_id: int, config: LakeConfig = DEFAULT_CONFIG
+) -> None:
+    """FIL2, one micro-batch of parsed rows: rejected ones to the quarantine table, then
+    valid ones to bronze, each to a folder of this batch that running it again replaces."""
+    tagged = with_violations(batch, config.sensor_types).persist()
+    try:
+        ok = F.size("violations") == 0
+        rejected = tagged.filter(~ok).withColumn("rejected_at", F.current_timestamp())
+        folder = f"batch={source_id}-{batch_id}"
+        write_partitioned(
+            rejected, f"{quarantine_part(output_path)}/{folder}", (), "overwrite", name="quarantine"
+        )
+        valid = to_bronze(
+            tagged.filter(ok).drop("violations", RAW_COLUMN), F.current_timestamp(), None, None
+        )
+        write_stream_batch(valid, output_path, source_id, batch_id, config)
+    finally:
+        tagged.unpersist()
+
+
+def start_quarantine_sink(
+    records: DataFrame,
+    output_path: str,
+    checkpoint_dir: str,
+    config: LakeConfig = DEFAULT_CONFIG,
+    processing_time: str | None = "30 seconds",
+    available_now: bool = False,
+) -> StreamingQuery:
+    """FIL2 in STR1: every record ends up in bronze or, with reasons, in quarantine."""
+    parsed = parse_records(records, raw=RAW_COLUMN)
+    return _start_sink(
+        parsed, write_contract_batch, output_path, checkpoint_dir, config, processing_time, available_now
+    )
+
+
+def read_quarantine(spark: SparkSession, path: str) -> DataFrame:
+    """Rejected rows of a bronze table: event columns, payload and ``violations``."""
+    fields = [f for f in BRONZE_SCHEMA.fields if f.name in QUARANTINE_COLUMNS]
+    schema = T.StructType(
+        [
+            *fields,
+            T.StructField(RAW_COLUMN, T.StringType()),
+            T.StructField("violations", T.ArrayType(T.StringType())),
+            T.StructField("rejected_at", T.TimestampType()),
+        ]
+    )
+    return read_table(spark, quarantine_part(path), schema).select(schema.fieldNames())
+
+
 def drain_to_parquet(
     df: DataFrame, output_path: str, checkpoint_dir: str, partitions: tuple[str, ...] = ()
 ) -> None:
