@@ -175,9 +175,10 @@ def signatures(texts: list[bytes]) -> np.ndarray:
     return out
 
 
-def as_text(signature: np.ndarray, empty: bool) -> str:
-    """A signature as a fingerprint."""
-    return "" if empty else signature.tobytes().hex()
+def as_bytes(signature: np.ndarray, empty: bool) -> bytes:
+    """A signature as it is staged; none for an empty text. Its fingerprint is its
+    hexadecimal form."""
+    return b"" if empty else signature.tobytes()
 
 
 def likeness(a: np.ndarray, b: np.ndarray, a_empty: np.ndarray, b_empty: np.ndarray) -> np.ndarray:
@@ -190,7 +191,7 @@ def likeness(a: np.ndarray, b: np.ndarray, a_empty: np.ndarray, b_empty: np.ndar
 def fingerprint(text: str | None) -> str:
     """Fingerprint of one text."""
     raw = (text or "").encode()
-    return as_text(signatures([raw])[0], not raw)
+    return as_bytes(signatures([raw])[0], not raw).hex()
 
 
 def edit(text: str, following: str) -> str:
@@ -210,18 +211,19 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in (part for whole in batches for part in W.slices(whole, 1)):
             texts = W.utf8(batch.column(1))
-            marks = [as_text(s, not t) for s, t in zip(signatures(texts), texts, strict=True)]
+            marks = [as_bytes(s, not t).hex() for s, t in zip(signatures(texts), texts, strict=True)]
             yield pa.record_batch([batch.column(0), pa.array(marks, pa.string())], arrow)
 
     return docs.select(F.col(id_col), text_or_empty(text_col).alias("text")).mapInArrow(run, schema)
 
 
+#: What is staged per document, digests and signatures as bytes.
 _RESULT = T.StructType(
     [
         T.StructField("n_chars", T.LongType()),
-        T.StructField("edited_sha256", T.StringType()),
-        T.StructField("fingerprint", T.StringType()),
-        T.StructField("edited_fingerprint", T.StringType()),
+        T.StructField("edited_sha256", T.BinaryType()),
+        T.StructField("fingerprint", T.BinaryType()),
+        T.StructField("edited_fingerprint", T.BinaryType()),
         T.StructField("near_edited", T.DoubleType()),
         T.StructField("near_next", T.DoubleType()),
     ]
@@ -243,9 +245,9 @@ def _compared(ids: pa.Array, texts: list[str], following: list[str]) -> list[pa.
     empty = [np.array([not t for t in side], bool) for side in raw]
     columns = [
         [len(t) for t in texts],
-        [hashlib.sha256(t).hexdigest() for t in raw[1]],
-        [as_text(s, e) for s, e in zip(own, empty[0], strict=True)],
-        [as_text(s, e) for s, e in zip(changed, empty[1], strict=True)],
+        [hashlib.sha256(t).digest() for t in raw[1]],
+        [as_bytes(s, e) for s, e in zip(own, empty[0], strict=True)],
+        [as_bytes(s, e) for s, e in zip(changed, empty[1], strict=True)],
         likeness(own, changed, empty[0], empty[1]),
         likeness(own, nexts, empty[0], empty[2]),
     ]
@@ -333,4 +335,10 @@ def edited_pairs(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         .mapInArrow(_edge_rows(to_arrow_schema(result)), result)
     )
     inner = done.filter("side is null").select(*result.fieldNames())
-    return inner.unionByName(edges).withColumnRenamed("id", id_col)
+    return inner.unionByName(edges).select(
+        F.col("id").alias(id_col),
+        *[
+            F.lower(F.hex(f.name)).alias(f.name) if f.dataType == T.BinaryType() else F.col(f.name)
+            for f in _RESULT.fields
+        ],
+    )
