@@ -5,7 +5,10 @@ sensor_type) in event-time order. Written directly as one window, a sensor's
 whole history is sorted by a single task; a sensor holding a third of the data
 would stall the job (AQE splits skewed joins, not windows).
 
-``strategy="chunked"`` (the default) gives the same frame with bounded tasks:
+``strategy="chunked"`` (the default) gives the same frame with bounded tasks. The
+rows are staged and counted per sensor (keys only). Sensors of at most ``chunk_rows`` rows
+go through the plain window: one exchange of full rows, and a sort that no single
+sensor can make larger than a chunk. Only sensors with more rows are cut:
 
 1. number the rows of each sensor: by default (``numbering="range"``) rows are
    range-partitioned on (sensor, event time, event_id), so Spark's sampled
@@ -62,15 +65,44 @@ def rolling_stats(
     keys, order = list(keys), list(order)
     lookback = rows - 1
     if strategy == "direct":
-        w = Window.partitionBy(*keys).orderBy(*order).rowsBetween(-lookback, 0)
-        return df.withColumn("rolling_mean", F.avg(value).over(w)).withColumn(
-            "rolling_stddev", F.stddev(value).over(w)
-        )
+        return _direct(df, value, keys, order, lookback)
     if strategy != "chunked":
         raise ValueError(f"unknown strategy {strategy!r}")
     if chunk_rows <= lookback:
         raise ValueError("chunk_rows must exceed the frame's lookback")
+    if materialize:
+        df = stage_table(df, "rolling-input")
+    large = df.groupBy(*keys).count().filter(F.col("count") > chunk_rows).select(*keys)
+    if materialize:
+        large = stage_table(large, "rolling-large")
+    if large.isEmpty():
+        return _direct(df, value, keys, order, lookback)
+
+    def of_large(how: str) -> DataFrame:
+        same = F.lit(True)
+        for k in keys:
+            same = same & df[k].eqNullSafe(large[k])
+        return df.join(large, same, how)
+
+    small = _direct(of_large("left_anti"), value, keys, order, lookback)
+    return small.unionByName(
+        _chunked(of_large("left_semi"), value, keys, order, lookback, chunk_rows, numbering, bucket, materialize)
+    )
 
+
+def _direct(df: DataFrame, value: str, keys: list[str], order: list[str], lookback: int) -> DataFrame:
+    """The frame as one window per sensor."""
+    w = Window.partitionBy(*keys).orderBy(*order).rowsBetween(-lookback, 0)
+    return df.withColumn("rolling_mean", F.avg(value).over(w)).withColumn(
+        "rolling_stddev", F.stddev(value).over(w)
+    )
+
+
+def _chunked(
+    df: DataFrame, value: str, keys: list[str], order: list[str], lookback: int,
+    chunk_rows: int, numbering: str, bucket: str, materialize: bool,
+) -> DataFrame:
+    """The frame of sensors that are cut into chunks of positions."""
     numbered, groups = _number_rows(df, keys, order, numbering, bucket, materialize)
     # Running row count of the preceding groups of each sensor: a window over
     # the small group table only (one row per sensor and group).
