@@ -6,6 +6,7 @@ import atexit
 import shutil
 import tempfile
 import zipfile
+from collections.abc import Callable
 from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -15,6 +16,8 @@ from sluice.session import scratch_path
 
 #: Java regex class of the ASCII white space that separates words (UTF-8 safe).
 SPACE_CLASS = r"[\x20\x09-\x0D]"
+#: Columns of ``documents`` that operators read.
+OPERATOR_COLUMNS = ("doc_id", "text", "source", "lang")
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -40,6 +43,15 @@ def text_or_empty(col: str = "text") -> Column:
     return F.coalesce(F.col(col).cast("string"), F.lit(""))
 
 
+def shielded(docs: DataFrame, step: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """``step`` applied to the documents while columns that operators do not read bear
+    neutral names, so that none of them can clash with what an operator adds; ``step``
+    keeps all columns it is given, and the result has those of ``docs`` alone."""
+    names = {c: c if c in OPERATOR_COLUMNS else f"column {i}" for i, c in enumerate(docs.columns)}
+    out = step(docs.select(*[F.col(f"`{c}`").alias(n) for c, n in names.items()]))
+    return out.select(*[F.col(f"`{n}`").alias(c) for c, n in names.items()])
+
+
 def ship(spark: SparkSession) -> None:
     """Give Python workers this package: Spark serves it from the driver, once per
     application, so tasks need no installation on the executors."""

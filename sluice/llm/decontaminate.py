@@ -17,7 +17,8 @@ size allows, otherwise the join shuffles and splits hot fingerprints. Nothing
 is collected on the driver but the few guarantees in use (at most five).
 
 Defined cases: null text has no words (n_hit 0, not contaminated); an item
-without words never occurs; repeated rows each get their row; extra columns
+without words never occurs; an item without an id counts as one, and adds no id to the
+list; items that repeat id and text are one; repeated rows each get their row; extra columns
 pass through :func:`mark_contamination`; empty documents or benchmark give
 empty or clean results.
 """
@@ -107,6 +108,7 @@ def _fingerprint_rows(guarantees: list[int]):
 def _item_rows(window: int):
     schema = pa.schema(
         [
+            ("key", pa.int64()),
             ("item_id", pa.int64()),
             ("n_words", pa.int32()),
             ("g", pa.int32()),
@@ -119,13 +121,14 @@ def _item_rows(window: int):
         for batch in batches:
             hashes, firsts = W.word_hashes(W.utf8(batch.column(1)), W.ALPHANUMERIC, lower=True)
             rows = []
-            for i, item in enumerate(batch.column(0).to_pylist()):
+            items = zip(batch.column(2).to_pylist(), batch.column(0).to_pylist(), strict=True)
+            for i, (key, item) in enumerate(items):
                 own = hashes[firsts[i] : firsts[i + 1]]
                 if len(own):
                     g = guarantee_of(len(own), window)
                     fps = fingerprints(own, g).view(np.int64).tolist()
                     grams = np.unique(W.window_hashes(own, min(window, len(own))))
-                    rows.append((item, len(own), g, fps, grams.view(np.int64).tolist()))
+                    rows.append((key, item, len(own), g, fps, grams.view(np.int64).tolist()))
             yield pa.record_batch(
                 [pa.array(c, f.type) for c, f in zip(zip(*rows, strict=True), schema, strict=True)]
                 if rows
@@ -189,10 +192,16 @@ def mark_contamination(
     """
     ship(docs.sparkSession)
     items = (
-        benchmark.select(F.col("item_id").cast("long"), "text")
+        # An item is told by its id (null among them) and its text; repeated rows are one.
+        benchmark.select(
+            F.col("item_id").cast("long").alias("item_id"),
+            "text",
+            F.xxhash64(F.coalesce(F.col("item_id").cast("string"), F.lit("null")), "text").alias("key"),
+        )
+        .dropDuplicates(["key"])
         .mapInArrow(
             _item_rows(window),
-            "item_id long, n_words int, g int, fps array<long>, grams array<long>",
+            "key long, item_id long, n_words int, g int, fps array<long>, grams array<long>",
         )
     )
     guarantees = sorted(r.g for r in items.select("g").distinct().collect())
@@ -206,17 +215,17 @@ def mark_contamination(
     )
     keyed = docs.withColumn("_key", F.xxhash64("doc_id", "text"))
     if guarantees:
-        item_fps = items.select("item_id", "g", F.explode("fps").alias("fp"))
+        item_fps = items.select(F.col("key").alias("item"), "g", F.explode("fps").alias("fp"))
         pairs = (
             keyed.select("_key", "text")
             .mapInArrow(_fingerprint_rows(guarantees), "key long, g int, fps array<long>")
             .select("key", "g", F.explode("fps").alias("fp"))
             .join(item_fps, ["g", "fp"])
-            .select("key", "item_id")
+            .select("key", "item")
             .distinct()
         )
         hits = (
-            pairs.join(items.select("item_id", "n_words", "grams"), "item_id")
+            pairs.join(items.select(F.col("key").alias("item"), "item_id", "n_words", "grams"), "item")
             .groupBy("key")
             .agg(F.collect_list(F.struct("item_id", "n_words", "grams")).alias("_found"))
         )

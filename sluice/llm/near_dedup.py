@@ -28,9 +28,10 @@ one row per map task in aggregates and are split in joins.
 
 Defined cases: null or wordless text has an empty set and no link; a text of
 fewer than five words is one shingle; rows that repeat an id and text are equal
-copies (both carry the same component); a null id is its own smallest (null)
-component only if alone, else ids compare with null last; extra columns are
-ignored; an empty table gives an empty result.
+copies (both carry the same component); ids are integers, rows without one compare last (a
+component of such rows alone has a null id, and all of them count as kept;
+:func:`keep_one_each` keeps one); rows that share an id are linked by their own texts;
+extra columns are ignored; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -114,6 +115,7 @@ def chunk_keys(symbols: np.ndarray) -> np.ndarray:
 _PROFILE = pa.schema(
     [
         ("doc_id", pa.int64()),
+        ("t", pa.int64()),
         ("n", pa.int64()),
         ("rid", pa.int64()),
         ("sig", pa.binary()),
@@ -142,6 +144,7 @@ def _profile(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.record_batch(
                 [
                     batch.column(0),
+                    batch.column(2),
                     pa.array([len(s) for s in sets], pa.int64()),
                     pa.array(rids, pa.int64()),
                     pa.array(sigs, pa.binary()),
@@ -177,19 +180,6 @@ def _confirm(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             )
 
 
-def _own_texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows whose text has the set identity that was asked for (ids may repeat)."""
-    for whole in batches:
-        for batch in W.slices(whole, 1):
-            sets = shingle_sets(W.utf8(batch.column(1)))
-            wanted = batch.column(0).to_pylist()
-            yield batch.filter(
-                pa.array(
-                    [bool(len(s)) and set_identity(s) == w for s, w in zip(sets, wanted, strict=True)]
-                )
-            )
-
-
 _FOUND = "a long, b long, key long, i int, j int"
 #: A block pair with more candidate pairs than this many times its members is
 #: dense: its pairs are confirmed inside the task instead of leaving it as rows.
@@ -296,17 +286,27 @@ class _Search:
 
     def __init__(self, docs: DataFrame) -> None:
         ship(docs.sparkSession)
-        self.docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_or_empty().alias("text"))
+        # A row is told by its id (null among them) and a hash of its text.
+        text = text_or_empty()
+        self.docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text.alias("text")).withColumn(
+            "t", F.xxhash64("text")
+        )
         self.rows = stage(
             self.docs.mapInArrow(
-                _profile, "doc_id long, n long, rid long, sig binary, keys array<long>"
+                _profile, "doc_id long, t long, n long, rid long, sig binary, keys array<long>"
             ),
             "profiles",
         )
-        # All members of a class have the same profile; the least id finds a text of it.
+        # All members of a class have the same profile; the least row finds a text of it.
         some = self.rows.filter("n > 0")
-        self.classes = stage(some.groupBy("rid").agg(F.min("doc_id").alias("doc_id")), "classes")
-        chosen = some.join(self.classes, ["rid", "doc_id"])
+        self.classes = stage(
+            some.groupBy("rid")
+            .agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "t")).alias("least"))
+            .select("rid", "least.doc_id", "least.t"),
+            "classes",
+        )
+        chosen = some.join(self.classes.select("rid", F.col("doc_id").alias("c_id"), F.col("t").alias("c_t")), "rid")
+        chosen = chosen.filter(F.col("doc_id").eqNullSafe(F.col("c_id")) & (F.col("t") == F.col("c_t")))
         keys = chosen.select("rid", F.explode("keys").alias("key"))
         heads = (
             keys.groupBy("key")
@@ -320,14 +320,17 @@ class _Search:
             self.buckets.select("rid").distinct().join(self.classes, "rid"), "bucket-members"
         )
         self.profiles = stage(
-            some.select("rid", "doc_id", "n", "sig", "keys").join(met, ["rid", "doc_id"]).dropDuplicates(["rid"]),
+            chosen.select("rid", "n", "sig", "keys").join(met.select("rid"), "rid").dropDuplicates(["rid"]),
             "bucket-profiles",
         )
-        # Members grow with the data: joined by shuffle whatever their size now.
+        # Members grow with the data: joined by shuffle whatever their size now. Null ids
+        # are told apart by the hash of their texts.
+        wanted = met.hint("merge")
         self.texts = stage(
-            self.docs.join(met.hint("merge"), self.docs["doc_id"].eqNullSafe(met["doc_id"]))
+            self.docs.join(
+                wanted, (self.docs["t"] == wanted["t"]) & self.docs["doc_id"].eqNullSafe(wanted["doc_id"])
+            )
             .select("rid", "text")
-            .mapInArrow(_own_texts, "rid long, text string")
             .dropDuplicates(["rid"]),
             "bucket-texts",
         )
@@ -408,19 +411,26 @@ class _Search:
         return labels if is_empty(more) else components(links.unionByName(more))
 
 
+    def placed(self) -> DataFrame:
+        """``doc_id, t, n, label``: the component of every row (null without words)."""
+        labels = self.labels()
+        label_of = stage(
+            self.classes.select("rid")
+            .join(labels.withColumnRenamed("node", "rid"), "rid", "left")
+            .select("rid", F.coalesce("label", "rid").alias("label")),
+            "class-labels",
+        )
+        return self.rows.select("doc_id", "t", "n", "rid").join(label_of, "rid", "left").drop("rid")
+
+
 def near_duplicates(docs: DataFrame) -> DataFrame:
     """``doc_id, n_shingles, component_id, kept`` per input row."""
-    run = _Search(docs)
-    labels = run.labels()
-    groups = (
-        run.classes.join(labels.withColumnRenamed("node", "rid"), "rid", "left")
-        .select("rid", "doc_id", F.coalesce("label", "rid").alias("label"))
+    rows = stage(_Search(docs).placed(), "placed")
+    least = (
+        rows.filter("label is not null").groupBy("label").agg(F.min("doc_id").alias("component_id"))
     )
-    least = groups.groupBy("label").agg(F.min("doc_id").alias("component_id"))
-    of_class = stage(groups.join(least, "label").select("rid", "component_id"), "class-components")
     return (
-        run.rows.select("doc_id", "n", "rid")
-        .join(of_class, "rid", "left")
+        rows.join(least, "label", "left")
         .select(
             "doc_id",
             F.col("n").alias("n_shingles"),
@@ -428,3 +438,35 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
         )
         .withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
     )
+
+
+def keep_one_each(docs: DataFrame) -> DataFrame:
+    """The documents without near duplicates: of each component the row with the smallest
+    id stays (rows without an id come last, ties go by a hash of the text), once. Rows
+    without words are linked with nothing; of equal ones with one id, one stays. Rows that
+    share an id are judged by their own texts."""
+    rows = _Search(docs).placed().filter("label is not null")
+    rows = stage(rows.select("label", F.col("doc_id").alias("k_id"), F.col("t").alias("k_t")).distinct(), "placed")
+    firsts = rows.groupBy("label").agg(
+        F.min(F.struct(F.col("k_id").isNull().alias("none"), "k_id", "k_t")).alias("first")
+    )
+    stays = F.col("k_id").eqNullSafe(F.col("first.k_id")) & (F.col("k_t") == F.col("first.k_t"))
+    dropped = stage(rows.join(firsts, "label").filter(~stays).select("k_id", "k_t"), "dropped")
+    names = docs.columns
+    marked = docs.select(
+        F.struct("*").alias("row"),
+        F.col("doc_id").cast("long").alias("id"),
+        F.xxhash64(text_or_empty()).alias("t"),
+    )
+    same = (F.col("t") == F.col("k_t")) & F.col("id").eqNullSafe(F.col("k_id"))
+    left = marked.join(dropped, same, "left_anti")
+    # Rows that occur more than once are few: only they are grouped.
+    again = stage(
+        marked.groupBy("id", "t").count().filter("count > 1").select(
+            F.col("id").alias("k_id"), F.col("t").alias("k_t")
+        ),
+        "repeated",
+    )
+    once = left.join(again, same, "left_semi").dropDuplicates(["id", "t"])
+    out = left.join(again, same, "left_anti").unionByName(once)
+    return out.select([F.col("row")[n].alias(n) for n in names])

@@ -110,9 +110,8 @@ def op9_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Benchmark windows in every document."""
-    marked = decontaminate.mark_contamination(
-        table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), carry=["doc_id"]
-    )
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    marked = decontaminate.mark_contamination(docs, table(spark, sf_dir, "benchmark"), carry=["doc_id"])
     ids = F.array_join(F.array_sort(F.transform("_items", lambda i: i.cast("string"))), ",")
     return marked.select(
         "doc_id",

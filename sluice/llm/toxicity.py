@@ -10,10 +10,11 @@ toxic dictionary alone saves. A document's window differences (their mean, the
 largest ones, and how many reach each threshold) go through a logistic
 calibration to a score in [0, 1], weighted to the label shares of the data.
 
-Learning reads a bounded sample of labelled documents (``TOXIC_DOCS``,
-``ORDINARY_DOCS``, and at most ``SAMPLE_WINDOWS`` evenly spaced windows of
-each); calibration features are cross-fitted, so no document is scored with a
-dictionary that has seen it. Scoring reads every whole text, uses nothing but
+Dictionaries are learnt from a bounded sample of labelled documents (``TOXIC_DOCS``,
+``ORDINARY_DOCS``), from at most ``SAMPLE_WINDOWS`` evenly spaced windows of each for the
+cues and ``ORDINARY_WINDOWS`` for the ordinary dictionary. Calibration features of the
+sampled documents are computed in tasks, from whole texts as in scoring, and are
+cross-fitted, so no document is scored with a dictionary that has seen it. Scoring reads every whole text, uses nothing but
 the text, and is one pass without a shuffle.
 
 Defined cases: null or empty text is one empty window; documents without a
@@ -46,6 +47,8 @@ WINDOW_WORDS = 8
 GRAM = 5
 #: Bounds of the learning sample.
 TOXIC_DOCS, ORDINARY_DOCS, SAMPLE_WINDOWS = 1000, 2000, 512
+#: Evenly spaced windows of each ordinary document that its dictionary is trained on.
+ORDINARY_WINDOWS = 16
 ORDINARY_BYTES, TOXIC_BYTES = 16384, 4096
 #: A gram is a cue if documents with so many uses of it are over ``CUE_TIMES`` times as
 #: frequent among toxic ones, with a likelihood ratio of ``CUE_RATIO``.
@@ -233,7 +236,7 @@ def dictionaries(toxic: list[list[bytes]], ordinary: list[list[bytes]]) -> tuple
     holds = re.compile(b"|".join(map(re.escape, found))) if found else None
     plain = []
     for doc in ordinary:
-        for part in doc[:16]:
+        for part in spaced(doc, ORDINARY_WINDOWS):
             if holds and holds.search(part):
                 words = (b" " + w + b" " for w in part.split())
                 part = b" " + b" ".join(w[1:-1] for w in words if not holds.search(w)) + b" "
@@ -254,20 +257,36 @@ def logistic(x: np.ndarray, y: np.ndarray, weight: np.ndarray, l2: float = 1e-3)
     return center, spread, w
 
 
+def fold_dictionaries(toxic: list, ordinary: list) -> list[tuple[bytes, bytes]]:
+    """Dictionaries of either half of the sample; each scores the other half."""
+    return [dictionaries(toxic[fold::2], ordinary[fold::2]) for fold in (0, 1)]
+
+
+def calibrated(
+    toxic: list, ordinary: list, share: float, x: np.ndarray, y: np.ndarray
+) -> Model:
+    """Model from the sample and from cross-fitted features ``x`` of whole documents."""
+    weight = np.where(y == 1, share / y.sum(), (1 - share) / (1 - y).sum())
+    return Model(*dictionaries(toxic, ordinary), *logistic(x, y, weight), share)
+
+
+def unfitted(share: float) -> Model:
+    """The model where a class has no sample: every score is the share."""
+    none = np.empty(0)
+    return Model(b"", b"", none, none, none, share)
+
+
 def fit(toxic: list[list[bytes]], ordinary: list[list[bytes]], share: float) -> Model:
-    """Model from sampled documents (as windows); ``share`` of all labels is toxic."""
+    """Model from documents as lists of all their windows; ``share`` of labels is toxic."""
     if len(toxic) < 2 or len(ordinary) < 2:
-        none = np.empty(0)
-        return Model(b"", b"", none, none, none, share)
+        return unfitted(share)
     x, y = [], []
-    for fold in (0, 1):
-        here = Compressor(*dictionaries(toxic[fold::2], ordinary[fold::2]))
+    for fold, pair in enumerate(fold_dictionaries(toxic, ordinary)):
+        here = Compressor(*pair)
         for label, docs in ((1, toxic[1 - fold :: 2]), (0, ordinary[1 - fold :: 2])):
             x += [here.features(doc) for doc in docs]
             y += [label] * len(docs)
-    target = np.array(y)
-    weight = np.where(target == 1, share / target.sum(), (1 - share) / (1 - target).sum())
-    return Model(*dictionaries(toxic, ordinary), *logistic(np.array(x), target, weight), share)
+    return calibrated(toxic, ordinary, share, np.array(x), np.array(y))
 
 
 def held_out(doc_id: Column) -> Column:
@@ -294,32 +313,82 @@ def train(docs: DataFrame, labels: DataFrame) -> Model:
             .collect()
         )
     if not sample:
-        return fit([], [], 0.0)
-    # At most TOXIC_DOCS + ORDINARY_DOCS ids: safe to broadcast.
+        return unfitted(0.0)
+    # At most TOXIC_DOCS + ORDINARY_DOCS ids: safe to broadcast. An id that several texts
+    # share is learnt from one of them, so the rows are as many.
     ids = docs.sparkSession.createDataFrame(sample, "doc_id long, toxic int")
     rows = (
-        docs.select("doc_id", "text")
-        .join(F.broadcast(ids), "doc_id")
+        _texts_of(docs, ids)
         .select("doc_id", "toxic", "text")
         .mapInArrow(_sample_rows, "doc_id long, toxic int, parts array<binary>")
         .collect()
     )
     by_label: dict[int, dict] = {1: {}, 0: {}}
     for r in sorted(rows, key=lambda r: (r["doc_id"], r["parts"])):
-        by_label[r["toxic"]].setdefault(tuple(bytes(p) for p in r["parts"]))
+        # Copies of one text are one sample.
+        by_label[r["toxic"]].setdefault(tuple(bytes(p) for p in r["parts"]), r["doc_id"])
     total = counts.get(0, 0) + counts.get(1, 0)
-    return fit(
-        [list(k) for k in by_label[1]], [list(k) for k in by_label[0]], counts.get(1, 0) / total
+    share = counts.get(1, 0) / total
+    toxic, ordinary = ([list(k) for k in by_label[label]] for label in (1, 0))
+    if len(toxic) < 2 or len(ordinary) < 2:
+        return unfitted(share)
+    # Calibration features come from whole texts, as in scoring, by the dictionaries of
+    # the half that a document is not in.
+    halves = [
+        (doc_id, label, 1 - n % 2) for label in (1, 0) for n, doc_id in enumerate(by_label[label].values())
+    ]
+    chosen = docs.sparkSession.createDataFrame(halves, "doc_id long, toxic int, half int")
+    pairs = fold_dictionaries(toxic, ordinary)
+
+    def feature_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        compressors = [Compressor(*pair) for pair in pairs]
+        for whole in batches:
+            for batch in slices(whole, 3):
+                x = [
+                    compressors[half].features(windows(text)).tolist()
+                    for half, text in zip(batch.column(2).to_pylist(), utf8(batch.column(3)), strict=True)
+                ]
+                yield pa.record_batch(
+                    [batch.column(0), batch.column(1), pa.array(x, pa.list_(pa.float64()))],
+                    ["doc_id", "toxic", "x"],
+                )
+
+    features = (
+        _texts_of(docs, chosen)
+        .select("doc_id", "toxic", "half", "text")
+        .mapInArrow(feature_rows, "doc_id long, toxic int, x array<double>")
+        .collect()
+    )
+    features.sort(key=lambda r: (r["doc_id"], r["toxic"]))
+    return calibrated(
+        toxic, ordinary, share, np.array([r["x"] for r in features]), np.array([r["toxic"] for r in features])
+    )
+
+
+def _texts_of(docs: DataFrame, ids: DataFrame) -> DataFrame:
+    """The sampled ids with one text each."""
+    ids = F.broadcast(ids)
+    others = [c for c in ids.columns if c != "doc_id"]
+    return (
+        docs.select("doc_id", "text")
+        .join(ids, "doc_id")
+        .groupBy("doc_id", *others)
+        .agg(F.min_by("text", F.xxhash64("text")).alias("text"))
+        .repartition(docs.sparkSession.sparkContext.defaultParallelism)
     )
 
 
+def spaced(parts: list, most: int) -> list:
+    """At most ``most`` evenly spaced entries of a list."""
+    at = np.unique(np.linspace(0, len(parts) - 1, min(len(parts), most)).astype(int))
+    return [parts[i] for i in at]
+
+
 def _sample_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         parts = []
         for text in utf8(batch.column(2)):
-            every = windows(text)
-            at = np.unique(np.linspace(0, len(every) - 1, min(len(every), SAMPLE_WINDOWS)).astype(int))
-            parts.append([every[i] for i in at])
+            parts.append(spaced(windows(text), SAMPLE_WINDOWS))
         yield pa.record_batch(
             [batch.column(0), batch.column(1), pa.array(parts, pa.list_(pa.binary()))],
             ["doc_id", "toxic", "parts"],

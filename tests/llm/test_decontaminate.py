@@ -78,3 +78,13 @@ def test_winnowing_guarantee():
                     decontaminate.fingerprints(a, guarantee), decontaminate.fingerprints(b, guarantee)
                 )
             )
+
+
+def test_items_without_an_id_and_repeated_items(spark, docs_of):
+    rng = random.Random(41)
+    a, b = prose(rng, 30, 10**6), prose(rng, 30, 10**6)
+    items = spark.createDataFrame([(None, a), (4, b), (4, b)], "item_id long, text string")
+    rows = decontaminate.mark_contamination(docs_of([(1, a), (2, b), (None, a + " " + b)]), items).collect()
+    got = {r.doc_id: (r._n_hit, r._items, r._contaminated) for r in rows}
+    assert got[1] == (30, [None], True) and got[2] == (30, [4], True)
+    assert got[None][0] == 60 and len(got[None][1]) == 2

@@ -102,3 +102,28 @@ def test_components_of_a_long_chain(spark):
     edges = spark.createDataFrame([(i, i + 1) for i in range(40)] + [(100, 90)], "a long, b long")
     got = {r.node: r.label for r in components(edges).collect()}
     assert got == {**{i: 0 for i in range(41)}, 90: 90, 100: 90}
+
+
+def test_rows_without_an_id_or_with_a_shared_one_keep_their_links(spark, docs_of):
+    rng = random.Random(31)
+    a, b, c = (prose(rng, 60, 10**6) for _ in range(3))
+    one = lambda t: t.replace(t.split()[30], "changed")
+    got = near_dedup.near_duplicates(docs_of([(None, a), (5, one(a)), (None, b), (None, one(b)), (7, c)])).collect()
+    seen = sorted(((r.doc_id, r.component_id, r.kept) for r in got), key=repr)
+    assert seen == [(5, 5, True), (7, 7, True), (None, 5, False), (None, None, True), (None, None, True)]
+
+
+def test_one_row_of_each_component_stays_with_all_its_columns(spark, docs_of):
+    rng = random.Random(32)
+    a, b, c, d = (prose(rng, 60, 10**6) for _ in range(4))
+    one = lambda t: t.replace(t.split()[30], "changed")
+    pairs = [(1, a), (2, one(a)), (2, b), (3, c), (3, c), (None, d), (None, one(d)), (None, None), (None, None), (9, ""), (8, "")]
+    docs = docs_of(pairs, CLASHING + ", t long, row string, k_id int")
+    out = near_dedup.keep_one_each(docs)
+    assert out.columns == docs.columns
+    got = sorted(((r.doc_id, r.text) for r in out.collect()), key=repr)
+    texts = {(None, d), (None, one(d))} & set(got)
+    assert len(texts) == 1
+    want = [(1, a), (2, b), (3, c), (None, None), (8, ""), (9, ""), *texts]
+    assert got == sorted(want, key=repr)
+    assert near_dedup.keep_one_each(docs_of([])).count() == 0

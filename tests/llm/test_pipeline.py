@@ -83,3 +83,26 @@ def test_empty_documents(spark, tables, docs_of):
 
 def test_import_errors_are_not_swallowed():
     assert not re.search(r"except (ImportError|ModuleNotFoundError)", open(P.__file__).read())
+
+
+def test_columns_with_the_names_that_operators_add_pass_through(spark, tables, docs_of):
+    from pyspark.sql import functions as F
+
+    names = ("_score", "_predicted", "_found", "_n_words", "_n_hit", "_items", "_contaminated", "_key",
+             "_source", "_topic", "_probability", "_sampled", "_tokens", "row", "t", "id")
+    docs = spark.read.parquet(f"{tables[0]}/documents.parquet").withColumns({n: F.lit(n) for n in names})
+    for name, step in P.STAGES[:-1]:
+        docs = step(spark, docs, tables[0])
+        assert docs.columns[-len(names) :] == list(names), name
+        row = docs.first()
+        assert all(row[n] == n for n in names), name
+
+
+def test_texts_that_share_an_id_are_judged_apart(spark, tables, docs_of):
+    rng = random.Random(51)
+    a, b, c = (prose(rng, 60, 10**6) for _ in range(3))
+    docs = docs_of([(1, a), (2, a + " tail"), (2, b), (None, c), (None, c + " tail")])
+    left = P.STAGES[1][1](spark, docs, tables[0]).collect()
+    assert sorted((r.doc_id or 0, r.text.split()[0]) for r in left) == sorted(
+        [(1, a.split()[0]), (2, b.split()[0]), (0, c.split()[0])]
+    )

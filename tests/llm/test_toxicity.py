@@ -1,11 +1,12 @@
 from __future__ import annotations
 
+import math
 import random
 import zlib
 
 import numpy as np
 
-from llm_helpers import CLASHING, docs_of  # noqa: F401
+from llm_helpers import CLASHING, docs_of, prose  # noqa: F401
 from sluice.llm import toxicity
 
 INSULTS = ["blockhead", "nitwit", "dunderhead", "nincompoop"]
@@ -85,3 +86,48 @@ def test_cues_of_a_small_language_that_ordinary_text_uses_too():
     above = sum(a > b for a in found for b in others)
     assert b"achlich" in model.toxic
     assert len(found) >= 5 and above >= 0.75 * len(found) * len(others)
+
+
+def test_a_cue_far_behind_the_first_windows_counts_in_fitting_and_scoring(spark, docs_of):
+    """Ordinary habits after word 128 reach the ordinary dictionary; texts of more than
+    4,096 words are calibrated on whole texts."""
+    rng = random.Random(61)
+    pairs, labels = [], []
+    for i in range(120):
+        words = prose(rng, 5000 if i < 6 else 300).split()
+        words[140:] = [w if n % 3 else "habitualword" for n, w in enumerate(words[140:])]
+        toxic = int(i % 3 == 0)
+        if toxic:
+            for at in (len(words) - 5, len(words) - 40, len(words) - 90):
+                words.insert(at, "dunderheaded")
+        pairs.append((i, " ".join(words)))
+        labels.append((i, 1, toxic))
+    labels = spark.createDataFrame(labels, "doc_id long, quality int, toxic int")
+    docs = docs_of(pairs)
+    model = toxicity.train(docs, labels)
+    assert b"habitualword" in model.ordinary
+    got = {r.doc_id: r._predicted for r in toxicity.score_documents(docs, model).collect()}
+    assert sum(got[i] == int(i % 3 == 0) for i in got) >= 0.95 * len(got)
+
+
+def test_an_id_that_repeats_is_learnt_once_and_scores_are_recomputed(spark, docs_of):
+    rng = random.Random(62)
+    pairs = [(i, prose(rng, 40) + (" nincompoop nincompoop" if i % 2 else "")) for i in range(80)]
+    pairs += [(5, f"other text {n}") for n in range(50)]
+    labels = spark.createDataFrame([(i, 1, i % 2) for i in range(80)], "doc_id long, quality int, toxic int")
+    docs = docs_of(pairs)
+    model = toxicity.train(docs, labels)
+    pair = toxicity.Compressor(model.ordinary, model.toxic)
+    for r in toxicity.score_documents(docs, model).collect():
+        # The score read step by step: lengths of each window under either dictionary.
+        saved = []
+        for window in toxicity.windows(r.text.encode()):
+            lengths = [len(c.compress(window + toxicity._TAIL)) for c in pair.pair]
+            saved.append(lengths[0] - lengths[1])
+        top, n = sorted(saved, reverse=True), len(saved)
+        counts = [sum(s >= k for s in saved) for k in toxicity._STEPS]
+        x = [sum(saved) / n, top[0], sum(top[:2]) / len(top[:2]), sum(top[:4]) / len(top[:4])]
+        x += [math.log1p(c) for c in counts] + [c / n for c in counts]
+        z = [(a - m) / s * w for a, m, s, w in zip(x, model.center, model.spread, model.weights, strict=False)]
+        want = 1 / (1 + math.exp(-(sum(z) + model.weights[-1])))
+        assert abs(r._score - want) < 1e-9
