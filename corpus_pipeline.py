@@ -6,7 +6,8 @@ return the columns of ``documents``; rows that a stage rejects are gone for all
 later ones.
 
 1. ``toxicity``: rejects documents predicted toxic by compression distance.
-2. ``near_dedup``: of each group of near-duplicates the smallest id stays, once.
+2. ``near_dedup``: of each group of near-duplicates the row with the smallest id stays,
+   once; rows are told by id and text, so texts that share an id are judged apart.
 3. ``decontaminate``: rejects documents that hold benchmark passages.
 4. ``mix``: samples documents at probabilities raked to source, language and
    topic targets.
@@ -21,7 +22,7 @@ from pyspark.sql import functions as F
 from sluice.llm import decontaminate as contamination
 from sluice.llm import mixing, near_dedup, sharding
 from sluice.llm import toxicity as toxic
-from sluice.llm.common import stage, table
+from sluice.llm.common import shielded, stage, table
 
 #: The compression classifier has no SQL form; the tests compare the stages with
 #: brute force instead.
@@ -32,31 +33,23 @@ KEEP_TOKENS = 0.9
 
 
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    model = toxic.train(docs, table(spark, sf_dir, "labels"))
-    return toxic.score_documents(docs, model).filter("_predicted = 0").select(docs.columns)
+    model = toxic.train(docs.select("doc_id", "text"), table(spark, sf_dir, "labels"))
+    return shielded(docs, lambda d: toxic.score_documents(d, model).filter("_predicted = 0"))
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    dropped = stage(
-        near_dedup.near_duplicates(docs).filter("not kept").select("doc_id").distinct(), "dropped"
-    )
-    kept = docs.join(dropped, "doc_id", "left_anti")
-    # Rows that repeat an id are copies of one document: one of them stays.
-    repeated = stage(
-        docs.groupBy("doc_id").count().filter("count > 1 and doc_id is not null").select("doc_id"),
-        "repeated",
-    )
-    once = kept.join(repeated, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return kept.join(repeated, "doc_id", "left_anti").unionByName(once).select(docs.columns)
+    return near_dedup.keep_one_each(docs)
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    marked = contamination.mark_contamination(docs, table(spark, sf_dir, "benchmark"))
-    return marked.filter(~F.col("_contaminated")).select(docs.columns)
+    items = table(spark, sf_dir, "benchmark")
+    return shielded(
+        docs, lambda d: contamination.mark_contamination(d, items).filter(~F.col("_contaminated"))
+    )
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return mixing.sample_to_targets(docs, keep=KEEP_TOKENS).filter("_sampled").select(docs.columns)
+    return shielded(docs, lambda d: mixing.sample_to_targets(d, keep=KEEP_TOKENS).filter("_sampled"))
 
 
 def shard(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
