@@ -221,7 +221,8 @@ def report_flags(prof: DataFrame, config: LakeConfig = DEFAULT_CONFIG) -> DataFr
 
 
 def profile_report(prof: DataFrame, config: LakeConfig = DEFAULT_CONFIG) -> DataFrame:
-    """PRF2 summary row: flagged column lists (schema order) and recommendation strings.
+    """PRF2 summary row: flagged column lists (schema order), and each flag that has any
+    with its columns.
 
     The profile has one row per column, so the lists are bounded by the
     schema width, not by the data.
@@ -238,28 +239,12 @@ def profile_report(prof: DataFrame, config: LakeConfig = DEFAULT_CONFIG) -> Data
         F.count(F.lit(1)).alias("total_columns"),
         F.coalesce(F.max("row_count"), F.lit(0)).alias("total_rows"),
     )
-    pct = int(round(config.high_null_rate * 100))
+    found = [F.struct(F.lit(flag).alias("flag"), F.col(f"{flag}_columns").alias("columns"))
+             for flag in ("high_null", "low_cardinality")]
     return summary.select(
         "total_rows",
         "total_columns",
         "high_null_columns",
         "low_cardinality_columns",
-        F.array_compact(
-            F.array(
-                F.when(
-                    F.size("high_null_columns") > 0,
-                    F.concat(
-                        F.lit(f"Columns with high null rates (>{pct}%): "),
-                        F.array_join("high_null_columns", ", "),
-                    ),
-                ),
-                F.when(
-                    F.size("low_cardinality_columns") > 0,
-                    F.concat(
-                        F.lit("Low cardinality columns (consider as categoricals): "),
-                        F.array_join("low_cardinality_columns", ", "),
-                    ),
-                ),
-            )
-        ).alias("recommendations"),
+        F.filter(F.array(*found), lambda f: F.size(f["columns"]) > 0).alias("recommendations"),
     )

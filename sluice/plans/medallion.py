@@ -47,6 +47,7 @@ from sluice.session import delete_path, modified_at, path_exists, stage_table
 from sluice.sources.journal import Journal
 from sluice.sources.key_index import add_keys, compact_keys, order_of, with_known
 from sluice.sources.tables import (
+    InputCount,
     LakePaths,
     bronze_batches,
     bronze_stats,
@@ -71,15 +72,20 @@ def ingest_bronze(
     bronze_path: str,
     config: LakeConfig = DEFAULT_CONFIG,
     ingestion_ts: Column | None = None,
+    counts: dict[str, int] | None = None,
 ) -> int:
     """PIPE1: stamp (PRJ3-5) and append to bronze; returns rows written (AGG13).
 
-    The rows become one folder ``batch=<write id>`` of the table.
+    The rows become one folder ``batch=<write id>`` of the table. ``counts`` is filled
+    with the rows read and written.
     """
     folder = f"{bronze_path.rstrip('/')}/batch={uuid.uuid4().hex}"
-    return write_partitioned(
-        to_bronze(df, ingestion_ts), folder, config.bronze_partitions, "append", name="bronze"
-    )
+    read = InputCount("ingest_input")
+    rows = to_bronze(read.of(df) if counts is not None else df, ingestion_ts)
+    written = write_partitioned(rows, folder, config.bronze_partitions, "append", name="bronze")
+    if counts is not None:
+        counts.update(input=read.total(), output=written)
+    return written
 
 
 def same(a: DataFrame, b: DataFrame, columns: Sequence[str]) -> Column:
@@ -178,6 +184,7 @@ class _SilverRun:
     ) -> None:
         self.spark, self.config, self.strategy = spark, config, strategy
         self.bronze_path, self.silver_path = bronze_path, silver_path
+        self.read = InputCount("bronze_read")
         self.journal = Journal(spark, marks_path(silver_path))
         self.state = self.journal.state()
         self.run = self.journal.next_run()
@@ -212,7 +219,7 @@ class _SilverRun:
         hidden = replaced_days(self.spark, self.bronze_path)
         rows = read_bronze_folders(self.spark, self.bronze_path, folders, hidden)
         # WIN1 first: a hot re-sent id reaches the lookup as one row.
-        looked_up = with_known(dedup_first(rows), self.state["keys"], self.state["key_buckets"])
+        looked_up = with_known(dedup_first(self.read.of(rows)), self.state["keys"], self.state["key_buckets"])
         return looked_up.filter(F.col("_known").isNull() | (order_of() < F.col("_known")))
 
     def plan(self, fresh: DataFrame) -> tuple[DataFrame, str, list]:
@@ -300,7 +307,7 @@ class _SilverRun:
         delete_path(spark, keys)
         buckets = self.config.key_buckets
         add_keys(dedup_first(bronze.select("event_id", *DEDUP_ORDER)), keys, buckets)
-        out = self._write(_full_rows(bronze, self.config, self.strategy), "overwrite", False)
+        out = self._write(_full_rows(self.read.of(bronze), self.config, self.strategy), "overwrite", False)
         sensors = journal.lasting(self.run, "sensors")
         _sensors_of(read_silver(spark, self.silver_path)).write.mode("overwrite").parquet(sensors)
         delete_path(spark, f"{journal.root}/changes")
@@ -435,11 +442,13 @@ def process_silver(
     config: LakeConfig = DEFAULT_CONFIG,
     incremental: bool = True,
     strategy: str = "chunked",
+    counts: dict[str, int] | None = None,
 ) -> int:
     """PIPE2: FIL4 -> WIN1 -> D4 -> clean -> D5 -> enrich -> silver (SNK3).
 
     Returns the silver rows made from the batches that were taken. With
     ``incremental=False``, or when there is no silver yet, the table is written anew.
+    ``counts`` is filled with the bronze rows read and the silver rows made.
     """
 
     def job() -> _SilverRun:
@@ -447,12 +456,16 @@ def process_silver(
 
     done, run = 0, job()
     if not incremental or run.is_full():
-        return run.full(bronze_batches(spark, bronze_path))
-    intent = run.journal.pending()
-    if intent:
-        done, run = run.apply(intent), job()
-    batches = run.new_batches()
-    return done + (run.add(batches) if batches else 0)
+        done = run.full(bronze_batches(spark, bronze_path))
+    else:
+        intent = run.journal.pending()
+        if intent:
+            done, run = run.apply(intent), job()
+        batches = run.new_batches()
+        done += run.add(batches) if batches else 0
+    if counts is not None:
+        counts.update(input=run.read.total(), output=done)
+    return done
 
 
 def compact_silver_index(spark: SparkSession, silver_path: str) -> None:
@@ -479,9 +492,10 @@ def process_gold(
     dynamic_overwrite: bool = False,
 ) -> dict[str, int]:
     """PIPE3: silver is scanned once into the window base, from which both tables are
-    overwritten (SNK4, SNK5); counts are observed on the writes."""
+    overwritten (SNK4, SNK5); counts (``input_rows`` too) are observed by the jobs."""
     minutes = config.kpi_window_minutes
-    base = stage_table(window_base(read_silver(spark, silver_path), minutes), "gold-base")
+    read = InputCount("silver_read")
+    base = stage_table(window_base(read.of(read_silver(spark, silver_path)), minutes), "gold-base")
     kpi_rows = write_partitioned(
         kpis_from_base(base, minutes),
         kpi_path,
@@ -498,7 +512,7 @@ def process_gold(
         dynamic_overwrite,
         name="severity",
     )
-    return {"kpi_rows": kpi_rows, "severity_rows": severity_rows}
+    return {"kpi_rows": kpi_rows, "severity_rows": severity_rows, "input_rows": read.total()}
 
 
 @dataclass

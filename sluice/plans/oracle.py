@@ -163,6 +163,15 @@ SELECT event_id, sensor_id, sensor_type, facility_id, value, quality_score, is_a
 FROM cleaned"""
 )
 
+CLEAN_TEXT_SQL = (
+    "WITH"
+    + BRONZE_CTE
+    + """
+SELECT event_id, sensor_type, trim(facility_id) AS facility_id, value FROM base
+WHERE value IS NOT NULL AND src_id % 17 <> 0 AND src_id % 19 <> 0 AND src_id % 23 <> 0
+  AND sensor_type IN ('temperature', 'vibration', 'pressure', 'throughput')"""
+)
+
 TIME_FEATURES_SQL = (
     "WITH"
     + SILVER_CTE
@@ -238,6 +247,7 @@ ORACLE: dict[str, str] = {
     "kpi_15min": KPI_SQL,
     "dedup_first": DEDUP_SQL,
     "clean_defaults": CLEAN_SQL,
+    "clean_text_values": CLEAN_TEXT_SQL,
     "time_features": TIME_FEATURES_SQL,
     "rolling_zscore": ROLLING_SQL,
     "stream_validate": STREAM_VALIDATE_SQL,
@@ -290,6 +300,8 @@ SELECT (SELECT count(*) FROM k) AS total_kpi_rows,
        (SELECT count(DISTINCT facility_id) FROM k) AS facility_count"""
 )
 
+GOLD_FACILITIES_SQL = "WITH" + SILVER_CTE + "\nSELECT DISTINCT facility_id FROM silver"
+
 EXPIRED_SQL = (
     "WITH"
     + BRONZE_CTE
@@ -376,6 +388,7 @@ ORACLE.update(
         "bronze_stats": BRONZE_STATS_SQL,
         "silver_stats": SILVER_STATS_SQL,
         "gold_stats": GOLD_STATS_SQL,
+        "gold_facilities": GOLD_FACILITIES_SQL,
         "expired_partitions": EXPIRED_SQL,
         "silver_incremental": SILVER_INCREMENTAL_SQL,
         "silver_two_writers": SILVER_INCREMENTAL_SQL,
@@ -664,12 +677,13 @@ LINEAGE_SQL = (
     + """
 SELECT 'ingest_bronze' AS name, 'source' AS source_layer, 'bronze' AS target_layer,
        'append' AS operation, n_bronze AS input_count, n_bronze AS output_count,
-       CAST(4 AS BIGINT) AS total_steps, true AS completed FROM counts
+       CAST(5 AS BIGINT) AS total_steps, true AS completed FROM counts
+UNION ALL SELECT 'stream_bronze', 'source', 'bronze', 'append', n_bronze, n_valid, 5, true FROM counts
 UNION ALL SELECT 'process_silver', 'bronze', 'silver', 'dedup_clean_enrich', n_bronze, n_silver,
-       4, true FROM counts
-UNION ALL SELECT 'aggregate_kpis', 'silver', 'gold', 'aggregate', n_silver, n_kpi, 4, true
+       5, true FROM counts
+UNION ALL SELECT 'aggregate_kpis', 'silver', 'gold', 'aggregate', n_silver, n_kpi, 5, true
        FROM counts
-UNION ALL SELECT 'score_anomalies', 'silver', 'gold', 'aggregate', n_silver, n_sev, 4, true
+UNION ALL SELECT 'score_anomalies', 'silver', 'gold', 'aggregate', n_silver, n_sev, 5, true
        FROM counts"""
 )
 

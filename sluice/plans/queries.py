@@ -53,6 +53,7 @@ from sluice.plans.medallion import ingest_bronze, process_gold, process_silver
 from sluice.session import scratch_path, stage_table
 from sluice.sources.kafka import to_kafka_records
 from sluice.streaming.folding import fold_closed_days
+from sluice.streaming.lineage import StreamLineage
 from sluice.streaming.jobs import (
     arrival_stream,
     clean_stream,
@@ -71,6 +72,7 @@ from sluice.sources.tables import (
     LakePaths,
     bronze_stats,
     expired_partitions,
+    gold_facilities,
     gold_stats,
     read_bronze,
     read_kpis,
@@ -128,6 +130,20 @@ def q_clean_defaults(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def q_clean_text_values(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """PRJ7: values that arrive as text; what is no number is dropped, never an error."""
+    number = F.col("event_id").cast("long")
+    text = (
+        F.when(number % 17 == 0, F.lit("n/a"))
+        .when(number % 19 == 0, F.lit("12,5"))
+        .when(number % 23 == 0, F.lit(""))
+        .when(number % 29 == 0, F.concat(F.lit(" "), F.col("value").cast("string")))
+        .otherwise(F.col("value").cast("string"))
+    )
+    events = fixture_events(spark, sf_dir, with_resends=False).withColumn("value", text)
+    return clean(events).select("event_id", "sensor_type", "facility_id", "value")
+
+
 def q_time_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     return plain_silver(spark, sf_dir).select(
         "event_id", "event_date", "hour_of_day", "day_of_week", "is_business_hours"
@@ -196,6 +212,7 @@ QUERIES: dict[str, QueryFn] = {
     "kpi_15min": q_kpi_15min,
     "dedup_first": q_dedup_first,
     "clean_defaults": q_clean_defaults,
+    "clean_text_values": q_clean_text_values,
     "time_features": q_time_features,
     "rolling_zscore": q_rolling_zscore,
     "stream_validate": q_stream_validate,
@@ -248,6 +265,13 @@ def q_gold_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     return gold_stats(kpis_from_base(base, minutes), severity_from_base(base))
 
 
+def q_gold_facilities(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SET1: the distinct facilities of the KPI table."""
+    silver = plain_silver(spark, sf_dir).withColumn("z_score", F.lit(0.0))
+    minutes = DEFAULT_CONFIG.kpi_window_minutes
+    return gold_facilities(kpis_from_base(window_base(silver, minutes), minutes))
+
+
 def q_expired_partitions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return expired_partitions(fixture_events(spark, sf_dir), "2024-02-10", 30)
 
@@ -393,6 +417,7 @@ QUERIES.update(
         "bronze_stats": q_bronze_stats,
         "silver_stats": q_silver_stats,
         "gold_stats": q_gold_stats,
+        "gold_facilities": q_gold_facilities,
         "expired_partitions": q_expired_partitions,
         "silver_incremental": q_silver_incremental,
         "silver_two_writers": q_silver_two_writers,
@@ -609,20 +634,26 @@ SLA_AS_OF = "2024-01-31 00:30:00"
 
 
 def q_lineage_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """LIN1-4: run bronze -> silver -> gold with a lineage log; counts come from the writes."""
+    """LIN1-4: a stream run and bronze -> silver -> gold with a lineage log; every count
+    comes from the jobs themselves."""
     root = LakePaths(scratch_path(spark, "lineage"))
     log = LineageLog(spark, root.lineage)
     log.start_pipeline()
     raw = fixture_events(spark, sf_dir)
-    n_bronze = ingest_bronze(raw, root.bronze)
-    log.record_step("ingest_bronze", "source", "bronze", "append", n_bronze, n_bronze)
-    n_silver = process_silver(spark, root.bronze, root.silver)
-    log.record_step("process_silver", "bronze", "silver", "dedup_clean_enrich", n_bronze, n_silver)
+    streamed = f"{root.root}/streamed"
+    write_arrivals(arrivals(raw), f"{root.root}/in", None, None)
+    with StreamLineage(spark, "stream_bronze") as listener:
+        records = arrival_stream(spark, f"{root.root}/in")
+        run_bronze_ingest(records, streamed, f"{root.root}/_ckpt", metric="stream_bronze")
+    listener.record(log, "source", "bronze", "append")
+    with log.step("ingest_bronze", "source", "bronze", "append") as counts:
+        ingest_bronze(raw, root.bronze, counts=counts)
+    with log.step("process_silver", "bronze", "silver", "dedup_clean_enrich") as counts:
+        process_silver(spark, root.bronze, root.silver, counts=counts)
     gold = process_gold(spark, root.silver, root.kpis, root.severity)
-    log.record_step("aggregate_kpis", "silver", "gold", "aggregate", n_silver, gold["kpi_rows"])
-    log.record_step(
-        "score_anomalies", "silver", "gold", "aggregate", n_silver, gold["severity_rows"]
-    )
+    for name, rows in (("aggregate_kpis", "kpi_rows"), ("score_anomalies", "severity_rows")):
+        with log.step(name, "silver", "gold", "aggregate") as counts:
+            counts.update(input=gold["input_rows"], output=gold[rows])
     log.complete_pipeline()
     table = log.table()
     runs = lineage_runs(table).select("pipeline_id", "total_steps", F.col("completed_at").isNotNull().alias("completed"))
@@ -641,8 +672,8 @@ def q_lineage_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _sla_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
     silver = plain_silver(spark, sf_dir)
     bronze = fixture_events(spark, sf_dir)
-    fresh = freshness(silver, SLA_AS_OF, by="facility_id").drop("facility_id", "latest_event")
-    fresh_all = freshness(silver, SLA_AS_OF).drop("latest_event")
+    fresh = freshness(silver, SLA_AS_OF, by="facility_id").drop("facility_id")
+    fresh_all = freshness(silver, SLA_AS_OF)
     expected = layer_counts(
         {
             "bronze": bronze,

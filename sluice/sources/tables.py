@@ -265,6 +265,22 @@ def write_observed(
     return {"n": int(got.get("n") or 0), **{k: got.get(k) for k in (metrics or {})}}
 
 
+class InputCount:
+    """Rows that a job reads, counted by the job itself (AGG13): wrap the input, run the
+    job, then ask."""
+
+    def __init__(self, name: str) -> None:
+        self._seen: list[Observation] = []
+        self.name = name
+
+    def of(self, df: DataFrame) -> DataFrame:
+        self._seen.append(Observation(f"{self.name}-{len(self._seen)}"))
+        return df.observe(self._seen[-1], F.count(F.lit(1)).alias("n"))
+
+    def total(self) -> int:
+        return sum(observed_count(o) for o in self._seen)
+
+
 def observed_count(obs: Observation, key: str = "n") -> int:
     """The observed row count; 0 when Spark pruned the observation away.
 

@@ -163,11 +163,17 @@ def run_bronze_ingest(
     checkpoint_dir: str,
     config: LakeConfig = DEFAULT_CONFIG,
     available_now: bool = True,
+    metric: str | None = None,
 ) -> StreamingQuery:
-    """PIPE4 / STR1: the stream ingest job; with ``available_now`` it drains and stops."""
-    query = start_bronze_sink(
-        bronze_stream(records), output_path, checkpoint_dir, config, available_now=available_now
-    )
+    """PIPE4 / STR1: the stream ingest job; with ``available_now`` it drains and stops.
+
+    ``metric`` names an observed row count of what is written, which listeners see
+    (:class:`sluice.streaming.lineage.StreamLineage`).
+    """
+    rows = bronze_stream(records)
+    if metric:
+        rows = rows.observe(metric, F.count(F.lit(1)).alias("n"))
+    query = start_bronze_sink(rows, output_path, checkpoint_dir, config, available_now=available_now)
     if available_now:
         query.awaitTermination()
     return query
