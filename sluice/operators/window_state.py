@@ -46,7 +46,7 @@ def window_state(rows: DataFrame, minutes: int) -> DataFrame:
     return grouped.withColumn("state_date", F.to_date("window_start"))
 
 
-def _both(a: Column, b: Column) -> Column:
+def both_moments(a: Column, b: Column) -> Column:
     """Moments of two disjoint sets of values."""
     n = a["n"] + b["n"]
     apart = b["mean"] - a["mean"]
@@ -67,7 +67,7 @@ def merge_states(states: DataFrame) -> DataFrame:
         F.min("value_min").alias("value_min"),
         F.max("value_max").alias("value_max"),
         F.max("z_abs_max").alias("z_abs_max"),
-        F.reduce(F.array_sort(F.collect_list("moments")), none, _both).alias("moments"),
+        F.reduce(F.array_sort(F.collect_list("moments")), none, both_moments).alias("moments"),
     )
     return merged.select(states.columns)
 

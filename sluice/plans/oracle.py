@@ -514,8 +514,34 @@ PROFILE_REPORT_SQL = (
     )
 )
 
+def _day_profile_select(name: str, numeric: bool) -> str:
+    stats = (
+        f"min({name}) AS min, max({name}) AS max, round(avg({name}) + 1e-9, 6) AS mean, "
+        f"round(stddev_samp({name}) + 1e-9, 6) AS stddev, true AS distinct_ok, true AS quantiles_ok"
+        if numeric
+        else "CAST(NULL AS DOUBLE) AS min, CAST(NULL AS DOUBLE) AS max, CAST(NULL AS DOUBLE) AS mean, "
+        "CAST(NULL AS DOUBLE) AS stddev, true AS distinct_ok, CAST(NULL AS BOOLEAN) AS quantiles_ok"
+    )
+    return (
+        f"SELECT '{name.strip(chr(34))}' AS column_name, count(*) AS row_count, "
+        f"count(*) - count({name}) AS null_count, {stats} FROM span"
+    )
+
+
+PROFILE_DAYS_SQL = (
+    "WITH"
+    + BRONZE_CTE
+    + ",\nspan AS (SELECT * FROM bronze WHERE event_date BETWEEN DATE '2024-01-05' AND DATE '2024-01-20')\n"
+    + "\nUNION ALL\n".join(
+        _day_profile_select(n, n in ("value", "quality_score"))
+        for n in ("event_id", "sensor_id", "sensor_type", "facility_id", '"timestamp"', "value",
+                  "quality_score", "is_anomaly")
+    )
+)
+
 ORACLE.update(
     {
+        "profile_days": PROFILE_DAYS_SQL,
         "quality_suite": QUALITY_SUITE_SQL,
         "quality_summary": QUALITY_SUMMARY_SQL,
         "profile_columns": PROFILE_COLUMNS_SQL,

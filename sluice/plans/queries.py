@@ -9,6 +9,7 @@ themselves return full precision).
 from __future__ import annotations
 
 import datetime as dt
+import functools
 from typing import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -23,6 +24,13 @@ from sluice.operators.aggregate import (
     window_base,
 )
 from sluice.operators.clean import clean
+from sluice.operators.day_profile import (
+    DISTINCT_ERROR,
+    RANK_ERROR,
+    merged_profile,
+    read_sketches,
+    update_days,
+)
 from sluice.operators.dedup import dedup_first
 from sluice.operators.enrich import enrich, time_features
 from sluice.operators.ingest import (
@@ -456,8 +464,56 @@ def q_profile_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     return report_flags(profile(fixture_events(spark, sf_dir))).drop("row_count")
 
 
+PROFILE_DAYS = (dt.date(2024, 1, 5), dt.date(2024, 1, 20))
+
+
+def q_profile_days(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """PRF1 over a span of days from the persisted sketches of single days, one of which
+    changed and was sketched again; estimates are held against exact values."""
+    path = scratch_path(spark, "day-sketches")
+    columns = ("event_id", "sensor_id", "sensor_type", "facility_id", "timestamp", "value",
+               "quality_score", "is_anomaly", "event_date")
+    events = fixture_events(spark, sf_dir).select(*columns)
+    late = F.col("event_date") == F.lit(PROFILE_DAYS[0])
+    update_days(events.filter(~(late & (F.col("sensor_id") == "S-3"))), "event_date", path)
+    update_days(events, "event_date", path, [PROFILE_DAYS[0]])
+    span = F.col("day").between(*[F.lit(d) for d in PROFILE_DAYS])
+    merged = stage_table(merged_profile(read_sketches(spark, path).filter(span)), "day-profile")
+    rows = events.filter(F.col("event_date").between(*[F.lit(d) for d in PROFILE_DAYS])).drop("event_date")
+    exact = profile(rows).select("column_name", F.col("distinct_count").alias("exact"))
+    # Ranks of the estimated quantiles among all values, both numeric columns in one pass.
+    found = {r["column_name"]: r for r in merged.filter("median is not null").collect()}
+    shares = []
+    for name, r in found.items():
+        for label, fraction in (("p25", 0.25), ("median", 0.5), ("p75", 0.75)):
+            below = F.avg((F.col(name) < F.lit(r[label])).cast("double")) <= F.lit(fraction + RANK_ERROR)
+            upto = F.avg((F.col(name) <= F.lit(r[label])).cast("double")) >= F.lit(fraction - RANK_ERROR)
+            shares.append((name, below & upto))
+    ranks = rows.agg(
+        *[F.lit(True).alias("_any")],
+        *[
+            functools.reduce(lambda a, b: a & b, [ok for n, ok in shares if n == name]).alias(name)
+            for name in found
+        ],
+    )
+    ranked = ranks.select(
+        F.inline(F.array(*[F.struct(F.lit(n).alias("column_name"), F.col(n).alias("quantiles_ok")) for n in found]))
+    )
+    off = F.abs(F.col("distinct_count") - F.col("exact")) <= F.ceil(F.col("exact") * F.lit(DISTINCT_ERROR))
+    return (
+        merged.join(exact, "column_name")
+        .join(ranked, "column_name", "left")
+        .select(
+            "column_name", "row_count", "null_count", "min", "max", "mean", "stddev",
+            off.alias("distinct_ok"), "quantiles_ok",
+        )
+        .withColumns(r6("mean", "stddev"))
+    )
+
+
 QUERIES.update(
     {
+        "profile_days": q_profile_days,
         "quality_suite": q_quality_suite,
         "quality_summary": q_quality_summary,
         "profile_columns": q_profile_columns,

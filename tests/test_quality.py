@@ -106,3 +106,49 @@ def test_profile_quantiles_are_exact_and_span_partitions(spark):
     assert got["x"]["distinct_count"] == len(set(values)) + 1
     assert got["k"]["distinct_count"] == len(values) + 1
     assert profile(df.limit(0)).filter("distinct_count = 0 and median is null").count() == 2
+
+
+def test_day_sketches_merge_and_one_day_is_read_again_alone(spark, tmp_root):
+    import datetime as dt
+    import os
+    import random
+    import statistics
+
+    from sluice.operators.day_profile import (
+        DISTINCT_ERROR, RANK_ERROR, merged_profile, read_sketches, update_days,
+    )
+
+    rng = random.Random(1)
+    days = [dt.date(2024, 1, d) for d in (1, 2, 3)]
+    rows = [(rng.choice(days), rng.gauss(1e6, 3.0), f"k{rng.randrange(800)}", None if i % 7 else i) for i in range(6000)]
+    schema = "day0 date, x double, k string, n long"
+    table = f"{tmp_root}/t"
+    spark.createDataFrame(rows, schema).write.partitionBy("day0").parquet(table)
+    path = f"{tmp_root}/sketches"
+    update_days(spark.read.parquet(table), "day0", path)
+    before = {d: sorted(os.listdir(f"{path}/day={d}")) for d in days}
+    # A day changes.
+    more = [(days[1], 5.0, "new", 1)] * 500
+    spark.createDataFrame(more, schema).write.mode("append").partitionBy("day0").parquet(table)
+    changed = spark.read.parquet(table).filter(F.col("day0").isin([days[1]]))
+    assert "PartitionFilters: [isnotnull(day0" in changed._jdf.queryExecution().executedPlan().toString()
+    update_days(spark.read.parquet(table), "day0", path, [days[1]])
+    after = {d: sorted(os.listdir(f"{path}/day={d}")) for d in days}
+    assert [d for d in days if before[d] != after[d]] == [days[1]]
+    part = [r for r in rows + more if r[0] in days[1:]]
+    got = {
+        r["column_name"]: r
+        for r in merged_profile(read_sketches(spark, path).filter(F.col("day") >= days[1])).collect()
+    }
+    xs = sorted(r[1] for r in part)
+    assert got["x"]["row_count"] == len(part) and got["x"]["min"] == xs[0] and got["x"]["max"] == xs[-1]
+    assert abs(got["x"]["mean"] - statistics.fmean(xs)) < 1e-6
+    assert abs(got["x"]["stddev"] - statistics.stdev(xs)) < 1e-6 * statistics.stdev(xs)
+    for name, fraction in (("p25", 0.25), ("median", 0.5), ("p75", 0.75)):
+        rank = sum(x <= got["x"][name] for x in xs) / len(xs)
+        assert abs(rank - fraction) <= RANK_ERROR + sum(x == got["x"][name] for x in xs) / len(xs)
+    for c, i in (("k", 2), ("n", 3)):
+        exact = len({r[i] for r in part})
+        assert abs(got[c]["distinct_count"] - exact) <= DISTINCT_ERROR * exact + 1
+    assert got["n"]["null_count"] == sum(r[3] is None for r in part)
+    assert got["k"]["median"] is None and got["k"]["mean"] is None
