@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import dataclasses
 import datetime as dt
 import os
 import random
@@ -10,10 +11,11 @@ import pytest
 from pyspark.sql import functions as F
 
 from conftest import bronze_rows, event
+from sluice.config import DEFAULT_CONFIG
 from sluice.plans import gold as gold_plan
 from sluice.plans import medallion
 from sluice.plans.gold import process_gold_incremental
-from sluice.plans.medallion import ingest_bronze, process_gold, process_silver
+from sluice.plans.medallion import ingest_bronze, process_gold
 from sluice.sources.journal import Journal
 from sluice.sources.tables import (
     LakePaths,
@@ -30,6 +32,14 @@ COLS = (
 )
 
 
+#: Few index buckets: the tables here hold some hundred rows.
+CFG = dataclasses.replace(DEFAULT_CONFIG, key_buckets=2)
+
+
+def process_silver(spark, bronze, silver, config=CFG, **kw):
+    return medallion.process_silver(spark, bronze, silver, config, **kw)
+
+
 def rows_of(spark, p):
     return sorted((tuple(r) for r in read_silver(spark, p.silver).select(*COLS).collect()), key=repr)
 
@@ -103,13 +113,13 @@ def test_the_index_is_read_without_an_exchange(spark, tmp_root):
     ingest_bronze(bronze_rows(spark, [event(i) for i in range(50)]), p.bronze)
     process_silver(spark, p.bronze, p.silver)
     ingest_bronze(bronze_rows(spark, [event(i, ingest="2025-01-01 00:00:00") for i in range(40, 60)]), p.bronze)
-    run = medallion._SilverRun(spark, p.bronze, p.silver, medallion.DEFAULT_CONFIG, "chunked")
+    run = medallion._SilverRun(spark, p.bronze, p.silver, CFG, "chunked")
     fresh = run.fresh(list(run.new_batches().values()))
     plan = fresh._jdf.queryExecution().executedPlan().toString()
     assert "sluice_keys" in plan and "Bucketed: true" in plan
     # All exchanges of the plan are those of the batch.
     rows = medallion.read_bronze_folders(spark, p.bronze, list(run.new_batches().values()))
-    batch = medallion.dedup_first(rows).repartition(16, "event_id")._jdf.queryExecution().executedPlan()
+    batch = medallion.dedup_first(rows).repartition(2, "event_id")._jdf.queryExecution().executedPlan()
     assert plan.count("Exchange") == batch.toString().count("Exchange") == 2
     assert sorted(int(r.event_id) for r in fresh.collect()) == list(range(50, 60))
 
