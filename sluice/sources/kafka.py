@@ -28,6 +28,23 @@ PUBLISHED_COLUMNS = (
 )
 
 
+# The connector options of the reader and the writer.
+SOURCE_OPTIONS = {"startingOffsets": "earliest", "failOnDataLoss": "false"}
+SINK_OPTIONS = {"kafka.compression.type": "gzip", "kafka.acks": "all", "kafka.retries": "3"}
+
+
+def source_options(bootstrap_servers: str, topic: str, extra: dict[str, str] | None = None) -> dict[str, str]:
+    """SRC1: one topic from its earliest offset, tolerating lost data; ``extra`` wins."""
+    named = {"kafka.bootstrap.servers": bootstrap_servers, "subscribe": topic}
+    return {**named, **SOURCE_OPTIONS, **(extra or {})}
+
+
+def sink_options(bootstrap_servers: str, topic: str, extra: dict[str, str] | None = None) -> dict[str, str]:
+    """SNK6: compressed, acknowledged by all replicas, retried; ``extra`` wins."""
+    named = {"kafka.bootstrap.servers": bootstrap_servers, "topic": topic}
+    return {**named, **SINK_OPTIONS, **(extra or {})}
+
+
 def read_kafka_stream(
     spark: SparkSession,
     bootstrap_servers: str,
@@ -35,17 +52,9 @@ def read_kafka_stream(
     starting_offsets: str = "earliest",
     extra_options: dict[str, str] | None = None,
 ) -> DataFrame:
-    """SRC1: subscribe to one topic from the earliest offset, tolerate data loss."""
-    reader = (
-        spark.readStream.format("kafka")
-        .option("kafka.bootstrap.servers", bootstrap_servers)
-        .option("subscribe", topic)
-        .option("startingOffsets", starting_offsets)
-        .option("failOnDataLoss", "false")
-    )
-    for key, value in (extra_options or {}).items():
-        reader = reader.option(key, value)
-    return reader.load()
+    """SRC1: the record stream of one topic."""
+    extra = {"startingOffsets": starting_offsets, **(extra_options or {})}
+    return spark.readStream.format("kafka").options(**source_options(bootstrap_servers, topic, extra)).load()
 
 
 def to_kafka_records(
@@ -72,16 +81,6 @@ def write_kafka(
     topic: str,
     extra_options: dict[str, str] | None = None,
 ) -> None:
-    """SNK6 batch publish: gzip, acks=all, retries; Spark parallelises per partition."""
-    writer = (
-        to_kafka_records(df)
-        .write.format("kafka")
-        .option("kafka.bootstrap.servers", bootstrap_servers)
-        .option("topic", topic)
-        .option("kafka.compression.type", "gzip")
-        .option("kafka.acks", "all")
-        .option("kafka.retries", "3")
-    )
-    for key, value in (extra_options or {}).items():
-        writer = writer.option(key, value)
-    writer.save()
+    """SNK6 batch publish; Spark parallelises per partition."""
+    options = sink_options(bootstrap_servers, topic, extra_options)
+    to_kafka_records(df).write.format("kafka").options(**options).save()

@@ -93,3 +93,28 @@ def test_to_bronze_stamps(spark):
     row = to_bronze(raw).first()
     assert str(row["event_date"]) == "2024-03-05"
     assert row["source"] == "kafka" and row["pipeline_version"] == "1.0.0"
+
+
+def test_kafka_options_without_a_broker(spark):
+    from pyspark.errors import AnalysisException
+
+    from sluice.sources.kafka import read_kafka_stream, sink_options, source_options, write_kafka
+
+    assert source_options("b:1", "t") == {
+        "kafka.bootstrap.servers": "b:1", "subscribe": "t", "startingOffsets": "earliest", "failOnDataLoss": "false",
+    }
+    assert source_options("b:1", "t", {"maxOffsetsPerTrigger": "9", "startingOffsets": "latest"}) == {
+        "kafka.bootstrap.servers": "b:1", "subscribe": "t", "startingOffsets": "latest", "failOnDataLoss": "false",
+        "maxOffsetsPerTrigger": "9",
+    }
+    assert sink_options("b:1", "t", {"kafka.retries": "5"}) == {
+        "kafka.bootstrap.servers": "b:1", "topic": "t", "kafka.compression.type": "gzip", "kafka.acks": "all",
+        "kafka.retries": "5",
+    }
+    # Without the connector Spark names what is missing.
+    for call in (lambda: read_kafka_stream(spark, "b:1", "t"), lambda: write_kafka(spark.range(1).selectExpr("'s' sensor_id", "'e' event_id"), "b:1", "t")):
+        try:
+            call()
+            raise AssertionError("no connector is installed here")
+        except AnalysisException as missing:
+            assert "kafka" in str(missing).lower()
