@@ -177,8 +177,11 @@ def format_chats(turns: DataFrame, key: str) -> DataFrame:
     """``key, formatted, loss_runs`` per conversation from canonical turns.
 
     ``loss_runs`` covers ``formatted`` from its start as (n_chars, loss) runs;
-    loss is true for assistant texts only, never for markers or headers.
+    loss is true for assistant texts only, never for markers or headers. Records of an
+    undeclared layout (null ``layout``) have no turns and are left out.
     """
+    if "layout" in turns.columns:
+        turns = turns.filter("layout is not null")
     role = F.replace(escape(F.col("role")), F.lit("\n"), F.lit("\\n"))
     rows = turns.select(
         F.col(key).alias(key),

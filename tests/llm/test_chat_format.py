@@ -74,3 +74,12 @@ def test_round_trip_of_every_text(spark):
 def test_empty_table(spark):
     none = spark.createDataFrame([], "id long, turn long, role string, text string")
     assert C.chat_digests(C.format_chats(none, "id"), "id").count() == 0
+
+
+def test_records_of_an_undeclared_layout_are_left_out_of_the_output(spark):
+    rows = [(1, '{"prompt": "a", "response": "b"}'), (2, '{"prompt": "a", "response": "b", "extra": 1}'), (3, '"x"')]
+    records = spark.createDataFrame(rows, "k long, j string").select("k", F.parse_json("j").alias("r"))
+    turns = C.canonical_turns(records, "k", "r")
+    assert sorted(r.k for r in turns.filter("layout is null").collect()) == [2, 3]
+    made = C.format_chats(turns, "k").collect()
+    assert [r.k for r in made] == [1]
