@@ -40,7 +40,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sluice.llm import words as W
@@ -301,12 +301,20 @@ class _Search:
         some = self.rows.filter("n > 0")
         self.classes = stage(
             some.groupBy("rid")
-            .agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "t")).alias("least"))
+            .agg(F.min(_row("doc_id", "t")).alias("least"))
             .select("rid", "least.doc_id", "least.t"),
             "classes",
         )
-        chosen = some.join(self.classes.select("rid", F.col("doc_id").alias("c_id"), F.col("t").alias("c_t")), "rid")
-        chosen = chosen.filter(F.col("doc_id").eqNullSafe(F.col("c_id")) & (F.col("t") == F.col("c_t")))
+        least = self.classes.select(
+            F.col("rid").alias("c_rid"), F.col("doc_id").alias("c_id"), F.col("t").alias("c_t")
+        )
+        # All three in the join: a class of many copies is spread by its ids.
+        chosen = some.join(
+            least,
+            (F.col("rid") == F.col("c_rid"))
+            & (F.col("t") == F.col("c_t"))
+            & F.col("doc_id").eqNullSafe(F.col("c_id")),
+        )
         keys = chosen.select("rid", F.explode("keys").alias("key"))
         heads = (
             keys.groupBy("key")
@@ -411,30 +419,30 @@ class _Search:
         return labels if is_empty(more) else components(links.unionByName(more))
 
 
-    def placed(self) -> DataFrame:
-        """``doc_id, t, n, label``: the component of every row (null without words)."""
-        labels = self.labels()
-        label_of = stage(
-            self.classes.select("rid")
-            .join(labels.withColumnRenamed("node", "rid"), "rid", "left")
-            .select("rid", F.coalesce("label", "rid").alias("label")),
-            "class-labels",
+    def first_of_classes(self) -> DataFrame:
+        """``rid, first``: the first row (``none, doc_id, t``) of each class's component."""
+        groups = self.classes.join(self.labels().withColumnRenamed("node", "rid"), "rid", "left").select(
+            "rid", F.coalesce("label", "rid").alias("label"), _row("doc_id", "t").alias("row")
         )
-        return self.rows.select("doc_id", "t", "n", "rid").join(label_of, "rid", "left").drop("rid")
+        firsts = groups.groupBy("label").agg(F.min("row").alias("first"))
+        return stage(groups.join(firsts, "label").select("rid", "first"), "class-firsts")
+
+
+def _row(doc_id: str, t: str) -> Column:
+    """A row as it compares with others: by id, rows without one last, then by its text."""
+    return F.struct(F.col(doc_id).isNull().alias("none"), F.col(doc_id).alias("doc_id"), F.col(t).alias("t"))
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
     """``doc_id, n_shingles, component_id, kept`` per input row."""
-    rows = stage(_Search(docs).placed(), "placed")
-    least = (
-        rows.filter("label is not null").groupBy("label").agg(F.min("doc_id").alias("component_id"))
-    )
+    run = _Search(docs)
     return (
-        rows.join(least, "label", "left")
+        run.rows.select("doc_id", "n", "rid")
+        .join(run.first_of_classes(), "rid", "left")
         .select(
             "doc_id",
             F.col("n").alias("n_shingles"),
-            F.coalesce("component_id", "doc_id").alias("component_id"),
+            F.coalesce("first.doc_id", "doc_id").alias("component_id"),
         )
         .withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
     )
@@ -445,13 +453,12 @@ def keep_one_each(docs: DataFrame) -> DataFrame:
     id stays (rows without an id come last, ties go by a hash of the text), once. Rows
     without words are linked with nothing; of equal ones with one id, one stays. Rows that
     share an id are judged by their own texts."""
-    rows = _Search(docs).placed().filter("label is not null")
-    rows = stage(rows.select("label", F.col("doc_id").alias("k_id"), F.col("t").alias("k_t")).distinct(), "placed")
-    firsts = rows.groupBy("label").agg(
-        F.min(F.struct(F.col("k_id").isNull().alias("none"), "k_id", "k_t")).alias("first")
+    run = _Search(docs)
+    placed = run.rows.select("rid", F.col("doc_id").alias("k_id"), F.col("t").alias("k_t"))
+    stays = F.col("k_id").eqNullSafe(F.col("first.doc_id")) & (F.col("k_t") == F.col("first.t"))
+    dropped = stage(
+        placed.join(run.first_of_classes(), "rid").filter(~stays).select("k_id", "k_t").distinct(), "dropped"
     )
-    stays = F.col("k_id").eqNullSafe(F.col("first.k_id")) & (F.col("k_t") == F.col("first.k_t"))
-    dropped = stage(rows.join(firsts, "label").filter(~stays).select("k_id", "k_t"), "dropped")
     names = docs.columns
     marked = docs.select(
         F.struct("*").alias("row"),
