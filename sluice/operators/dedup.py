@@ -1,4 +1,5 @@
-"""First-copy deduplication (WIN1) and the incremental anti-join (D4).
+"""First-copy deduplication (WIN1). Copies in later batches (D4) are told by the index of
+all ids, :mod:`sluice.sources.key_index`, in the same order.
 
 ``row_number() == 1`` over ``event_id`` is the reference semantics. Catalyst
 rewrites it into ``WindowGroupLimit``: a *partial* limit runs before the
@@ -36,19 +37,3 @@ def dedup_first(
     """WIN1: keep the first copy of each ``key`` by ``order`` (all columns kept)."""
     w = Window.partitionBy(key).orderBy(*_order_cols(df, order))
     return df.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") == 1).drop("_rn")
-
-
-def drop_seen(
-    new_rows: DataFrame,
-    seen_rows: DataFrame,
-    key: str = "event_id",
-) -> DataFrame:
-    """D4: remove rows whose key was already delivered in an earlier batch.
-
-    ``seen_rows`` is all of bronze at or below the high-water mark, however old:
-    a copy may be re-sent at any later time. Only its key column is read. A
-    left-anti join: AQE broadcasts the key side when it turns out small and
-    otherwise shuffles both sides on the key and splits a hot one.
-    """
-    keys = seen_rows.select(key)
-    return new_rows.join(keys, on=key, how="left_anti")
