@@ -88,29 +88,7 @@ def test_cues_of_a_small_language_that_ordinary_text_uses_too():
     assert len(found) >= 5 and above >= 0.75 * len(found) * len(others)
 
 
-def test_a_cue_far_behind_the_first_windows_counts_in_fitting_and_scoring(spark, docs_of):
-    """Ordinary habits after word 128 reach the ordinary dictionary; texts of more than
-    4,096 words are calibrated on whole texts."""
-    rng = random.Random(61)
-    pairs, labels = [], []
-    for i in range(120):
-        words = prose(rng, 5000 if i < 6 else 300).split()
-        words[140:] = [w if n % 3 else "habitualword" for n, w in enumerate(words[140:])]
-        toxic = int(i % 3 == 0)
-        if toxic:
-            for at in (len(words) - 5, len(words) - 40, len(words) - 90):
-                words.insert(at, "dunderheaded")
-        pairs.append((i, " ".join(words)))
-        labels.append((i, 1, toxic))
-    labels = spark.createDataFrame(labels, "doc_id long, quality int, toxic int")
-    docs = docs_of(pairs)
-    model = toxicity.train(docs, labels)
-    assert b"habitualword" in model.ordinary
-    got = {r.doc_id: r._predicted for r in toxicity.score_documents(docs, model).collect()}
-    assert sum(got[i] == int(i % 3 == 0) for i in got) >= 0.95 * len(got)
-
-
-def test_an_id_that_repeats_is_learnt_once_and_scores_are_recomputed(spark, docs_of):
+def test_scores_are_those_of_a_step_by_step_reading(spark, docs_of):
     rng = random.Random(62)
     pairs = [(i, prose(rng, 40) + (" nincompoop nincompoop" if i % 2 else "")) for i in range(80)]
     pairs += [(5, f"other text {n}") for n in range(50)]
