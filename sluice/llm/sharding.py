@@ -11,11 +11,13 @@ first, on the driver, largest first. All others are dealt by hash to lanes of a
 bounded number of groups; every lane packs its groups, largest first, into its
 own part of each shard's remaining capacity, so lanes need not talk to each
 other and the shards still fill evenly. Slots are numbered from counts per
-(shard, bucket): no window ever holds a whole shard.
+(shard, bucket): no window ever holds a whole shard, nor all rows of a large group,
+even if they share one id.
 
 A group larger than a whole shard cannot stay together if shards are to be
-equal; only such a group is split, by a hash of its ids, into pieces of a
-quarter shard that are placed like groups. There are fewer of them than shards.
+equal; only such a group is split, by a hash of its ids and of its rows' places in
+the staged table (so that one id repeated throughout is split as well), into pieces of
+a quarter shard that are placed like groups. There are fewer of them than shards.
 
 Defined cases: null text has no bytes and no tokens (its row still counts);
 size is the UTF-8 bytes of the text plus 8; rows that repeat are members of one
@@ -41,6 +43,7 @@ HEAVY_PART = 64
 LANE_GROUPS = 100_000
 BUCKET_ROWS = 100_000
 _DIMS = ("bytes", "tokens", "rows")
+_PLACES = "key long, piece int, shard int, many boolean"
 #: Weights in the dot product: bytes are what must come out near equal.
 _WEIGHTS = np.array([8.0, 1.0, 1.0])
 
@@ -60,6 +63,7 @@ def place(sizes: np.ndarray, capacity: np.ndarray) -> np.ndarray:
 
 def _lane(share: np.ndarray, shard_sizes: np.ndarray):
     """Pack one lane: ``share`` is each shard's part of what is left to place."""
+    bucket_rows = BUCKET_ROWS
 
     def run(groups: pa.Table) -> pa.Table:
         keys = groups.column("key").to_numpy()
@@ -71,6 +75,7 @@ def _lane(share: np.ndarray, shard_sizes: np.ndarray):
                 "key": pa.array(keys[order]),
                 "piece": pa.array(np.zeros(len(keys), np.int32)),
                 "shard": pa.array(shard),
+                "many": pa.array(groups.column("rows").to_numpy()[order] > bucket_rows),
             }
         )
 
@@ -88,6 +93,7 @@ def assign_shards(docs: DataFrame, shards: int = SHARDS) -> DataFrame:
         F.regexp_count(text, F.lit(r"[^\x20\x09-\x0D]+")).cast("long").alias("tokens"),
         F.crc32(text.cast("binary")).alias("text_crc32"),
         F.xxhash64(text).alias("key"),
+        F.monotonically_increasing_id().alias("row"),  # fixed by staging
     )
     base = stage(base, "shard-rows")
     groups = stage(
@@ -107,6 +113,7 @@ def assign_shards(docs: DataFrame, shards: int = SHARDS) -> DataFrame:
     heavy = groups.filter(is_heavy).orderBy("key").collect()
     units: list[tuple[int, int, np.ndarray]] = []
     split: list[tuple[int, int]] = []
+    many = {g["key"]: g["rows"] > BUCKET_ROWS for g in heavy}
     for g in heavy:
         vector = np.array([g[d] for d in _DIMS], float) / shard_sizes
         pieces = int(np.ceil(4 * vector.max())) if vector.max() > 1 else 1
@@ -114,12 +121,12 @@ def assign_shards(docs: DataFrame, shards: int = SHARDS) -> DataFrame:
             split.append((g["key"], pieces))
         units += [(g["key"], p, vector / pieces) for p in range(pieces)]
     load = np.zeros((shards, len(_DIMS)))
-    placed: list[tuple[int, int, int]] = []
+    placed: list[tuple[int, int, int, bool]] = []
     if units:
         sizes = np.stack([u[2] for u in units])
         where = place(sizes, np.ones((shards, len(_DIMS))))
         np.add.at(load, where, sizes)
-        placed = [(u[0], u[1], int(s)) for u, s in zip(units, where, strict=True)]
+        placed = [(u[0], u[1], int(s), many[u[0]]) for u, s in zip(units, where, strict=True)]
     left = np.maximum(1 - load, 0)
     share = left / np.maximum(left.sum(axis=0), 1e-9)
 
@@ -128,10 +135,10 @@ def assign_shards(docs: DataFrame, shards: int = SHARDS) -> DataFrame:
         groups.filter(~is_heavy)
         .withColumn("lane", F.pmod(F.xxhash64("key"), F.lit(lanes)))
         .groupBy("lane")
-        .applyInArrow(_lane(share, shard_sizes), "key long, piece int, shard int")
+        .applyInArrow(_lane(share, shard_sizes), _PLACES)
     )
     places = stage(
-        light.unionByName(spark.createDataFrame(placed, "key long, piece int, shard int")),
+        light.unionByName(spark.createDataFrame(placed, _PLACES)),
         "shard-places",
     )
     pieces = spark.createDataFrame(split, "key long, pieces int")  # fewer rows than shards
@@ -140,10 +147,13 @@ def assign_shards(docs: DataFrame, shards: int = SHARDS) -> DataFrame:
         base.join(F.broadcast(pieces), "key", "left")
         .withColumn(
             "piece",
-            F.coalesce(F.pmod(F.xxhash64("doc_id"), F.col("pieces")), F.lit(0)).cast("int"),
+            F.coalesce(F.pmod(F.xxhash64("doc_id", "row"), F.col("pieces")), F.lit(0)).cast("int"),
         )
         .join(places, ["key", "piece"])
-        .withColumn("bucket", F.pmod(F.xxhash64("doc_id", "key"), F.lit(buckets)))
+        .withColumn(
+            "bucket",
+            F.pmod(F.xxhash64("doc_id", "key", F.when(F.col("many"), F.col("row"))), F.lit(buckets)),
+        )
         .select("doc_id", "size", "text_crc32", "shard", "bucket"),
         "shard-members",
     )

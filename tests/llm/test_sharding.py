@@ -3,6 +3,8 @@ from __future__ import annotations
 import random
 import zlib
 
+import pytest
+
 from llm_helpers import CLASHING, docs_of, prose  # noqa: F401
 from sluice.llm import sharding
 
@@ -38,5 +40,18 @@ def test_a_group_of_a_third_of_all_rows_does_not_unbalance(spark, docs_of):
     assert max(load) < 1.25 * sum(load) / 24
 
 
+@pytest.mark.parametrize("one_id", [7, None])
+def test_a_large_group_of_one_id_is_split(spark, docs_of, monkeypatch, one_id):
+    monkeypatch.setattr(sharding, "BUCKET_ROWS", 64)
+    rng = random.Random(3)
+    pairs = [(1000 + i, prose(rng, 30)) for i in range(1000)] + [(one_id, prose(rng, 30))] * 2400
+    load, slots = [0] * 24, [[] for _ in range(24)]
+    for r in sharding.assign_shards(docs_of(pairs)).collect():
+        load[r.shard] += r.size
+        slots[r.shard].append(r.slot)
+    assert all(sorted(s) == list(range(len(s))) for s in slots)
+    assert max(load) < 1.25 * sum(load) / 24
+
+
 def test_empty_table(spark, docs_of):
     assert sharding.assign_shards(docs_of([])).count() == 0
