@@ -7,9 +7,10 @@ neighbours (key words, separators) and file features, and is decoded by Viterbi;
 its spans that touch no base span are added.
 
 Training is weakly supervised: the base patterns label the tokens of a bounded
-sample of documents (``TRAIN_DOCS`` documents, ``TRAIN_RUNS`` token runs), but no
-feature repeats the patterns themselves, so the field generalises to secrets of
-other forms. It is fitted by exact gradients (forward-backward).
+sample of documents (``TRAIN_DOCS`` documents, half of them chosen among those with a
+base span anywhere in the table, and ``TRAIN_RUNS`` token runs), but no feature repeats
+the patterns themselves, so the field generalises to secrets of other forms. It is
+fitted by exact gradients (forward-backward).
 
 Decoding works on runs: words of plain shape (letters that are no key word,
 perhaps with punctuation) are outside by definition unless another word is among
@@ -48,6 +49,11 @@ ASSIGN = re.compile(
 )
 ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 HEX = re.compile(r"[0-9a-f]{24,}")
+#: Texts with a base span, as Spark's own expression; chooses training documents.
+_HOLDS_BASE = (
+    r"""(?i:(?:password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?[a-z0-9+/_.=-]{6})"""
+    r"|AKIA[A-Z0-9]{16}|[0-9a-f]{24}"
+)
 KINDS = ("assign", "access", "hex", "crf")
 _LEAST = {"assign": 6, "access": 20}
 
@@ -365,13 +371,22 @@ def _training_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
         yield pa.record_batch([pa.array(xs, pa.binary()), pa.array(ys, pa.binary())], ["x", "y"])
 
 
+def _first_ids(docs: DataFrame, most: int) -> list[int]:
+    """The first ids of the rows by hash order."""
+    ids = docs.select(F.col("doc_id").cast("long").alias("doc_id")).filter("doc_id IS NOT NULL").distinct()
+    return [r["doc_id"] for r in ids.orderBy(F.xxhash64("doc_id"), "doc_id").limit(most).collect()]
+
+
 def train(docs: DataFrame) -> Field | None:
-    """Field from a bounded sample: ``TRAIN_DOCS`` ids by hash order, and of their
-    runs ``TRAIN_RUNS`` by hash order, half of them with a secret where possible."""
+    """Field from a bounded sample: ``TRAIN_DOCS`` ids by hash order, half of them among
+    the documents with a base span (found over all rows) where there are so many, and of
+    their runs ``TRAIN_RUNS`` by hash order, half of them with a secret where possible."""
     spark = docs.sparkSession
     ship(spark)
-    ids = docs.select(F.col("doc_id").cast("long")).distinct().orderBy(F.xxhash64("doc_id")).limit(TRAIN_DOCS)
-    sample = spark.createDataFrame(ids.collect(), "doc_id long")  # at most TRAIN_DOCS rows
+    holding = _first_ids(docs.filter(F.col("text").rlike(_HOLDS_BASE)), TRAIN_DOCS // 2)
+    others = [i for i in _first_ids(docs, TRAIN_DOCS) if i not in set(holding)]
+    chosen = [(i,) for i in holding + others[: TRAIN_DOCS - len(holding)]]
+    sample = spark.createDataFrame(chosen, "doc_id long")  # at most TRAIN_DOCS rows
     runs = (
         docs.select(F.col("doc_id").cast("long"), "text")
         .join(F.broadcast(sample), "doc_id")

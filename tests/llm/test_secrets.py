@@ -107,6 +107,13 @@ def test_viterbi_is_the_best_of_all_paths():
         assert np.isclose(total(best), total(tuple(field.decode(x))))
 
 
+def test_the_sample_holds_secrets_however_rare_they_are(spark, docs_of, monkeypatch):
+    monkeypatch.setattr(S, "TRAIN_DOCS", 20)
+    docs = [(i, f"Plain words of page {i} and more plain words") for i in range(10_000)]
+    docs[4321] = (4321, "The words of a page\npassword: Zk39fQx81LmPq7Rt\nand more words")
+    assert S.train(docs_of(docs, CLASHING)) is not None
+
+
 def test_no_training_data_empty_table_and_nulls(spark, docs_of):
     assert S.train(docs_of([])) is None
     assert S.train(docs_of([(1, None), (2, "plain words only")])) is None
