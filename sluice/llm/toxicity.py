@@ -10,11 +10,14 @@ toxic dictionary alone saves. A document's window differences (their mean, the
 largest ones, and how many reach each threshold) go through a logistic
 calibration to a score in [0, 1], weighted to the label shares of the data.
 
-Learning reads a bounded sample of labelled documents (``TOXIC_DOCS``,
-``ORDINARY_DOCS``, and at most ``SAMPLE_WINDOWS`` evenly spaced windows of
-each); calibration features are cross-fitted, so no document is scored with a
-dictionary that has seen it. Scoring reads every whole text, uses nothing but
-the text, and is one pass without a shuffle.
+Dictionaries are learnt from a bounded sample of labelled documents (``TOXIC_DOCS``,
+``ORDINARY_DOCS``), from at most ``SAMPLE_WINDOWS`` evenly spaced windows of each. The
+sample is halved: each half gives a pair of dictionaries, which is calibrated on the other
+half, so no document is judged by a dictionary that has seen it, and scoring uses the very
+dictionaries that were calibrated (dictionaries learnt from the whole sample would hold more
+cues and save more than the calibration knows). A score is the mean log-odds of both pairs.
+Calibration features are computed in tasks, from whole texts as in scoring. Scoring reads
+every whole text, uses nothing but the text, and is one pass without a shuffle.
 
 Defined cases: null or empty text is one empty window; documents without a
 label are scored only; labels of rows that repeat are merged by their largest
@@ -67,21 +70,43 @@ def windows(text: bytes) -> list[bytes]:
 
 
 @dataclass(frozen=True)
-class Model:
-    """Dictionaries and calibration; small enough to travel with each task."""
+class Half:
+    """Dictionaries of one half of the sample and their calibration on the other."""
 
     ordinary: bytes
     toxic: bytes
     center: np.ndarray
     spread: np.ndarray
     weights: np.ndarray
-    prior: float
 
-    def scores(self, features: np.ndarray) -> np.ndarray:
-        if not len(self.weights):
-            return np.full(len(features), self.prior)
+    def log_odds(self, features: np.ndarray) -> np.ndarray:
         z = (features - self.center) / self.spread
-        return 1 / (1 + np.exp(-np.clip(z @ self.weights[:-1] + self.weights[-1], -30, 30)))
+        return np.clip(z @ self.weights[:-1] + self.weights[-1], -30, 30)
+
+
+@dataclass(frozen=True)
+class Model:
+    """Both halves, or none where a class has no sample; small enough to travel with each task."""
+
+    halves: tuple[Half, ...]
+    prior: float
+
+
+class Scorer:
+    """Scores of documents as lists of all their windows."""
+
+    def __init__(self, model: Model) -> None:
+        self.model = model
+        self.compressors = [Compressor(h.ordinary, h.toxic) for h in model.halves]
+
+    def scores(self, docs: list[list[bytes]]) -> np.ndarray:
+        if not self.compressors or not docs:
+            return np.full(len(docs), self.model.prior)
+        odds = [
+            half.log_odds(np.array([pair.features(parts) for parts in docs]))
+            for half, pair in zip(self.model.halves, self.compressors, strict=True)
+        ]
+        return 1 / (1 + np.exp(-np.mean(odds, axis=0)))
 
 
 class Compressor:
@@ -233,7 +258,7 @@ def dictionaries(toxic: list[list[bytes]], ordinary: list[list[bytes]]) -> tuple
     holds = re.compile(b"|".join(map(re.escape, found))) if found else None
     plain = []
     for doc in ordinary:
-        for part in doc[:16]:
+        for part in doc:
             if holds and holds.search(part):
                 words = (b" " + w + b" " for w in part.split())
                 part = b" " + b" ".join(w[1:-1] for w in words if not holds.search(w)) + b" "
@@ -254,20 +279,29 @@ def logistic(x: np.ndarray, y: np.ndarray, weight: np.ndarray, l2: float = 1e-3)
     return center, spread, w
 
 
+def half_dictionaries(toxic: list, ordinary: list) -> list[tuple[bytes, bytes]]:
+    """A pair of dictionaries from either half of the sample."""
+    return [dictionaries(toxic[half::2], ordinary[half::2]) for half in (0, 1)]
+
+
+def calibrated(pair: tuple[bytes, bytes], x: np.ndarray, y: np.ndarray, share: float) -> Half:
+    """A pair with its calibration on features ``x`` of documents it was not learnt from."""
+    weight = np.where(y == 1, share / y.sum(), (1 - share) / (1 - y).sum())
+    return Half(*pair, *logistic(x, y, weight))
+
+
 def fit(toxic: list[list[bytes]], ordinary: list[list[bytes]], share: float) -> Model:
-    """Model from sampled documents (as windows); ``share`` of all labels is toxic."""
+    """Model from documents as lists of all their windows; ``share`` of labels is toxic."""
     if len(toxic) < 2 or len(ordinary) < 2:
-        none = np.empty(0)
-        return Model(b"", b"", none, none, none, share)
-    x, y = [], []
-    for fold in (0, 1):
-        here = Compressor(*dictionaries(toxic[fold::2], ordinary[fold::2]))
-        for label, docs in ((1, toxic[1 - fold :: 2]), (0, ordinary[1 - fold :: 2])):
+        return Model((), share)
+    halves = []
+    for half, pair in enumerate(half_dictionaries(toxic, ordinary)):
+        here, x, y = Compressor(*pair), [], []
+        for label, docs in ((1, toxic[1 - half :: 2]), (0, ordinary[1 - half :: 2])):
             x += [here.features(doc) for doc in docs]
             y += [label] * len(docs)
-    target = np.array(y)
-    weight = np.where(target == 1, share / target.sum(), (1 - share) / (1 - target).sum())
-    return Model(*dictionaries(toxic, ordinary), *logistic(np.array(x), target, weight), share)
+        halves.append(calibrated(pair, np.array(x), np.array(y), share))
+    return Model(tuple(halves), share)
 
 
 def held_out(doc_id: Column) -> Column:
@@ -294,32 +328,85 @@ def train(docs: DataFrame, labels: DataFrame) -> Model:
             .collect()
         )
     if not sample:
-        return fit([], [], 0.0)
-    # At most TOXIC_DOCS + ORDINARY_DOCS ids: safe to broadcast.
+        return Model((), 0.0)
+    # At most TOXIC_DOCS + ORDINARY_DOCS ids: safe to broadcast. An id that several texts
+    # share is learnt from one of them, so the rows are as many.
     ids = docs.sparkSession.createDataFrame(sample, "doc_id long, toxic int")
     rows = (
-        docs.select("doc_id", "text")
-        .join(F.broadcast(ids), "doc_id")
+        _texts_of(docs, ids)
         .select("doc_id", "toxic", "text")
         .mapInArrow(_sample_rows, "doc_id long, toxic int, parts array<binary>")
         .collect()
     )
     by_label: dict[int, dict] = {1: {}, 0: {}}
     for r in sorted(rows, key=lambda r: (r["doc_id"], r["parts"])):
-        by_label[r["toxic"]].setdefault(tuple(bytes(p) for p in r["parts"]))
+        # Copies of one text are one sample.
+        by_label[r["toxic"]].setdefault(tuple(bytes(p) for p in r["parts"]), r["doc_id"])
     total = counts.get(0, 0) + counts.get(1, 0)
-    return fit(
-        [list(k) for k in by_label[1]], [list(k) for k in by_label[0]], counts.get(1, 0) / total
+    share = counts.get(1, 0) / total
+    toxic, ordinary = ([list(k) for k in by_label[label]] for label in (1, 0))
+    if len(toxic) < 2 or len(ordinary) < 2:
+        return Model((), share)
+    # Calibration features come from whole texts, as in scoring, by the dictionaries of
+    # the half that a document is not in.
+    halves = [
+        (doc_id, label, 1 - n % 2) for label in (1, 0) for n, doc_id in enumerate(by_label[label].values())
+    ]
+    chosen = docs.sparkSession.createDataFrame(halves, "doc_id long, toxic int, half int")
+    pairs = half_dictionaries(toxic, ordinary)
+
+    def feature_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        compressors = [Compressor(*pair) for pair in pairs]
+        for whole in batches:
+            for batch in slices(whole, 3):
+                x = [
+                    compressors[half].features(windows(text)).tolist()
+                    for half, text in zip(batch.column(2).to_pylist(), utf8(batch.column(3)), strict=True)
+                ]
+                yield pa.record_batch(
+                    [*batch.columns[:3], pa.array(x, pa.list_(pa.float64()))],
+                    ["doc_id", "toxic", "half", "x"],
+                )
+
+    features = (
+        _texts_of(docs, chosen)
+        .select("doc_id", "toxic", "half", "text")
+        .mapInArrow(feature_rows, "doc_id long, toxic int, half int, x array<double>")
+        .collect()
+    )
+    features.sort(key=lambda r: (r["doc_id"], r["toxic"]))
+    halves = []
+    for half, pair in enumerate(pairs):
+        here = [r for r in features if r["half"] == half]
+        x, y = np.array([r["x"] for r in here]), np.array([r["toxic"] for r in here])
+        halves.append(calibrated(pair, x, y, share))
+    return Model(tuple(halves), share)
+
+
+def _texts_of(docs: DataFrame, ids: DataFrame) -> DataFrame:
+    """The sampled ids with one text each."""
+    ids = F.broadcast(ids)
+    others = [c for c in ids.columns if c != "doc_id"]
+    return (
+        docs.select("doc_id", "text")
+        .join(ids, "doc_id")
+        .groupBy("doc_id", *others)
+        .agg(F.min_by("text", F.xxhash64("text")).alias("text"))
+        .repartition(docs.sparkSession.sparkContext.defaultParallelism)
     )
 
 
+def spaced(parts: list, most: int) -> list:
+    """At most ``most`` evenly spaced entries of a list."""
+    at = np.unique(np.linspace(0, len(parts) - 1, min(len(parts), most)).astype(int))
+    return [parts[i] for i in at]
+
+
 def _sample_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         parts = []
         for text in utf8(batch.column(2)):
-            every = windows(text)
-            at = np.unique(np.linspace(0, len(every) - 1, min(len(every), SAMPLE_WINDOWS)).astype(int))
-            parts.append([every[i] for i in at])
+            parts.append(spaced(windows(text), SAMPLE_WINDOWS))
         yield pa.record_batch(
             [batch.column(0), batch.column(1), pa.array(parts, pa.list_(pa.binary()))],
             ["doc_id", "toxic", "parts"],
@@ -333,11 +420,11 @@ def score_documents(docs: DataFrame, model: Model) -> DataFrame:
     arrow, at = to_arrow_schema(schema), docs.columns.index("text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pair = Compressor(model.ordinary, model.toxic)
+        scorer = Scorer(model)
         for whole in batches:
             for batch in slices(whole, at):
-                x = np.array([pair.features(windows(t)) for t in utf8(batch.column(at))])
-                yield pa.record_batch([*batch.columns, pa.array(model.scores(x))], arrow)
+                scores = scorer.scores([windows(t) for t in utf8(batch.column(at))])
+                yield pa.record_batch([*batch.columns, pa.array(scores)], arrow)
 
     return docs.mapInArrow(run, schema).withColumn(
         "_predicted", (F.col("_score") >= PREDICT_FROM).cast("int")
