@@ -90,8 +90,16 @@ def rolling_stats(
     )
 
 
+def _spread(df: DataFrame, *keys: str) -> DataFrame:
+    """Cluster rows by ``keys`` for a window over them, in as many partitions as the session
+    shuffles into. A frame costs its length for each row, not the row's bytes: partitions
+    merged by size would be about one a core and one over, so two rounds of long tasks."""
+    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), *keys)
+
+
 def _direct(df: DataFrame, value: str, keys: list[str], order: list[str], lookback: int) -> DataFrame:
     """The frame as one window per sensor."""
+    df = _spread(df, *keys)
     w = Window.partitionBy(*keys).orderBy(*order).rowsBetween(-lookback, 0)
     return df.withColumn("rolling_mean", F.avg(value).over(w)).withColumn(
         "rolling_stddev", F.stddev(value).over(w)
@@ -135,6 +143,7 @@ def _chunked(
             )
         ),
     )
+    spread = _spread(spread, *keys, "_chunk")
     w = Window.partitionBy(*keys, "_chunk").orderBy("_pos").rowsBetween(-lookback, 0)
     out = (
         spread.withColumn("rolling_mean", F.avg(value).over(w))

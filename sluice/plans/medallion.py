@@ -15,7 +15,8 @@ The result is that of a full reload, however batches, copies and readings arrive
   of 99 rows;
 * readings that fall before others of their sensor that silver holds already (late
   ones, and replaced ones) change the frames behind them. The rows of that sensor from
-  there on are enriched again, and the partitions that hold them are rewritten. A
+  the first such place up to the 99th row after the last one are enriched again, and the
+  partitions that hold them are rewritten; no frame beyond reaches a change. A
   registry of each sensor's last reading tells whether there are any; batches in
   event-time order, the usual case, only append.
 
@@ -30,7 +31,8 @@ from __future__ import annotations
 import datetime as dt
 import uuid
 from dataclasses import dataclass
-from typing import Sequence
+from functools import reduce
+from typing import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -101,6 +103,11 @@ def position() -> Column:
     return F.struct(F.col("timestamp"), F.col("event_id"))
 
 
+def position_of(rows: DataFrame) -> Column:
+    """:func:`position` of the rows of one side of a join."""
+    return F.struct(rows["timestamp"], rows["event_id"])
+
+
 def with_history(
     new_rows: DataFrame,
     silver: DataFrame,
@@ -222,10 +229,14 @@ class _SilverRun:
         looked_up = with_known(dedup_first(self.read.of(rows)), self.state["keys"], self.state["key_buckets"])
         return looked_up.filter(F.col("_known").isNull() | (order_of() < F.col("_known")))
 
-    def plan(self, fresh: DataFrame) -> tuple[DataFrame, str, list]:
-        """(rows to write, ``append`` or ``rewrite``, partitions that become empty).
+    def plan(
+        self, fresh: DataFrame, stage: Callable[[str, DataFrame], DataFrame]
+    ) -> tuple[dict[str, DataFrame], str, list]:
+        """(rows to write, in staged parts by name; ``append`` or ``rewrite``; partitions
+        that become empty).
 
-        ``fresh`` must be staged: it is read several times.
+        ``fresh`` must be staged: it is read several times. ``stage`` writes a part and
+        reads it back.
         """
         silver = read_silver(self.spark, self.silver_path)
         if self.unrecorded:
@@ -244,48 +255,63 @@ class _SilverRun:
             removed = there.join(replaced, same(there, replaced, ["event_id"]), "left_semi")
             removed = stage_table(removed.select(*keys, "event_date", "facility_id", "timestamp", "event_id"), "removed")
             changed = changed.unionByName(removed.select(*keys, position().alias("at")))
-        starts = changed.groupBy(*keys).agg(F.min("at").alias("low"))
+        starts = changed.groupBy(*keys).agg(F.min("at").alias("low"), F.max("at").alias("high"))
         sensors = self.sensors()
         starts = stage_table(
             starts.join(sensors, same(starts, sensors, keys), "left").select(
-                *[starts[k] for k in keys], "low", F.coalesce(F.col("low") <= F.col("last"), F.lit(False)).alias("late")
+                *[starts[k] for k in keys],
+                "low",
+                "high",
+                F.coalesce(F.col("low") <= F.col("last"), F.lit(False)).alias("late"),
             ),
             "silver-starts",
         )
-        low = starts.filter("late").agg(
-            F.count("*").alias("n"), F.min(F.to_date("low.timestamp")).alias("day"),
-            F.count_if(F.col("low.timestamp").isNull()).alias("untimed"),
-        ).first()
-        if not low["n"]:
-            return self._enriched(cleaned, silver, starts), "append", []
-        # Rows of late sensors from their first change on, made again.
-        behind = silver
-        if not low["untimed"]:
-            behind = silver.filter(F.col("event_date") >= F.lit(low["day"]))
-        late = starts.filter("late").select(*keys, "low")
-        after = F.struct(behind["timestamp"], behind["event_id"]) >= late["low"]
-        ids = fresh.select("event_id")
-        behind = behind.join(late, same(behind, late, keys) & after, "left_semi")
-        behind = behind.join(ids, same(behind, ids, ["event_id"]), "left_anti")
+        late = starts.filter("late")
+        if late.isEmpty():
+            return {"out": stage("out", self._enriched(cleaned, silver, starts))}, "append", []
+        # Rows of late sensors whose frames may reach a change, made again.
+        late = self._reach(late, silver)
+        behind = _between(silver, late, "low", "end")
+        at = position_of(behind)
+        touches = same(behind, late, keys) & (at >= late["low"]) & (at <= late["end"])
+        behind = behind.join(late, touches, "left_semi")
+        if days:
+            # All ids of the batch that silver holds.
+            behind = behind.join(removed, same(behind, removed, ["event_id"]), "left_anti")
         again = cleaned.unionByName(conform(behind, BRONZE_SCHEMA).select(cleaned.columns))
-        rows = stage_table(self._enriched(again, silver, starts), "silver-again")
+        rows = stage("again", self._enriched(again, silver, starts))
         # All other rows of the partitions they are in stay as they are.
         touched = rows.select("event_date", "facility_id")
         if days:
             touched = touched.unionByName(removed.select("event_date", "facility_id"))
         touched = stage_table(touched.distinct(), "silver-touched")
         dates = [r[0] for r in touched.select("event_date").distinct().collect()]
-        made = rows.select("event_id").unionByName(ids)
         kept = silver.filter(_in_days("event_date", dates))
         kept = kept.join(touched, same(kept, touched, ["event_date", "facility_id"]), "left_semi")
-        kept = kept.join(made, same(kept, made, ["event_id"]), "left_anti")
-        out = rows.unionByName(kept)
+        at = position_of(kept)
+        touches = same(kept, late, keys) & (at >= late["low"]) & (at <= late["end"])
+        kept = stage("kept", kept.join(late, touches, "left_anti").select(rows.columns))
         empty = []
         if days:
-            full = out.select("event_date", "facility_id").distinct()
+            full = rows.unionByName(kept).select("event_date", "facility_id").distinct()
             gone = touched.join(full, same(touched, full, ["event_date", "facility_id"]), "left_anti")
             empty = [[_text(r[0]), r[1]] for r in gone.collect()]
-        return out, "rewrite", empty
+        return {"again": rows, "kept": kept}, "rewrite", empty
+
+    def _reach(self, late: DataFrame, silver: DataFrame) -> DataFrame:
+        """Sensors with changes between ``low`` and ``high``, and ``end``: the last row
+        whose frame reaches one. ``row_number() <= n`` limits each map task, as in
+        :func:`with_history`."""
+        keys = list(SENSOR_KEYS)
+        after = _between(silver, late, "high")
+        beyond = after.join(late, same(after, late, keys) & (position_of(after) > late["high"]), "left_semi")
+        w = Window.partitionBy(*keys).orderBy("timestamp", "event_id")
+        beyond = beyond.select(*keys, "timestamp", "event_id").withColumn("_r", F.row_number().over(w))
+        ends = beyond.filter(F.col("_r") < self.config.rolling_rows).groupBy(*keys).agg(F.max(position()).alias("end"))
+        joined = late.join(ends, same(late, ends, keys), "left")
+        return stage_table(
+            joined.select(*[late[k] for k in keys], "low", F.coalesce("end", "high").alias("end")), "silver-late"
+        )
 
     def _enriched(self, rows: DataFrame, silver: DataFrame, starts: DataFrame) -> DataFrame:
         last_day = self.state.get("max_event_date")
@@ -316,17 +342,20 @@ class _SilverRun:
 
     def add(self, batches: dict[str, str]) -> int:
         """Plan, announce and apply one incremental run."""
-        fresh = self.journal.stage(self.run, "fresh", self.fresh(list(batches.values())))
-        rows, mode, empty = self.plan(fresh)
-        self.journal.stage(self.run, "out", rows)
-        intent = {"run": self.run, "batches": sorted(batches), "mode": mode, "empty": empty}
+        def stage(name: str, df: DataFrame) -> DataFrame:
+            return self.journal.stage(self.run, name, df)
+
+        fresh = stage("fresh", self.fresh(list(batches.values())))
+        parts, mode, empty = self.plan(fresh, stage)
+        intent = {"run": self.run, "batches": sorted(batches), "mode": mode, "empty": empty, "parts": sorted(parts)}
         self.journal.begin(intent)
         return self.apply(intent, again=self.unrecorded)
 
     def apply(self, intent: dict, again: bool = True) -> int:
         """Apply an announced run; ``again`` when an earlier attempt may have begun to."""
         spark, journal, run = self.spark, self.journal, intent["run"]
-        out = journal.staged(run, "out", SILVER_SCHEMA)
+        parts = [journal.staged(run, name, SILVER_SCHEMA) for name in intent.get("parts", ["out"])]
+        out = reduce(DataFrame.unionByName, parts)
         fresh = spark.read.parquet(journal.folder(run, "fresh"))
         if intent["mode"] == "append":
             added = out
@@ -354,7 +383,10 @@ class _SilverRun:
             days = [_text(r[0]) for r in rows.select("event_date").distinct().collect()]
             days = sorted({*days, *[d for d, _ in intent["empty"]]}, key=str)
         made = written["n"]
-        if intent["mode"] == "rewrite":
+        if intent["mode"] == "rewrite" and not again:
+            # Every cleaned row of the batch is one row of the table.
+            made = clean(fresh, self.config.sensor_types).count()
+        elif intent["mode"] == "rewrite":
             ids = fresh.select("event_id")
             made = out.join(ids, same(out, ids, ["event_id"]), "left_semi").count()
         elif again:
@@ -414,6 +446,22 @@ def _in_days(column: str, days: Sequence[dt.date | None]) -> Column:
     return out | F.col(column).isNull() if len(real) < len(days) else out
 
 
+def _between(rows: DataFrame, sensors: DataFrame, first: str, last: str | None = None) -> DataFrame:
+    """``rows`` without days that lie before all positions ``first``, or behind all
+    positions ``last``, of the sensors (prunes partitions; no day is none of these)."""
+    bounds = sensors.agg(
+        F.min(F.to_date(f"{first}.timestamp")).alias("since"),
+        F.count_if(F.col(f"{first}.timestamp").isNull()).alias("untimed"),
+        *([F.max(F.to_date(f"{last}.timestamp")).alias("until")] if last else []),
+    ).first()
+    day = F.col("event_date")
+    if not bounds["untimed"]:
+        rows = rows.filter(day >= F.lit(bounds["since"]))
+    if last and bounds["until"] is not None:
+        rows = rows.filter((day <= F.lit(bounds["until"])) | day.isNull())
+    return rows
+
+
 def _partition(path: str, day: str | None, facility: str | None) -> str:
     hive = "__HIVE_DEFAULT_PARTITION__"
     return f"{path.rstrip('/')}/event_date={day or hive}/facility_id={facility or hive}"
@@ -431,8 +479,12 @@ def silver_batch(
     job = _SilverRun(spark, bronze_path, silver_path, config, strategy)
     if not incremental or job.is_full():
         return _full_rows(read_bronze(spark, bronze_path), config, strategy)
-    fresh = stage_table(job.fresh(list(job.new_batches().values())), "silver-fresh")
-    return job.plan(fresh)[0]
+
+    def stage(name: str, df: DataFrame) -> DataFrame:
+        return stage_table(df, f"silver-{name}")
+
+    fresh = stage("fresh", job.fresh(list(job.new_batches().values())))
+    return reduce(DataFrame.unionByName, job.plan(fresh, stage)[0].values())
 
 
 def process_silver(

@@ -97,6 +97,35 @@ def test_earlier_and_equal_stamps_are_not_lost(spark, tmp_root):
     assert sorted(state["batches"]) == sorted(bronze_batches(spark, p.bronze)) and len(state["batches"]) == 3
 
 
+def test_a_late_reading_leaves_days_alone_that_its_frames_do_not_reach(spark, tmp_root):
+    """Hourly readings of 20 days; one comes late on day 3, one copy of day 5 is replaced:
+    frames reach 99 hours further, into day 9."""
+    first = dt.datetime(2024, 1, 1)
+    rows = [
+        event(i, sensor=s, t=first + dt.timedelta(hours=h), value=float(i % 7), ingest="2024-02-01 01:00:00")
+        for i, (s, h) in enumerate((s, h) for s in "AB" for h in range(480))
+    ]
+    late = [
+        event(900001, sensor="A", t="2024-01-03 00:30:00", value=50.0, ingest="2024-02-01 02:00:00"),
+        event(100, sensor="A", t=rows[100]["timestamp"], value=80.0, ingest="2024-02-01 00:00:00"),
+    ]
+    p = LakePaths(f"{tmp_root}/steps")
+
+    def files():
+        found = {d.name: sorted(f.name for f in os.scandir(f"{d.path}/facility_id=PLANT-A")) for d in
+                 os.scandir(p.silver) if d.name.startswith("event_date=")}
+        return {d.removeprefix("event_date=2024-01-"): names for d, names in found.items()}
+
+    ingest_bronze(bronze_rows(spark, rows), p.bronze)
+    process_silver(spark, p.bronze, p.silver)
+    before = files()
+    ingest_bronze(bronze_rows(spark, late), p.bronze)
+    assert process_silver(spark, p.bronze, p.silver) == 2
+    after = files()
+    assert [d for d in sorted(before) if before[d] != after[d]] == [f"{d:02d}" for d in range(3, 10)]
+    assert rows_of(spark, p) == full_reload(spark, rows + late, f"{tmp_root}/full")
+
+
 def test_a_copy_that_precedes_the_one_taken_replaces_it(spark, tmp_root):
     p = LakePaths(tmp_root)
     ingest_bronze(bronze_rows(spark, [event(1, value=1.0, ingest="2024-01-01 05:00:00"), event(2)]), p.bronze)
