@@ -34,6 +34,7 @@ from sluice.operators.aggregate import stream_kpis
 from sluice.operators.clean import clean
 from sluice.operators.ingest import parse_records, to_bronze, validate_events, with_violations
 from sluice.schema import BRONZE_SCHEMA, EVENT_SCHEMA
+from sluice.session import delete_path, scratch_path
 from sluice.sources.fixtures import sensor_events
 from sluice.sources.kafka import to_kafka_records
 from sluice.sources.tables import read_table, stream_part, write_partitioned
@@ -244,10 +245,19 @@ def write_contract_batch(
     batch: DataFrame, output_path: str, source_id: str, batch_id: int, config: LakeConfig = DEFAULT_CONFIG
 ) -> None:
     """FIL2, one micro-batch of parsed rows: rejected ones to the quarantine table, then
-    valid ones to bronze, each to a folder of this batch that running it again replaces."""
-    tagged = with_violations(batch, config.sensor_types).persist()
+    valid ones to bronze, each to a folder of this batch that running it again replaces.
+
+    The rows are parsed once and staged as files, which both sinks read in splits of bounded
+    size: blocks kept in memory would be as large as the files or topic partitions that the
+    source's tasks read. Only rejected rows keep their payload.
+    """
+    spark = batch.sparkSession
+    ok = F.size("violations") == 0
+    parsed = with_violations(batch, config.sensor_types).withColumn(RAW_COLUMN, F.when(~ok, F.col(RAW_COLUMN)))
+    staged = scratch_path(spark, "contract-batch")
     try:
-        ok = F.size("violations") == 0
+        parsed.write.parquet(staged)
+        tagged = spark.read.schema(parsed.schema).parquet(staged)
         rejected = tagged.filter(~ok).withColumn("rejected_at", F.current_timestamp())
         folder = f"batch={source_id}-{batch_id}"
         write_partitioned(
@@ -258,7 +268,7 @@ def write_contract_batch(
         )
         write_stream_batch(valid, output_path, source_id, batch_id, config)
     finally:
-        tagged.unpersist()
+        delete_path(spark, staged)
 
 
 def start_quarantine_sink(

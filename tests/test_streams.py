@@ -121,6 +121,26 @@ def test_a_micro_batch_that_dies_between_its_sinks_is_run_again(spark, tmp_root,
     assert read_bronze(spark, path).count() == 5 and read_quarantine(spark, path).count() == 1
 
 
+def test_no_task_keeps_a_whole_split_of_the_source(spark, tmp_root):
+    rows = [record(f"e{i}", "01:00:00", float(i), i, "01:00:00", sensor_type="none") for i in range(4000)]
+    spark.createDataFrame(rows, RECORD_SCHEMA).coalesce(1).write.parquet(f"{tmp_root}/in")
+    batch = parse_records(spark.read.parquet(f"{tmp_root}/in"), raw="raw_value")
+    assert batch.rdd.getNumPartitions() == 1
+    path, split, block = f"{tmp_root}/bronze", "spark.sql.files.maxPartitionBytes", "parquet.block.size"
+    before = spark.conf.get(split)
+    spark.conf.set(split, "8k")
+    spark.conf.set(block, "32768")
+    try:
+        write_contract_batch(batch, path, "s", 0)
+    finally:
+        spark.conf.set(split, before)
+        spark.conf.unset(block)
+    rejected = read_quarantine(spark, path)
+    assert rejected.count() == 4000 and rejected.filter("raw_value is null").isEmpty()
+    per_task = [r["count"] for r in rejected.groupBy(F.input_file_name()).count().collect()]
+    assert max(per_task) <= 2000
+
+
 def streamed(spark, path, batches=4):
     for n in range(batches):
         rows = [event(f"{n}-{i}", t=f"2024-01-0{1 + (i + n) % 4} 0{n}:00:00") for i in range(8)]
