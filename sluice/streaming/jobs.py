@@ -84,6 +84,20 @@ def file_record_stream(
 
 RECORD_SCHEMA = "key BINARY, value BINARY, timestamp TIMESTAMP, partition INT, offset BIGINT"
 
+#: Bytes of a row group in files that a later job reads. Readers divide a file between its
+#: row groups only, and by Parquet's default (128 MB) all that one task wrote is often one.
+ROW_GROUP_BYTES = 8 * 1024 * 1024
+
+
+def write_divisible(df: DataFrame, folder: str, mode: str = "errorifexists") -> None:
+    """Write files that readers can divide, however much of them one task writes: row
+    groups of :data:`ROW_GROUP_BYTES`, or of the session's ``parquet.block.size`` if that
+    is less."""
+    spark, key = df.sparkSession, "parquet.block.size"
+    own = spark.conf.get(key, None) or spark.sparkContext._jsc.hadoopConfiguration().get(key)
+    size = min(ROW_GROUP_BYTES, int(own)) if own else ROW_GROUP_BYTES
+    df.write.mode(mode).option(key, str(size)).parquet(folder)
+
 
 def write_arrivals(records: DataFrame, folder: str, since: str | None, until: str | None) -> None:
     """Append the Kafka-shaped records that arrive in a span of time to a folder: a
@@ -92,7 +106,7 @@ def write_arrivals(records: DataFrame, folder: str, since: str | None, until: st
         records = records.filter(F.col("timestamp") >= F.lit(since).cast("timestamp"))
     if until is not None:
         records = records.filter(F.col("timestamp") < F.lit(until).cast("timestamp"))
-    records.write.mode("append").parquet(folder)
+    write_divisible(records, folder, "append")
 
 
 def arrival_stream(spark: SparkSession, folder: str) -> DataFrame:
@@ -256,7 +270,7 @@ def write_contract_batch(
     parsed = with_violations(batch, config.sensor_types).withColumn(RAW_COLUMN, F.when(~ok, F.col(RAW_COLUMN)))
     staged = scratch_path(spark, "contract-batch")
     try:
-        parsed.write.parquet(staged)
+        write_divisible(parsed, staged)
         tagged = spark.read.schema(parsed.schema).parquet(staged)
         rejected = tagged.filter(~ok).withColumn("rejected_at", F.current_timestamp())
         folder = f"batch={source_id}-{batch_id}"

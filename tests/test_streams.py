@@ -35,6 +35,7 @@ from sluice.streaming.jobs import (
     first_copy_stream,
     read_quarantine,
     start_quarantine_sink,
+    write_arrivals,
     write_contract_batch,
     write_stream_batch,
 )
@@ -141,6 +142,33 @@ def test_no_task_keeps_a_whole_split_of_the_source(spark, tmp_root):
     assert max(per_task) <= 2000
 
 
+def test_what_one_task_wrote_is_read_by_several(spark, tmp_root):
+    # 40 MB of payload that does not compress, from one task.
+    value = F.concat(F.lit("{broken"), F.expr("randstr(20000, 7)")).cast("binary")
+    at = F.lit("2024-01-01 01:00:00").cast("timestamp")
+    records = spark.range(0, 2000, numPartitions=1).select(
+        F.lit(b"S").alias("key"), value.alias("value"), at.alias("timestamp"),
+        F.lit(0).alias("partition"), F.col("id").alias("offset"),
+    )
+    src, path, split = f"{tmp_root}/in", f"{tmp_root}/bronze", "spark.sql.files.maxPartitionBytes"
+    before = spark.conf.get(split)
+    spark.conf.set(split, "4m")
+    try:
+        write_arrivals(records, src, None, "2024-01-02")
+        arrived = spark.read.schema(RECORD_SCHEMA).parquet(src)
+        one = arrived.select("value").groupBy(F.spark_partition_id()).count().collect()
+        # All of it from one task, as a topic partition is: staged, then read in splits.
+        batch = parse_records(arrived.coalesce(1), raw="raw_value")
+        write_contract_batch(batch, path, "s", 0)
+    finally:
+        spark.conf.set(split, before)
+    rejected = read_quarantine(spark, path)
+    per_task = [r["count"] for r in rejected.groupBy(F.input_file_name()).count().collect()]
+    for read in ([r["count"] for r in one], per_task):
+        assert sum(read) == 2000 and max(read) <= 700
+    assert rejected.select("raw_value").distinct().count() == 2000
+
+
 def streamed(spark, path, batches=4):
     for n in range(batches):
         rows = [event(f"{n}-{i}", t=f"2024-01-0{1 + (i + n) % 4} 0{n}:00:00") for i in range(8)]
